@@ -15,7 +15,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
+def readings_from_events(events: DataFrame, keep_ts: bool = False) -> DataFrame:
     """Adapter: the ``events`` table as hourly station readings.
 
     Event type plays the station, the event value the temperature, the JSON
@@ -32,9 +32,15 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         F.when(eid % 10 == 0, F.lit(None)).otherwise(F.col("value")).cast("double").alias("temperatura"),
         F.when(eid % 7 == 0, F.lit(None)).otherwise(umid).cast("double").alias("umidade"),
         F.when(eid % 13 == 0, F.lit(None)).otherwise(wind).cast("double").alias("velocidade_vento"),
+        *([F.col("ts")] if keep_ts else []),
     )
 
 
+def telemetry_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that also keep the raw event instant as ``ts`` (sub-hour telemetry)."""
+    return readings_from_events(load_table(spark, sf_dir, "events"), keep_ts=True)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings view over ``events`` (id, estacao, data, hora, 3 measures)."""
     return readings_from_events(load_table(spark, sf_dir, "events"))

@@ -91,7 +91,7 @@ def main(names: list[str]) -> int:
     import __spark_entry__ as E
     from horavento.session import get_session
     spark = get_session("local[8]", shuffle_partitions=8,
-                        extra={"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+                        extra={"spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     names = names or sorted(sqls)
