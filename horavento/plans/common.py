@@ -11,15 +11,20 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 # DuckDB twin of ``readings_from_events`` (same casts, see FIXTURES.md §3).
-READINGS_SQL = """readings AS (
+def readings_cte(name: str = "readings", keep_ts: bool = False) -> str:
+    extra = ", ts" if keep_ts else ""
+    return f"""{name} AS (
   SELECT event_id AS id, event_type AS estacao, CAST(ts AS DATE) AS data,
          CAST(hour(ts) AS INTEGER) AS hora,
          CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(value AS DOUBLE) END AS temperatura,
          CASE WHEN event_id % 7 = 0 THEN NULL
               ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS umidade,
          CASE WHEN event_id % 13 = 0 THEN NULL
-              ELSE CAST(user_id % 80 AS DOUBLE) / CAST(10 AS DOUBLE) END AS velocidade_vento
+              ELSE CAST(user_id % 80 AS DOUBLE) / CAST(10 AS DOUBLE) END AS velocidade_vento{extra}
   FROM events)"""
+
+
+READINGS_SQL = readings_cte()
 READINGS_TS_SQL = READINGS_SQL + """,
 readings_ts AS (SELECT *, CAST(data AS TIMESTAMP) + to_hours(hora) AS ts FROM readings)"""
 

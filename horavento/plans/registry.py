@@ -1,6 +1,6 @@
 """Import every query module so the registry is complete."""
 
-from horavento.plans import analysis_queries, ordered_queries  # noqa: F401
+from horavento.plans import analysis_queries, model_queries, ordered_queries  # noqa: F401
 from horavento.plans.common import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
