@@ -36,7 +36,7 @@ def _non_null(keys: list[str]):
 
 def merge_readings(target: DataFrame, incoming: DataFrame, keys: list[str] = READING_KEY,
                    measures: list[str] = TARGETS, order=("arquivo", "linha"),
-                   now=None) -> DataFrame:
+                   now=None, carry: list[str] | None = None) -> DataFrame:
     """Upsert ``incoming`` into ``target``.
 
     * several incoming rows for one key: the last by ``order`` wins (T21);
@@ -47,8 +47,10 @@ def merge_readings(target: DataFrame, incoming: DataFrame, keys: list[str] = REA
     Returns the merged table with ``acao`` in {inserido, atualizado, mantido}."""
     now = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     order = [c for c in order if c in incoming.columns]
-    inc = incoming.select(*keys, *measures, *order)
-    inc = latest_per_key(inc, keys, order).drop(*order) if order else inc
+    carry = [c for c in (carry or []) if c in incoming.columns]
+    inc = incoming.select(*keys, *measures, *dict.fromkeys(order + carry))
+    inc = latest_per_key(inc, keys, order) if order else inc
+    inc = inc.drop(*[c for c in order if c not in carry])
     tgt = target
     for c in ("created_at", "updated_at"):
         if c not in tgt.columns:
@@ -57,7 +59,7 @@ def merge_readings(target: DataFrame, incoming: DataFrame, keys: list[str] = REA
     nn_t, nn_i = _non_null(keys), _non_null(keys)
     t = tgt.where(nn_t).select(*keys, *[F.col(m).alias(f"t_{m}") for m in measures],
                                "created_at", "updated_at", F.lit(True).alias("_in_t"))
-    i = inc.where(nn_i).select(*keys, *[F.col(m).alias(f"i_{m}") for m in measures],
+    i = inc.where(nn_i).select(*keys, *[F.col(m).alias(f"i_{m}") for m in measures], *carry,
                                F.lit(True).alias("_in_i"))
     j = t.join(i, keys, "full_outer")
     in_i = F.col("_in_i").isNotNull()
@@ -68,8 +70,10 @@ def merge_readings(target: DataFrame, incoming: DataFrame, keys: list[str] = REA
         F.when(in_t, F.col("created_at")).otherwise(now).alias("created_at"),
         F.when(in_i, now).otherwise(F.col("updated_at")).alias("updated_at"),
         F.when(in_i & in_t, F.lit("atualizado")).when(in_i, F.lit("inserido"))
-         .otherwise(F.lit("mantido")).alias("acao"))
+         .otherwise(F.lit("mantido")).alias("acao"), *carry)
     nulls_t = tgt.where(~nn_t).withColumn("acao", F.lit("mantido"))
+    for c in carry:
+        nulls_t = nulls_t.withColumn(c, F.lit(None).cast(dict(inc.dtypes)[c]))
     nulls_i = inc.where(~nn_i).withColumns({"created_at": now, "updated_at": now,
                                              "acao": F.lit("inserido")})
     return merged.unionByName(nulls_t).unionByName(nulls_i)

@@ -98,7 +98,13 @@ def read_station_csv(spark: SparkSession, path: str, keep_sentinel: bool = False
 
     Returns ``(estacao, data, hora, temperatura, umidade, velocidade_vento,
     arquivo, linha)``; with ``with_rejects`` also the quarantined lines."""
-    files = read_files(spark, path, glob)
+    return parse_station_files(read_files(spark, path, glob), keep_sentinel, strict_label, with_rejects)
+
+
+def parse_station_files(files: DataFrame, keep_sentinel: bool = False, strict_label: bool = False,
+                        with_rejects: bool = False):
+    """``read_station_csv`` over an existing ``binaryFile`` frame (batch or
+    micro-batch)."""
     ok, bad = split_valid(_raw_rows(files, strict_label))
 
     def field(i):
