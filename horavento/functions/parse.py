@@ -26,7 +26,7 @@ def hour_of(hora) -> Column:
 
 def parse_obs_date(col) -> Column:
     """``YYYY/MM/DD`` (or ``YYYY-MM-DD``) -> date; invalid -> NULL."""
-    return F.try_to_date(F.regexp_replace(F.trim(_c(col)), "/", "-"), F.lit("yyyy-M-d"))
+    return F.try_to_date(F.regexp_replace(F.trim(_c(col)), "/", "-"), "yyyy-M-d")
 
 
 def parse_obs_ts(data, hora) -> Column:

@@ -66,12 +66,17 @@ def interactions(df: DataFrame) -> DataFrame:
                            "umid_x_vento": u * v})
 
 
+def _part_contains(parts: Column, kw: str):
+    # one-argument lambda: Spark reads a two-argument one as (element, index)
+    return lambda i: F.lower(F.try_element_at(parts, i)).contains(kw)
+
+
 def _name_rule(run_name: Column) -> Column:
     """Station from a run name: ``processed_data_<STATION>[_<date>_<time>]`` first,
     then the part after the first part holding a keyword (F15)."""
     parts = F.split(run_name, "_")
     n = F.size(parts)
-    last_is_digit = F.element_at(parts, -1).rlike("^[0-9]+$")
+    last_is_digit = F.try_element_at(parts, F.lit(-1)).rlike("^[0-9]+$")
     processed = F.when(
         run_name.contains("processed_data_") & (n >= 3),
         F.array_join(F.when(last_is_digit, F.slice(parts, 3, F.greatest(n - 4, F.lit(0))))
@@ -79,10 +84,10 @@ def _name_rule(run_name: Column) -> Column:
     idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
     keyword = None
     for kw in ["imputacao", "imputation", "estacao", "station"]:
-        hits = F.filter(idx, lambda i, kw=kw: F.lower(F.element_at(parts, i)).contains(kw))
-        first = F.element_at(hits, 1)
+        hits = F.filter(idx, _part_contains(parts, kw))
+        first = F.try_element_at(hits, F.lit(1))
         found = F.when(F.lower(run_name).contains(kw) & (F.size(hits) > 0) & (first < n),
-                       F.element_at(parts, first + 1))
+                       F.try_element_at(parts, first + 1))
         # a keyword in the name but with nothing after it falls through to the next
         keyword = found if keyword is None else F.coalesce(keyword, found)
     return F.coalesce(processed, keyword)

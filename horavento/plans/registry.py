@@ -1,6 +1,8 @@
 """Import every query module so the registry is complete."""
 
-from horavento.plans import analysis_queries, model_queries, ordered_queries, text_queries  # noqa: F401
+from horavento.plans import (  # noqa: F401
+    analysis_queries, file_queries, model_queries, ordered_queries, text_queries,
+)
 from horavento.plans.common import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -31,9 +31,9 @@ def describe_paths(df: DataFrame, root: str | None = None, path: str = "path") -
     if root:
         rel = F.regexp_replace(p, "^.*?" + _escape(root.rstrip("/")) + "/", "")
     parts = F.split(rel, "/")
-    parent = F.when(F.size(parts) >= 2, F.element_at(parts, -2))
+    parent = F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2)))
     year = F.when(parent.rlike("^[0-9]{4}$"), parent.cast("int"))
-    name = F.element_at(parts, -1)
+    name = F.try_element_at(parts, F.lit(-1))
     return df.withColumns({"relative_path": rel, "year": year, "filename": name}) \
         .where(~F.col("filename").startswith("."))
 

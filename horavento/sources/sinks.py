@@ -145,17 +145,13 @@ def write_raw_station_files(readings: DataFrame, path: str) -> str:
                           F.concat_ws(";", *fields).alias("value"))
     header = ";".join(RAW_HEADER_NAMES.get(i, f"COLUNA {i}") for i in range(n))
     meta = r.select("ano", "arquivo", "estacao", "codigo").distinct()
-    meta_lines = meta.select("ano", "arquivo", F.explode(F.array(
-        F.struct(F.lit(1).cast("long").alias("ordem"), F.lit("REGIAO:;NE").alias("value")),
-        F.struct(F.lit(2).cast("long"), F.lit("UF:;PE")),
-        F.struct(F.lit(3).cast("long"), F.concat(F.lit("ESTACAO:;"), "estacao")),
-        F.struct(F.lit(4).cast("long"), F.concat(F.lit("CODIGO (WMO):;"), "codigo")),
-        F.struct(F.lit(5).cast("long"), F.lit("LATITUDE:;-8,05")),
-        F.struct(F.lit(6).cast("long"), F.lit("LONGITUDE:;-34,95")),
-        F.struct(F.lit(7).cast("long"), F.lit("ALTITUDE:;10")),
-        F.struct(F.lit(8).cast("long"), F.lit("DATA DE FUNDACAO:;2000-01-01")),
-        F.struct(F.lit(9).cast("long"), F.lit(header)),
-    )).alias("l")).select("ano", "arquivo", "l.ordem", "l.value")
+    texts = [F.lit("REGIAO:;NE"), F.lit("UF:;PE"), F.concat(F.lit("ESTACAO:;"), "estacao"),
+             F.concat(F.lit("CODIGO (WMO):;"), "codigo"), F.lit("LATITUDE:;-8,05"),
+             F.lit("LONGITUDE:;-34,95"), F.lit("ALTITUDE:;10"), F.lit("DATA DE FUNDACAO:;2000-01-01"),
+             F.lit(header)]
+    meta_lines = meta.select("ano", "arquivo", F.explode(F.array(*[
+        F.struct(F.lit(i + 1).cast("long").alias("ordem"), t.alias("value"))
+        for i, t in enumerate(texts)])).alias("l")).select("ano", "arquivo", "l.ordem", "l.value")
     lines = meta_lines.unionByName(data_lines)
     lines.repartition("ano", "arquivo").sortWithinPartitions("ano", "arquivo", "ordem") \
         .select("ano", "arquivo", "value") \

@@ -45,12 +45,12 @@ def _station_positions(lines, strict: bool):
     label = (lambda l: l) if strict else normalize_header
 
     def is_station(i):
-        return label(F.element_at(lines, i + 1)).startswith(RAW_STATION_LABEL)
+        return label(F.try_element_at(lines, i + 1)).startswith(RAW_STATION_LABEL)
 
     def entry(i):
-        parts = F.split(F.element_at(lines, i + 1), ";")
+        parts = F.split(F.try_element_at(lines, i + 1), ";")
         return F.struct(i.alias("pos"),
-                        F.when(F.size(parts) > 1, F.trim(F.element_at(parts, 2))).alias("nome"))
+                        F.when(F.size(parts) > 1, F.trim(F.try_element_at(parts, F.lit(2)))).alias("nome"))
     # a label line without a value leaves the previous station in force
     return F.filter(F.transform(F.filter(idx, is_station), entry), lambda s: s["nome"].isNotNull())
 
@@ -72,7 +72,7 @@ def _raw_rows(files: DataFrame, strict_label: bool) -> DataFrame:
                       & ~normalize_header("texto").startswith(RAW_STATION_LABEL))
     # the station is the last label line seen before the row (NULL when none, T3)
     seen = F.filter("stations", lambda s: s["pos"] < F.col("linha"))
-    est = F.when(F.size(seen) > 0, F.element_at(seen, -1)["nome"])
+    est = F.when(F.size(seen) > 0, F.try_element_at(seen, F.lit(-1))["nome"])
     return rows.select("arquivo", "linha", est.alias("estacao"),
                        F.split("texto", ";", -1).alias("campos"))
 
@@ -80,7 +80,7 @@ def _raw_rows(files: DataFrame, strict_label: bool) -> DataFrame:
 def split_valid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with >= 19 fields and a valid date, and the rejects with a reason."""
     n = F.size("campos")
-    date = parse_obs_date(F.element_at("campos", 1))
+    date = parse_obs_date(F.try_element_at("campos", F.lit(1)))
     tagged = rows.withColumn("data", F.when(n >= RAW_MIN_FIELDS, date))
     ok = tagged.where(F.col("data").isNotNull())
     bad = tagged.where(F.col("data").isNull()).select(
@@ -108,7 +108,7 @@ def parse_station_files(files: DataFrame, keep_sentinel: bool = False, strict_la
     ok, bad = split_valid(_raw_rows(files, strict_label))
 
     def field(i):
-        return F.element_at("campos", i + 1)
+        return F.try_element_at("campos", F.lit(i + 1))
 
     out = ok.select(
         "estacao", "data", field(RAW_COLUMNS["hora"]).alias("hora"),
@@ -126,7 +126,7 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     Output: ``arquivo, linha, ts`` plus one string column per requested name;
     rows whose timestamp does not parse are dropped (P5)."""
     lf = file_lines(read_files(spark, path, glob))
-    header = F.transform(F.split(F.element_at("lines", RAW_HEADER_LINES + 1), ";", -1),
+    header = F.transform(F.split(F.try_element_at("lines", F.lit(RAW_HEADER_LINES + 1)), ";", -1),
                          lambda h: normalize_header(F.trim(h)))
     rows = lf.select("arquivo", header.alias("header"), F.posexplode("lines").alias("linha", "texto")) \
         .where((F.col("linha") > RAW_HEADER_LINES) & (F.trim("texto") != ""))
@@ -166,8 +166,8 @@ def read_station_header(spark: SparkSession, path: str, glob: str | None = None)
         .where(F.trim("texto") != "")
     parts = F.split("texto", ";", -1)
     rows = rows.select("arquivo", (F.col("i") + 1).alias("linha"),
-                       F.trim(F.element_at(parts, 1)).alias("k"),
-                       F.trim(F.element_at(parts, 2)).alias("v"), F.size(parts).alias("n")) \
+                       F.trim(F.try_element_at(parts, F.lit(1))).alias("k"),
+                       F.trim(F.try_element_at(parts, F.lit(2))).alias("v"), F.size(parts).alias("n")) \
         .where(F.col("n") >= 2)
     key = normalize_header("k")
     friendly = None
