@@ -44,7 +44,11 @@ def train_temperature(df: DataFrame, features: list[str] = FORECAST_FEATURES,
 
     Returns ``(model, predictions)`` where predictions hold the prediction
     frame columns for the training rows with a label."""
-    data = df.where(F.col(label).isNotNull())
+    from horavento.operators.impute import mean_fill
+    # missing feature cells take their station mean (M2) so no row is lost
+    gaps = [c for c in features if c in ("temperatura", "umidade", "velocidade_vento")]
+    filled = mean_fill(df, gaps, "estacao") if gaps and "estacao" in df.columns else df
+    data = filled.where(F.col(label).isNotNull())
     va = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep")
     if algo == "rf":
         est = RandomForestRegressor(featuresCol="_x", labelCol=label, predictionCol="_p",
@@ -82,7 +86,8 @@ def time_folds(df: DataFrame, k: int = 5, ts: str = "ts", accuracy: int = 100_00
     secs = epoch_seconds(ts)
     probs = [i / k for i in range(1, k)]
     bounds = df.select(F.percentile_approx(secs, probs, accuracy).alias("b")).scalar()
-    fold = F.aggregate(bounds, F.lit(0), lambda acc, b: acc + F.when(secs > b, 1).otherwise(0))
+    fold = sum((F.when(secs > F.try_element_at(bounds, F.lit(i + 1)), 1).otherwise(0)
+                for i in range(k - 1)), F.lit(0))
     return df.withColumn("fold", fold.cast("int"))
 
 

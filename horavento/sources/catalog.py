@@ -31,9 +31,11 @@ def describe_paths(df: DataFrame, root: str | None = None, path: str = "path") -
     if root:
         rel = F.regexp_replace(p, "^.*?" + _escape(root.rstrip("/")) + "/", "")
     parts = F.split(rel, "/")
-    parent = F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2)))
-    year = F.when(parent.rlike("^[0-9]{4}$"), parent.cast("int"))
-    name = F.try_element_at(parts, F.lit(-1))
+    # year: a directory named YYYY (or a partition directory ano=YYYY)
+    year = F.nullif(F.regexp_extract(rel, r"(?:^|/)(?:ano=)?([0-9]{4})/", 1), F.lit("")).cast("int")
+    # a partition directory arquivo=<name> names the file written inside it
+    name = F.coalesce(F.nullif(F.regexp_extract(rel, r"arquivo=([^/]+)/", 1), F.lit("")),
+                      F.try_element_at(parts, F.lit(-1)))
     return df.withColumns({"relative_path": rel, "year": year, "filename": name}) \
         .where(~F.col("filename").startswith("."))
 
