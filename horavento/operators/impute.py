@@ -46,7 +46,7 @@ def mask_cells(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALU
     h = hash_order(seed, F.col("alvo"))
     long = long.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
     totals = long.groupBy(by, "alvo").agg(F.count(F.lit(1)).alias("_n"))
-    numbered = sequence_number(long, [by, "alvo"], ["_h60", "_h"], bucket_bits=44)
+    numbered = sequence_number(long, [by, "alvo"], ["_h60", "_h"])
     k = F.floor(F.col("_n").cast("double") * F.lit(float(ratio)))
     return numbered.join(totals, [by, "alvo"]).where(F.col("rn") <= k) \
         .select(by, "alvo", "id", "real")

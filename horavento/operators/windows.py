@@ -30,31 +30,48 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def sequence_number(df: DataFrame, by, order, bucket_bits: int = 16,
+def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
                     out: str = "rn", descending: bool = False) -> DataFrame:
-    """1-based row number per ``by`` in ``order`` (first column must be an
-    integral or timestamp key; later columns break ties).
-
-    Rows with equal ``order[0] >> bucket_bits`` share a sub-bucket; a
-    sub-bucket is the unit of the final window, so no task holds more than
-    one bucket of one key."""
+    """1-based row number per ``by`` in ``order`` (the first order column is
+    integral, date or timestamp; later columns break ties).
+
+    One small aggregate gives each group its size and key range; a group is
+    then cut into ``ceil(n / rows_per_bucket)`` equal key ranges.  Bucket
+    sizes are counted (partial aggregate), turned into offsets by a running
+    sum over the bucket table (one row per bucket), and the final
+    ``row_number`` runs per (group, bucket).  A small group is one bucket; a
+    group holding a third of the data is spread over many tasks."""
     by, order = _list(by), _list(order)
     first = F.col(order[0])
     dtype = dict(df.dtypes)[order[0]]
     if dtype.startswith("timestamp"):
         first = F.unix_micros(first.cast("timestamp"))
     elif dtype == "date":
-        first = F.unix_date(first).cast("long")
+        first = F.unix_date(first)
     key = first.cast("long")
     if descending:
         key = -key
-    b = F.shiftright(key, bucket_bits)
-    tagged = df.withColumn("_sb", b)
+    tagged = df.withColumn("_key", key)
+    nb = F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(rows_per_bucket)))
+    if by:
+        stats = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_gn"), F.min("_key").alias("_kmin"),
+                                        F.max("_key").alias("_kmax")).withColumn("_nb", nb)
+        stats = stats.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(by)], "_kmin", "_kmax", "_nb")
+        scond = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(by)]
+        tagged = tagged.join(stats, scond, "inner")
+    else:
+        # one global group: its size and range are scalar subqueries
+        tagged = tagged.withColumns({
+            "_gn": tagged.select(F.count(F.lit(1))).scalar(),
+            "_kmin": tagged.select(F.min("_key")).scalar(),
+            "_kmax": tagged.select(F.max("_key")).scalar()}).withColumn("_nb", nb).drop("_gn")
+    span = (F.col("_kmax") - F.col("_kmin")).cast("double") + F.lit(1.0)
+    sb = F.floor((F.col("_key") - F.col("_kmin")).cast("double") * F.col("_nb") / span).cast("long")
+    tagged = tagged.withColumn("_sb", F.least(sb, F.col("_nb") - 1)) \
+        .drop(*[f"_s{i}" for i in range(len(by))], "_kmin", "_kmax", "_nb", "_key")
     counts = tagged.groupBy(*by, "_sb").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    w = Window.partitionBy(*by, "_sb").orderBy(*cols)
     offsets = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
                              F.col("_sb").alias("_ksb"), "_off")
     # null-safe join keys: a NULL station is its own group here
@@ -62,6 +79,8 @@ def sequence_number(df: DataFrame, by, order, bucket_bits: int = 16,
         [F.col("_sb") == F.col("_ksb")]
     joined = tagged.join(offsets, cond, "inner") \
         .drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
+    cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    w = Window.partitionBy(*by, "_sb").orderBy(*cols)
     return joined.withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_sb", "_off")
 
 

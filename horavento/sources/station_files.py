@@ -68,7 +68,7 @@ def _raw_rows(files: DataFrame, strict_label: bool) -> DataFrame:
     lf = lf.where(F.col("header_pos") >= 0)
     rows = lf.select("arquivo", "stations", "header_pos",
                      F.posexplode("lines").alias("linha", "texto"))
-    rows = rows.where((F.col("linha") > F.col("header_pos"))
+    rows = rows.where((F.col("linha") > F.col("header_pos")) & (F.trim("texto") != "")
                       & ~normalize_header("texto").startswith(RAW_STATION_LABEL))
     # the station is the last label line seen before the row (NULL when none, T3)
     seen = F.filter("stations", lambda s: s["pos"] < F.col("linha"))
