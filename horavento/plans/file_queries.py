@@ -133,18 +133,29 @@ def q_station_load_stats(spark, sf):
     return C.station_load_stats(o)
 
 
-@register("process_runs")
+PROCESS_SQL = f"""WITH {READINGS_SQL},
+pts AS (SELECT upper(estacao) AS estacao, count(*) AS n_pontos FROM readings GROUP BY 1)
+SELECT e.event_id AS run_id, e.event_type AS experimento, e.ts AS start_time, upper(e.event_type) AS estacao,
+  CASE WHEN upper(e.event_type) = 'ERROR' THEN NULL
+       ELSE 'resultados/dados_para_update_neon_' || upper(e.event_type) || '_Modelo_Leve.csv' END AS arquivo,
+  coalesce(p.n_pontos, 0) AS n_pontos,
+  CASE WHEN upper(e.event_type) = 'ERROR' THEN 'arquivo_nao_encontrado'
+       WHEN coalesce(p.n_pontos, 0) = 0 THEN 'sem_dados' ELSE 'sucesso' END AS status
+FROM events e LEFT JOIN pts p ON upper(e.event_type) = p.estacao"""
+
+
+@register("process_runs", PROCESS_SQL)
 def q_process_runs(spark, sf):
     """Batch run processing over the whole run log."""
     runs = runs_from_events(load_table(spark, sf, "events"))
     return process_runs(runs, _result_listing(spark, sf), readings(spark, sf))
 
 
-@register("sync_once")
+@register("sync_once", PROCESS_SQL)
 def q_sync_once(spark, sf):
     """Once-mode sync over the run log as a file stream."""
     stream = runs_from_events(events_stream(spark, sf, max_files=1))
-    return sync_once(spark, stream, _result_listing(spark, sf), readings(spark, sf))
+    return sync_once(spark, stream, _result_listing(spark, sf), readings(spark, sf)).drop("batch")
 
 
 @register("stats_stream", """WITH tele AS (
