@@ -1,7 +1,8 @@
 """Import every query module so the registry is complete."""
 
 from horavento.plans import (  # noqa: F401
-    analysis_queries, file_queries, ml_queries, model_queries, ordered_queries, text_queries,
+    analysis_queries, extra_queries, file_queries, ml_queries, model_queries, ordered_queries,
+    text_queries,
 )
 from horavento.plans.common import ORACLE, QUERIES
 
