@@ -2,9 +2,9 @@
 
 * ``mask_cells`` picks exactly ``floor(n * ratio)`` known cells per station
   and target in a seeded hash order (``md5(seed|target|id)``): deterministic,
-  partition-independent and reproducible in any SQL engine.  The ranking is
-  ``sequence_number`` on the 60-bit hash prefix, so a dominant station is cut
-  into ~65k hash buckets instead of one sorted partition.
+  partition-independent and reproducible in any SQL engine.  Selection uses
+  a histogram of the 60-bit hash prefix, so a dominant station is cut into
+  65,536 buckets and only one bucket per group is ranked.
 * ``iterative_impute`` is round-robin regression imputation: start from the
   per-station mean, then for each round and target fit a Spark ML random
   forest on the rows where the target was observed and overwrite only the
@@ -19,13 +19,12 @@ import uuid
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import to_long
 from horavento.functions.temporal import one_hot, temporal_features
 from horavento.operators.analysis import score
-from horavento.operators.windows import sequence_number
 from horavento.schemas import (
     EVALUATION_RATIO, MIN_SAMPLES_LEAF, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
 )
@@ -38,28 +37,117 @@ def hash_order(seed: int, target, id_col: str = "id"):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), t, F.col(id_col).cast("string")))
 
 
-def mask_cells(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
-               seed: int = RANDOM_STATE, by: str = "estacao") -> DataFrame:
-    """Exactly ``floor(n * ratio)`` known cells per (station, target), chosen
-    in seeded hash order (W2, T13).  Returns ``(estacao, alvo, id, real)``."""
+MASK_BUCKET_BITS = 16
+
+
+def _masked_long(df: DataFrame, targets: list[str], seed: int, by: str) -> DataFrame:
+    """Known cells in long form with their seeded hash order key."""
     long = to_long(df, ["id", by], targets, "alvo", "real").where(F.col("real").isNotNull())
     h = hash_order(seed, F.col("alvo"))
-    long = long.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
-    totals = long.groupBy(by, "alvo").agg(F.count(F.lit(1)).alias("_n"))
-    numbered = sequence_number(long, [by, "alvo"], ["_h60", "_h"])
-    k = F.floor(F.col("_n").cast("double") * F.lit(float(ratio)))
-    return numbered.join(totals, [by, "alvo"]).where(F.col("rn") <= k) \
-        .select(by, "alvo", "id", "real")
+    return long.withColumn("_h", h) \
+        .withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")) \
+        .withColumn("_b", F.shiftright("_h60", 60 - MASK_BUCKET_BITS))
+
+
+def _mask_cuts(long: DataFrame, ratio: float, by: str) -> DataFrame:
+    """Per (group, target): the bucket holding the k-th cell and how many of
+    its cells are still to mask.  Built from one partial aggregate."""
+    keys = [by, "alvo"]
+    counts = long.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w_all = Window.partitionBy(*keys)
+    w_cum = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("_tot", F.sum("_n").over(w_all)).withColumn("_cum", F.sum("_n").over(w_cum))
+    k = F.floor(F.col("_tot").cast("double") * F.lit(float(ratio))).cast("long")
+    return cum.withColumn("_k", k) \
+        .where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_n") < F.col("_k"))) \
+        .select(*keys, F.col("_b").alias("_cut"), (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_rest"))
+
 
+def _edge(tagged: DataFrame, by: str) -> DataFrame:
+    """Exact ranking inside the cut bucket only."""
+    at = tagged.where(F.col("_b") == F.col("_cut"))
+    w = Window.partitionBy(by, "alvo").orderBy("_h60", "_h")
+    return at.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_rest"))
 
-def apply_mask(df: DataFrame, mask: DataFrame, targets: list[str] = TARGETS) -> DataFrame:
-    """Blank the masked cells: one left join on id carrying a flag per target."""
-    flags = mask.groupBy("id").agg(*[F.max(F.when(F.col("alvo") == t, F.lit(True))).alias(f"_m_{t}")
-                                     for t in targets])
-    j = df.join(flags, "id", "left")
-    return j.select(*[F.when(F.col(f"_m_{t}").isNotNull(), F.lit(None).cast("double"))
-                      .otherwise(F.col(t)).alias(t) if t in targets else F.col(t)
-                      for t in df.columns])
+
+class MaskPlan:
+    """The hashed long cells and the per-group cut table of one mask.
+
+    Building both once and sharing them between ``mask_cells`` and
+    ``apply_mask`` gives one plan with identical subtrees, so Spark reuses
+    their exchanges instead of recomputing them."""
+
+    def __init__(self, df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
+                 seed: int = RANDOM_STATE, by: str = "estacao"):
+        self.targets, self.seed, self.by = list(targets), seed, by
+        self.long = _masked_long(df, self.targets, seed, by)
+        self.cuts = _mask_cuts(self.long, ratio, by)
+        self.tagged = self.long.join(self.cuts, [by, "alvo"], "inner")
+
+
+def mask_cells(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
+               seed: int = RANDOM_STATE, by: str = "estacao", plan: MaskPlan | None = None) -> DataFrame:
+    """Exactly ``floor(n * ratio)`` known cells per (station, target), chosen
+    in seeded hash order (W2, T13).  Returns ``(estacao, alvo, id, real)``.
+
+    The hash is uniform, so its top 16 bits cut every group into 65,536
+    buckets of near-equal size.  One partial aggregate counts cells per
+    (group, target, bucket); a running sum over that small table finds, per
+    group, the bucket where the ``k``-th cell falls.  Cells in earlier buckets
+    are masked outright; only the cells of that one bucket (about n / 65,536
+    of a group, however hot the group) are ranked exactly."""
+    plan = plan or MaskPlan(df, targets, ratio, seed, by)
+    by = plan.by
+    # the cut table has one row per (group, target): joined without shuffling the cells
+    below = plan.tagged.where(F.col("_b") < F.col("_cut")).select(by, "alvo", "id", "real")
+    return below.unionByName(_edge(plan.tagged, by).select(by, "alvo", "id", "real"))
+
+
+def apply_mask(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
+               seed: int = RANDOM_STATE, by: str = "estacao", plan: MaskPlan | None = None) -> DataFrame:
+    """The readings with the ``mask_cells`` cells blanked, computed row-wise.
+
+    Each cell's hash bucket is compared with its group's cut (a small table
+    pivoted to one row per station and joined by station); only rows with a
+    cell inside a cut bucket -- about 3 / 65,536 of the rows -- are matched
+    against the exact edge ranking by id.  The readings themselves are never
+    shuffled."""
+    plan = plan or MaskPlan(df, targets, ratio, seed, by)
+    targets, by, seed = plan.targets, plan.by, plan.seed
+    edge = _edge(plan.tagged, by) \
+        .groupBy("id").agg(*[F.max(F.when(F.col("alvo") == t, F.lit(True))).alias(f"_e_{t}")
+                             for t in targets])
+    wide_cuts = plan.cuts.groupBy(by).agg(
+        *[F.max(F.when(F.col("alvo") == t, F.col("_cut"))).alias(f"_c_{t}") for t in targets])
+    bucket = {t: F.shiftright(F.conv(F.substring(hash_order(seed, t), 1, 15), 16, 10).cast("long"),
+                              60 - MASK_BUCKET_BITS) for t in targets}
+    tagged = df.join(wide_cuts, by, "left").withColumns({f"_b_{t}": bucket[t] for t in targets})
+    at_edge = F.lit(False)
+    for t in targets:
+        at_edge = at_edge | (F.col(t).isNotNull() & (F.col(f"_b_{t}") == F.col(f"_c_{t}")))
+    common = tagged.where(~at_edge)
+    rare = tagged.where(at_edge).join(edge, "id", "left")
+    for t in targets:
+        common = common.withColumn(f"_e_{t}", F.lit(None).cast("boolean"))
+
+    def cell(c):
+        if c not in targets:
+            return F.col(c)
+        hit = (F.col(f"_b_{c}") < F.col(f"_c_{c}")) | F.coalesce(F.col(f"_e_{c}"), F.lit(False))
+        return F.when(F.col(c).isNotNull() & hit, F.lit(None).cast("double")).otherwise(F.col(c)).alias(c)
+
+    def blank(frame):
+        return frame.select(*[cell(c) for c in df.columns])
+    return blank(common).unionByName(blank(rare))
+
+
+def mean_fill_pairs(mask: DataFrame, masked: DataFrame, targets: list[str] = TARGETS,
+                    by: str = "estacao") -> DataFrame:
+    """Masked truth paired with the mean-fill value of its cell: the station
+    mean of the unmasked values, joined by (station, target) -- a small side."""
+    means = masked.groupBy(by).agg(*[F.avg(t).alias(t) for t in targets]) \
+        .unpivot([by], targets, "alvo", "imputado")
+    return mask.join(means, [by, "alvo"], "inner")
 
 
 def mean_fill(df: DataFrame, targets: list[str] = TARGETS, by: str | None = "estacao") -> DataFrame:
@@ -136,8 +224,9 @@ def evaluate_imputer(df: DataFrame, config: dict, targets: list[str] = TARGETS,
                      by: str = "estacao", ratio: float = EVALUATION_RATIO,
                      seed: int = RANDOM_STATE) -> DataFrame:
     """Mask, impute, score on the masked cells (M5): long scores."""
-    mask = mask_cells(df, targets, ratio, seed, by)
-    masked = apply_mask(df, mask, targets)
+    plan = MaskPlan(df, targets, ratio, seed, by)
+    mask = mask_cells(df, plan=plan)
+    masked = apply_mask(df, plan=plan)
     imputed = iterative_impute(masked, config, targets, by=by, seed=seed)
     pairs = masked_pairs_long(mask, imputed, targets)
     return score(pairs.withColumn("modelo", F.lit(config["nome"])), by=(by, "modelo", "alvo"))

@@ -42,13 +42,19 @@ def _mask(spark, sf):
     return M.mask_cells(readings(spark, sf))
 
 
-def _filled(spark, sf):
+def _masked(spark, sf, plan=None):
     r = readings(spark, sf).select("id", "estacao", *TARGETS)
-    return M.mean_fill(M.apply_mask(r, _mask(spark, sf)))
+    return M.apply_mask(r, plan=plan or M.MaskPlan(r))
+
+
+def _filled(spark, sf):
+    return M.mean_fill(_masked(spark, sf))
 
 
 def _pairs(spark, sf):
-    return M.masked_pairs_long(_mask(spark, sf), _filled(spark, sf))
+    r = readings(spark, sf).select("id", "estacao", *TARGETS)
+    plan = M.MaskPlan(r)
+    return M.mean_fill_pairs(M.mask_cells(r, plan=plan), M.apply_mask(r, plan=plan))
 
 
 def _scores(spark, sf):

@@ -11,8 +11,20 @@ READING_COLUMNS = ["id", "estacao", "data", "hora", "temperatura", "umidade", "v
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (parquet)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (parquet), spread over the cluster when its files
+    give fewer scan tasks than there are cores (see ``spread``)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the default
+    parallelism (e.g. one small file with a single row group), so the
+    row-wise work before the first shuffle is not one task.  Large inputs
+    already split into many scan tasks and are returned unchanged."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(par) if n < par else df
 
 
 def readings_from_events(events: DataFrame, keep_ts: bool = False) -> DataFrame:

@@ -91,12 +91,13 @@ def test_imputer_beats_mean_on_dependent_data(spark):
     """Temperature derived from lineitem's quantity and discount (a known
     dependence); the forest must beat the per-group mean on masked cells."""
     li = load_table(spark, SF001, "lineitem").select(
-        F.monotonically_increasing_id(), F.col("l_returnflag"), F.col("l_shipdate"),
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                   "l_extendedprice", "l_shipdate"), F.col("l_returnflag"), F.col("l_shipdate"),
         F.col("l_quantity") * 10 + F.col("l_discount") * 100, F.col("l_quantity"), F.col("l_discount"))
     df = li.toDF("id", "estacao", "ts", "temperatura", "umidade", "velocidade_vento") \
         .withColumn("data", F.col("ts").cast("date")).withColumn("hora", F.hour("ts")).drop("ts")
     mask = M.mask_cells(df, ["temperatura"])
-    masked = M.apply_mask(df, mask, TARGETS)
+    masked = M.apply_mask(df, ["temperatura"])
     imputed = M.iterative_impute(masked, {"nome": "t", "n_estimators": 10, "max_depth": 5, "max_iter": 2})
     mean = M.mean_fill(masked, TARGETS)
     s_rf = A.score(M.masked_pairs_long(mask, imputed).withColumn("modelo", F.lit("rf")), by=[])
