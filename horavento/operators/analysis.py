@@ -104,16 +104,11 @@ def monthly_pivot(df: DataFrame, by: str = "estacao", value: str = "temperatura"
 def five_number(df: DataFrame, col: str = "temperatura", by: str = "estacao") -> DataFrame:
     """min, quartiles (linear interpolation) and max per station.
 
-    ``percentile`` is exact; its partial state is a value -> count map, so its
-    size follows the number of distinct readings (bounded for measures quantised
-    to 0.1), not the number of rows."""
-    x = F.col(col)
-    return df.where(F.col(by).isNotNull() & x.isNotNull()).groupBy(by).agg(
-        F.min(x).alias("minimo"),
-        F.percentile(x, 0.25).alias("q1"),
-        F.percentile(x, 0.5).alias("mediana"),
-        F.percentile(x, 0.75).alias("q3"),
-        F.max(x).alias("maximo"))
+    Exact, via ``exact_quantiles``: per-task state is one bucket of one
+    group, never the whole group's values."""
+    from horavento.operators.quantiles import exact_quantiles
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q1", "mediana", "q3"])
+    return q.select(by, "minimo", "q1", "mediana", "q3", "maximo")
 
 
 def temp_humidity_corr(df: DataFrame, by: str = "estacao",
@@ -168,17 +163,18 @@ def risk_hours(df: DataFrame, by: str = "estacao") -> DataFrame:
 
 def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max of each numeric column, long form."""
+    from horavento.operators.quantiles import exact_quantiles
     if cols is None:
         numeric = ("double", "float", "int", "bigint", "smallint", "tinyint")
         cols = [c for c, t in df.dtypes if t in numeric or t.startswith("decimal")]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], cols, "coluna", "valor")
     v = F.col("valor")
-    return long.groupBy("coluna").agg(
-        F.count(v).alias("contagem"), F.avg(v).alias("media"), F.stddev_samp(v).alias("desvio"),
-        F.min(v).alias("minimo"), F.percentile(v, 0.25).alias("p25"),
-        F.percentile(v, 0.5).alias("p50"), F.percentile(v, 0.75).alias("p75"),
-        F.max(v).alias("maximo"))
+    moments = long.groupBy("coluna").agg(
+        F.count(v).alias("contagem"), F.avg(v).alias("media"), F.stddev_samp(v).alias("desvio"))
+    q = exact_quantiles(long, "valor", [0.25, 0.5, 0.75], "coluna", ["p25", "p50", "p75"])
+    return moments.join(q, "coluna", "left").select(
+        "coluna", "contagem", "media", "desvio", "minimo", "p25", "p50", "p75", "maximo")
 
 
 def score(pairs: DataFrame, by=("estacao", "modelo", "alvo"),

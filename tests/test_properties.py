@@ -112,3 +112,24 @@ def test_time_folds_are_ordered(spark):
     assert [r.fold for r in rows] == [0, 1, 2, 3]
     for x, y in zip(rows, rows[1:]):
         assert x.b <= y.a
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    from horavento.operators.quantiles import exact_quantiles
+    r = readings(spark, SF001).withColumn("const", F.lit(3.0)) \
+        .withColumn("coarse", F.floor(F.col("temperatura") / 50) * 50)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    for col in ("temperatura", "const", "coarse"):
+        for buckets in (4, 1 << 16):
+            for by in ("estacao", None):
+                got = exact_quantiles(r, col, probs, by, buckets=buckets)
+                g = r.where(F.col(col).isNotNull())
+                g = g.groupBy(by) if by else g.groupBy()
+                want = g.agg(*[F.percentile(col, p).alias(f"q_{i}") for i, p in enumerate(probs)])
+                key = [by] if by else []
+                a = {tuple(x[k] for k in key): [x[f"q_{i}"] for i in range(len(probs))] for x in got.collect()}
+                b = {tuple(x[k] for k in key): [x[f"q_{i}"] for i in range(len(probs))] for x in want.collect()}
+                assert a.keys() == b.keys()
+                for k in a:
+                    for u, v in zip(a[k], b[k]):
+                        assert math.isclose(u, v, rel_tol=1e-12, abs_tol=1e-9), (col, buckets, by, k)
