@@ -16,13 +16,20 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+SPREAD_MIN_BYTES = 256 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the default
-    parallelism (e.g. one small file with a single row group), so the
-    row-wise work before the first shuffle is not one task.  Large inputs
-    already split into many scan tasks and are returned unchanged."""
+    parallelism (e.g. one file with a single row group), so the row-wise
+    work before the first shuffle is not one task.  Large inputs already
+    split into many scan tasks, and tiny dimension tables are not worth a
+    stage; both are returned unchanged."""
     spark = df.sparkSession
     par = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < SPREAD_MIN_BYTES:
+        return df
     n = df.rdd.getNumPartitions()
     return df.repartition(par) if n < par else df
 
