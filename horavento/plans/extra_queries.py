@@ -128,3 +128,41 @@ def q_write_telemetry(spark, sf):
     j = spark.read.schema("estacao string, lote long, pontos array<struct<ts:long,values:map<string,double>>>") \
         .json(path)
     return j.select("estacao", "lote", F.size("pontos").alias("n_pontos"))
+
+
+@register("write_imputed", f"""WITH {READINGS_SQL}
+SELECT id, data, hora, temperatura, umidade, velocidade_vento, estacao, 'Modelo_Leve' AS modelo FROM readings""")
+def q_write_imputed(spark, sf):
+    """K2 + S9: per station x model parquet and CSV, the CSV read back with
+    the result reader and its station / model taken from the path."""
+    from horavento.sources.station_files import read_results_csv
+    path = scratch_path(spark, "imputed")
+    K.write_imputed(readings(spark, sf).withColumn("modelo", F.lit("Modelo_Leve")), path)
+    back = read_results_csv(spark, f"{path}/csv")
+    return back.select("id", "data", "hora", *TARGETS,
+                       F.regexp_extract("arquivo", "estacao=([^/]+)", 1).alias("estacao"),
+                       F.regexp_extract("arquivo", "modelo=([^/]+)", 1).alias("modelo"))
+
+
+@register("by_station", f"""WITH {READINGS_SQL}
+SELECT * FROM readings WHERE estacao IN ('click', 'view')""")
+def q_by_station(spark, sf):
+    return P.by_station(readings(spark, sf), ["click", "view"])
+
+
+@register("with_header", f"""WITH {READINGS_SQL},
+codes AS (SELECT estacao, 'A' || CAST(300 + dense_rank() OVER (ORDER BY estacao) AS VARCHAR) AS codigo_estacao
+          FROM (SELECT DISTINCT estacao FROM readings))
+SELECT r.estacao, r.data, lpad(CAST(r.hora AS VARCHAR), 2, '0') || '00 UTC' AS hora, r.temperatura,
+  c.codigo_estacao, 'PE' AS estado
+FROM readings r JOIN codes c ON r.estacao = c.estacao""")
+def q_with_header(spark, sf):
+    """Raw rows joined with their file's header metadata by file path."""
+    from horavento.operators.joins import with_header
+    from horavento.plans.file_queries import raw_files
+    from horavento.sources.station_files import header_wide, read_station_csv, read_station_header
+    path = raw_files(spark, sf)
+    rows = read_station_csv(spark, path)
+    head = header_wide(read_station_header(spark, path)).select("arquivo", "codigo_estacao", "estado")
+    return with_header(rows, head, "arquivo").select("estacao", "data", "hora", "temperatura",
+                                                     "codigo_estacao", "estado")
