@@ -107,3 +107,14 @@ def test_export_stream_once(spark):
     q.awaitTermination()
     snaps = spark.read.parquet(out + "/*")
     assert snaps.count() == spark.read.parquet(table).count()
+
+
+def test_save_table_modes(spark):
+    r = readings(spark, SF001).limit(10)
+    name = "leituras_k3_" + scratch_path(spark, "x")[-8:]
+    K.save_table(r, name, "replace")
+    K.save_table(r, name, "append")
+    assert spark.table(name).count() == 20
+    with pytest.raises(Exception):
+        K.save_table(r, name, "fail")
+    spark.sql(f"DROP TABLE {name}")
