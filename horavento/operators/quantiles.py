@@ -45,18 +45,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
     counts = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_nb"))
     w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     cum = counts.withColumn("_end", F.sum("_nb").over(w)).withColumn("_start", F.col("_end") - F.col("_nb"))
-    # ranks needed: floor and ceiling of p * (n - 1) for every probability
+    # ranks needed: floor and ceiling of p * (n - 1) for every probability;
+    # the group's n / min / max ride along so the last step is one aggregate
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     pos = F.col("_q.p") * (F.col("_n") - 1).cast("double")
-    ranks = stats.select(*by, "_n", F.explode(wanted).alias("_q")) \
-        .select(*by, F.col("_q.i").alias("_i"), pos.alias("_pos")) \
-        .select(*by, "_i", "_pos", F.explode(F.array(
+    ranks = stats.select(*by, "_n", "_lo", "_hi", F.explode(wanted).alias("_q")) \
+        .select(*by, "_n", "_lo", "_hi", F.col("_q.i").alias("_i"), pos.alias("_pos")) \
+        .select(*by, "_n", "_lo", "_hi", "_i", "_pos", F.explode(F.array(
             F.struct(F.lit(0).alias("hi"), F.floor("_pos").cast("long").alias("r")),
             F.struct(F.lit(1).alias("hi"), F.ceil("_pos").cast("long").alias("r")))).alias("_k")) \
-        .select(*by, "_i", "_pos", F.col("_k.hi").alias("_which"), F.col("_k.r").alias("_r"))
-    need = ranks.join(cum, by, "inner")
-    need = need.where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end"))) \
-        .select(*by, "_i", "_pos", "_which", "_r", "_b", "_start")
+        .select(*by, "_n", "_lo", "_hi", "_i", "_pos", F.col("_k.hi").alias("_which"), F.col("_k.r").alias("_r"))
+    need = ranks.join(cum, by, "inner") \
+        .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end"))) \
+        .drop("_nb", "_end")
     # distinct values of the needed buckets only, ranked inside their bucket
     in_need = tagged.join(need.select(*by, "_b").distinct(), by + ["_b"], "left_semi")
     vc = in_need.groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))
@@ -64,15 +65,16 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
     vc = vc.withColumn("_vend", F.sum("_c").over(wv)).withColumn("_vstart", F.col("_vend") - F.col("_c"))
     pick = need.join(vc, by + ["_b"], "inner").where(
         (F.col("_r") >= F.col("_start") + F.col("_vstart")) & (F.col("_r") < F.col("_start") + F.col("_vend")))
-    vals = pick.groupBy(*by, "_i", "_pos").agg(
-        F.max(F.when(F.col("_which") == 0, F.col("_x"))).alias("_vlo"),
-        F.max(F.when(F.col("_which") == 1, F.col("_x"))).alias("_vhi"))
-    lower, higher = F.floor("_pos"), F.ceil("_pos")
-    q = F.when(lower == higher, F.col("_vlo")).otherwise(
-        (higher - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - lower) * F.col("_vhi"))
-    vals = vals.select(*by, "_i", q.alias("_v"))
-    wide = vals.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(nm)
-                                   for i, nm in enumerate(names)])
-    out = stats.join(wide, by, "inner")
-    return out.select(*by, F.col("_n").alias("n"), F.col("_lo").alias("minimo"),
-                      F.col("_hi").alias("maximo"), *names)
+
+    def at(i, which):
+        return F.max(F.when((F.col("_i") == i) & (F.col("_which") == which), F.col("_x")))
+    out = pick.groupBy(*by).agg(
+        F.first("_n").alias("n"), F.first("_lo").alias("minimo"), F.first("_hi").alias("maximo"),
+        *[F.struct(F.max(F.when(F.col("_i") == i, F.col("_pos"))).alias("pos"), at(i, 0).alias("lo"),
+                   at(i, 1).alias("hi")).alias(f"_q{i}") for i in range(len(probs))])
+
+    def interp(i):
+        p, lo, hi = F.col(f"_q{i}.pos"), F.col(f"_q{i}.lo"), F.col(f"_q{i}.hi")
+        lower, higher = F.floor(p), F.ceil(p)
+        return F.when(lower == higher, lo).otherwise((higher - p) * lo + (p - lower) * hi)
+    return out.select(*by, "n", "minimo", "maximo", *[interp(i).alias(nm) for i, nm in enumerate(names)])

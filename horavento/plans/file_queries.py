@@ -134,14 +134,18 @@ def q_station_load_stats(spark, sf):
 
 
 PROCESS_SQL = f"""WITH {READINGS_SQL},
-pts AS (SELECT upper(estacao) AS estacao, count(*) AS n_pontos FROM readings GROUP BY 1)
-SELECT e.event_id AS run_id, e.event_type AS experimento, e.ts AS start_time, upper(e.event_type) AS estacao,
-  CASE WHEN upper(e.event_type) = 'ERROR' THEN NULL
-       ELSE 'resultados/dados_para_update_neon_' || upper(e.event_type) || '_Modelo_Leve.csv' END AS arquivo,
-  coalesce(p.n_pontos, 0) AS n_pontos,
-  CASE WHEN upper(e.event_type) = 'ERROR' THEN 'arquivo_nao_encontrado'
-       WHEN coalesce(p.n_pontos, 0) = 0 THEN 'sem_dados' ELSE 'sucesso' END AS status
-FROM events e LEFT JOIN pts p ON upper(e.event_type) = p.estacao"""
+pts AS (SELECT upper(estacao) AS estacao, count(*) AS n_pontos FROM readings GROUP BY 1),
+runs AS (SELECT event_id AS run_id, 'imputacao_' || upper(event_type) || '_' || strftime(ts, '%Y%m%d') AS run_name,
+  event_type AS experimento, ts AS start_time, upper(event_type) AS estacao,
+  CASE WHEN user_id % 3 = 0 THEN 'Medio' END AS modelo FROM events),
+res AS (SELECT r.*, r.estacao || ' - Processado' AS dispositivo,
+  CASE WHEN r.estacao = 'ERROR' THEN NULL
+       ELSE 'resultados/dados_para_update_neon_' || r.estacao || '_Modelo_' || coalesce(r.modelo, 'Leve') || '.csv'
+  END AS arquivo, coalesce(p.n_pontos, 0) AS n_pontos
+  FROM runs r LEFT JOIN pts p ON r.estacao = p.estacao)
+SELECT *, CASE WHEN arquivo IS NULL THEN 'arquivo_nao_encontrado' WHEN n_pontos = 0 THEN 'sem_dados'
+  ELSE 'sucesso' END AS status,
+  (arquivo IS NOT NULL AND n_pontos > 0) AS sucesso FROM res"""
 
 
 @register("process_runs", PROCESS_SQL)

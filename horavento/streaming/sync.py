@@ -22,7 +22,8 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     """``events`` as a run log: one run per event, its type the experiment.
 
     The station is carried in a tag, a parameter or only the run name,
-    following a rule on ``user_id``, so every lookup path of F15 is used."""
+    following a rule on ``user_id``, so every lookup path of F15 is used;
+    runs with the station tag also name a model type."""
     st = F.upper("event_type")
     u = F.col("user_id") % 3
     empty = F.create_map().cast("map<string,string>")
@@ -31,7 +32,8 @@ def runs_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("imputacao_"), st, F.lit("_"), F.date_format("ts", "yyyyMMdd")).alias("run_name"),
         F.col("event_type").alias("experimento"),
         F.col("ts").alias("start_time"),
-        F.when(u == 0, F.create_map(F.lit("station"), st)).otherwise(empty).alias("tags"),
+        F.when(u == 0, F.create_map(F.lit("station"), st, F.lit("model_type"), F.lit("Medio")))
+         .otherwise(empty).alias("tags"),
         F.when(u == 1, F.create_map(F.lit("station_name"), st)).otherwise(empty).alias("params"),
         F.create_map(F.lit("rmse"), F.col("value")).alias("metrics"))
 
@@ -51,23 +53,35 @@ def next_marks(runs: DataFrame, marks: DataFrame, key: str = "experimento",
         .groupBy(key).agg(F.max(mark).alias(mark))
 
 
-def process_runs(runs: DataFrame, result_files: DataFrame, readings: DataFrame,
-                 model: str | None = None) -> DataFrame:
-    """Per run: station (F15), result file (S8), telemetry points and a
-    status whose failure reason follows the processing order (R4)."""
-    r = runs.withColumn("estacao", run_station("tags", "params", "run_name"))
-    wanted = r.select("estacao").where(F.col("estacao").isNotNull()).distinct() \
-        .withColumn("modelo", F.lit(model).cast("string"))
-    found = resolve_result_file(result_files, wanted).select("estacao", "arquivo")
-    points = readings.groupBy(F.upper("estacao").alias("estacao")) \
-        .agg(F.count(F.lit(1)).alias("n_pontos"))
-    out = r.join(found, "estacao", "left").join(points, "estacao", "left")
+def process_runs(runs: DataFrame, result_files: DataFrame, readings: DataFrame) -> DataFrame:
+    """Per run: station and model from the tags (station name rules as the
+    fallback, F15), the device name, the result file for (station, model)
+    (S8), the telemetry points, and a status whose failure reason follows the
+    processing order (R4)."""
+    tags = F.col("tags")
+    station = F.coalesce(F.try_element_at(tags, F.lit("station_name")),
+                         F.try_element_at(tags, F.lit("station")),
+                         run_station("tags", "params", "run_name"))
+    model = F.coalesce(F.try_element_at(tags, F.lit("model_type")), F.try_element_at(tags, F.lit("modelo")))
+    r = runs.withColumns({"estacao": F.trim(F.replace(station, F.lit("_TESTE"), F.lit(""))),
+                          "modelo": model})
+    r = r.withColumn("dispositivo", F.concat(F.replace("estacao", F.lit("_"), F.lit(" ")),
+                                             F.lit(" - Processado")))
+    wanted = r.select("estacao", "modelo").where(F.col("estacao").isNotNull()).distinct()
+    found = resolve_result_file(result_files, wanted).select(
+        F.col("estacao").alias("_e"), F.col("modelo").alias("_m"), "arquivo")
+    points = readings.groupBy(F.upper("estacao").alias("_p")).agg(F.count(F.lit(1)).alias("n_pontos"))
+    out = r.join(found, F.col("estacao").eqNullSafe(F.col("_e")) & F.col("modelo").eqNullSafe(F.col("_m")),
+                 "left") \
+        .join(points, F.col("estacao") == F.col("_p"), "left")
+    n = F.coalesce("n_pontos", F.lit(0)).cast("long")
     status = (F.when(F.col("estacao").isNull(), "sem_estacao")
               .when(F.col("arquivo").isNull(), "arquivo_nao_encontrado")
-              .when(F.coalesce("n_pontos", F.lit(0)) == 0, "sem_dados")
+              .when(n == 0, "sem_dados")
               .otherwise("sucesso"))
-    return out.select("run_id", "experimento", "start_time", "estacao", "arquivo",
-                      F.coalesce("n_pontos", F.lit(0)).alias("n_pontos"), status.alias("status"))
+    return out.select("run_id", "run_name", "experimento", "start_time", "estacao", "modelo", "dispositivo",
+                      "arquivo", n.alias("n_pontos"), status.alias("status"),
+                      (status == "sucesso").alias("sucesso"))
 
 
 def run_sync(stream: DataFrame, fn, checkpoint: str, interval: str = "60 seconds", once: bool = False):
