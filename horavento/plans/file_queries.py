@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import run_station
 from horavento.operators import catalog as C
-from horavento.plans.common import READINGS_SQL, register, rounded
+from horavento.plans.common import READINGS_SQL, READINGS_TS_SQL, register, rounded
 from horavento.schemas import TARGETS
 from horavento.session import scratch_path
 from horavento.sources.catalog import list_files, resolve_result_file
 from horavento.sources.sinks import write_raw_station_files
-from horavento.sources.station_files import header_wide, read_station_csv, read_station_header
+from horavento.sources.station_files import (
+    header_wide, read_station_csv, read_station_csv_named, read_station_header,
+)
 from horavento.sources.tables import load_table, readings
 from horavento.streaming.ingest import ingest_stream
 from horavento.streaming.stats import events_stream, telemetry_stats_stream
@@ -43,6 +45,18 @@ def q_station_header(spark, sf):
     return h.drop("arquivo")
 
 
+@register("station_csv_named", f"""WITH {READINGS_TS_SQL}
+SELECT ts, temperatura, umidade FROM readings_ts""")
+def q_station_csv_named(spark, sf):
+    """By-name reader (S2) over the rendered files: DATA + HORA UTC -> ts."""
+    from horavento.functions.parse import parse_decimal
+    from horavento.sources.sinks import RAW_HEADER_NAMES
+    t, u = RAW_HEADER_NAMES[7], RAW_HEADER_NAMES[15]
+    df = read_station_csv_named(spark, raw_files(spark, sf), ["DATA", "HORA UTC", t, u])
+    return df.select("ts", parse_decimal(F.col(f"`{t}`")).alias("temperatura"),
+                     parse_decimal(F.col(f"`{u}`")).alias("umidade"))
+
+
 @register("file_listing")
 def q_file_listing(spark, sf):
     """Recursive listing of the rendered files (S5): metadata only."""

@@ -124,7 +124,8 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     (names trimmed and normalised, T26), ``-9999`` / blank -> NULL.
 
     Output: ``arquivo, linha, ts`` plus one string column per requested name;
-    rows whose timestamp does not parse are dropped (P5)."""
+    rows whose timestamp does not parse are dropped (P5), as are files with
+    no ``DATA`` column (their rows have no timestamp)."""
     lf = file_lines(read_files(spark, path, glob))
     header = F.transform(F.split(F.try_element_at("lines", F.lit(RAW_HEADER_LINES + 1)), ";", -1),
                          lambda h: normalize_header(F.trim(h)))
@@ -134,7 +135,8 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     # pair names and values position by position (extra fields are dropped)
     n = F.least(F.size("header"), F.size(fields))
     rec = F.map_from_arrays(F.slice("header", 1, n), F.slice(fields, 1, n))
-    rows = rows.select("arquivo", "linha", rec.alias("rec"))
+    has_hora = F.array_contains("header", F.lit("HORA UTC"))
+    rows = rows.select("arquivo", "linha", rec.alias("rec"), has_hora.alias("_has_hora"))
     if columns is None:
         # the header is one line per file: its distinct names are a small,
         # checked list, which becomes the output schema
@@ -144,11 +146,14 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
             raise ValueError("read_station_csv_named: too many header names")
         columns = sorted(r[0] for r in names)
     columns = [normalize_header_py(c) for c in columns]
-    out = rows.select("arquivo", "linha",
+    data = null_sentinel(F.try_element_at("rec", F.lit("DATA")))
+    hora = null_sentinel(F.try_element_at("rec", F.lit("HORA UTC")))
+    # DATA + HORA UTC when the file has the hour column, else DATA alone
+    ts = F.when(F.col("_has_hora"), parse_obs_ts(data, hora)) \
+        .otherwise(F.try_to_timestamp(data, F.lit("yyyy/MM/dd")).cast("timestamp_ntz"))
+    out = rows.select("arquivo", "linha", ts.alias("ts"),
                       *[null_sentinel(F.try_element_at("rec", F.lit(c))).alias(c) for c in columns])
-    if "DATA" in columns and "HORA UTC" in columns:
-        out = out.withColumn("ts", parse_obs_ts("DATA", "HORA UTC")).where(F.col("ts").isNotNull())
-    return out
+    return out.where(F.col("ts").isNotNull())
 
 
 def normalize_header_py(name: str) -> str:
