@@ -23,7 +23,8 @@ def operation_summary(log: DataFrame, status: str = "status", size: str = "size"
         .withColumn("total_mb", F.col("_bytes") / F.lit(1048576.0)).drop("_bytes")
     if duration:
         out = out.withColumn("mb_por_segundo", F.when(F.col("duracao_segundos") > 0,
-                                                      F.col("total_mb") / F.col("duracao_segundos")))
+                                                      F.col("total_mb") / F.col("duracao_segundos"))
+                             .otherwise(F.lit(0.0)))
     return out
 
 
@@ -33,6 +34,15 @@ def inventory(files: DataFrame, group: str = "year", size: str = "size") -> Data
                                     F.sum(F.col(size).cast("long")).alias("bytes_total"))
 
 
+def inventory_summary(files: DataFrame, group: str = "year", size: str = "size") -> DataFrame:
+    """Total files, total bytes and the sorted 4-digit year directories (A22);
+    the year list is bounded by the number of year directories."""
+    y = F.col(group)
+    return files.agg(F.count(F.lit(1)).alias("total_arquivos"),
+                     F.sum(F.col(size).cast("long")).alias("bytes_total"),
+                     F.array_sort(F.collect_set(F.when(y.rlike("^[0-9]{4}$"), y))).alias("anos"))
+
+
 def files_by_station(files: DataFrame, name: str = "filename", size: str = "size") -> DataFrame:
     """Raw files grouped by station code ``A###`` and city, with the sorted
     file list (A23).  One raw file per station-year, so the list per station

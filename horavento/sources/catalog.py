@@ -25,14 +25,15 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 
 
 def describe_paths(df: DataFrame, root: str | None = None, path: str = "path") -> DataFrame:
-    """Add ``relative_path``, ``year`` (4-digit parent directory) and ``filename``."""
+    """Add ``relative_path``, ``year`` (first directory, text) and ``filename``."""
     p = F.col(path)
     rel = p
     if root:
         rel = F.regexp_replace(p, "^.*?" + _escape(root.rstrip("/")) + "/", "")
     parts = F.split(rel, "/")
-    # year: a directory named YYYY (or a partition directory ano=YYYY)
-    year = F.nullif(F.regexp_extract(rel, r"(?:^|/)(?:ano=)?([0-9]{4})/", 1), F.lit("")).cast("int")
+    # year: the first directory under the root (``ano=`` of a partition
+    # directory stripped); NULL for files at the root
+    year = F.when(F.size(parts) >= 2, F.regexp_replace(F.try_element_at(parts, F.lit(1)), "^ano=", ""))
     # a partition directory arquivo=<name> names the file written inside it
     name = F.coalesce(F.nullif(F.regexp_extract(rel, r"arquivo=([^/]+)/", 1), F.lit("")),
                       F.try_element_at(parts, F.lit(-1)))
@@ -51,7 +52,7 @@ def files_for_station(files: DataFrame, estacao: str, anos: list[int] | None = N
     wanted = estacao.replace("_", " ").upper()
     df = files.where(F.upper("filename").contains(wanted) & F.upper("filename").endswith(".CSV"))
     if anos:
-        df = df.where(F.col("year").isin(list(anos)))
+        df = df.where(F.col("year").isin([str(a) for a in anos]))
     return df
 
 

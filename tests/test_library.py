@@ -34,11 +34,19 @@ def test_listing_station_and_csv_filters(spark):
 def test_rendered_listing_has_year_and_name(spark):
     files = list_files(spark, raw_files(spark, SF001))
     rows = files.collect()
-    assert {r.year for r in rows} == {2024}
+    assert {r.year for r in rows} == {"2024"}
     assert all(r.filename.startswith("INMET_NE_PE_A3") for r in rows)
     assert files_for_station(files, "click", [2024]).count() == 1
 
 
+def test_inventory_summary(spark):
+    from horavento.operators.catalog import inventory, inventory_summary
+    files = list_files(spark, raw_files(spark, SF001))
+    s = inventory_summary(files).first()
+    assert s.total_arquivos == 5 and s.anos == ["2024"]
+    assert {r.year: r.n_arquivos for r in inventory(files).collect()} == {"2024": 5}
+
+
 def test_query_and_table_info(spark):
     r = readings(spark, SF001)
     out = query(spark, "SELECT estacao, count(*) AS n FROM leituras GROUP BY estacao", {"leituras": r})
