@@ -30,18 +30,11 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
-                    out: str = "rn", descending: bool = False) -> DataFrame:
-    """1-based row number per ``by`` in ``order`` (the first order column is
-    integral, date or timestamp; later columns break ties).
-
-    One small aggregate gives each group its size and key range; a group is
-    then cut into ``ceil(n / rows_per_bucket)`` equal key ranges.  Bucket
-    sizes are counted (partial aggregate), turned into offsets by a running
-    sum over the bucket table (one row per bucket), and the final
-    ``row_number`` runs per (group, bucket).  A small group is one bucket; a
-    group holding a third of the data is spread over many tasks."""
-    by, order = _list(by), _list(order)
+def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket: int,
+               descending: bool) -> DataFrame:
+    """Tag rows with ``_sb`` (an order-preserving sub-bucket of their group),
+    ``_off`` (rows of the group in earlier sub-buckets) and ``_nsb`` (rows in
+    their own sub-bucket)."""
     first = F.col(order[0])
     dtype = dict(df.dtypes)[order[0]]
     if dtype.startswith("timestamp"):
@@ -69,19 +62,70 @@ def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
     sb = F.floor((F.col("_key") - F.col("_kmin")).cast("double") * F.col("_nb") / span).cast("long")
     tagged = tagged.withColumn("_sb", F.least(sb, F.col("_nb") - 1)) \
         .drop(*[f"_s{i}" for i in range(len(by))], "_kmin", "_kmax", "_nb", "_key")
-    counts = tagged.groupBy(*by, "_sb").agg(F.count(F.lit(1)).alias("_n"))
+    counts = tagged.groupBy(*by, "_sb").agg(F.count(F.lit(1)).alias("_nsb"))
     w_off = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_nsb").over(w_off), F.lit(0)))
     offsets = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
-                             F.col("_sb").alias("_ksb"), "_off")
+                             F.col("_sb").alias("_ksb"), "_off", "_nsb")
     # null-safe join keys: a NULL station is its own group here
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + \
         [F.col("_sb") == F.col("_ksb")]
-    joined = tagged.join(offsets, cond, "inner") \
-        .drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
+    return tagged.join(offsets, cond, "inner").drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
+
+
+def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
+                    out: str = "rn", descending: bool = False) -> DataFrame:
+    """1-based row number per ``by`` in ``order`` (the first order column is
+    integral, date or timestamp; later columns break ties).
+
+    One small aggregate gives each group its size and key range; a group is
+    then cut into ``ceil(n / rows_per_bucket)`` equal key ranges.  Bucket
+    sizes are counted (partial aggregate), turned into offsets by a running
+    sum over the bucket table (one row per bucket), and the final
+    ``row_number`` runs per (group, bucket).  A small group is one bucket; a
+    group holding a third of the data is spread over many tasks."""
+    by, order = _list(by), _list(order)
+    tagged = _bucketize(df, by, order, rows_per_bucket, descending)
     cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     w = Window.partitionBy(*by, "_sb").orderBy(*cols)
-    return joined.withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_sb", "_off")
+    return tagged.withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_sb", "_off", "_nsb")
+
+
+def row_lags(df: DataFrame, by, order, value: str, width: int,
+             rows_per_bucket: int = 1 << 20) -> DataFrame:
+    """Row number ``rn`` and the values of the ``width - 1`` preceding rows
+    (``_lag1`` ...) per group in order; a lag is NULL before the group start.
+
+    One window per (group, sub-bucket) gives the lags inside a bucket.  Only
+    the first ``width - 1`` rows of a bucket reach into earlier buckets; they
+    look their predecessors up among the last ``width - 1`` rows of every
+    bucket -- both sets are a few rows per bucket, so the data is shuffled once."""
+    by, order = _list(by), _list(order)
+    k = width - 1
+    tagged = _bucketize(df, by, order, rows_per_bucket, False)
+    w = Window.partitionBy(*by, "_sb").orderBy(*[F.col(c).asc() for c in order])
+    x = tagged.withColumn("_j", F.row_number().over(w))
+    x = x.withColumn("rn", F.col("_off") + F.col("_j"))
+    x = x.withColumns({f"_lag{d}": F.lag(value, d).over(w) for d in range(1, k + 1)})
+    if k == 0:
+        return x.drop("_sb", "_off", "_nsb", "_j")
+    head_cond = (F.col("_j") <= k) & (F.col("_off") > 0)
+    inner = x.where(~head_cond)
+    head = x.where(head_cond)
+    tail = x.where(F.col("_j") > F.col("_nsb") - k) \
+        .select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(by)], F.col("rn").alias("_trn"),
+                F.col(value).alias("_tv"))
+    # positions d = j .. k of a head row lie before its bucket
+    need = head.select(*by, "rn", F.explode(F.sequence(F.col("_j"), F.lit(k))).alias("_d"))
+    cond = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(by)] + \
+        [(F.col("rn") - F.col("_d")) == F.col("_trn")]
+    found = need.join(tail, cond, "inner").groupBy(*by, "rn") \
+        .agg(F.map_from_entries(F.collect_list(F.struct("_d", "_tv"))).alias("_prev"))
+    fixed = head.join(found, [c for c in by] + ["rn"], "left")
+    fixed = fixed.withColumns({
+        f"_lag{d}": F.when(F.col("_j") > d, F.col(f"_lag{d}"))
+                     .otherwise(F.try_element_at("_prev", F.lit(d))) for d in range(1, k + 1)}).drop("_prev")
+    return inner.unionByName(fixed).drop("_sb", "_off", "_nsb", "_j")
 
 
 def tail_per_key(df: DataFrame, n: int = 1000, by: str = "estacao",
@@ -107,41 +151,27 @@ def attach_hourly_index(df: DataFrame, start: str, by: str = "estacao",
     return n.withColumn(out, F.timestamp_add("HOUR", F.col("rn") - 1, start_ts))
 
 
-def _offset_frame(df: DataFrame, by: list[str], value: str, offsets: list[int]) -> DataFrame:
-    """Each numbered row sent to the targets ``rn + k`` for every offset k."""
-    return df.select(*by, "rn", "id", value,
-                     F.explode(F.array(*[F.lit(k) for k in offsets])).alias("_k")) \
-        .withColumn("_t", F.col("rn") + F.col("_k"))
-
-
 def rolling_mean(df: DataFrame, width: int = 3, by: str = "estacao", order=("id",),
                  value: str = "temperatura", out: str = "temp_media_3h") -> DataFrame:
     """Mean of the non-NULL values in the last ``width`` rows per station,
     current row included (W4; the frame rule is this build's choice)."""
-    numbered = sequence_number(df.select(by, *_list(order), value, *(["id"] if "id" not in _list(order) else [])),
-                               by, order)
-    x = _offset_frame(numbered, [by], value, list(range(width)))
-    g = x.groupBy(by, "_t").agg(
-        F.max(F.when(F.col("_k") == 0, F.col("id"))).alias("id"),
-        F.max(F.when(F.col("_k") == 0, F.lit(1))).alias("_self"),
-        F.max(F.when(F.col("_k") == 0, F.col(value))).alias(value),
-        F.avg(value).alias(out))
-    return g.where(F.col("_self") == 1).select(by, "id", F.col("_t").alias("rn"), value, out)
+    order = _list(order)
+    cols = dict.fromkeys([by, *order, value, "id"])
+    x = row_lags(df.select(*cols), by, order, value, width)
+    vals = F.array(F.col(value), *[F.col(f"_lag{d}") for d in range(1, width)])
+    present = F.filter(vals, lambda v: v.isNotNull())
+    total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v)
+    mean = F.when(F.size(present) > 0, total / F.size(present))
+    return x.select(by, "id", "rn", value, mean.alias(out))
 
 
 def lag_diff(df: DataFrame, by: str = "estacao", order=("id",), value: str = "temperatura",
              out: str = "temp_diff") -> DataFrame:
     """Value minus the previous row's value per station."""
-    numbered = sequence_number(df.select(by, *_list(order), value, *(["id"] if "id" not in _list(order) else [])),
-                               by, order)
-    x = _offset_frame(numbered, [by], value, [0, 1])
-    g = x.groupBy(by, "_t").agg(
-        F.max(F.when(F.col("_k") == 0, F.col("id"))).alias("id"),
-        F.max(F.when(F.col("_k") == 0, F.lit(1))).alias("_self"),
-        F.max(F.when(F.col("_k") == 0, F.col(value))).alias(value),
-        F.max(F.when(F.col("_k") == 1, F.col(value))).alias("_prev"))
-    return g.where(F.col("_self") == 1).select(
-        by, "id", F.col("_t").alias("rn"), value, (F.col(value) - F.col("_prev")).alias(out))
+    order = _list(order)
+    cols = dict.fromkeys([by, *order, value, "id"])
+    x = row_lags(df.select(*cols), by, order, value, 2)
+    return x.select(by, "id", "rn", value, (F.col(value) - F.col("_lag1")).alias(out))
 
 
 def telemetry_batches(df: DataFrame, size: int = 500, by: str = "estacao",

@@ -133,3 +133,22 @@ def test_exact_quantiles_equal_percentile(spark):
                 for k in a:
                     for u, v in zip(a[k], b[k]):
                         assert math.isclose(u, v, rel_tol=1e-12, abs_tol=1e-9), (col, buckets, by, k)
+
+
+def test_row_lags_match_window_across_buckets(spark):
+    r = readings(spark, SF001).select("id", "estacao", "temperatura")
+    ours = W.rolling_mean(r, 3)
+    w = Window.partitionBy("estacao").orderBy("id")
+    ref = r.select("estacao", "id", F.avg("temperatura").over(w.rowsBetween(-2, 0)).alias("m"),
+                   (F.col("temperatura") - F.lag("temperatura").over(w)).alias("d"))
+    small = W.row_lags(r, "estacao", ["id"], "temperatura", 4, rows_per_bucket=3)
+    ref4 = r.select("id", *[F.lag("temperatura", d).over(w).alias(f"l{d}") for d in (1, 2, 3)])
+    a = {x.id: (x._lag1, x._lag2, x._lag3) for x in small.collect()}
+    b = {x.id: (x.l1, x.l2, x.l3) for x in ref4.collect()}
+    assert a == b
+    m = {x.id: x.m for x in ref.collect()}
+    for x in ours.collect():
+        assert (x.temp_media_3h is None and m[x.id] is None) or math.isclose(x.temp_media_3h, m[x.id], rel_tol=1e-9)
+    d = {x.id: x.d for x in ref.collect()}
+    for x in W.lag_diff(r).collect():
+        assert (x.temp_diff is None and d[x.id] is None) or math.isclose(x.temp_diff, d[x.id], rel_tol=1e-9)
