@@ -183,11 +183,27 @@ def _persist_round(df: DataFrame, tag: str) -> DataFrame:
 
 def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
                      features: list[str] | None = None, by: str = "estacao",
-                     seed: int = RANDOM_STATE) -> DataFrame:
+                     seed: int = RANDOM_STATE, scope: str = "pooled",
+                     max_stations: int = 1000) -> DataFrame:
     """Round-robin random-forest imputation (M3, M4).
 
     Targets are visited fewest-missing first; observed cells never change;
-    every missing cell gets a value (the mean when a model cannot be fit)."""
+    every missing cell gets a value.  ``scope="pooled"`` fits one model per
+    target and round over all stations with station one-hots;
+    ``scope="per_station"`` reproduces the reference's split: one imputer per
+    station, without one-hots (T15) -- stations x targets x rounds fits,
+    each on its station's rows only."""
+    if scope == "per_station":
+        names = [r[0] for r in df.select(by).where(F.col(by).isNotNull()).distinct()
+                 .limit(max_stations + 1).collect()]
+        if len(names) > max_stations:
+            raise ValueError("per_station imputation: too many stations; use scope='pooled'")
+        parts = []
+        for name in sorted(names):
+            sub, feats = assemble_features(df.where(F.col(by) == name), by, pooled=False)
+            parts.append(iterative_impute(sub, config, targets, feats, by, seed))
+        from functools import reduce
+        return reduce(DataFrame.unionByName, parts)
     if features is None:
         df, features = assemble_features(df, by)
     miss = df.agg(*[F.count_if(F.col(t).isNull()).alias(t) for t in targets]).first()
@@ -224,25 +240,25 @@ def masked_pairs_long(truth: DataFrame, imputed: DataFrame, targets: list[str] =
 
 def evaluate_imputer(df: DataFrame, config: dict, targets: list[str] = TARGETS,
                      by: str = "estacao", ratio: float = EVALUATION_RATIO,
-                     seed: int = RANDOM_STATE) -> DataFrame:
+                     seed: int = RANDOM_STATE, scope: str = "pooled") -> DataFrame:
     """Mask, impute, score on the masked cells (M5): long scores."""
     plan = MaskPlan(df, targets, ratio, seed, by)
     mask = mask_cells(df, plan=plan)
     masked = apply_mask(df, plan=plan)
-    imputed = iterative_impute(masked, config, targets, by=by, seed=seed)
+    imputed = iterative_impute(masked, config, targets, by=by, seed=seed, scope=scope)
     pairs = masked_pairs_long(mask, imputed, targets)
     return score(pairs.withColumn("modelo", F.lit(config["nome"])), by=(by, "modelo", "alvo"))
 
 
 def impute_final(df: DataFrame, config: dict, targets: list[str] = TARGETS,
-                 by: str = "estacao", seed: int = RANDOM_STATE) -> DataFrame:
+                 by: str = "estacao", seed: int = RANDOM_STATE, scope: str = "pooled") -> DataFrame:
     """Refit on the original data and impute it."""
-    out = iterative_impute(df, config, targets, by=by, seed=seed)
+    out = iterative_impute(df, config, targets, by=by, seed=seed, scope=scope)
     return out.select("id", by, "data", "hora", *targets).withColumn("modelo", F.lit(config["nome"]))
 
 
 def impute_all(df: DataFrame, configs: list[dict] = MODEL_CONFIGS, targets: list[str] = TARGETS,
-               by: str = "estacao", seed: int = RANDOM_STATE):
+               by: str = "estacao", seed: int = RANDOM_STATE, scope: str = "pooled"):
     """Every configuration: scores, final imputation and a status row each;
     a failing configuration is recorded, not fatal (M7).
 
@@ -252,8 +268,8 @@ def impute_all(df: DataFrame, configs: list[dict] = MODEL_CONFIGS, targets: list
     for cfg in configs:
         t0 = time.time()
         try:
-            s = _persist_round(evaluate_imputer(df, cfg, targets, by, seed=seed), "scores")
-            f = impute_final(df, cfg, targets, by, seed)
+            s = _persist_round(evaluate_imputer(df, cfg, targets, by, seed=seed, scope=scope), "scores")
+            f = impute_final(df, cfg, targets, by, seed, scope)
             scores.append(s)
             imputed.append(f)
             status.append((cfg["nome"], "sucesso", None, time.time() - t0))

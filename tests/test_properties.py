@@ -152,3 +152,13 @@ def test_row_lags_match_window_across_buckets(spark):
     d = {x.id: x.d for x in ref.collect()}
     for x in W.lag_diff(r).collect():
         assert (x.temp_diff is None and d[x.id] is None) or math.isclose(x.temp_diff, d[x.id], rel_tol=1e-9)
+
+
+def test_per_station_scope(spark):
+    r = readings(spark, SF001).where(F.col("estacao").isin("click", "view"))
+    cfg = {"nome": "t", "n_estimators": 3, "max_depth": 2, "max_iter": 1}
+    out = M.iterative_impute(r, cfg, scope="per_station")
+    assert out.count() == r.count()
+    assert not any(c.startswith("estacao_") for c in out.columns)
+    for t in TARGETS:
+        assert out.where(F.col(t).isNull()).count() == 0
