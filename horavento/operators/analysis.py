@@ -52,6 +52,12 @@ def period(df: DataFrame, ts: str = "ts", by=None) -> DataFrame:
     return out.withColumn("dias", F.floor(secs / F.lit(86400)).cast("long"))
 
 
+def database_stats(df: DataFrame, date: str = "data") -> DataFrame:
+    """Total rows and first / last date (printed beside A21 by the exporter)."""
+    return df.agg(F.count(F.lit(1)).alias("total"), F.min(date).alias("primeira_data"),
+                  F.max(date).alias("ultima_data"))
+
+
 def missing_report(df: DataFrame, cols: list[str] = TARGETS, by=None) -> DataFrame:
     """Missing count and percent (half-even, 2 places) per target, overall or
     per group, in long form (A4, P14, T25)."""

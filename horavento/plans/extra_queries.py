@@ -80,11 +80,20 @@ def q_prediction_rmse(spark, sf):
     return rounded(prediction_rmse(_pred(spark, sf), "estacao"))
 
 
-@register("export_snapshot", f"WITH {READINGS_SQL}\nSELECT * FROM readings")
+@register("export_snapshot", f"""WITH {READINGS_SQL}
+SELECT id, estacao, data, temperatura, umidade, velocidade_vento, CAST(NULL AS DOUBLE) AS sensacao_termica,
+  CAST(NULL AS TIMESTAMP) AS created_at FROM readings""")
 def q_export_snapshot(spark, sf):
     """K4: a snapshot written under the shared folder and read back."""
     out = K.export_snapshot(readings(spark, sf), scratch_path(spark, "export"), "20240201T000000")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+@register("database_stats", f"""WITH {READINGS_SQL}
+SELECT count(*) AS total, min(data) AS primeira_data, max(data) AS ultima_data FROM readings""")
+def q_database_stats(spark, sf):
+    """Table summary printed with each export: rows and first / last date."""
+    return A.database_stats(readings(spark, sf))
 
 
 @register("write_treated", f"""WITH {READINGS_SQL}

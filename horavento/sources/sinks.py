@@ -43,13 +43,25 @@ def save_table(df: DataFrame, name: str, mode: str = "errorifexists", jdbc_url:
         df.write.mode(mode).saveAsTable(name)
 
 
+# Export projection; ``sensacao_termica`` is optional in the stored table.
+EXPORT_COLUMNS = [("id", "long"), ("estacao", "string"), ("data", "date"), ("temperatura", "double"),
+                  ("umidade", "double"), ("velocidade_vento", "double"), ("sensacao_termica", "double"),
+                  ("created_at", "timestamp")]
+
+
+def export_projection(df: DataFrame) -> DataFrame:
+    """The exported columns; absent optional ones are typed NULLs."""
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                       for c, t in EXPORT_COLUMNS])
+
+
 def export_snapshot(df: DataFrame, path: str, ts: str) -> str | None:
-    """Timestamped parquet snapshot ordered by date desc, station; nothing is
-    written when the frame is empty (K4)."""
+    """Timestamped parquet snapshot of the export projection ordered by date
+    desc, station; nothing is written when the frame is empty (K4)."""
     if df.isEmpty():
         return None
     out = f"{path.rstrip('/')}/snapshot_{ts}"
-    df.orderBy(F.desc("data"), "estacao").write.mode("errorifexists").parquet(out)
+    export_projection(df).orderBy(F.desc("data"), "estacao").write.mode("errorifexists").parquet(out)
     return out
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from horavento.operators.merge import merge_readings, record_load
-from horavento.schemas import TARGETS
 from horavento.session import scratch_path
 from horavento.sources.station_files import parse_station_files
 from horavento.sources.sinks import export_snapshot
@@ -124,7 +123,7 @@ def export_stream(spark: SparkSession, table: str, out: str, interval: str = "36
     def snap(_batch, batch_id):
         df = read_table(spark, table)
         if df is not None:
-            export_snapshot(df.select("estacao", "data", "hora", *TARGETS), out, f"{batch_id:08d}")
+            export_snapshot(df, out, f"{batch_id:08d}")
     w = ticks.writeStream.foreachBatch(snap).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=interval)
     return w.start()
