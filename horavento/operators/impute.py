@@ -29,7 +29,7 @@ from horavento.operators.analysis import score
 from horavento.schemas import (
     EVALUATION_RATIO, MIN_SAMPLES_LEAF, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
 )
-from horavento.session import checkpoint_root
+from horavento.session import checkpoint_root, materialize
 
 
 def hash_order(seed: int, target, id_col: str = "id"):
@@ -82,8 +82,17 @@ class MaskPlan:
                  seed: int = RANDOM_STATE, by: str = "estacao"):
         self.targets, self.seed, self.by = list(targets), seed, by
         self.long = _masked_long(df, self.targets, seed, by)
-        self.cuts = _mask_cuts(self.long, ratio, by)
+        # one row per (group, target), read by every branch: computed once
+        self.cuts = materialize(_mask_cuts(self.long, ratio, by), "mask-cuts")
         self.tagged = self.long.join(self.cuts, [by, "alvo"], "inner")
+        self._edge = None
+
+    def edge(self) -> DataFrame:
+        """Masked cells of the cut buckets (a few per group), computed once."""
+        if self._edge is None:
+            self._edge = materialize(_edge(self.tagged, self.by).select(self.by, "alvo", "id", "real"),
+                                     "mask-edge")
+        return self._edge
 
 
 def mask_cells(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
@@ -101,7 +110,7 @@ def mask_cells(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALU
     by = plan.by
     # the cut table has one row per (group, target): joined without shuffling the cells
     below = plan.tagged.where(F.col("_b") < F.col("_cut")).select(by, "alvo", "id", "real")
-    return below.unionByName(_edge(plan.tagged, by).select(by, "alvo", "id", "real"))
+    return below.unionByName(plan.edge())
 
 
 def apply_mask(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
@@ -115,7 +124,7 @@ def apply_mask(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALU
     shuffled."""
     plan = plan or MaskPlan(df, targets, ratio, seed, by)
     targets, by, seed = plan.targets, plan.by, plan.seed
-    edge = _edge(plan.tagged, by) \
+    edge = plan.edge() \
         .groupBy("id").agg(*[F.max(F.when(F.col("alvo") == t, F.lit(True))).alias(f"_e_{t}")
                              for t in targets])
     wide_cuts = plan.cuts.groupBy(by).agg(

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from horavento.session import materialize
+
 
 def _list(x) -> list[str]:
     if x is None:
@@ -35,8 +37,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
     for c in by:
         cond = cond & F.col(c).isNotNull()
     base = df.where(cond).select(*by, F.col(col).cast("double").alias("_x"))
-    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                  F.max("_x").alias("_hi"))
+    stats = materialize(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
+                                              F.max("_x").alias("_hi")), "q-stats")
     span = F.col("_hi") - F.col("_lo")
     raw_b = F.floor((F.col("_x") - F.col("_lo")) / span * F.lit(float(buckets))).cast("long")
     b = F.when(span == 0, F.lit(0).cast("long")).otherwise(F.least(raw_b, F.lit(buckets - 1).cast("long")))
@@ -55,9 +57,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
             F.struct(F.lit(0).alias("hi"), F.floor("_pos").cast("long").alias("r")),
             F.struct(F.lit(1).alias("hi"), F.ceil("_pos").cast("long").alias("r")))).alias("_k")) \
         .select(*by, "_n", "_lo", "_hi", "_i", "_pos", F.col("_k.hi").alias("_which"), F.col("_k.r").alias("_r"))
-    need = ranks.join(cum, by, "inner") \
-        .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end"))) \
-        .drop("_nb", "_end")
+    need = materialize(ranks.join(cum, by, "inner")
+                       .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end")))
+                       .drop("_nb", "_end"), "q-need")  # a few rows per group
     # distinct values of the needed buckets only, ranked inside their bucket
     in_need = tagged.join(need.select(*by, "_b").distinct(), by + ["_b"], "left_semi")
     vc = in_need.groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))

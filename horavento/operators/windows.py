@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import value_map
 from horavento.functions.temporal import epoch_ms, to_ts
+from horavento.session import materialize
 
 
 def _list(x) -> list[str]:
@@ -50,6 +51,7 @@ def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket:
         stats = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_gn"), F.min("_key").alias("_kmin"),
                                         F.max("_key").alias("_kmax")).withColumn("_nb", nb)
         stats = stats.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(by)], "_kmin", "_kmax", "_nb")
+        stats = materialize(stats, "seq-stats")  # one row per group, read by two branches
         scond = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(by)]
         tagged = tagged.join(stats, scond, "inner")
     else:
@@ -65,8 +67,8 @@ def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket:
     counts = tagged.groupBy(*by, "_sb").agg(F.count(F.lit(1)).alias("_nsb"))
     w_off = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_nsb").over(w_off), F.lit(0)))
-    offsets = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
-                             F.col("_sb").alias("_ksb"), "_off", "_nsb")
+    offsets = materialize(offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
+                                         F.col("_sb").alias("_ksb"), "_off", "_nsb"), "seq-offsets")
     # null-safe join keys: a NULL station is its own group here
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + \
         [F.col("_sb") == F.col("_ksb")]
@@ -109,6 +111,8 @@ def row_lags(df: DataFrame, by, order, value: str, width: int,
     x = x.withColumns({f"_lag{d}": F.lag(value, d).over(w) for d in range(1, k + 1)})
     if k == 0:
         return x.drop("_sb", "_off", "_nsb", "_j")
+    # three branches read the windowed rows: compute them once
+    x = materialize(x, "row-lags")
     head_cond = (F.col("_j") <= k) & (F.col("_off") > 0)
     inner = x.where(~head_cond)
     head = x.where(head_cond)

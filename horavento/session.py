@@ -77,3 +77,16 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for intermediate tables that several branches of one plan read
+    (group statistics, bucket offsets, cut tables): each is computed once
+    instead of once per branch, the lineage ends there, and a lost executor
+    re-reads files instead of recomputing upstream stages."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
