@@ -129,7 +129,10 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     lf = file_lines(read_files(spark, path, glob))
     header = F.transform(F.split(F.try_element_at("lines", F.lit(RAW_HEADER_LINES + 1)), ";", -1),
                          lambda h: normalize_header(F.trim(h)))
-    rows = lf.select("arquivo", header.alias("header"), F.posexplode("lines").alias("linha", "texto")) \
+    # the header is computed before the explode, so the generator is the only
+    # consumer of ``lines`` and exploded rows do not carry the whole file
+    lf = lf.select("arquivo", "lines", header.alias("header"))
+    rows = lf.select("arquivo", "header", F.posexplode("lines").alias("linha", "texto")) \
         .where((F.col("linha") > RAW_HEADER_LINES) & (F.trim("texto") != ""))
     fields = F.split("texto", ";", -1)
     # pair names and values position by position (extra fields are dropped)
@@ -140,7 +143,7 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     if columns is None:
         # the header is one line per file: its distinct names are a small,
         # checked list, which becomes the output schema
-        names = (lf.select(F.explode(header).alias("c")).where(F.col("c") != "")
+        names = (lf.select(F.explode("header").alias("c")).where(F.col("c") != "")
                  .distinct().limit(max_columns + 1).collect())
         if len(names) > max_columns:
             raise ValueError("read_station_csv_named: too many header names")

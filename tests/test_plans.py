@@ -47,3 +47,17 @@ def test_no_python_udf(spark, name):
     p = plan(Q[name](spark, SF01))
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"):
         assert node not in p
+
+
+def test_exploded_lines_do_not_carry_the_file(spark):
+    """Each exploded line must not drag the whole file's line array along."""
+    import re
+    from horavento.sources.station_files import (
+        read_station_csv, read_station_csv_named, read_station_header,
+    )
+    from tests.conftest import GOLDEN
+    for df in (read_station_csv(spark, GOLDEN), read_station_csv_named(spark, GOLDEN, ["DATA", "HORA UTC"]),
+               read_station_header(spark, GOLDEN)):
+        p = df._jdf.queryExecution().executedPlan().toString()
+        for kept in re.findall(r"Generate posexplode\([^\n]*?\), \[([^\]]*)\]", p):
+            assert "lines" not in kept, kept
