@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from horavento.session import apply_conf
+
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
@@ -31,9 +34,15 @@ readings_ts AS (SELECT *, CAST(data AS TIMESTAMP) + to_hours(hora) AS ts FROM re
 
 def register(name: str, sql: str | None = None):
     """Decorator: add a ``(spark, sf_dir) -> DataFrame`` query to the registry,
-    with its DuckDB oracle SQL when the result is SQL-expressible."""
+    with its DuckDB oracle SQL when the result is SQL-expressible.  The
+    registered callable first applies the engine's runtime SQL settings (UTC
+    session time zone, AQE) to whatever session it is given."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            apply_conf(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
