@@ -25,12 +25,15 @@ def spread(df: DataFrame) -> DataFrame:
     work before the first shuffle is not one task.  Large inputs already
     split into many scan tasks, and tiny dimension tables are not worth a
     stage; both are returned unchanged."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < SPREAD_MIN_BYTES:
+    try:
+        spark = df.sparkSession
+        par = spark.sparkContext.defaultParallelism
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        if int(str(size)) < SPREAD_MIN_BYTES:
+            return df
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no access to plan statistics (e.g. a remote session): leave the scan as is
         return df
-    n = df.rdd.getNumPartitions()
     return df.repartition(par) if n < par else df
 
 
