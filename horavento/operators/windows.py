@@ -9,8 +9,8 @@ So ordered operators here are built from pieces that stay parallel:
   sizes are counted with a partial aggregate, bucket offsets come from a
   running sum over that small count table, and the final ``row_number`` runs
   per (key, bucket) -- a bounded partition.
-* rolling means and lags are equi-joins on ``(key, row number)`` expressed as
-  one ``explode`` of offsets + ``groupBy`` (fine-grained keys, no hot task).
+* rolling means and lags come from the same bucketed window; only the first
+  ``width - 1`` rows of a bucket fetch predecessors from earlier buckets' tails.
 * latest-per-key uses ``max_by`` (a partial aggregate), top-k per key uses
   ``row_number <= k`` which Spark plans as a map-side ``WindowGroupLimit``.
 """
@@ -249,12 +249,3 @@ def latest_values(long: DataFrame, by=("estacao", "chave"), ts: str = "ts",
     return long.where(F.col(value).isNotNull()).groupBy(*_list(by)).agg(
         F.max_by(F.struct(F.col(ts).alias("ts"), F.col(value).alias("valor")), ordk).alias("_l")) \
         .select(*_list(by), F.col("_l.ts").alias("ts"), F.col("_l.valor").alias("valor"))
-
-
-def hourly_ts(df: DataFrame) -> DataFrame:
-    """Readings with their hourly timestamp column."""
-    return df.withColumn("ts", to_ts("data", "hora"))
-
-
-def desc_cols(cols) -> list[Column]:
-    return [F.col(c).desc() for c in _list(cols)]
