@@ -65,11 +65,14 @@ def q_interactions(spark, sf):
     return rounded(interactions(readings(spark, sf)).select("id", "temp_x_umid", "temp_x_vento", "umid_x_vento"))
 
 
-@register("station_slug", """SELECT DISTINCT n_name AS nome,
-  regexp_replace(n_name || ' ' || n_name, '[ /]', '_', 'g') AS slug FROM nation""")
+@register("station_slug", """SELECT c_custkey, c_mktsegment || ' ' || c_name AS nome,
+  regexp_replace(c_mktsegment || ' ' || c_name || '/' || c_mktsegment, '[ /]', '_', 'g') AS slug FROM customer""")
 def q_station_slug(spark, sf):
-    n = load_table(spark, sf, "nation").select(F.col("n_name").alias("nome")).distinct()
-    return n.select("nome", station_slug(F.concat_ws(" ", "nome", "nome")).alias("slug"))
+    """F12 over every customer: display name -> file-safe name."""
+    c = load_table(spark, sf, "customer").select(
+        "c_custkey", F.concat_ws(" ", "c_mktsegment", "c_name").alias("nome"), "c_mktsegment")
+    return c.select("c_custkey", "nome",
+                    station_slug(F.concat(F.col("nome"), F.lit("/"), F.col("c_mktsegment"))).alias("slug"))
 
 
 @register("prediction_rmse", f"""WITH {PRED_SQL}
