@@ -60,9 +60,11 @@ def dashboard_series(df: DataFrame, keys: list[str], days: int = 7, interval: st
         .orderBy("hora_inicio", by, "chave").limit(cap)
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The ``events`` parquet file as a file-source stream (explicit schema)."""
-    r = spark.readStream.format("parquet").schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,
+                  glob: str = "events.parquet") -> DataFrame:
+    """Event parquet files as a file-source stream (explicit schema)."""
+    r = spark.readStream.format("parquet").schema(EVENTS_SCHEMA).option("pathGlobFilter", glob) \
+        .option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(sf_dir)
@@ -70,11 +72,12 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None
 
 def telemetry_stats_stream(spark: SparkSession, sf_dir: str, keys: list[str],
                            interval: str = "1 hour", by: str = "estacao",
-                           sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                           sink: str | None = None, checkpoint: str | None = None,
+                           glob: str = "events.parquet", max_files: int | None = None) -> DataFrame:
     """Tumbling hourly statistics on a stream with a watermark, appended to
     parquet under the shared folder; runs with ``availableNow`` and returns
     the sink contents (R7)."""
-    ev = events_stream(spark, sf_dir)
+    ev = events_stream(spark, sf_dir, max_files, glob)
     r = readings_from_events(ev, keep_ts=True).withColumn("ts", F.col("ts").cast("timestamp"))
     long = _long(r.withWatermark("ts", WATERMARK), keys, by, "ts")
     agg = _hourly(long, by, "ts", interval).select(
