@@ -162,3 +162,19 @@ def test_per_station_scope(spark):
     assert not any(c.startswith("estacao_") for c in out.columns)
     for t in TARGETS:
         assert out.where(F.col(t).isNull()).count() == 0
+
+
+def test_hot_station_is_split_into_bounded_buckets(spark):
+    """One station with ~60% of the rows: the bucketed window cuts it into
+    key ranges of about ``rows_per_bucket`` rows, and numbering stays exact."""
+    from horavento.operators.windows import _bucketize
+    r = readings(spark, SF001).withColumn(
+        "estacao", F.when(F.col("estacao").isin("click", "view", "error"), "hot").otherwise(F.col("estacao")))
+    n_hot = r.where(F.col("estacao") == "hot").count()
+    assert n_hot > 0.5 * r.count()
+    b = _bucketize(r, ["estacao"], ["id"], 100, False)
+    sizes = [x["count"] for x in b.where(F.col("estacao") == "hot").groupBy("_sb").count().collect()]
+    assert len(sizes) >= n_hot // 100 and max(sizes) <= 200
+    ours = W.sequence_number(r, "estacao", ["id"], rows_per_bucket=100)
+    ref = r.withColumn("rn", F.row_number().over(Window.partitionBy("estacao").orderBy("id")))
+    assert sorted(ours.select("id", "rn").collect()) == sorted(ref.select("id", "rn").collect())
