@@ -90,7 +90,11 @@ def write_stats_json(df: DataFrame, path: str) -> None:
 
 
 def write_report(df: DataFrame, path: str, by: str = "estacao") -> dict[str, str]:
-    """The six analysis tables written side by side (K8)."""
+    """The six analysis tables written side by side (K8).  The input is
+    projected and written once to the shared folder; every table reads that
+    copy instead of re-deriving the source."""
+    from horavento.session import materialize
+    df = materialize(df.select(by, "data", "hora", *TARGETS), "report-input")
     hourly = A.hourly_profile(df, by)
     tables = {
         "perfil_horario": hourly, "horas_extremas": A.extreme_hours(hourly, by),
