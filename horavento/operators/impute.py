@@ -317,6 +317,7 @@ def scatter_points(pairs: DataFrame, by=("estacao", "alvo")) -> DataFrame:
     """Real vs imputed points with the min / max diagonal bounds of their
     group (M16): bounds are a grouped aggregate joined back."""
     by = list(by)
+    pairs = materialize(pairs, "scatter-pairs")  # read twice below: computed once
     b = pairs.groupBy(*by).agg(F.least(F.min("real"), F.min("imputado")).alias("limite_inferior"),
                                F.greatest(F.max("real"), F.max("imputado")).alias("limite_superior"))
     return pairs.join(b, by, "inner")
