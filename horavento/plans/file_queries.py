@@ -57,10 +57,51 @@ def q_station_csv_named(spark, sf):
                      parse_decimal(F.col(f"`{u}`")).alias("umidade"))
 
 
-@register("file_listing")
+RAW_NAMES_CTE = f"""{READINGS_SQL},
+st AS (SELECT estacao, 'A' || CAST(300 + dense_rank() OVER (ORDER BY estacao) AS VARCHAR) AS codigo
+       FROM (SELECT DISTINCT estacao FROM readings)),
+names AS (SELECT 'INMET_NE_PE_' || codigo || '_' || estacao || '_01-01-2024_A_31-12-2024.CSV' AS filename,
+  '2024' AS year, estacao FROM st)"""
+
+
+@register("file_listing", f"WITH {RAW_NAMES_CTE}\nSELECT filename, year FROM names")
 def q_file_listing(spark, sf):
     """Recursive listing of the rendered files (S5): metadata only."""
-    return list_files(spark, raw_files(spark, sf))
+    return list_files(spark, raw_files(spark, sf)).select("filename", "year")
+
+
+@register("files_for_station", f"WITH {RAW_NAMES_CTE}\nSELECT filename, year FROM names WHERE estacao = 'click'")
+def q_files_for_station(spark, sf):
+    """One station's raw files for the listed years."""
+    from horavento.sources.catalog import files_for_station
+    return files_for_station(list_files(spark, raw_files(spark, sf)), "click", [2024]).select("filename", "year")
+
+
+@register("filter_csv", f"WITH {RAW_NAMES_CTE}\nSELECT filename FROM names")
+def q_filter_csv(spark, sf):
+    """Files whose name ends in .csv, case-insensitive, under a prefix."""
+    from horavento.sources.catalog import filter_csv
+    return filter_csv(list_files(spark, raw_files(spark, sf)), "INMET_", True, "filename").select("filename")
+
+
+@register("sql_query", f"""WITH {READINGS_SQL}
+SELECT estacao, hora, round(avg(temperatura), 6) AS temperatura FROM readings GROUP BY estacao, hora""")
+def q_sql_query(spark, sf):
+    """SQL over a temp view of the readings."""
+    from horavento.sources.tables import query
+    return query(spark, "SELECT estacao, hora, round(avg(temperatura), 6) AS temperatura "
+                        "FROM leituras GROUP BY estacao, hora", {"leituras": readings(spark, sf)})
+
+
+@register("table_info", f"""WITH {READINGS_SQL}, n AS (SELECT count(*) AS linhas FROM readings)
+SELECT 'leituras' AS tabela, c.coluna, c.tipo, n.linhas FROM (VALUES ('id', 'bigint'), ('estacao', 'string'),
+  ('data', 'date'), ('hora', 'int'), ('temperatura', 'double'), ('umidade', 'double'),
+  ('velocidade_vento', 'double')) AS c(coluna, tipo) CROSS JOIN n""")
+def q_table_info(spark, sf):
+    """Existence, columns, types and row count of a registered table."""
+    from horavento.sources.tables import table_info
+    readings(spark, sf).createOrReplaceTempView("leituras")
+    return table_info(spark, "leituras")
 
 
 @register("ingest_stream", f"""WITH {READINGS_SQL},
