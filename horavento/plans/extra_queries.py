@@ -178,3 +178,33 @@ def q_with_header(spark, sf):
     head = header_wide(read_station_header(spark, path)).select("arquivo", "codigo_estacao", "estado")
     return with_header(rows, head, "arquivo").select("estacao", "data", "hora", "temperatura",
                                                      "codigo_estacao", "estado")
+
+
+@register("value_map_nulls", f"""WITH {READINGS_SQL}
+SELECT id, CAST(3 AS INTEGER) AS n_chaves,
+  CAST((temperatura IS NULL) AS INTEGER) + CAST((umidade IS NULL) AS INTEGER)
+  + CAST((velocidade_vento IS NULL) AS INTEGER) AS n_nulos FROM readings""")
+def q_value_map_nulls(spark, sf):
+    """telemetry map keeping NULL values (one entry per measure)."""
+    from horavento.functions.telemetry import value_map
+    m = readings(spark, sf).select("id", value_map(TARGETS, keep_nulls=True).alias("m"))
+    return m.select("id", F.size("m").alias("n_chaves"),
+                    F.size(F.filter(F.map_values("m"), lambda v: v.isNull())).alias("n_nulos"))
+
+
+@register("radiation_features", """SELECT event_id AS id, round(ln(1 + value), 6) AS radiacao_log,
+  CAST(hour(ts) AS INTEGER) AS hora_dia FROM events""")
+def q_radiation_features(spark, sf):
+    """log(1 + radiation) and hour of day (event value as radiation)."""
+    from horavento.functions.temporal import hour_of_day, radiation_log
+    e = load_table(spark, sf, "events")
+    return rounded(e.select(F.col("event_id").alias("id"), radiation_log("value").alias("radiacao_log"),
+                            hour_of_day("ts").alias("hora_dia")))
+
+
+@register("name_contains", """SELECT event_id AS id FROM events WHERE user_id % 3 <> 0""")
+def q_name_contains(spark, sf):
+    """Result names holding ``_Modelo_`` (names derived from the events)."""
+    from horavento.plans.text_queries import _result_name
+    t = load_table(spark, sf, "events").select(F.col("event_id").alias("id"), _result_name().alias("filename"))
+    return P.name_contains(t, "_Modelo_").select("id")
