@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from horavento.functions.telemetry import run_station
 from horavento.operators import catalog as C
 from horavento.plans.common import READINGS_SQL, READINGS_TS_SQL, register, rounded
-from horavento.schemas import TARGETS
+from horavento.schemas import RESULT_PREFIX, TARGETS
 from horavento.session import scratch_path
 from horavento.sources.catalog import list_files, resolve_result_file
 from horavento.sources.sinks import write_raw_station_files
@@ -138,7 +138,7 @@ def _result_listing(spark, sf):
         .where(F.col("estacao") != "ERROR")
     models = F.array(F.lit("Leve"), F.lit("Medio"), F.lit("Robusto"))
     return st.select("estacao", F.explode(models).alias("m")).select(
-        F.concat(F.lit("resultados/dados_para_update_neon_"), "estacao", F.lit("_Modelo_"),
+        F.concat(F.lit(f"resultados/{RESULT_PREFIX}"), "estacao", F.lit("_Modelo_"),
                  "m", F.lit(".csv")).alias("path"),
         F.lit(2048).cast("long").alias("size"))
 
@@ -146,7 +146,7 @@ def _result_listing(spark, sf):
 @register("resolve_result_file", f"""WITH {READINGS_SQL}
 SELECT DISTINCT upper(estacao) AS estacao, 'Medio' AS modelo,
   CASE WHEN upper(estacao) = 'ERROR' THEN NULL
-       ELSE 'resultados/dados_para_update_neon_' || upper(estacao) || '_Modelo_Medio.csv' END AS arquivo
+       ELSE 'resultados/{RESULT_PREFIX}' || upper(estacao) || '_Modelo_Medio.csv' END AS arquivo
 FROM readings""")
 def q_resolve_result_file(spark, sf):
     wanted = readings(spark, sf).select(F.upper("estacao").alias("estacao")).distinct() \
@@ -156,7 +156,7 @@ def q_resolve_result_file(spark, sf):
 
 @register("results_catalog", f"""WITH {READINGS_SQL},
 st AS (SELECT DISTINCT upper(estacao) AS estacao FROM readings WHERE upper(estacao) <> 'ERROR')
-SELECT estacao, m.modelo, 'dados_para_update_neon_' || estacao || '_Modelo_' || m.modelo || '.csv' AS arquivo,
+SELECT estacao, m.modelo, '{RESULT_PREFIX}' || estacao || '_Modelo_' || m.modelo || '.csv' AS arquivo,
   CAST(0.0 AS DOUBLE) AS tamanho_mb, m.descricao AS descricao_modelo, m.complexidade AS complexidade_modelo
 FROM st CROSS JOIN (VALUES
   ('Leve', 'Modelo leve de previsão de sensação térmica', 'baixa'),
@@ -195,7 +195,7 @@ runs AS (SELECT event_id AS run_id, 'imputacao_' || upper(event_type) || '_' ||
   CASE WHEN user_id % 3 = 0 THEN 'Medio' END AS modelo FROM events),
 res AS (SELECT r.*, r.estacao || ' - Processado' AS dispositivo,
   CASE WHEN r.estacao = 'ERROR' THEN NULL
-       ELSE 'resultados/dados_para_update_neon_' || r.estacao || '_Modelo_' || coalesce(r.modelo, 'Leve') || '.csv'
+       ELSE 'resultados/{RESULT_PREFIX}' || r.estacao || '_Modelo_' || coalesce(r.modelo, 'Leve') || '.csv'
   END AS arquivo, coalesce(p.n_pontos, 0) AS n_pontos
   FROM runs r LEFT JOIN pts p ON r.estacao = p.estacao)
 SELECT *, CASE WHEN arquivo IS NULL THEN 'arquivo_nao_encontrado' WHEN n_pontos = 0 THEN 'sem_dados'

@@ -9,6 +9,7 @@ from horavento.functions.parse import parse_decimal, parse_obs_ts, parse_raw_nam
 from horavento.functions.telemetry import json_field
 from horavento.operators import catalog as C
 from horavento.plans.common import register, rounded
+from horavento.schemas import RESULT_PREFIX
 from horavento.sources.tables import load_table
 from horavento.streaming.sync import new_since, runs_from_events
 
@@ -49,15 +50,15 @@ def q_parse_obs_ts(spark, sf):
     return t.withColumn("ts_obs", parse_obs_ts("data_txt", "hora_txt"))
 
 
-RESULT_NAME_SQL = """'dados_para_update_neon_' || upper(event_type)
+RESULT_NAME_SQL = f"""'{RESULT_PREFIX}' || upper(event_type)
   || CASE WHEN user_id % 4 = 0 THEN '_VERDE' ELSE '' END
   || CASE user_id % 3 WHEN 0 THEN '' WHEN 1 THEN '_Modelo_Leve' ELSE '_Modelo_Robusto' END || '.csv'"""
-RESULT_RE = r"^dados_para_update_neon_(.+?)(?:_Modelo_([^.]+))?\.csv$"
+RESULT_RE = "^" + RESULT_PREFIX + r"(.+?)(?:_Modelo_([^.]+))?\.csv$"
 
 
 def _result_name():
     u = F.col("user_id")
-    return F.concat(F.lit("dados_para_update_neon_"), F.upper("event_type"),
+    return F.concat(F.lit(RESULT_PREFIX), F.upper("event_type"),
                     F.when(u % 4 == 0, F.lit("_VERDE")).otherwise(F.lit("")),
                     F.when(u % 3 == 0, F.lit("")).when(u % 3 == 1, F.lit("_Modelo_Leve"))
                     .otherwise(F.lit("_Modelo_Robusto")), F.lit(".csv"))

@@ -10,6 +10,7 @@ from horavento.functions.parse import (
 from horavento.functions.telemetry import run_station, value_map
 from horavento.functions.temporal import cyclic, weekday_mon0
 from horavento.operators.analysis import wind_category
+from horavento.schemas import RESULT_PREFIX
 
 
 def _one(spark, col):
@@ -37,8 +38,8 @@ def test_dates(spark):
 
 
 def test_result_names(spark):
-    a = _one(spark, parse_result_name(F.lit("dados_para_update_neon_ARCO_VERDE.csv")))
-    b = _one(spark, parse_result_name(F.lit("x/dados_para_update_neon_ARCO_VERDE_Modelo_Leve.csv")))
+    a = _one(spark, parse_result_name(F.lit(f"{RESULT_PREFIX}ARCO_VERDE.csv")))
+    b = _one(spark, parse_result_name(F.lit(f"x/{RESULT_PREFIX}ARCO_VERDE_Modelo_Leve.csv")))
     assert (a.estacao, a.modelo) == ("ARCO_VERDE", None)
     assert (b.estacao, b.modelo) == ("ARCO_VERDE", "Leve")
 
