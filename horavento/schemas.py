@@ -70,23 +70,21 @@ MIN_SAMPLES_SPLIT = 10
 EVALUATION_RATIO = 0.10
 RANDOM_STATE = 42
 
-# Station dimension: name, code (type and description follow one pattern).
+# Station dimension: name, code, type, description.
 STATIONS = [
-    ("PETROLINA", "A307", "Petrolina"),
-    ("ARCO_VERDE", "A309", "Arco Verde"),
-    ("CABROBO", "A329", "Cabrobó"),
-    ("CARUARU", "A341", "Caruaru"),
-    ("FLORESTA", "A351", "Floresta"),
-    ("GARANHUNS", "A322", "Garanhuns"),
-    ("IBIMIRIM", "A349", "Ibimirim"),
-    ("OURICURI", "A366", "Ouricuri"),
-    ("PALMARES", "A357", "Palmares"),
-    ("SALGUEIRO", "A370", "Salgueiro"),
-    ("SERRA_TALHADA", "A350", "Serra Talhada"),
-    ("SURUBIM", "A328", "Surubim"),
+    ("PETROLINA", "A307", "Estação Meteorológica", "Estação meteorológica do INMET em Petrolina - PE"),
+    ("ARCO_VERDE", "A309", "Estação Meteorológica", "Estação meteorológica do INMET em Arco Verde - PE"),
+    ("CABROBO", "A329", "Estação Meteorológica", "Estação meteorológica do INMET em Cabrobó - PE"),
+    ("CARUARU", "A341", "Estação Meteorológica", "Estação meteorológica do INMET em Caruaru - PE"),
+    ("FLORESTA", "A351", "Estação Meteorológica", "Estação meteorológica do INMET em Floresta - PE"),
+    ("GARANHUNS", "A322", "Estação Meteorológica", "Estação meteorológica do INMET em Garanhuns - PE"),
+    ("IBIMIRIM", "A349", "Estação Meteorológica", "Estação meteorológica do INMET em Ibimirim - PE"),
+    ("OURICURI", "A366", "Estação Meteorológica", "Estação meteorológica do INMET em Ouricuri - PE"),
+    ("PALMARES", "A357", "Estação Meteorológica", "Estação meteorológica do INMET em Palmares - PE"),
+    ("SALGUEIRO", "A370", "Estação Meteorológica", "Estação meteorológica do INMET em Salgueiro - PE"),
+    ("SERRA_TALHADA", "A350", "Estação Meteorológica", "Estação meteorológica do INMET em Serra Talhada - PE"),
+    ("SURUBIM", "A328", "Estação Meteorológica", "Estação meteorológica do INMET em Surubim - PE"),
 ]
-STATION_TYPE = "Estação Meteorológica"
-STATION_DESCRIPTION = "Estação meteorológica do INMET em {city} - PE"
 
 # Model type lookup: suffix -> (description, complexity).
 MODEL_TYPES = {

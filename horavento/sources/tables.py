@@ -111,6 +111,13 @@ def table_info(spark: SparkSession, name: str, with_count: bool = True) -> DataF
     return spark.createDataFrame(rows, "tabela string, coluna string, tipo string, linhas long")
 
 
+def station_dimension(spark: SparkSession) -> DataFrame:
+    """The fixed station dimension (name, code, type, description) as a
+    DataFrame: twelve literal rows, safe to broadcast."""
+    from horavento.schemas import STATIONS
+    return spark.createDataFrame(STATIONS, "nome string, codigo string, tipo string, descricao string")
+
+
 def discover_stations(df: DataFrame, col: str = "estacao") -> DataFrame:
     """Distinct stations (partition column values), sorted."""
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)

@@ -126,3 +126,10 @@ def test_save_table_modes(spark):
     with pytest.raises(Exception):
         K.save_table(r, name, "fail")
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_station_dimension(spark):
+    from horavento.sources.tables import station_dimension
+    d = station_dimension(spark)
+    assert d.count() == 12
+    assert d.where(F.col("nome") == "ARCO_VERDE").first().codigo == "A309"
