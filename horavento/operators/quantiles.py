@@ -2,7 +2,8 @@
 
 ``percentile`` keeps a value -> count map per group; for a group holding a
 third of the data with continuous values that map is the group.  Here a
-group is cut into ``buckets`` equal value ranges; one partial aggregate
+group is cut into equal value ranges (about ``rows_per_bucket`` rows each,
+at most ``buckets``); one partial aggregate
 counts rows per bucket, a running sum over that small table locates the
 bucket holding each needed rank, and only the distinct values of those few
 buckets are counted and ranked.  Results equal ``percentile`` /
@@ -25,23 +26,26 @@ def _list(x) -> list[str]:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
-                    names: list[str] | None = None, buckets: int = 1 << 16) -> DataFrame:
+                    names: list[str] | None = None, buckets: int = 1 << 20,
+                    rows_per_bucket: int = 1 << 14) -> DataFrame:
     """One row per group: ``n``, ``minimo``, ``maximo`` and one column per
     probability (``names`` or ``q_<i>``)."""
     by = _list(by)
     names = names or [f"q_{i}" for i in range(len(probs))]
     if not by:  # one global group: a constant key keeps every join an equi-join
         return exact_quantiles(df.withColumn("_all", F.lit(0)), col, probs, ["_all"], names,
-                               buckets).drop("_all")
+                               buckets, rows_per_bucket).drop("_all")
     cond = F.col(col).isNotNull()
     for c in by:
         cond = cond & F.col(c).isNotNull()
     base = df.where(cond).select(*by, F.col(col).cast("double").alias("_x"))
     stats = materialize(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
                                               F.max("_x").alias("_hi")), "q-stats")
+    # buckets per group: about ``rows_per_bucket`` rows each, at most ``buckets``
+    nbk = F.least(F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_bucket)), F.lit(1)), F.lit(buckets))
     span = F.col("_hi") - F.col("_lo")
-    raw_b = F.floor((F.col("_x") - F.col("_lo")) / span * F.lit(float(buckets))).cast("long")
-    b = F.when(span == 0, F.lit(0).cast("long")).otherwise(F.least(raw_b, F.lit(buckets - 1).cast("long")))
+    raw_b = F.floor((F.col("_x") - F.col("_lo")) / span * nbk.cast("double")).cast("long")
+    b = F.when(span == 0, F.lit(0).cast("long")).otherwise(F.least(raw_b, nbk.cast("long") - 1))
     # one row per group: a small side
     tagged = base.join(stats, by, "inner").withColumn("_b", b)
     counts = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_nb"))

@@ -120,9 +120,9 @@ def test_exact_quantiles_equal_percentile(spark):
         .withColumn("coarse", F.floor(F.col("temperatura") / 50) * 50)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     for col in ("temperatura", "const", "coarse"):
-        for buckets in (4, 1 << 16):
+        for buckets in (4, 1 << 20):
             for by in ("estacao", None):
-                got = exact_quantiles(r, col, probs, by, buckets=buckets)
+                got = exact_quantiles(r, col, probs, by, buckets=buckets, rows_per_bucket=7)
                 g = r.where(F.col(col).isNotNull())
                 g = g.groupBy(by) if by else g.groupBy()
                 want = g.agg(*[F.percentile(col, p).alias(f"q_{i}") for i, p in enumerate(probs)])
