@@ -11,11 +11,11 @@ from horavento.operators import filters as P
 from horavento.operators import joins as J
 from horavento.operators.windows import cap_per_station
 from horavento.plans.file_queries import raw_files
-from horavento.schemas import TARGETS
+from horavento.schemas import RESULT_PREFIX, TARGETS
 from horavento.session import scratch_path
 from horavento.sources import sinks as K
 from horavento.sources.catalog import files_for_station, filter_csv, list_files
-from horavento.sources.tables import load_dataset, query, readings, table_info
+from horavento.sources.tables import load_dataset, load_table, query, readings, table_info
 from horavento.streaming.ingest import export_stream, ingest_stream
 from tests.conftest import GOLDEN, SF001
 
@@ -133,3 +133,50 @@ def test_station_dimension(spark):
     d = station_dimension(spark)
     assert d.count() == 12
     assert d.where(F.col("nome") == "ARCO_VERDE").first().codigo == "A309"
+
+
+def test_versioned_commit(spark):
+    from horavento.operators.merge import commit_version, read_current
+    root = scratch_path(spark, "versions")
+    assert read_current(spark, root) is None
+    r = readings(spark, SF001)
+    v1 = commit_version(r.limit(5), root)
+    v2 = commit_version(r.limit(7), root)
+    assert v1 != v2 and read_current(spark, root).count() == 7
+
+
+def test_result_file_resolution_order(spark):
+    from horavento.sources.catalog import resolve_result_file
+    files = spark.createDataFrame([
+        (f"r/{RESULT_PREFIX}ARCO VERDE_Modelo_Leve.csv",),
+        (f"r/{RESULT_PREFIX}ARCO_VERDE_Modelo_Medio.csv",),
+        (f"r/{RESULT_PREFIX}ARCO_VERDE_Modelo_Robusto.csv",),
+        (f"r/{RESULT_PREFIX}SURUBIM_Modelo_Leve.csv",),
+        ("r/notes.txt",)], "path string")
+    wanted = spark.createDataFrame([("ARCO_VERDE", "Robusto"), ("ARCO_VERDE", None), ("SURUBIM", "Medio"),
+                                    ("PETROLINA", None)], "estacao string, modelo string")
+    got = {(r.estacao, r.modelo): r.arquivo for r in resolve_result_file(files, wanted).collect()}
+    assert got[("ARCO_VERDE", "Robusto")].endswith("ARCO_VERDE_Modelo_Robusto.csv")
+    assert got[("ARCO_VERDE", None)].endswith("ARCO_VERDE_Modelo_Medio.csv")  # underscore spelling first
+    assert got[("SURUBIM", "Medio")].endswith("SURUBIM_Modelo_Leve.csv")  # no model match: first file
+    assert got[("PETROLINA", None)] is None
+
+
+def test_next_marks(spark):
+    from horavento.streaming.sync import new_since, next_marks, runs_from_events
+    runs = runs_from_events(load_table(spark, SF001, "events"))
+    marks = spark.createDataFrame([], "experimento string, marca timestamp_ntz")
+    fresh = new_since(runs, marks)
+    assert fresh.count() == runs.count()
+    m = next_marks(fresh, marks)
+    assert new_since(runs, m).count() == 0
+
+
+def test_run_records_maps(spark):
+    from horavento.operators.impute import run_records
+    scores = spark.createDataFrame([("a", "Modelo_Leve", t, 1.0, 0.5, 0.1) for t in TARGETS],
+                                   "estacao string, modelo string, alvo string, rmse double, mae double, r2 double")
+    r = run_records(scores).first()
+    assert r.tags == {"station": "a", "model_type": "Modelo_Leve"}
+    assert r.params["n_estimators"] == "5" and r.params["station_name"] == "a"
+    assert len(r.metrics) == 9 and r.metrics["umidade_rmse"] == 1.0
