@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import run_station
 from horavento.operators.joins import broadcast_if_small
-from horavento.session import scratch_path
+from horavento.session import materialize, scratch_path
 from horavento.sources.catalog import resolve_result_file
 
 EPOCH = "1970-01-01 00:00:00"
@@ -68,9 +68,13 @@ def process_runs(runs: DataFrame, result_files: DataFrame, readings: DataFrame)
     r = r.withColumn("dispositivo", F.concat(F.replace("estacao", F.lit("_"), F.lit(" ")),
                                              F.lit(" - Processado")))
     wanted = r.select("estacao", "modelo").where(F.col("estacao").isNotNull()).distinct()
-    found = resolve_result_file(result_files, wanted).select(
-        F.col("estacao").alias("_e"), F.col("modelo").alias("_m"), "arquivo")
-    points = readings.groupBy(F.upper("estacao").alias("_p")).agg(F.count(F.lit(1)).alias("n_pontos"))
+    # both lookups hold one row per station (and model): written once, then
+    # broadcast behind a size check, so the run rows are never shuffled by station
+    found = broadcast_if_small(materialize(resolve_result_file(result_files, wanted).select(
+        F.col("estacao").alias("_e"), F.col("modelo").alias("_m"), "arquivo"), "runs-files"))
+    points = broadcast_if_small(materialize(
+        readings.groupBy(F.upper("estacao").alias("_p")).agg(F.count(F.lit(1)).alias("n_pontos")),
+        "runs-points"))
     out = r.join(found, F.col("estacao").eqNullSafe(F.col("_e")) & F.col("modelo").eqNullSafe(F.col("_m")),
                  "left") \
         .join(points, F.col("estacao") == F.col("_p"), "left")
