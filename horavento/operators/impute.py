@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from horavento.functions.telemetry import to_long
 from horavento.functions.temporal import one_hot, temporal_features
 from horavento.operators.analysis import score
+from horavento.operators.joins import broadcast_if_small
 from horavento.schemas import (
     EVALUATION_RATIO, MIN_SAMPLES_LEAF, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
 )
@@ -84,7 +85,7 @@ class MaskPlan:
         self.long = _masked_long(df, self.targets, seed, by)
         # one row per (group, target), read by every branch: computed once
         self.cuts = materialize(_mask_cuts(self.long, ratio, by), "mask-cuts")
-        self.tagged = self.long.join(self.cuts, [by, "alvo"], "inner")
+        self.tagged = self.long.join(broadcast_if_small(self.cuts), [by, "alvo"], "inner")
         self._edge = None
 
     def edge(self) -> DataFrame:
@@ -127,8 +128,8 @@ def apply_mask(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALU
     edge = plan.edge() \
         .groupBy("id").agg(*[F.max(F.when(F.col("alvo") == t, F.lit(True))).alias(f"_e_{t}")
                              for t in targets])
-    wide_cuts = plan.cuts.groupBy(by).agg(
-        *[F.max(F.when(F.col("alvo") == t, F.col("_cut"))).alias(f"_c_{t}") for t in targets])
+    wide_cuts = broadcast_if_small(plan.cuts.groupBy(by).agg(
+        *[F.max(F.when(F.col("alvo") == t, F.col("_cut"))).alias(f"_c_{t}") for t in targets]))
     bucket = {t: F.shiftright(F.conv(F.substring(hash_order(seed, t), 1, 15), 16, 10).cast("long"),
                               60 - MASK_BUCKET_BITS) for t in targets}
     tagged = df.join(wide_cuts, by, "left").withColumns({f"_b_{t}": bucket[t] for t in targets})
@@ -155,15 +156,17 @@ def mean_fill_pairs(mask: DataFrame, masked: DataFrame, targets: list[str] = TAR
                     by: str = "estacao") -> DataFrame:
     """Masked truth paired with the mean-fill value of its cell: the station
     mean of the unmasked values, joined by (station, target) -- a small side."""
-    means = masked.groupBy(by).agg(*[F.avg(t).alias(t) for t in targets]) \
-        .unpivot([by], targets, "alvo", "imputado")
-    return mask.join(means, [by, "alvo"], "inner")
+    means = materialize(masked.groupBy(by).agg(*[F.avg(t).alias(t) for t in targets])
+                        .unpivot([by], targets, "alvo", "imputado"), "mean-fill-pairs")
+    return mask.join(broadcast_if_small(means), [by, "alvo"], "inner")
 
 
 def mean_fill(df: DataFrame, targets: list[str] = TARGETS, by: str | None = "estacao") -> DataFrame:
     """Missing cells -> mean of the observed values of the group (M2)."""
     if by:
-        means = df.groupBy(by).agg(*[F.avg(t).alias(f"_mu_{t}") for t in targets])
+        # one row per station: written once and broadcast, so a hot station is not shuffled
+        means = broadcast_if_small(materialize(
+            df.groupBy(by).agg(*[F.avg(t).alias(f"_mu_{t}") for t in targets]), "mean-fill"))
         j = df.join(means, by, "left")
     else:
         # overall means are scalar subqueries: computed once, inlined as values

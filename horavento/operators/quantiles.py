@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from horavento.operators.joins import broadcast_if_small
 from horavento.session import materialize
 
 
@@ -47,7 +48,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
     raw_b = F.floor((F.col("_x") - F.col("_lo")) / span * nbk.cast("double")).cast("long")
     b = F.when(span == 0, F.lit(0).cast("long")).otherwise(F.least(raw_b, nbk.cast("long") - 1))
     # one row per group: a small side
-    tagged = base.join(stats, by, "inner").withColumn("_b", b)
+    tagged = base.join(broadcast_if_small(stats), by, "inner").withColumn("_b", b)
     counts = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_nb"))
     w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     cum = counts.withColumn("_end", F.sum("_nb").over(w)).withColumn("_start", F.col("_end") - F.col("_nb"))
@@ -65,7 +66,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
                        .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end")))
                        .drop("_nb", "_end"), "q-need")  # a few rows per group
     # distinct values of the needed buckets only, ranked inside their bucket
-    in_need = tagged.join(need.select(*by, "_b").distinct(), by + ["_b"], "left_semi")
+    in_need = tagged.join(broadcast_if_small(need.select(*by, "_b").distinct()), by + ["_b"], "left_semi")
     vc = in_need.groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))
     wv = Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     vc = vc.withColumn("_vend", F.sum("_c").over(wv)).withColumn("_vstart", F.col("_vend") - F.col("_c"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import value_map
 from horavento.functions.temporal import epoch_ms, to_ts
+from horavento.operators.joins import broadcast_if_small
 from horavento.session import materialize
 
 
@@ -53,7 +54,7 @@ def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket:
         stats = stats.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(by)], "_kmin", "_kmax", "_nb")
         stats = materialize(stats, "seq-stats")  # one row per group, read by two branches
         scond = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(by)]
-        tagged = tagged.join(stats, scond, "inner")
+        tagged = tagged.join(broadcast_if_small(stats), scond, "inner")
     else:
         # one global group: its size and range are scalar subqueries
         tagged = tagged.withColumns({
@@ -72,7 +73,8 @@ def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket:
     # null-safe join keys: a NULL station is its own group here
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + \
         [F.col("_sb") == F.col("_ksb")]
-    return tagged.join(offsets, cond, "inner").drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
+    return tagged.join(broadcast_if_small(offsets), cond, "inner") \
+        .drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
 
 
 def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
