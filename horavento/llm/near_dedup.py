@@ -9,8 +9,9 @@
    The collision-corrected similarity of the packed signatures (XOR, fold,
    bit count) drops clear non-matches; the rest are confirmed on full sets.
 4. What this star leaves open is the pairs of a bucket that lie in different
-   components by then.  They are joined within size classes, so no link
-   between components is lost and groups already joined emit nothing.
+   components by then.  They are joined within size classes, under the same
+   size and signature conditions, so no link between components is lost while
+   groups already joined and look-alikes of low similarity emit nothing.
 5. Union-find over the confirmed links; smallest doc_id names the component.
 
 Defined cases: null or wordless text has the empty set and stays alone; rows
@@ -34,8 +35,8 @@ from horavento.session import materialize
 SHINGLE, PERCENT = 4, 80
 #: misses a pair of similarity 0.8 with probability (1 - 0.8^5)^32 = 3e-6
 BANDS, ROWS, BITS = 32, 5, 4
-#: pairs are confirmed from this estimate on: over five standard errors below 0.8
-SLACK = 0.22
+#: pairs are confirmed from this estimate on: five standard errors below 0.8
+SLACK = 0.17
 _K = BANDS * ROWS
 _LONGS = _K * BITS // 64
 _rng = np.random.default_rng(20240607)
@@ -105,6 +106,12 @@ def estimate(a, b):
     return (1 - unequal / F.lit(float(_K)) - chance) / (1 - chance)
 
 
+def _possible(nu, nv, su, sv, percent: int):
+    """False for pairs whose sizes exclude the threshold or whose signatures
+    make it all but impossible."""
+    return (F.least(nu, nv) * 100 >= F.greatest(nu, nv) * percent) & (estimate(su, sv) >= percent / 100 - SLACK)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` whose full sets meet the threshold.  Sizes and
     signatures filter first, then the two texts come together pair by pair
@@ -112,8 +119,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int
     a = nodes.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sig").alias("su"))
     b = nodes.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sig").alias("sv"))
     likely = (pairs.join(a, "u").join(b, "v")
-              .where(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-              .where(estimate(F.col("su"), F.col("sv")) >= percent / 100 - SLACK)
+              .where(_possible(F.col("nu"), F.col("nv"), F.col("su"), F.col("sv"), percent))
               .select("u", "v").distinct())
     likely = materialize(likely, "near-pairs")
     ends = likely.select(F.col("u").alias("doc_id")).unionByName(likely.select(F.col("v").alias("doc_id"))).distinct()
@@ -166,14 +172,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     comp = shared.join(joined, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
     split = comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     step = math.log(100 / percent) if percent < 100 else 1.0
-    open_ = materialize(comp.join(split, "key").withColumn("size", F.floor(F.log(F.col("n").cast("double")) / step)),
-                        "near-open")
-    left = open_.select("key", "size", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
-    right = open_.select("key", F.explode(F.array(F.col("size"), F.col("size") - 1, F.col("size") + 1)).alias("size"),
-                         F.col("node").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv"))
-    rest = (left.join(right, ["key", "size"])
-            .where("u < v AND cu <> cv").where(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-            .select("u", "v").distinct().join(star, ["u", "v"], "left_anti"))
+    open_ = materialize(comp.join(split, "key").join(nodes.select("node", "sig"), "node")
+                        .withColumn("size", F.floor(F.log(F.col("n").cast("double")) / step)), "near-open")
+    side = lambda x, size: open_.select("key", size.alias("size"), *[F.col(c).alias(c + x) for c in ("node", "n", "c", "sig")])
+    left, right = side("u", F.col("size")), side("v", F.explode(F.array(F.col("size"), F.col("size") - 1, F.col("size") + 1)))
+    rest = (left.join(right, (left["key"] == right["key"]) & (left["size"] == right["size"])
+                      & (F.col("nodeu") < F.col("nodev")) & (F.col("cu") != F.col("cv"))
+                      & _possible(F.col("nu"), F.col("nv"), F.col("sigu"), F.col("sigv"), percent))
+            .select(F.col("nodeu").alias("u"), F.col("nodev").alias("v")).distinct().join(star, ["u", "v"], "left_anti"))
     links = first.unionByName(_confirmed(rest, docs, nodes, shingle, percent))
     found = connected_components(links, "near-round2")
 
