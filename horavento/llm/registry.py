@@ -1,6 +1,6 @@
 """Import every operator module so that the registry is complete."""
 
-from horavento.llm import decontaminate, near_dedup  # noqa: F401
+from horavento.llm import decontaminate, line_dedup, near_dedup, packing, quality  # noqa: F401
 from horavento.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
