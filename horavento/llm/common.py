@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,3 +170,44 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop the columns that clash (case-insensitively) with result names."""
     low = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
+
+
+def packed_similarity(a: Column, b: Column, slots: int, bits: int) -> Column:
+    """Collision-corrected similarity of two packed signatures (arrays of
+    longs with ``slots`` slots of ``bits`` bits): the share of equal slots,
+    less what unequal minima agree on by chance.  XOR, fold, count bits."""
+    ones = int("".join(["0" * (bits - 1) + "1"] * (64 // bits)), 2)
+    ones = F.lit(ones - (1 << 64) if ones >= 1 << 63 else ones).cast("long")
+    unequal = F.lit(0)
+    for i in range(slots * bits // 64):
+        x = a[i].bitwiseXOR(b[i])
+        fold = x
+        for s in range(1, bits):
+            fold = fold.bitwiseOR(F.shiftrightunsigned(x, s))
+        unequal = unequal + F.bit_count(fold.bitwiseAND(ones))
+    chance = 1.0 / (1 << bits)
+    return (1 - unequal / F.lit(float(slots)) - chance) / (1 - chance)
+
+
+#: cells of the bit table of ``flagged``, 64 bits each
+CELLS = 1 << 17
+
+
+def flagged(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``df`` with boolean ``__likely``, false only if the long ``key`` is
+    surely not in the single long column of ``keys``: a table of at most
+    ``CELLS`` 64-bit masks (some megabytes, the same for any input) is
+    broadcast and the key's bit looked up."""
+    k = F.col(keys.columns[0])
+    cell = lambda c: F.pmod(c, F.lit(CELLS))
+    bit = lambda c: F.pmod(F.shiftright(c, 40), F.lit(64)).cast("int")
+    masks = (keys.select(cell(k).alias("__cell"), bit(k).alias("__bit"))
+             .groupBy("__cell").agg(F.expr("bit_or(shiftleft(1L, __bit))").alias("__mask")))
+    return (df.withColumn("__cell", cell(key)).withColumn("__bit", bit(key))
+            .join(F.broadcast(masks), "__cell", "left")
+            .withColumn("__likely", F.expr("(shiftrightunsigned(coalesce(__mask, 0L), __bit) & 1L) = 1"))
+            .drop("__cell", "__bit", "__mask"))
+
+
+def only_likely(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    return flagged(df, key, keys).where("__likely").drop("__likely")

@@ -9,9 +9,12 @@
    The collision-corrected similarity of the packed signatures (XOR, fold,
    bit count) drops clear non-matches; the rest are confirmed on full sets.
 4. What this star leaves open is the pairs of a bucket that lie in different
-   components by then.  They are joined within size classes, under the same
-   size and signature conditions, so no link between components is lost while
-   groups already joined and look-alikes of low similarity emit nothing.
+   components by then.  In buckets of up to ``BUCKET`` nodes they are joined
+   under the same size and signature conditions.  The nodes of larger buckets
+   meet by prefix filtering instead, which is exact: under any common order of
+   shingles, sets of this similarity share one of their first few, with enough
+   left behind it.  The order puts shingles that are frequent in a bounded
+   sample last, so a passage that many documents share brings none together.
 5. Union-find over the confirmed links; smallest doc_id names the component.
 
 Defined cases: null or wordless text has the empty set and stays alone; rows
@@ -21,22 +24,25 @@ kept; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import map_batches, mix, register, shingle_set, table, text_column
+from horavento.llm.common import map_batches, mix, only_likely, packed_similarity, register, shingle_set, table, text_column
 from horavento.llm.components import connected_components
 from horavento.session import materialize
 
-SHINGLE, PERCENT = 4, 80
+#: five words unless the caller says otherwise
+SHINGLE, PERCENT = 5, 80
 #: misses a pair of similarity 0.8 with probability (1 - 0.8^5)^32 = 3e-6
 BANDS, ROWS, BITS = 32, 5, 4
 #: pairs are confirmed from this estimate on: five standard errors below 0.8
 SLACK = 0.17
+#: the open pairs of larger buckets are found by prefix filtering
+BUCKET = 64
+#: documents whose shingles are counted for its order, and shingles put last
+ORDER_SAMPLE, ORDER_LAST = 500, 100_000
 _K = BANDS * ROWS
 _LONGS = _K * BITS // 64
 _rng = np.random.default_rng(20240607)
@@ -90,26 +96,10 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                        fn, "doc_id long, n long, f1 long, f2 long, bands array<long>, sig array<long>")
 
 
-def estimate(a, b):
-    """Collision-corrected similarity of two packed signatures: the share of
-    equal ``BITS``-bit slots, minus what unequal minima agree on by chance."""
-    unequal = F.lit(0)
-    ones = int("".join(["0" * (BITS - 1) + "1"] * (64 // BITS)), 2)
-    ones = F.lit(ones - (1 << 64) if ones >= 1 << 63 else ones).cast("long")
-    for i in range(_LONGS):
-        x = a[i].bitwiseXOR(b[i])
-        fold = x
-        for s in range(1, BITS):
-            fold = fold.bitwiseOR(F.shiftrightunsigned(x, s))
-        unequal = unequal + F.bit_count(fold.bitwiseAND(ones))
-    chance = 1.0 / (1 << BITS)
-    return (1 - unequal / F.lit(float(_K)) - chance) / (1 - chance)
-
-
 def _possible(nu, nv, su, sv, percent: int):
     """False for pairs whose sizes exclude the threshold or whose signatures
     make it all but impossible."""
-    return (F.least(nu, nv) * 100 >= F.greatest(nu, nv) * percent) & (estimate(su, sv) >= percent / 100 - SLACK)
+    return (F.least(nu, nv) * 100 >= F.greatest(nu, nv) * percent) & (packed_similarity(su, sv, _K, BITS) >= percent / 100 - SLACK)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -123,8 +113,10 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int
               .select("u", "v").distinct())
     likely = materialize(likely, "near-pairs")
     ends = likely.select(F.col("u").alias("doc_id")).unionByName(likely.select(F.col("v").alias("doc_id"))).distinct()
-    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                        .join(ends, "doc_id", "left_semi"), "near-texts")
+    # the bit table keeps the texts of most other documents out of the shuffle
+    all_texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    likely_ends = only_likely(all_texts, F.xxhash64("doc_id"), ends.select(F.xxhash64("doc_id").alias("k")))
+    texts = materialize(likely_ends.join(ends, "doc_id", "left_semi"), "near-texts")
     both = (likely.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u")
             .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")), "v"))
 
@@ -148,6 +140,51 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int
     return map_batches(both.select("u", "v", "tu", "tv"), fn, "u long, v long").distinct()
 
 
+def _pairs_by_key(rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` of nodes that share a ``key``, lie in different
+    components and may meet the threshold.  ``at`` is the key's place in the
+    node's order (0 where there is none): at the first key two sets share, the
+    rest of each bounds what they have in common."""
+    side = lambda x: rows.select(F.col("key").alias("k" + x), *[F.col(c).alias(c + x) for c in ("node", "n", "c", "at", "sig")])
+    enough = lambda x: (F.col("n" + x) - F.col("at" + x)) * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent
+    return (side("u").join(side("v"), (F.col("ku") == F.col("kv")) & (F.col("nodeu") < F.col("nodev"))
+                           & (F.col("cu") != F.col("cv")) & enough("u") & enough("v")
+                           & _possible(F.col("nu"), F.col("nv"), F.col("sigu"), F.col("sigv"), percent))
+            .select(F.col("nodeu").alias("u"), F.col("nodev").alias("v")))
+
+
+def _prefixes(docs: DataFrame, hot: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``hot`` with a row per ``key`` and its place ``at``: the first
+    n - ceil(percent * n) + 1 shingles of the node's set in an order common to
+    all."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    texts = materialize(only_likely(rows, F.xxhash64("node"), hot.select(F.xxhash64("node").alias("k")))
+                        .join(hot.select("node"), "node", "left_semi"), "near-hot-texts")
+
+    def count(batch: pa.RecordBatch) -> dict:
+        sets = [shingle_set(t, shingle) for t in text_column(batch, "text")]
+        h, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        return {"h": h.view(np.int64), "c": c}
+
+    sample = texts.orderBy(F.xxhash64("node")).limit(ORDER_SAMPLE).select("text")
+    last = (map_batches(sample, count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 2")
+            .orderBy(F.desc("c"), "h").limit(ORDER_LAST).collect())
+    late = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r.h for r in last], dtype=np.int64).view(np.uint64)))
+
+    def first(batch: pa.RecordBatch) -> dict:
+        keys = []
+        for t in text_column(batch, "text"):
+            h = shingle_set(t, shingle)
+            n = len(h) + (-percent * len(h) // 100) + 1
+            place = np.minimum(np.searchsorted(late.value, h), max(0, len(late.value) - 1))
+            common = late.value[place] == h if len(late.value) else np.zeros(len(h), dtype=bool)
+            keys.append(np.concatenate([h[~common], h[common]])[:n].view(np.int64))
+        return {"node": batch.column(0), "keys": keys}
+
+    found = map_batches(texts.select("node", "text"), first, "node long, keys array<long>")
+    return materialize(found.select("node", F.posexplode("keys").alias("at", "key")).distinct().join(hot, "node"), "near-prefix")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     rows = materialize(sketches(docs, shingle), "near-sketch")
@@ -170,16 +207,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     # what the star left open: pairs of a bucket in different components
     comp = shared.join(joined, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
-    split = comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    step = math.log(100 / percent) if percent < 100 else 1.0
-    open_ = materialize(comp.join(split, "key").join(nodes.select("node", "sig"), "node")
-                        .withColumn("size", F.floor(F.log(F.col("n").cast("double")) / step)), "near-open")
-    side = lambda x, size: open_.select("key", size.alias("size"), *[F.col(c).alias(c + x) for c in ("node", "n", "c", "sig")])
-    left, right = side("u", F.col("size")), side("v", F.explode(F.array(F.col("size"), F.col("size") - 1, F.col("size") + 1)))
-    rest = (left.join(right, (left["key"] == right["key"]) & (left["size"] == right["size"])
-                      & (F.col("nodeu") < F.col("nodev")) & (F.col("cu") != F.col("cv"))
-                      & _possible(F.col("nu"), F.col("nv"), F.col("sigu"), F.col("sigv"), percent))
-            .select(F.col("nodeu").alias("u"), F.col("nodev").alias("v")).distinct().join(star, ["u", "v"], "left_anti"))
+    split = (comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
+             .where("lo <> hi").select("key", "m"))
+    open_ = materialize(comp.join(split, "key").join(nodes.select("node", "sig"), "node"), "near-open")
+    rest = _pairs_by_key(open_.where(F.col("m") <= BUCKET).withColumn("at", F.lit(0)), percent)
+    hot = materialize(open_.where(F.col("m") > BUCKET).select("node", "n", "c", "sig").dropDuplicates(["node"]), "near-hot")
+    if not hot.isEmpty():
+        rest = rest.unionByName(_pairs_by_key(_prefixes(docs, hot, shingle, percent), percent))
+    rest = rest.distinct().join(star, ["u", "v"], "left_anti")
     links = first.unionByName(_confirmed(rest, docs, nodes, shingle, percent))
     found = connected_components(links, "near-round2")
 
@@ -204,4 +239,4 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
 @register("op10_near_dedup")
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
