@@ -1,6 +1,8 @@
 """Import every operator module so that the registry is complete."""
 
-from horavento.llm import decontaminate, line_dedup, near_dedup, packing, quality  # noqa: F401
+from horavento.llm import (  # noqa: F401
+    decontaminate, html_text, knn, language_model, licences, line_dedup, near_dedup, packing, pii, quality,
+)
 from horavento.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
