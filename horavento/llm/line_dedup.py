@@ -1,17 +1,20 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
-1. Lines are trimmed and lower-cased.  Every line is cut into overlapping
-   pieces (one linear regular expression), the pieces into character shingles;
-   per distinct line ``MINIMA`` minima of one 32-bit shingle hash, each XORed
+1. Lines are trimmed and lower-cased; a line's set holds its ``SHINGLE``
+   characters from every position on.  For the signatures a line is cut into
+   overlapping pieces (one linear expression), the pieces into shingles.
+2. Per distinct line ``MINIMA`` minima of one 32-bit shingle hash, each XORed
    with its own constant, come from one partial aggregate.  The constants
    differ in their leading bits, so each minimum is drawn from another part of
    the hash range (one-permutation hashing; an empty part takes the nearest).
-2. Bands of four minima: eight disjoint ones and ``EXTRA`` across them.
-   Every line of a shared band key meets the key's smallest line; the pair is
-   confirmed by the exact Jaccard similarity of the shingle sets.
-3. Pairs of a key that are in different components by then are confirmed
-   too, so no link between components is lost and no group is paired out.
-4. Union-find over the links; one occurrence per component is kept, that of
+3. Bands of four minima: eight disjoint ones and ``EXTRA`` across them.
+   Every line of a shared band key meets the key's smallest line.  The low
+   bits of the minima, packed into longs, drop clear non-matches; the others
+   are confirmed by the exact Jaccard similarity of the shingle sets.
+4. Pairs of a key that are in different components by then are filtered and
+   confirmed too, so no link between components is lost and no group is
+   paired out.
+5. Union-find over the links; one occurrence per component is kept, that of
    the smallest (doc_id, line number).
 
 Large sides are thinned before a shuffle by ``only_likely``, a bit table of
@@ -28,15 +31,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import register, table, without
+from horavento.llm.common import flagged, only_likely, packed_similarity, register, table, without
 from horavento.llm.components import connected_components
 from horavento.session import materialize
 
 SHINGLE, PERCENT = 8, 80
-MINIMA, EXTRA = 32, 4
+PIECE = 16
 #: a pair of similarity 0.8 is missed with probability about (1 - 0.8^4)^12 = 0.002
-PIECE = 32
-CELLS = 1 << 17
+MINIMA, EXTRA = 32, 4
+BITS = 4
+#: pairs are confirmed from this estimate on: four standard errors below 0.8
+SLACK = 0.3
 
 
 def _constants() -> list[int]:
@@ -66,47 +71,41 @@ def lines_of(docs: DataFrame) -> DataFrame:
         "*", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"))
 
 
-def flagged(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """``df`` with boolean ``__likely``, false only if the long ``key`` is
-    surely not in the single long column of ``keys``: a table of at most
-    ``CELLS`` 64-bit masks (some megabytes, the same for any input) is
-    broadcast and the key's bit looked up."""
-    k = F.col(keys.columns[0])
-    cell = lambda c: F.pmod(c, F.lit(CELLS))
-    bit = lambda c: F.pmod(F.shiftright(c, 40), F.lit(64)).cast("int")
-    masks = (keys.select(cell(k).alias("__cell"), bit(k).alias("__bit"))
-             .groupBy("__cell").agg(F.expr("bit_or(shiftleft(1L, __bit))").alias("__mask")))
-    return (df.withColumn("__cell", cell(key)).withColumn("__bit", bit(key))
-            .join(F.broadcast(masks), "__cell", "left")
-            .withColumn("__likely", F.expr("(shiftrightunsigned(coalesce(__mask, 0L), __bit) & 1L) = 1"))
-            .drop("__cell", "__bit", "__mask"))
-
-
-def only_likely(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    return flagged(df, key, keys).where("__likely").drop("__likely")
-
-
-def _minhashed(lines: DataFrame, shingle: int) -> DataFrame:
-    """``h1, h2`` and the band keys of every distinct line."""
-    # pieces of PIECE starts each, overlapping by a shingle less one character
-    pieces = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{PIECE + shingle - 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    cut = lines.select("h1", "h2", F.posexplode(pieces).alias("k", "piece"))
-    last = F.greatest(F.length("piece") - (shingle - 1), F.lit(1))
-    cut = cut.where((F.length("piece") >= shingle) | (F.col("k") == 0)).select(
-        "h1", "h2", "piece", F.explode(F.sequence(F.lit(1), last)).alias("at"))
-    hashed = cut.select("h1", "h2", F.hash(F.substring(F.col("piece"), F.col("at"), F.lit(shingle))).alias("h"))
+def shingles(line: str) -> Column:
+    """The shingles of a line; a shorter line is one shingle."""
+    every = F.regexp_extract_all(F.col(line), F.lit(f"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))
+    return F.when(F.length(line) >= SHINGLE, every).otherwise(F.array(F.col(line)))
+
+
+def _minhashed(lines: DataFrame) -> DataFrame:
+    """``h1, h2``, the band keys and the packed signature per distinct line."""
+    # pieces of PIECE starts each, overlapping by a shingle less one character;
+    # where a last piece is shorter, its first shingle stands in again
+    pieces = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{PIECE + SHINGLE - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+    cut = lines.select("h1", "h2", F.posexplode(pieces).alias("k", "piece")).where((F.length("piece") >= SHINGLE) | (F.col("k") == 0))
+    at = lambda i: F.hash(F.substring("piece", i, SHINGLE))
+    cut = cut.select("h1", "h2", "piece", F.length("piece").alias("n"), at(1).alias("s1"))
+    hashed = cut.select("h1", "h2", "s1", *[F.when(F.col("n") >= i + SHINGLE - 1, at(i)).otherwise(F.col("s1")).alias(f"s{i}")
+                                            for i in range(2, PIECE + 1)])
     mins = hashed.groupBy("h1", "h2").agg(
-        *[F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(_constants())])
+        *[F.min(F.least(*[F.col(f"s{j}").bitwiseXOR(F.lit(c)) for j in range(1, PIECE + 1)])).alias(f"m{i}")
+          for i, c in enumerate(_constants())])
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{i}") for i in band]) for b, band in enumerate(_bands())]
-    return mins.select("h1", "h2", F.array(*keys).alias("bands"))
+    per, sig = 64 // BITS, []
+    for at in range(0, MINIMA, per):
+        word = F.lit(0).cast("long")
+        for i in range(per):
+            low = F.col(f"m{at + i}").bitwiseAND(F.lit((1 << BITS) - 1)).cast("long")
+            word = word.bitwiseOR(F.shiftleft(low, BITS * i))
+        sig.append(word)
+    return mins.select("h1", "h2", F.array(*keys).alias("bands"), F.array(*sig).alias("sig"))
 
 
-def _shingles(line: str, shingle: int) -> Column:
-    every = F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{shingle}}}))."), F.lit(1)))
-    return F.when(F.length(line) >= shingle, every).otherwise(F.array(F.col(line)))
+def _possible(a: str, b: str, percent: int) -> Column:
+    return packed_similarity(F.col(a), F.col(b), MINIMA, BITS) >= percent / 100 - SLACK
 
 
-def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` of node ids whose shingle sets meet the threshold."""
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     ends = materialize(nodes.select("node", "h1", "h2").join(ends, "node"), "line-ends")
@@ -115,40 +114,46 @@ def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, shingle: in
         .agg(F.first("line").alias("line")).join(ends, ["h1", "h2"]).select("node", "line"), "line-texts")
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v")
-            .select("u", "v", _shingles("a", shingle).alias("a"), _shingles("b", shingle).alias("b"))
+            .select("u", "v", F.array_distinct(shingles("a")).alias("a"), F.array_distinct(shingles("b")).alias("b"))
             .select("u", "v", F.size(F.array_intersect("a", "b")).alias("n"), (F.size("a") + F.size("b")).alias("t")))
     return both.where(F.col("n") * 100 >= (F.col("t") - F.col("n")) * percent).select("u", "v")
 
 
-def line_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """``(nodes, links)``: the distinct lines (``node, h1, h2``) and the
     components ``(node, component)`` of those linked with another one."""
     lines = lines_of(docs)
-    nodes = materialize(_minhashed(lines, shingle).withColumn("node", F.monotonically_increasing_id()), "line-nodes")
+    nodes = materialize(_minhashed(lines).withColumn("node", F.monotonically_increasing_id()), "line-nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     heads = materialize(banded.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
                         .where("head <> last").select("key", "head"), "line-heads")
     shared = materialize(only_likely(banded, F.col("key"), heads.select("key")).join(heads, "key"), "line-buckets")
-    star = materialize(shared.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct(),
-                       "line-star")
-    first = materialize(_confirmed(star, lines, nodes, shingle, percent), "line-links")
+    sig = nodes.select("node", "sig")
+    star = shared.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
+    star = materialize(
+        star.join(sig.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u")
+        .join(sig.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
+        .where(_possible("su", "sv", percent)).select("u", "v"), "line-star")
+    first = materialize(_confirmed(star, lines, nodes, percent), "line-links")
     joined = connected_components(first, "line-round1")
 
     comp = shared.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     split = comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    open_ = materialize(comp.join(split, "key"), "line-open")
-    rest = (open_.select("key", F.col("node").alias("u"), F.col("c").alias("cu"))
-            .join(open_.select("key", F.col("node").alias("v"), F.col("c").alias("cv")), "key")
-            .where("u < v AND cu <> cv").select("u", "v").distinct().join(star, ["u", "v"], "left_anti"))
+    open_ = materialize(comp.join(split, "key").join(sig, "node"), "line-open")
+    left = open_.select("key", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("sig").alias("su"))
+    right = open_.select(F.col("key").alias("k"), F.col("node").alias("v"), F.col("c").alias("cv"), F.col("sig").alias("sv"))
+    rest = (left.join(right, (F.col("key") == F.col("k")) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv"))
+                      & _possible("su", "sv", percent))
+            .select("u", "v").distinct().join(star, ["u", "v"], "left_anti"))
     rest = materialize(rest, "line-rest")
-    more = _confirmed(rest, lines, nodes, shingle, percent)
+    more = _confirmed(rest, lines, nodes, percent)
     return nodes.select("node", "h1", "h2"), connected_components(first.unionByName(more), "line-round2")
 
 
-def dropped_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``id, th, drop``: per document (doc_id and text hash) the numbers of
     the lines that another occurrence stands for."""
-    nodes, groups = line_groups(docs, shingle, percent)
+    nodes, groups = line_groups(docs, percent)
     lines = lines_of(docs).select("id", "th", "no", "h1", "h2")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"), F.col("no"))
     classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -163,10 +168,10 @@ def dropped_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
                        .agg(F.collect_list("no").alias("drop")), "line-drops")
 
 
-def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` (all columns, rows and order of lines) with the surplus lines
     cut out of ``text``, and ``n_lines`` and ``n_dropped``."""
-    drops = dropped_lines(docs, shingle, percent)
+    drops = dropped_lines(docs, percent)
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     text = F.col("text").cast("string")
     rows = without(docs, "n_lines", "n_dropped").select(
