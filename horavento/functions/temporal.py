@@ -54,19 +54,15 @@ def temporal_features(df: DataFrame, data: str = "data", hora: str = "hora") ->
 
 
 def one_hot(df: DataFrame, col: str = "estacao", values: list[str] | None = None,
-            prefix: str | None = None, max_values: int = 10_000) -> DataFrame:
+            prefix: str | None = None) -> DataFrame:
     """One int column per sorted distinct value; NULL -> all zeros.
 
     When ``values`` is not given the distinct values are read from the data.
-    That list becomes the output schema, so it is a small dimension: its size
-    is checked against ``max_values`` before anything reaches the driver."""
+    That list becomes the output schema, so this form is for small dimensions;
+    training uses the sparse form of ``assemble_features``."""
     prefix = f"{col}_" if prefix is None else prefix
     if values is None:
-        distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-        head = distinct.limit(max_values + 1).collect()
-        if len(head) > max_values:
-            raise ValueError(f"one_hot: more than {max_values} distinct values in {col}")
-        values = [r[0] for r in head]
+        values = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect()]
     values = sorted(values)
     return df.withColumns({
         f"{prefix}{v}": F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import residuals
-from horavento.operators.analysis import abs_error_stats, epoch_seconds, score
+from horavento.operators.analysis import abs_error_stats, score
+from horavento.operators.windows import sequence_number
 from horavento.schemas import RANDOM_STATE
 
 FORECAST_FEATURES = ["umidade", "velocidade_vento", "hora", "mes", "dia_ano", "hora_sin", "hora_cos"]
@@ -30,10 +31,13 @@ def prediction_rmse(frame: DataFrame, by=None) -> DataFrame:
 
 
 def scale_features(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    """Assemble and standardise features."""
-    va = VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid="skip")
+    """Assemble and standardise features (M15); missing values take the mean
+    of their column, so every row is kept."""
+    from horavento.operators.impute import mean_fill
+    filled = mean_fill(df, cols, None)
+    va = VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid="keep")
     sc = StandardScaler(inputCol="_raw", outputCol=out, withMean=True, withStd=True)
-    return Pipeline(stages=[va, sc]).fit(df).transform(df).drop("_raw")
+    return Pipeline(stages=[va, sc]).fit(filled).transform(filled).drop("_raw")
 
 
 def train_temperature(df: DataFrame, features: list[str] = FORECAST_FEATURES,
@@ -55,9 +59,8 @@ def train_temperature(df: DataFrame, features: list[str] = FORECAST_FEATURES,
                                     numTrees=num_trees, maxDepth=max_depth, seed=seed)
     elif algo == "gbt":
         est = GBTRegressor(featuresCol="_x", labelCol=label, predictionCol="_p",
-                           maxDepth=min(max_depth, 5), seed=seed)
+                           maxDepth=max_depth, seed=seed)
     elif algo == "lr":
-        va = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip")
         est = LinearRegression(featuresCol="_x", labelCol=label, predictionCol="_p")
     else:
         raise ValueError(f"unknown algorithm {algo}")
@@ -77,18 +80,20 @@ def feature_importance(spark: SparkSession, model, features: list[str] = FORECAS
         .orderBy(F.desc("importancia"), "feature")
 
 
-def time_folds(df: DataFrame, k: int = 5, ts: str = "ts", accuracy: int = 100_000) -> DataFrame:
-    """Assign each row to one of ``k`` time-ordered folds.
-
-    Fold boundaries are ``k - 1`` approximate quantiles of the timestamp
-    (one distributed aggregate), so no global sort or single-partition
-    window is needed; fold i of an expanding split trains on folds < i."""
-    secs = epoch_seconds(ts)
-    probs = [i / k for i in range(1, k)]
-    bounds = df.select(F.percentile_approx(secs, probs, accuracy).alias("b")).scalar()
-    fold = sum((F.when(secs > F.try_element_at(bounds, F.lit(i + 1)), 1).otherwise(0)
-                for i in range(k - 1)), F.lit(0))
-    return df.withColumn("fold", fold.cast("int"))
+def time_folds(df: DataFrame, k: int = 5, ts: str = "ts", id_col: str = "id") -> DataFrame:
+    """Assign each row to one of ``k`` time-ordered folds of equal size, the
+    first ones a row larger where the rows don't divide evenly (M13).
+
+    The rows are numbered by ``sequence_number``, so no global sort or
+    single-partition window is needed; fold i of an expanding split trains on
+    folds < i."""
+    numbered = sequence_number(df, None, [ts, id_col], out="_rn")
+    total = df.count()
+    small, large = total // k, total % k
+    at = F.col("_rn") - 1
+    edge = large * (small + 1)
+    fold = F.when(at < edge, F.floor(at / (small + 1))).otherwise(F.lit(large) + F.floor((at - edge) / max(1, small)))
+    return numbered.withColumn("fold", fold.cast("int")).drop("_rn")
 
 
 def expanding_split(folded: DataFrame, i: int) -> tuple[DataFrame, DataFrame]:

@@ -3,8 +3,8 @@
 * ``mask_cells`` picks exactly ``floor(n * ratio)`` known cells per station
   and target in a seeded hash order (``md5(seed|target|id)``): deterministic,
   partition-independent and reproducible in any SQL engine.  Selection uses
-  a histogram of the 60-bit hash prefix, so a dominant station is cut into
-  65,536 buckets and only one bucket per group is ranked.
+  a histogram of the hash prefix, with more buckets the more cells there are,
+  and only one bucket per group is ranked.
 * ``iterative_impute`` is round-robin regression imputation: start from the
   per-station mean, then for each round and target fit a Spark ML random
   forest on the rows where the target was observed and overwrite only the
@@ -18,7 +18,8 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 from horavento.functions.telemetry import to_long
 from horavento.functions.temporal import one_hot, temporal_features
 from horavento.operators.analysis import score
-from horavento.operators.joins import broadcast_if_small
 from horavento.schemas import (
     EVALUATION_RATIO, MIN_SAMPLES_LEAF, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
 )
@@ -39,7 +39,8 @@ def hash_order(seed: int, target, id_col: str = "id"):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), t, F.col(id_col).cast("string")))
 
 
-MASK_BUCKET_BITS = 16
+#: cells ranked per group, about: the hash buckets are made this small
+MASK_BUCKET_ROWS = 4096
 
 
 def _masked_long(df: DataFrame, targets: list[str], seed: int, by: str) -> DataFrame:
@@ -47,8 +48,7 @@ def _masked_long(df: DataFrame, targets: list[str], seed: int, by: str) -> DataF
     long = to_long(df, ["id", by], targets, "alvo", "real").where(F.col("real").isNotNull())
     h = hash_order(seed, F.col("alvo"))
     return long.withColumn("_h", h) \
-        .withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")) \
-        .withColumn("_b", F.shiftright("_h60", 60 - MASK_BUCKET_BITS))
+        .withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
 
 
 def _mask_cuts(long: DataFrame, ratio: float, by: str) -> DataFrame:
@@ -82,10 +82,15 @@ class MaskPlan:
     def __init__(self, df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALUATION_RATIO,
                  seed: int = RANDOM_STATE, by: str = "estacao"):
         self.targets, self.seed, self.by = list(targets), seed, by
-        self.long = _masked_long(df, self.targets, seed, by)
+        # every branch reads this one copy: the cells are hashed once
+        long = materialize(_masked_long(df, self.targets, seed, by), "mask-cells")
+        self.shift = 60 - min(44, max(4, (long.count() // MASK_BUCKET_ROWS).bit_length()))
+        self.long = long.withColumn("_b", F.shiftright("_h60", self.shift))
         # one row per (group, target), read by every branch: computed once
         self.cuts = materialize(_mask_cuts(self.long, ratio, by), "mask-cuts")
-        self.tagged = self.long.join(broadcast_if_small(self.cuts), [by, "alvo"], "inner")
+        cuts = self.cuts.withColumnsRenamed({by: "_g", "alvo": "_t"})
+        self.tagged = self.long.join(cuts, F.col(by).eqNullSafe(F.col("_g")) & (F.col("alvo") == F.col("_t")),
+                                     "inner").drop("_g", "_t")
         self._edge = None
 
     def edge(self) -> DataFrame:
@@ -101,12 +106,12 @@ def mask_cells(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALU
     """Exactly ``floor(n * ratio)`` known cells per (station, target), chosen
     in seeded hash order (W2, T13).  Returns ``(estacao, alvo, id, real)``.
 
-    The hash is uniform, so its top 16 bits cut every group into 65,536
-    buckets of near-equal size.  One partial aggregate counts cells per
-    (group, target, bucket); a running sum over that small table finds, per
-    group, the bucket where the ``k``-th cell falls.  Cells in earlier buckets
-    are masked outright; only the cells of that one bucket (about n / 65,536
-    of a group, however hot the group) are ranked exactly."""
+    The hash is uniform, so its leading bits cut every group into buckets of
+    near-equal size, about ``MASK_BUCKET_ROWS`` cells for a group that holds
+    them all.  One partial aggregate counts cells per (group, target, bucket);
+    a running sum over that small table finds, per group, the bucket where the
+    ``k``-th cell falls.  Cells in earlier buckets are masked outright; only
+    the cells of that one bucket are ranked exactly."""
     plan = plan or MaskPlan(df, targets, ratio, seed, by)
     by = plan.by
     # the cut table has one row per (group, target): joined without shuffling the cells
@@ -120,19 +125,18 @@ def apply_mask(df: DataFrame, targets: list[str] = TARGETS, ratio: float = EVALU
 
     Each cell's hash bucket is compared with its group's cut (a small table
     pivoted to one row per station and joined by station); only rows with a
-    cell inside a cut bucket -- about 3 / 65,536 of the rows -- are matched
-    against the exact edge ranking by id.  The readings themselves are never
+    cell inside a cut bucket are matched against the exact edge ranking by id.  The readings themselves are never
     shuffled."""
     plan = plan or MaskPlan(df, targets, ratio, seed, by)
     targets, by, seed = plan.targets, plan.by, plan.seed
     edge = plan.edge() \
         .groupBy("id").agg(*[F.max(F.when(F.col("alvo") == t, F.lit(True))).alias(f"_e_{t}")
                              for t in targets])
-    wide_cuts = broadcast_if_small(plan.cuts.groupBy(by).agg(
-        *[F.max(F.when(F.col("alvo") == t, F.col("_cut"))).alias(f"_c_{t}") for t in targets]))
+    wide_cuts = plan.cuts.groupBy(by).agg(
+        *[F.max(F.when(F.col("alvo") == t, F.col("_cut"))).alias(f"_c_{t}") for t in targets])
     bucket = {t: F.shiftright(F.conv(F.substring(hash_order(seed, t), 1, 15), 16, 10).cast("long"),
-                              60 - MASK_BUCKET_BITS) for t in targets}
-    tagged = df.join(wide_cuts, by, "left").withColumns({f"_b_{t}": bucket[t] for t in targets})
+                              plan.shift) for t in targets}
+    tagged = df.join(wide_cuts.withColumnRenamed(by, "_g"), F.col(by).eqNullSafe(F.col("_g")), "left").drop("_g").withColumns({f"_b_{t}": bucket[t] for t in targets})
     at_edge = F.lit(False)
     for t in targets:
         at_edge = at_edge | (F.col(t).isNotNull() & (F.col(f"_b_{t}") == F.col(f"_c_{t}")))
@@ -158,31 +162,43 @@ def mean_fill_pairs(mask: DataFrame, masked: DataFrame, targets: list[str] = TAR
     mean of the unmasked values, joined by (station, target) -- a small side."""
     means = materialize(masked.groupBy(by).agg(*[F.avg(t).alias(t) for t in targets])
                         .unpivot([by], targets, "alvo", "imputado"), "mean-fill-pairs")
-    return mask.join(broadcast_if_small(means), [by, "alvo"], "inner")
+    means = means.withColumnsRenamed({by: "_g", "alvo": "_t"})
+    return mask.join(means, F.col(by).eqNullSafe(F.col("_g")) & (F.col("alvo") == F.col("_t")), "inner").drop("_g", "_t")
 
 
-def mean_fill(df: DataFrame, targets: list[str] = TARGETS, by: str | None = "estacao") -> DataFrame:
-    """Missing cells -> mean of the observed values of the group (M2)."""
+def mean_fill(df: DataFrame, targets: list[str] = TARGETS, by: str | None = "estacao",
+              fallback: dict[str, float] | None = None) -> DataFrame:
+    """Missing cells -> mean of the observed values of the group (M2); a group
+    without any takes the overall mean, and a measure without any value its
+    ``fallback``, 0 by default."""
     if by:
         # one row per station: written once and broadcast, so a hot station is not shuffled
-        means = broadcast_if_small(materialize(
-            df.groupBy(by).agg(*[F.avg(t).alias(f"_mu_{t}") for t in targets]), "mean-fill"))
-        j = df.join(means, by, "left")
+        means = materialize(
+            df.groupBy(by).agg(*[F.avg(t).alias(f"_mu_{t}") for t in targets]), "mean-fill")
+        j = df.join(means.withColumnRenamed(by, "_g"), F.col(by).eqNullSafe(F.col("_g")), "left").drop("_g")
     else:
         # overall means are scalar subqueries: computed once, inlined as values
         j = df.withColumns({f"_mu_{t}": df.select(F.avg(t)).scalar() for t in targets})
-    return j.select(*[F.coalesce(F.col(c), F.col(f"_mu_{c}")).alias(c) if c in targets else F.col(c)
+    overall = {t: df.select(F.avg(t)).scalar() for t in targets}
+    return j.select(*[F.coalesce(F.col(c), F.col(f"_mu_{c}"), overall[c], F.lit((fallback or {}).get(c) or 0.0)).alias(c) if c in targets else F.col(c)
                       for c in df.columns])
 
 
 def assemble_features(df: DataFrame, by: str = "estacao", stations: list[str] | None = None,
                       pooled: bool = True) -> tuple[DataFrame, list[str]]:
-    """Ten temporal features plus station one-hots when pooled."""
+    """Ten temporal features plus the station when pooled (M1, T15): one 0/1
+    column per name of an explicit ``stations`` list, else one sparse vector
+    column ``<by>_vetor`` for any number of stations (NULL is its last slot)."""
     out = temporal_features(df, "data", "hora")
     feats = list(TEMPORAL_FEATURES)
-    if pooled:
+    if pooled and stations is not None:
         out = one_hot(out, by, stations)
-        feats += sorted(c for c in out.columns if c.startswith(f"{by}_"))
+        feats += sorted(f"{by}_{s}" for s in stations)
+    elif pooled:
+        index = StringIndexer(inputCol=by, outputCol=f"{by}_indice", handleInvalid="keep", stringOrderType="alphabetAsc")
+        slots = OneHotEncoder(inputCol=f"{by}_indice", outputCol=f"{by}_vetor", dropLast=False, handleInvalid="keep")
+        out = Pipeline(stages=[index, slots]).fit(out).transform(out).drop(f"{by}_indice")
+        feats.append(f"{by}_vetor")
     return out, feats
 
 
@@ -196,7 +212,7 @@ def _persist_round(df: DataFrame, tag: str) -> DataFrame:
 def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
                      features: list[str] | None = None, by: str = "estacao",
                      seed: int = RANDOM_STATE, scope: str = "pooled",
-                     max_stations: int = 1000) -> DataFrame:
+                     fallback: dict[str, float] | None = None) -> DataFrame:
     """Round-robin random-forest imputation (M3, M4).
 
     Targets are visited fewest-missing first; observed cells never change;
@@ -206,26 +222,24 @@ def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
     station, without one-hots (T15) -- stations x targets x rounds fits,
     each on its station's rows only."""
     if scope == "per_station":
-        names = [r[0] for r in df.select(by).where(F.col(by).isNotNull()).distinct()
-                 .limit(max_stations + 1).collect()]
-        if len(names) > max_stations:
-            raise ValueError("per_station imputation: too many stations; use scope='pooled'")
-        parts = []
-        for name in sorted(names):
-            sub, feats = assemble_features(df.where(F.col(by) == name), by, pooled=False)
-            parts.append(iterative_impute(sub, config, targets, feats, by, seed))
+        # the names alone; rows without a station are one group of their own
+        names = [r[0] for r in df.select(by).distinct().collect()]
+        means, parts = df.agg(*[F.avg(t).alias(t) for t in targets]).first().asDict(), []
+        for name in sorted(names, key=lambda n: (n is None, n or "")):
+            sub, feats = assemble_features(df.where(F.col(by).eqNullSafe(F.lit(name))), by, pooled=False)
+            parts.append(iterative_impute(sub, config, targets, feats, by, seed, fallback=means))
         from functools import reduce
         return reduce(DataFrame.unionByName, parts)
     if features is None:
         df, features = assemble_features(df, by)
-    miss = df.agg(*[F.count_if(F.col(t).isNull()).alias(t) for t in targets]).first()
+    miss = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(t).isNull()).alias(t) for t in targets]).first()
     order = sorted(targets, key=lambda t: (miss[t], targets.index(t)))
     flags = {t: f"_miss_{t}" for t in targets}
-    cur = mean_fill(df.withColumns({flags[t]: F.col(t).isNull() for t in targets}), targets, by)
+    cur = mean_fill(df.withColumns({flags[t]: F.col(t).isNull() for t in targets}), targets, by, fallback)
     cur = _persist_round(cur, "impute-init")
     for rnd in range(int(config["max_iter"])):
         for t in order:
-            if miss[t] == 0:
+            if miss[t] in (0, miss["_n"]):  # nothing missing, or nothing to learn from
                 continue
             inputs = [c for c in targets if c != t] + list(features)
             va = VectorAssembler(inputCols=inputs, outputCol="_x", handleInvalid="keep")
@@ -286,7 +300,7 @@ def impute_all(df: DataFrame, configs: list[dict] = MODEL_CONFIGS, targets: list
             imputed.append(f)
             status.append((cfg["nome"], "sucesso", None, time.time() - t0))
         except Exception as e:  # isolate the failing configuration
-            status.append((cfg["nome"], "erro", str(e)[:500], time.time() - t0))
+            status.append((cfg["nome"], "erro", str(e), time.time() - t0))
     st = spark.createDataFrame(status, "modelo string, status string, erro string, duracao_segundos double")
     from functools import reduce
     sc = reduce(DataFrame.unionByName, scores) if scores else None

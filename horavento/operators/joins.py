@@ -1,8 +1,9 @@
 """Joins and keyed lookups.
 
-Dimension sides are broadcast only after a bounded count proves them small
-(``broadcast_if_small``); otherwise the join is left to the planner and AQE,
-which switches to a broadcast at run time when the measured side fits."""
+No side is forced to be broadcast: the planner broadcasts a side whose size
+it knows to be below ``spark.sql.autoBroadcastJoinThreshold``, and adaptive
+execution does so for one that it has measured; other joins are shuffled, with
+skewed partitions split."""
 
 from __future__ import annotations
 
@@ -11,16 +12,6 @@ from pyspark.sql import functions as F
 
 from horavento.schemas import MODEL_CONFIGS
 
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def pending_files(files: DataFrame, ledger: DataFrame, key: str = "arquivo_s3") -> DataFrame:
     """Files not yet loaded with success: left anti join on the path."""
@@ -31,7 +22,7 @@ def pending_files(files: DataFrame, ledger: DataFrame, key: str = "arquivo_s3")
 def map_station(df: DataFrame, alias: DataFrame, col: str = "estacao",
                 alias_key: str = "alias", canonical: str = "canonico") -> DataFrame:
     """Alias -> canonical station name; rows without a match are skipped."""
-    a = broadcast_if_small(alias.select(F.col(alias_key).alias(col), F.col(canonical).alias("_canon")))
+    a = alias.select(F.col(alias_key).alias(col), F.col(canonical).alias("_canon"))
     return df.join(a, col, "inner").withColumn(col, F.col("_canon")).drop("_canon")
 
 
@@ -39,19 +30,19 @@ def attach_device(df: DataFrame, devices: DataFrame, key: str = "estacao",
                   device: str = "device_id") -> DataFrame:
     """Station -> device; stations without a device are kept with status
     ``erro`` (J3)."""
-    out = df.join(broadcast_if_small(devices), key, "left")
+    out = df.join(devices, key, "left")
     return out.withColumn("status", F.when(F.col(device).isNull(), F.lit("erro"))
                           .otherwise(F.lit("ok")))
 
 
 def enrich_station(df: DataFrame, dim: DataFrame, key: str = "estacao") -> DataFrame:
     """Dimension enrichment: code, type, region, description."""
-    return df.join(broadcast_if_small(dim), key, "left")
+    return df.join(dim, key, "left")
 
 
 def with_header(df: DataFrame, header: DataFrame, key: str = "arquivo") -> DataFrame:
     """Attach file metadata (one row per file) to that file's rows."""
-    return df.join(broadcast_if_small(header), key, "left")
+    return df.join(header, key, "left")
 
 
 def masked_pairs(truth: DataFrame, imputed: DataFrame, keys=("id", "alvo")) -> DataFrame:

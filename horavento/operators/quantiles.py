@@ -1,14 +1,14 @@
 """Exact quantiles (linear interpolation) with bounded per-task state.
 
 ``percentile`` keeps a value -> count map per group; for a group holding a
-third of the data with continuous values that map is the group.  Here a
-group is cut into equal value ranges (about ``rows_per_bucket`` rows each,
-at most ``buckets``); one partial aggregate
-counts rows per bucket, a running sum over that small table locates the
-bucket holding each needed rank, and only the distinct values of those few
-buckets are counted and ranked.  Results equal ``percentile`` /
-``quantile_cont``: rank position ``p * (n - 1)``, interpolated between the
-values at its floor and ceiling ranks.
+third of the data with continuous values that map is the group.  Here one
+partial aggregate counts the rows of every (group, value), so repeated values
+weigh one row; these are dealt by ranges of (group, value), which hold about
+equal numbers of values however they are distributed, and written once.  A
+running sum over the row counts per (group, range) finds the range of each
+needed rank, and only the values of those few ranges are ranked.  Results
+equal ``percentile`` / ``quantile_cont``: rank position ``p * (n - 1)``,
+interpolated between the values at its floor and ceiling ranks.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from horavento.operators.joins import broadcast_if_small
 from horavento.session import materialize
 
 
@@ -27,31 +26,29 @@ def _list(x) -> list[str]:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
-                    names: list[str] | None = None, buckets: int = 1 << 20,
-                    rows_per_bucket: int = 1 << 14) -> DataFrame:
+                    names: list[str] | None = None, rows_per_bucket: int | None = None) -> DataFrame:
     """One row per group: ``n``, ``minimo``, ``maximo`` and one column per
     probability (``names`` or ``q_<i>``)."""
     by = _list(by)
     names = names or [f"q_{i}" for i in range(len(probs))]
     if not by:  # one global group: a constant key keeps every join an equi-join
-        return exact_quantiles(df.withColumn("_all", F.lit(0)), col, probs, ["_all"], names,
-                               buckets, rows_per_bucket).drop("_all")
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), col, probs, ["_all"], names, rows_per_bucket).drop("_all")
     cond = F.col(col).isNotNull()
     for c in by:
         cond = cond & F.col(c).isNotNull()
-    base = df.where(cond).select(*by, F.col(col).cast("double").alias("_x"))
-    stats = materialize(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                              F.max("_x").alias("_hi")), "q-stats")
-    # buckets per group: about ``rows_per_bucket`` rows each, at most ``buckets``
-    nbk = F.least(F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_bucket)), F.lit(1)), F.lit(buckets))
-    span = F.col("_hi") - F.col("_lo")
-    raw_b = F.floor((F.col("_x") - F.col("_lo")) / span * nbk.cast("double")).cast("long")
-    b = F.when(span == 0, F.lit(0).cast("long")).otherwise(F.least(raw_b, nbk.cast("long") - 1))
-    # one row per group: a small side
-    tagged = base.join(broadcast_if_small(stats), by, "inner").withColumn("_b", b)
-    counts = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    values = df.where(cond).select(*by, F.col(col).cast("double").alias("_x")) \
+        .groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    if rows_per_bucket:
+        values = materialize(values, "q-counts")
+        values = values.repartitionByRange(max(1, -(-values.count() // rows_per_bucket)), *by, "_x")
+    else:
+        values = values.repartitionByRange(*by, "_x")
+    values = materialize(values.withColumn("_b", F.spark_partition_id()), "q-values")
+    ranges = materialize(values.groupBy(*by, "_b").agg(F.sum("_c").alias("_nb"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")),
+                         "q-ranges")
+    stats = ranges.groupBy(*by).agg(F.sum("_nb").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_end", F.sum("_nb").over(w)).withColumn("_start", F.col("_end") - F.col("_nb"))
+    cum = ranges.select(*by, "_b", "_nb", F.sum("_nb").over(w).alias("_end")).withColumn("_start", F.col("_end") - F.col("_nb"))
     # ranks needed: floor and ceiling of p * (n - 1) for every probability;
     # the group's n / min / max ride along so the last step is one aggregate
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
@@ -65,11 +62,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by=None,
     need = materialize(ranks.join(cum, by, "inner")
                        .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end")))
                        .drop("_nb", "_end"), "q-need")  # a few rows per group
-    # distinct values of the needed buckets only, ranked inside their bucket
-    in_need = tagged.join(broadcast_if_small(need.select(*by, "_b").distinct()), by + ["_b"], "left_semi")
-    vc = in_need.groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    # the values of the needed ranges only, ranked inside their range
+    in_need = values.join(need.select(*by, "_b").distinct(), by + ["_b"], "left_semi")
     wv = Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    vc = vc.withColumn("_vend", F.sum("_c").over(wv)).withColumn("_vstart", F.col("_vend") - F.col("_c"))
+    vc = in_need.withColumn("_vend", F.sum("_c").over(wv)).withColumn("_vstart", F.col("_vend") - F.col("_c"))
     pick = need.join(vc, by + ["_b"], "inner").where(
         (F.col("_r") >= F.col("_start") + F.col("_vstart")) & (F.col("_r") < F.col("_start") + F.col("_vend")))
 

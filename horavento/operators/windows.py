@@ -4,25 +4,26 @@ A plain ``Window.partitionBy(station)`` puts every row of a station in one
 task; with one station holding a third of the data that task is the job.
 So ordered operators here are built from pieces that stay parallel:
 
-* ``sequence_number`` numbers rows per key in order with a two-level scheme:
-  rows are cut into order-preserving sub-buckets of the order key, bucket
-  sizes are counted with a partial aggregate, bucket offsets come from a
-  running sum over that small count table, and the final ``row_number`` runs
-  per (key, bucket) -- a bounded partition.
-* rolling means and lags come from the same bucketed window; only the first
-  ``width - 1`` rows of a bucket fetch predecessors from earlier buckets' tails.
-* latest-per-key uses ``max_by`` (a partial aggregate), top-k per key uses
-  ``row_number <= k`` which Spark plans as a map-side ``WindowGroupLimit``.
+* ``sequence_number`` deals the rows by ranges of (key, order columns): the
+  ranges hold about equal numbers of rows whatever the values are, and ties
+  are split by the later order columns.  The rows are written once with their
+  range; row counts per (key, range) give offsets by a running sum over that
+  small table, and the final ``row_number`` runs per (key, range) -- a bounded
+  partition.
+* rolling means and lags come from the same ranges; only the first
+  ``width - 1`` rows of a range fetch predecessors from earlier ranges' tails.
+* latest-per-key uses ``max_by`` (a partial aggregate); top-k per key ranks
+  within salted parts of a key first, so a key passes on a bounded number of
+  rows however many it holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import value_map
-from horavento.functions.temporal import epoch_ms, to_ts
-from horavento.operators.joins import broadcast_if_small
+from horavento.functions.temporal import epoch_ms
 from horavento.session import materialize
 
 
@@ -32,62 +33,36 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket: int,
+def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket: int | None,
                descending: bool) -> DataFrame:
-    """Tag rows with ``_sb`` (an order-preserving sub-bucket of their group),
-    ``_off`` (rows of the group in earlier sub-buckets) and ``_nsb`` (rows in
-    their own sub-bucket)."""
-    first = F.col(order[0])
-    dtype = dict(df.dtypes)[order[0]]
-    if dtype.startswith("timestamp"):
-        first = F.unix_micros(first.cast("timestamp"))
-    elif dtype == "date":
-        first = F.unix_date(first)
-    key = first.cast("long")
-    if descending:
-        key = -key
-    tagged = df.withColumn("_key", key)
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(rows_per_bucket)))
-    if by:
-        stats = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_gn"), F.min("_key").alias("_kmin"),
-                                        F.max("_key").alias("_kmax")).withColumn("_nb", nb)
-        stats = stats.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(by)], "_kmin", "_kmax", "_nb")
-        stats = materialize(stats, "seq-stats")  # one row per group, read by two branches
-        scond = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(by)]
-        tagged = tagged.join(broadcast_if_small(stats), scond, "inner")
+    """Tag rows with ``_sb`` (their range in the order of ``by`` and ``order``),
+    ``_off`` (rows of the group in earlier ranges) and ``_nsb`` (rows of the
+    group in their own range)."""
+    sort = [F.col(c).asc() for c in by] + [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    if rows_per_bucket:
+        dealt = df.repartitionByRange(max(1, -(-df.count() // rows_per_bucket)), *sort)
     else:
-        # one global group: its size and range are scalar subqueries
-        tagged = tagged.withColumns({
-            "_gn": tagged.select(F.count(F.lit(1))).scalar(),
-            "_kmin": tagged.select(F.min("_key")).scalar(),
-            "_kmax": tagged.select(F.max("_key")).scalar()}).withColumn("_nb", nb).drop("_gn")
-    span = (F.col("_kmax") - F.col("_kmin")).cast("double") + F.lit(1.0)
-    sb = F.floor((F.col("_key") - F.col("_kmin")).cast("double") * F.col("_nb") / span).cast("long")
-    tagged = tagged.withColumn("_sb", F.least(sb, F.col("_nb") - 1)) \
-        .drop(*[f"_s{i}" for i in range(len(by))], "_kmin", "_kmax", "_nb", "_key")
+        dealt = df.repartitionByRange(*sort)
+    tagged = materialize(dealt.withColumn("_sb", F.spark_partition_id()), "ordered-rows")
     counts = tagged.groupBy(*by, "_sb").agg(F.count(F.lit(1)).alias("_nsb"))
-    w_off = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_nsb").over(w_off), F.lit(0)))
+    before = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_nsb").over(before), F.lit(0)))
     offsets = materialize(offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
-                                         F.col("_sb").alias("_ksb"), "_off", "_nsb"), "seq-offsets")
+                                         F.col("_sb").alias("_ksb"), "_off", "_nsb"), "range-offsets")
     # null-safe join keys: a NULL station is its own group here
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + \
         [F.col("_sb") == F.col("_ksb")]
-    return tagged.join(broadcast_if_small(offsets), cond, "inner") \
-        .drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
+    return tagged.join(offsets, cond, "inner").drop(*[f"_k{i}" for i in range(len(by))], "_ksb")
 
 
-def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
+def sequence_number(df: DataFrame, by, order, rows_per_bucket: int | None = None,
                     out: str = "rn", descending: bool = False) -> DataFrame:
-    """1-based row number per ``by`` in ``order`` (the first order column is
-    integral, date or timestamp; later columns break ties).
-
-    One small aggregate gives each group its size and key range; a group is
-    then cut into ``ceil(n / rows_per_bucket)`` equal key ranges.  Bucket
-    sizes are counted (partial aggregate), turned into offsets by a running
-    sum over the bucket table (one row per bucket), and the final
-    ``row_number`` runs per (group, bucket).  A small group is one bucket; a
-    group holding a third of the data is spread over many tasks."""
+    """1-based row number per ``by`` in ``order`` (later columns break ties).
+
+    ``rows_per_bucket`` sets the rows of a range; by default the session's
+    shuffle partitions and adaptive coalescing decide.  A small group lies in
+    one or two ranges; a group holding a third of the data is spread over a
+    third of them."""
     by, order = _list(by), _list(order)
     tagged = _bucketize(df, by, order, rows_per_bucket, descending)
     cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
@@ -96,7 +71,7 @@ def sequence_number(df: DataFrame, by, order, rows_per_bucket: int = 1 << 20,
 
 
 def row_lags(df: DataFrame, by, order, value: str, width: int,
-             rows_per_bucket: int = 1 << 20) -> DataFrame:
+             rows_per_bucket: int | None = None) -> DataFrame:
     """Row number ``rn`` and the values of the ``width - 1`` preceding rows
     (``_lag1`` ...) per group in order; a lag is NULL before the group start.
 
@@ -127,25 +102,35 @@ def row_lags(df: DataFrame, by, order, value: str, width: int,
         [(F.col("rn") - F.col("_d")) == F.col("_trn")]
     found = need.join(tail, cond, "inner").groupBy(*by, "rn") \
         .agg(F.map_from_entries(F.collect_list(F.struct("_d", "_tv"))).alias("_prev"))
-    fixed = head.join(found, [c for c in by] + ["rn"], "left")
+    found = found.select(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(by)], F.col("rn").alias("_frn"), "_prev")
+    same = [F.col(c).eqNullSafe(F.col(f"_f{i}")) for i, c in enumerate(by)] + [F.col("rn") == F.col("_frn")]
+    fixed = head.join(found, same, "left").drop(*[f"_f{i}" for i in range(len(by))], "_frn")
     fixed = fixed.withColumns({
         f"_lag{d}": F.when(F.col("_j") > d, F.col(f"_lag{d}"))
                      .otherwise(F.try_element_at("_prev", F.lit(d))) for d in range(1, k + 1)}).drop("_prev")
     return inner.unionByName(fixed).drop("_sb", "_off", "_nsb", "_j")
 
 
+def _ranked(df: DataFrame, n: int, by: str, order: list[str], parts: int, descending: bool) -> DataFrame:
+    """The first ``n`` rows per ``by`` in ``order``: first within ``parts``
+    salted parts of a key, then among the at most ``parts * n`` rows left."""
+    part = F.pmod(F.xxhash64(*order), F.lit(parts))
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    local = Window.partitionBy(by, "_part").orderBy(*sort)
+    first = df.withColumn("_part", part).withColumn("_r", F.row_number().over(local)).where(F.col("_r") <= n)
+    w = Window.partitionBy(by).orderBy(*sort)
+    return first.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r", "_part")
+
+
 def tail_per_key(df: DataFrame, n: int = 1000, by: str = "estacao",
-                 order=("ts", "id")) -> DataFrame:
-    """Last ``n`` rows per station (W1): ``row_number`` desc <= n, planned as a
-    partial ``WindowGroupLimit`` before the shuffle when n <= 1000."""
-    w = Window.partitionBy(by).orderBy(*[F.col(c).desc() for c in _list(order)])
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+                 order=("ts", "id"), parts: int = 64) -> DataFrame:
+    """Last ``n`` rows per station (W1), for any ``n``."""
+    return _ranked(df, n, by, _list(order), parts, True)
 
 
-def cap_per_station(df: DataFrame, n: int, by: str = "estacao", order=("ts", "id")) -> DataFrame:
+def cap_per_station(df: DataFrame, n: int, by: str = "estacao", order=("ts", "id"), parts: int = 64) -> DataFrame:
     """First ``n`` rows per station (O6, declared by the reference, never applied there)."""
-    w = Window.partitionBy(by).orderBy(*[F.col(c).asc() for c in _list(order)])
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+    return _ranked(df, n, by, _list(order), parts, False)
 
 
 def attach_hourly_index(df: DataFrame, start: str, by: str = "estacao",
@@ -158,12 +143,13 @@ def attach_hourly_index(df: DataFrame, start: str, by: str = "estacao",
 
 
 def rolling_mean(df: DataFrame, width: int = 3, by: str = "estacao", order=("id",),
-                 value: str = "temperatura", out: str = "temp_media_3h") -> DataFrame:
+                 value: str = "temperatura", out: str = "temp_media_3h",
+                 rows_per_bucket: int | None = None) -> DataFrame:
     """Mean of the non-NULL values in the last ``width`` rows per station,
     current row included (W4; the frame rule is this build's choice)."""
     order = _list(order)
     cols = dict.fromkeys([by, *order, value, "id"])
-    x = row_lags(df.select(*cols), by, order, value, width)
+    x = row_lags(df.select(*cols), by, order, value, width, rows_per_bucket)
     vals = F.array(F.col(value), *[F.col(f"_lag{d}") for d in range(1, width)])
     present = F.filter(vals, lambda v: v.isNotNull())
     total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v)

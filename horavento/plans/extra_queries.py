@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from horavento.functions.temporal import station_slug, temporal_features
+from horavento.functions.temporal import station_slug
 from horavento.functions.telemetry import interactions
 from horavento.operators import analysis as A
 from horavento.operators import filters as P
@@ -32,7 +32,8 @@ SELECT id, data, temperatura, umidade, velocidade_vento,
   """ + ", ".join(f"CAST(coalesce(estacao = '{v}', false) AS INTEGER) AS estacao_{v}" for v in STATIONS)
     + " FROM readings_ts")
 def q_treated_dataset(spark, sf):
-    df, _ = assemble_features(readings(spark, sf))
+    r = readings(spark, sf)
+    df, _ = assemble_features(r, stations=[s.estacao for s in discover_stations(r).collect()])
     return rounded(P.select_final(df))
 
 

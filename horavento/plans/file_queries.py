@@ -16,7 +16,7 @@ from horavento.sources.station_files import (
     header_wide, read_station_csv, read_station_csv_named, read_station_header,
 )
 from horavento.sources.tables import load_table, readings
-from horavento.streaming.ingest import ingest_stream
+from horavento.streaming.ingest import ingest_stream, read_ledger, read_table, upsert_partitions
 from horavento.streaming.stats import events_stream, telemetry_stats_stream
 from horavento.streaming.sync import process_runs, runs_from_events, sync_once
 
@@ -112,10 +112,12 @@ def q_ingest_stream(spark, sf):
     src = raw_files(spark, sf)
     table, ledger = scratch_path(spark, "readings-table"), scratch_path(spark, "ledger")
     ingest_stream(spark, src, table, ledger, max_files=2, once=True)
-    return spark.read.parquet(table).select("estacao", "data", "hora", *TARGETS)
+    return read_table(spark, table).select("estacao", "data", "hora", *TARGETS)
 
 
-@register("ingest_ledger")
+@register("ingest_ledger", f"""WITH {RAW_NAMES_CTE}
+SELECT filename AS arquivo, n AS registros_inseridos, CAST(0 AS BIGINT) AS registros_atualizados, 'sucesso' AS status
+FROM names JOIN (SELECT estacao, count(DISTINCT (data, hora)) AS n FROM readings GROUP BY estacao) USING (estacao)""")
 def q_ingest_ledger(spark, sf):
     """Ledger after two availableNow runs over the same files: the second run
     finds nothing pending (R5 idempotence)."""
@@ -123,7 +125,31 @@ def q_ingest_ledger(spark, sf):
     table, ledger = scratch_path(spark, "readings-table"), scratch_path(spark, "ledger")
     ingest_stream(spark, src, table, ledger, max_files=2, once=True)
     ingest_stream(spark, src, table, ledger, max_files=2, once=True)
-    return spark.read.parquet(ledger)
+    return read_ledger(spark, ledger).select(
+        F.regexp_extract("arquivo_s3", r"arquivo=([^/]+)/", 1).alias("arquivo"), "registros_inseridos",
+        "registros_atualizados", "status")
+
+
+NULL_STATION = "CASE WHEN id % 4 = 0 THEN NULL ELSE estacao END"
+
+
+@register("ingest_null_station", f"""WITH {READINGS_SQL},
+r AS (SELECT id, {NULL_STATION} AS estacao, data, lpad(CAST(hora AS VARCHAR), 2, '0') || '00 UTC' AS hora,
+  temperatura, umidade, velocidade_vento FROM readings),
+k AS (SELECT *, row_number() OVER (PARTITION BY estacao, data, hora ORDER BY id % 2 DESC, id DESC) AS rn
+  FROM r WHERE estacao IS NOT NULL)
+SELECT estacao, data, hora, temperatura, umidade, velocidade_vento FROM k WHERE rn = 1
+UNION ALL SELECT estacao, data, hora, temperatura, umidade, velocidade_vento FROM r WHERE estacao IS NULL""")
+def q_ingest_null_station(spark, sf):
+    """Two loads with NULL-station rows, the second one repeated: such
+    rows accumulate, and a replay adds none."""
+    r = readings(spark, sf).withColumns({
+        "estacao": F.expr(NULL_STATION), "hora": F.format_string("%02d00 UTC", "hora"),
+        "arquivo": F.concat(F.lit("lote-"), F.col("id") % 2), "linha": F.col("id").cast("int")})
+    table = scratch_path(spark, "null-station-table")
+    for lot in (0, 1, 1):
+        upsert_partitions(spark, r.where(F.col("id") % 2 == lot).drop("id"), table).collect()
+    return read_table(spark, table).select("estacao", "data", "hora", *TARGETS)
 
 
 @register("run_station", """SELECT event_id AS run_id, upper(event_type) AS estacao FROM events""")

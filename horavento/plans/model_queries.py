@@ -162,6 +162,16 @@ def q_hourly_index(spark, sf):
     return W.attach_hourly_index(r, "2024-01-01 00:00:00").select("id", "estacao", "ts_sintetico")
 
 
+@register("rolling_mean_null_station", f"""WITH {READINGS_SQL},
+r AS (SELECT id, CASE WHEN id % 3 > 0 THEN estacao END AS estacao, temperatura FROM readings)
+SELECT estacao, id, row_number() OVER w AS rn, temperatura,
+  round(avg(temperatura) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS temp_media_3h
+FROM r WINDOW w AS (PARTITION BY estacao ORDER BY id)""")
+def q_rolling_mean_null_station(spark, sf):
+    r = readings(spark, sf).withColumn("estacao", F.when(F.col("id") % 3 > 0, F.col("estacao")))
+    return rounded(W.rolling_mean(r, 3, rows_per_bucket=500))
+
+
 @register("rolling_mean", f"""WITH {READINGS_SQL}
 SELECT estacao, id, row_number() OVER w AS rn, temperatura,
   round(avg(temperatura) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS temp_media_3h
@@ -228,7 +238,7 @@ def q_telemetry_stats(spark, sf):
 @register("dashboard_series", f"""WITH {TELEMETRY_SQL}
 SELECT estacao, chave, date_trunc('hour', ts) AS hora_inicio, round(avg(valor), 6) AS media
 FROM tlong WHERE ts > (SELECT max(ts) FROM tele) - INTERVAL 7 DAY
-GROUP BY 1, 2, 3 ORDER BY hora_inicio, estacao, chave LIMIT 25000""")
+GROUP BY 1, 2, 3""")
 def q_dashboard_series(spark, sf):
     from horavento.streaming.stats import dashboard_series
     return rounded(dashboard_series(telemetry_readings(spark, sf), TARGETS))

@@ -114,7 +114,7 @@ ledger AS (SELECT arquivo_s3, TIMESTAMP '{T_STORED}' AS data_processamento, regi
   CAST(0 AS BIGINT) AS registros_atualizados, CASE WHEN dia % 2 = 1 THEN 'sucesso' ELSE 'erro' END AS status
   FROM files WHERE dia <= 15),
 novos AS (SELECT arquivo_s3, TIMESTAMP '{T_NOW}' AS data_processamento, registros AS registros_inseridos,
-  CAST(0 AS BIGINT) AS registros_atualizados, 'sucesso' AS status FROM files WHERE dia BETWEEN 10 AND 20)"""
+  CAST(0 AS BIGINT) AS registros_atualizados, 'sucesso' AS status FROM files WHERE dia >= 10)"""
 
 
 def _files(spark, sf):
@@ -139,7 +139,7 @@ def q_record_load(spark, sf):
     files = _files(spark, sf)
     old = _ledger(files, T_STORED, F.col("dia") <= 15,
                   F.when(F.col("dia") % 2 == 1, "sucesso").otherwise("erro"))
-    new = _ledger(files, T_NOW, F.col("dia").between(10, 20), F.lit("sucesso"))
+    new = _ledger(files, T_NOW, F.col("dia") >= 10, F.lit("sucesso"))
     out = U.record_load(old, new)
     return out.withColumn("data_processamento", F.col("data_processamento").cast("timestamp_ntz"))
 

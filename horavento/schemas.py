@@ -2,62 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 TARGETS = ["temperatura", "umidade", "velocidade_vento"]
 TEMPORAL_FEATURES = ["ano", "mes", "dia", "hora", "dia_ano", "dia_semana",
                      "hora_sin", "hora_cos", "mes_sin", "mes_cos"]
 READING_KEY = ["estacao", "data", "hora"]
 
-# Fact table of readings (one row per station, date, hour).
-READINGS = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("estacao", T.StringType()),
-    T.StructField("data", T.DateType()),
-    T.StructField("hora", T.StringType()),
-    T.StructField("temperatura", T.DoubleType()),
-    T.StructField("umidade", T.DoubleType()),
-    T.StructField("velocidade_vento", T.DoubleType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("updated_at", T.TimestampType()),
-])
-
-# Load ledger, one row per source file.
-LEDGER = T.StructType([
-    T.StructField("arquivo_s3", T.StringType()),
-    T.StructField("data_processamento", T.TimestampType()),
-    T.StructField("registros_inseridos", T.LongType()),
-    T.StructField("registros_atualizados", T.LongType()),
-    T.StructField("status", T.StringType()),
-])
-
-# Imputation scores in long form.
-SCORES = T.StructType([
-    T.StructField("estacao", T.StringType()),
-    T.StructField("modelo", T.StringType()),
-    T.StructField("alvo", T.StringType()),
-    T.StructField("rmse", T.DoubleType()),
-    T.StructField("mae", T.DoubleType()),
-    T.StructField("r2", T.DoubleType()),
-])
-
-# Run log rows (experiment tracking stand-in).
-RUN_LOG = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("run_name", T.StringType()),
-    T.StructField("experiment", T.StringType()),
-    T.StructField("start_time", T.TimestampType()),
-    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
-])
-
-# Telemetry point: epoch milliseconds plus a measure map.
-TELEMETRY_POINT = T.StructType([
-    T.StructField("ts", T.LongType()),
-    T.StructField("values", T.MapType(T.StringType(), T.DoubleType())),
-])
-
 # --- fixed values (must equal the reference) --------------------------------
 # Imputer configurations: name, trees, depth, rounds; leaf 5, split 10.
 MODEL_CONFIGS = [
@@ -66,7 +15,6 @@ MODEL_CONFIGS = [
     {"nome": "Modelo_Robusto", "n_estimators": 15, "max_depth": 4, "max_iter": 4},
 ]
 MIN_SAMPLES_LEAF = 5
-MIN_SAMPLES_SPLIT = 10
 EVALUATION_RATIO = 0.10
 RANDOM_STATE = 42
 
@@ -126,5 +74,3 @@ HEADER_KEYS = [
 ]
 # Telemetry batch sizes used by the publishers.
 BATCH_RESULTS = 500
-BATCH_RUN_SYNC = 1000
-BATCH_RAW = 100

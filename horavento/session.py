@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
 import uuid
 
@@ -17,7 +17,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 
@@ -50,33 +49,55 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system every
-    executor can reach).  Only when the session names none -- local runs and
-    tests -- a private folder is created and registered.
-    """
+    executor can reach), and it is an error if the session names none: a
+    folder of the driver alone would lose rows.  In local mode, where driver
+    and executors are one process, a private folder is created instead."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="horavento-ckpt-")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set; intermediate tables need a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="horavento-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root
 
 
+_scratch: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch made inside is deleted on leaving, through the file system API
+    of its folder.  Write or collect a result inside the scope: a DataFrame
+    that still reads scratch can't be used after it."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            fs, target = _hadoop(spark, path)
+            fs.delete(target, True)
 
 
 def materialize(df, name: str):

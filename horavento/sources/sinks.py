@@ -18,8 +18,9 @@ from horavento.schemas import BATCH_RESULTS, RAW_COLUMNS, RAW_MIN_FIELDS, TARGET
 
 
 def write_treated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Treated data, one directory per station, sorted inside files (K1)."""
-    df.repartition("estacao").sortWithinPartitions("estacao", "data", "hora") \
+    """Treated data, one directory per station, sorted inside files (K1); dealt
+    by ranges of the series order, so a large station is many files."""
+    df.repartitionByRange("estacao", "data", "hora", "id").sortWithinPartitions("estacao", "data", "hora") \
         .write.mode(mode).partitionBy("estacao").parquet(path)
 
 

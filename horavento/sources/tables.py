@@ -6,35 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from horavento.functions.temporal import to_ts
+from horavento.session import path_exists
 
 READING_COLUMNS = ["id", "estacao", "data", "hora", "temperatura", "umidade", "velocidade_vento"]
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (parquet), spread over the cluster when its files
-    give fewer scan tasks than there are cores (see ``spread``)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-SPREAD_MIN_BYTES = 256 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the default
-    parallelism (e.g. one file with a single row group), so the row-wise
-    work before the first shuffle is not one task.  Large inputs already
-    split into many scan tasks, and tiny dimension tables are not worth a
-    stage; both are returned unchanged."""
-    try:
-        spark = df.sparkSession
-        par = spark.sparkContext.defaultParallelism
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        if int(str(size)) < SPREAD_MIN_BYTES:
-            return df
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no access to plan statistics (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(par) if n < par else df
+    """One driver table (parquet)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def readings_from_events(events: DataFrame, keep_ts: bool = False) -> DataFrame:
@@ -126,8 +105,5 @@ def discover_stations(df: DataFrame, col: str = "estacao") -> DataFrame:
 def load_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None]:
     """A saved frame plus its metadata frame when one was written beside it."""
     data = spark.read.parquet(f"{path}/data")
-    try:
-        meta = spark.read.parquet(f"{path}/metadata")
-    except Exception:  # no metadata written
-        meta = None
+    meta = spark.read.parquet(f"{path}/metadata") if path_exists(spark, f"{path}/metadata") else None
     return data, meta

@@ -3,11 +3,13 @@
 Each micro-batch of new files is parsed on the executors, deduplicated (last
 line wins), and upserted into the readings table, which is stored
 partitioned by ``(ano, estacao)``: only the partitions the batch touches are
-read (dynamic partition pruning through a semi join) and rewritten (dynamic
+read (a null-safe semi join on the partition columns) and rewritten (dynamic
 partition overwrite), via a staging copy in the shared folder so a plan never
-overwrites its own input.  The ledger records each file after its rows are
-committed; replaying a batch is idempotent, so a lost executor or driver
-restart cannot duplicate rows."""
+overwrites its own input.  Rows with a NULL key part never match a stored row;
+they are kept once per (arquivo, linha), so replaying a batch replaces them
+instead of adding them again.  A file that cannot be read, or yields no row,
+is recorded as ``erro`` and the others go on.  The ledger is appended, one row
+per file and load; the latest row of a file is its state."""
 
 from __future__ import annotations
 
@@ -15,8 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from horavento.operators.merge import merge_readings, record_load
-from horavento.session import scratch_path
+from horavento.functions.parse import decode_text
+from horavento.operators.merge import merge_readings
+from horavento.operators.windows import latest_per_key
+from horavento.schemas import RAW_HEADER_MARKER, READING_KEY
+from horavento.session import materialize, path_exists, scratch_path
 from horavento.sources.station_files import parse_station_files
 from horavento.sources.sinks import export_snapshot
 
@@ -27,26 +32,26 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("content", T.BinaryType()),
 ])
 TABLE_PARTITIONS = ["ano", "estacao"]
+TABLE_SCHEMA = ("data date, hora string, temperatura double, umidade double, velocidade_vento double, "
+                "created_at timestamp, updated_at timestamp, arquivo string, linha int, ano int, estacao string")
+LEDGER_SCHEMA = ("arquivo_s3 string, data_processamento timestamp, registros_inseridos long, "
+                 "registros_atualizados long, status string")
 LEDGER_COLUMNS = ["arquivo_s3", "data_processamento", "registros_inseridos",
                   "registros_atualizados", "status"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
-    return spark.read.parquet(table) if _exists(spark, table) else None
+    """The stored readings; the schema keeps station names strings whatever
+    they look like."""
+    return spark.read.schema(TABLE_SCHEMA).parquet(table) if path_exists(spark, table) else None
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    if _exists(spark, ledger):
-        return spark.read.parquet(ledger)
-    return spark.createDataFrame([], "arquivo_s3 string, data_processamento timestamp, "
-                                     "registros_inseridos long, registros_atualizados long, status string")
+    """The latest row of every file."""
+    if not path_exists(spark, ledger):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+    return latest_per_key(rows, ["arquivo_s3"], ["data_processamento", "status"]).select(*LEDGER_COLUMNS)
 
 
 def upsert_partitions(spark: SparkSession, incoming: DataFrame, table: str, now=None) -> DataFrame:
@@ -54,42 +59,55 @@ def upsert_partitions(spark: SparkSession, incoming: DataFrame, table: str, now=
     incoming = incoming.withColumn("ano", F.year("data"))
     current = read_table(spark, table)
     if current is None:
-        current = spark.createDataFrame([], "estacao string, data date, hora string, temperatura double, "
-                                            "umidade double, velocidade_vento double, created_at timestamp, "
-                                            "updated_at timestamp, ano int")
+        current = spark.createDataFrame([], TABLE_SCHEMA)
     else:
-        touched = incoming.select(*TABLE_PARTITIONS).distinct()
-        current = current.join(touched, TABLE_PARTITIONS, "left_semi")
-    merged = merge_readings(current.drop("ano"), incoming, order=["arquivo", "linha"], now=now,
-                            carry=["arquivo"]).withColumn("ano", F.year("data"))
+        touched = incoming.select(*[F.col(c).alias(f"_{c}") for c in TABLE_PARTITIONS]).distinct()
+        current = current.join(touched, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in TABLE_PARTITIONS], "left_semi")
+    # rows without a whole key are known by their place in their file
+    keyless = F.lit(False)
+    for k in READING_KEY:
+        keyless = keyless | F.col(k).isNull()
+    placed = incoming.where(keyless).select(F.col("arquivo").alias("_a"), F.col("linha").alias("_l")).distinct()
+    again = keyless & F.col("arquivo").eqNullSafe(F.col("_a")) & F.col("linha").eqNullSafe(F.col("_l"))
+    current = current.join(placed, again, "left_anti")
+    kept = current.where(keyless).withColumn("acao", F.lit("mantido"))
+    merged = merge_readings(current.where(~keyless), incoming, order=["arquivo", "linha"], now=now,
+                            carry=["arquivo", "linha"]).withColumn("ano", F.year("data"))
+    # a stored row keeps no file of its own: it counts for the file that changed it
+    source = F.col("acao") != "mantido"
+    merged = merged.withColumns({c: F.when(source, F.col(c)) for c in ("arquivo", "linha")})
+    merged = merged.withColumn("_novo", source).unionByName(kept.withColumn("_novo", F.lit(False)), allowMissingColumns=True)
     stage = scratch_path(spark, "ingest-stage")
     merged.write.mode("errorifexists").parquet(stage)
-    staged = spark.read.parquet(stage)
-    (staged.drop("acao", "arquivo").repartition(*TABLE_PARTITIONS)
+    staged = spark.read.schema(merged.schema).parquet(stage)
+    rows = staged.withColumns({c: F.when(keyless, F.col(c)) for c in ("arquivo", "linha")})
+    # dealt by ranges of the whole key, so a station-year of any size is many tasks
+    (rows.drop("acao", "_novo").repartitionByRange(*TABLE_PARTITIONS, "data", "hora", "linha")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*TABLE_PARTITIONS).parquet(table))
-    return staged.where(F.col("arquivo").isNotNull()).groupBy("arquivo").agg(
+    return staged.where("_novo AND arquivo IS NOT NULL").groupBy("arquivo").agg(
         F.count_if(F.col("acao") == "inserido").alias("registros_inseridos"),
         F.count_if(F.col("acao") == "atualizado").alias("registros_atualizados"))
 
 
 def ingest_files(spark: SparkSession, files: DataFrame, table: str, ledger: str, now=None) -> None:
-    """One batch: skip files already loaded, parse, upsert, record."""
+    """One batch: skip files already loaded, parse, upsert, record.
+
+    A file without content or without the header line is recorded as ``erro``;
+    the rest of the batch is loaded."""
     led = read_ledger(spark, ledger)
     done = led.where(F.col("status") == "sucesso").select(F.col("arquivo_s3").alias("path"))
     pending = files.join(done, "path", "left_anti")
-    rows = parse_station_files(pending)
+    rows = materialize(parse_station_files(pending), "ingest-rows")
     counts = upsert_partitions(spark, rows, table, now)
+    readable = F.coalesce(F.upper(decode_text("content")).contains(RAW_HEADER_MARKER), F.lit(False))
     ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    new = pending.select(F.col("path").alias("arquivo")).join(counts, "arquivo", "left").select(
+    new = pending.select(F.col("path").alias("arquivo"), readable.alias("_ok")).join(counts, "arquivo", "left").select(
         F.col("arquivo").alias("arquivo_s3"), ts.alias("data_processamento"),
         F.coalesce("registros_inseridos", F.lit(0)).cast("long").alias("registros_inseridos"),
         F.coalesce("registros_atualizados", F.lit(0)).cast("long").alias("registros_atualizados"),
-        F.lit("sucesso").alias("status"))
-    merged = record_load(led, new).select(*LEDGER_COLUMNS)
-    stage = scratch_path(spark, "ledger-stage")
-    merged.write.mode("errorifexists").parquet(stage)
-    spark.read.parquet(stage).coalesce(1).write.mode("overwrite").parquet(ledger)
+        F.when(F.col("_ok"), "sucesso").otherwise("erro").alias("status"))
+    new.select(*LEDGER_COLUMNS).write.mode("append").parquet(ledger)
 
 
 def ingest_stream(spark: SparkSession, src: str, table: str, ledger: str,

@@ -50,14 +50,13 @@ def telemetry_stats(df: DataFrame, keys: list[str], a=None, b=None, interval: st
 
 
 def dashboard_series(df: DataFrame, keys: list[str], days: int = 7, interval: str = "1 hour",
-                     cap: int = 25_000, by: str = "estacao", ts: str = "ts") -> DataFrame:
-    """Mean per bucket over the last ``days`` before the latest timestamp,
-    at most ``cap`` points (R9, P12)."""
+                     by: str = "estacao", ts: str = "ts") -> DataFrame:
+    """Mean per bucket over the last ``days`` before the latest timestamp:
+    every bucket, unordered (R9, P12)."""
     recent = last_duration(df, days * 24, ts)
     g = _long(recent, keys, by, ts).groupBy(by, "chave", F.window(ts, interval).alias("w")) \
         .agg(F.avg("valor").alias("media"))
-    return g.select(by, "chave", F.col("w.start").alias("hora_inicio"), "media") \
-        .orderBy("hora_inicio", by, "chave").limit(cap)
+    return g.select(by, "chave", F.col("w.start").alias("hora_inicio"), "media")
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import run_station
-from horavento.operators.joins import broadcast_if_small
 from horavento.session import materialize, scratch_path
 from horavento.sources.catalog import resolve_result_file
 
@@ -41,7 +40,7 @@ def runs_from_events(events: DataFrame) -> DataFrame:
 def new_since(runs: DataFrame, marks: DataFrame, key: str = "experimento",
               ts: str = "start_time", mark: str = "marca") -> DataFrame:
     """Runs strictly newer than their experiment's mark; no mark -> all."""
-    m = broadcast_if_small(marks.select(key, mark))
+    m = marks.select(key, mark)
     epoch = F.lit(EPOCH).cast(dict(runs.dtypes)[ts])
     return runs.join(m, key, "left").where(F.col(ts) > F.coalesce(F.col(mark), epoch)).drop(mark)
 
@@ -68,13 +67,13 @@ def process_runs(runs: DataFrame, result_files: DataFrame, readings: DataFrame)
     r = r.withColumn("dispositivo", F.concat(F.replace("estacao", F.lit("_"), F.lit(" ")),
                                              F.lit(" - Processado")))
     wanted = r.select("estacao", "modelo").where(F.col("estacao").isNotNull()).distinct()
-    # both lookups hold one row per station (and model): written once, then
-    # broadcast behind a size check, so the run rows are never shuffled by station
-    found = broadcast_if_small(materialize(resolve_result_file(result_files, wanted).select(
-        F.col("estacao").alias("_e"), F.col("modelo").alias("_m"), "arquivo"), "runs-files"))
-    points = broadcast_if_small(materialize(
-        readings.groupBy(F.upper("estacao").alias("_p")).agg(F.count(F.lit(1)).alias("n_pontos")),
-        "runs-points"))
+    # both lookups hold one row per station (and model) and are written once
+    found = materialize(resolve_result_file(result_files, wanted).select(
+        F.col("estacao").alias("_e"), F.col("modelo").alias("_m"), "arquivo"), "runs-files")
+    # only the stations of these runs are counted
+    counted = readings.select(F.upper("estacao").alias("_p")).join(
+        wanted.select(F.col("estacao").alias("_p")).distinct(), "_p", "left_semi")
+    points = materialize(counted.groupBy("_p").agg(F.count(F.lit(1)).alias("n_pontos")), "runs-points")
     out = r.join(found, F.col("estacao").eqNullSafe(F.col("_e")) & F.col("modelo").eqNullSafe(F.col("_m")),
                  "left") \
         .join(points, F.col("estacao") == F.col("_p"), "left")

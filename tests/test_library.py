@@ -135,14 +135,72 @@ def test_station_dimension(spark):
     assert d.where(F.col("nome") == "ARCO_VERDE").first().codigo == "A309"
 
 
-def test_versioned_commit(spark):
-    from horavento.operators.merge import commit_version, read_current
-    root = scratch_path(spark, "versions")
-    assert read_current(spark, root) is None
-    r = readings(spark, SF001)
-    v1 = commit_version(r.limit(5), root)
-    v2 = commit_version(r.limit(7), root)
-    assert v1 != v2 and read_current(spark, root).count() == 7
+def test_scratch_scope_deletes_what_was_made_inside(spark):
+    from horavento.session import materialize, path_exists, scratch_scope
+    outside = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(outside)
+    with scratch_scope(spark):
+        inside = scratch_path(spark, "gone")
+        spark.range(3).write.parquet(inside)
+        assert materialize(spark.range(5), "gone-too").count() == 5
+    assert path_exists(spark, outside) and not path_exists(spark, inside)
+
+
+def test_checkpoint_folder_is_required_off_local_mode():
+    from horavento.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        checkpoint_root(Session())
+
+
+def test_series_keep_every_bucket(spark):
+    from horavento.streaming.stats import dashboard_series
+    rows = spark.range(300 * 24 * 6).selectExpr(
+        "id", "concat('s', id % 300) AS estacao", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, cast(id div 300 as int)) AS ts",
+        "cast(id AS double) AS temperatura")
+    out = dashboard_series(rows, ["temperatura"])
+    assert out.count() == 300 * 24 * 6 and out.count() > 25_000
+    assert out.agg(F.max("hora_inicio")).first() == rows.agg(F.max("ts")).first()
+
+
+def test_station_without_observations_is_imputed(spark):
+    from horavento.operators import impute as M
+    from horavento.schemas import TARGETS
+    r = readings(spark, SF001).withColumns({
+        "umidade": F.when(F.col("estacao") != "click", F.col("umidade")),
+        "estacao": F.when(F.col("estacao") != "view", F.col("estacao"))})
+    cfg = {"nome": "t", "n_estimators": 2, "max_depth": 2, "max_iter": 1}
+    for scope in ("pooled", "per_station"):
+        out = M.iterative_impute(r, cfg, scope=scope)
+        assert out.count() == r.count()
+        assert out.where(" OR ".join(f"{t} IS NULL" for t in TARGETS)).count() == 0
+
+
+def test_unreadable_file_is_recorded_and_the_rest_loaded(spark):
+    from horavento.streaming.ingest import ingest_files, read_ledger, read_table
+    from horavento.sources.station_files import read_files
+    files = read_files(spark, GOLDEN)
+    bad = files.limit(1).select(F.lit("file:/bad.csv").alias("path"), "modificationTime", F.lit(2).cast("long").alias("length"),
+                                F.lit(b"\xff\x00").alias("content"))
+    table, ledger = scratch_path(spark, "table"), scratch_path(spark, "ledger")
+    for _ in range(2):
+        ingest_files(spark, files.unionByName(bad), table, ledger)
+    led = {r.arquivo_s3: r.status for r in read_ledger(spark, ledger).collect()}
+    assert led.pop("file:/bad.csv") == "erro" and set(led.values()) == {"sucesso"}
+    assert read_table(spark, table).count() > 0
 
 
 def test_result_file_resolution_order(spark):

@@ -120,9 +120,9 @@ def test_exact_quantiles_equal_percentile(spark):
         .withColumn("coarse", F.floor(F.col("temperatura") / 50) * 50)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     for col in ("temperatura", "const", "coarse"):
-        for buckets in (4, 1 << 20):
+        for size in (7, None):
             for by in ("estacao", None):
-                got = exact_quantiles(r, col, probs, by, buckets=buckets, rows_per_bucket=7)
+                got = exact_quantiles(r, col, probs, by, rows_per_bucket=size)
                 g = r.where(F.col(col).isNotNull())
                 g = g.groupBy(by) if by else g.groupBy()
                 want = g.agg(*[F.percentile(col, p).alias(f"q_{i}") for i, p in enumerate(probs)])
@@ -132,7 +132,7 @@ def test_exact_quantiles_equal_percentile(spark):
                 assert a.keys() == b.keys()
                 for k in a:
                     for u, v in zip(a[k], b[k]):
-                        assert math.isclose(u, v, rel_tol=1e-12, abs_tol=1e-9), (col, buckets, by, k)
+                        assert math.isclose(u, v, rel_tol=1e-12, abs_tol=1e-9), (col, size, by, k)
 
 
 def test_row_lags_match_window_across_buckets(spark):
@@ -165,8 +165,8 @@ def test_per_station_scope(spark):
 
 
 def test_hot_station_is_split_into_bounded_buckets(spark):
-    """One station with ~60% of the rows: the bucketed window cuts it into
-    key ranges of about ``rows_per_bucket`` rows, and numbering stays exact."""
+    """One station with ~60% of the rows is cut into ranges of about
+    ``rows_per_bucket`` rows, and numbering stays exact."""
     from horavento.operators.windows import _bucketize
     r = readings(spark, SF001).withColumn(
         "estacao", F.when(F.col("estacao").isin("click", "view", "error"), "hot").otherwise(F.col("estacao")))
@@ -178,3 +178,30 @@ def test_hot_station_is_split_into_bounded_buckets(spark):
     ours = W.sequence_number(r, "estacao", ["id"], rows_per_bucket=100)
     ref = r.withColumn("rn", F.row_number().over(Window.partitionBy("estacao").orderBy("id")))
     assert sorted(ours.select("id", "rn").collect()) == sorted(ref.select("id", "rn").collect())
+
+
+def test_outliers_and_equal_keys_do_not_fill_a_range(spark):
+    """One stray early key, and one order value for all rows: ranges stay even."""
+    from horavento.operators.windows import _bucketize
+    rows = spark.range(20_000).selectExpr("'a' AS estacao", "id", "IF(id = 0, -1000000000000, id + 1000) AS k", "1 AS same")
+    for order in (["k", "id"], ["same", "id"]):
+        sizes = [x["count"] for x in _bucketize(rows, ["estacao"], order, 1000, False).groupBy("_sb").count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= 2_000
+    ours = W.sequence_number(rows, "estacao", ["same", "id"], rows_per_bucket=1000)
+    assert ours.where("rn <> id + 1").count() == 0
+
+
+def test_lags_of_a_null_station(spark):
+    r = readings(spark, SF001).select("id", F.when(F.col("id") % 3 > 0, F.col("estacao")).alias("estacao"), "temperatura")
+    w = Window.partitionBy("estacao").orderBy("id")
+    want = {x.id: x.l for x in r.select("id", F.lag("temperatura").over(w).alias("l")).collect()}
+    got = {x.id: x._lag1 for x in W.row_lags(r, "estacao", ["id"], "temperatura", 2, rows_per_bucket=5).collect()}
+    assert got == want
+
+
+def test_tail_of_any_size(spark):
+    r = readings_with_ts(spark, SF001)
+    for n in (3, 1001):
+        w = Window.partitionBy("estacao").orderBy(F.desc("ts"), F.desc("id"))
+        want = r.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+        assert sorted(x.id for x in W.tail_per_key(r, n).collect()) == sorted(x.id for x in want.collect())
