@@ -16,7 +16,8 @@ Only pivots and summaries (a bounded number of rows) reach the driver.
 Defined cases: null vectors, vectors with null or non-finite components and
 rows without vec_id take no part; vectors of different lengths take no part
 with one another; a query's own vec_id is never its answer; a repeated query
-is answered once, repeated candidates each count; components are cut to 31
+is answered once (of different vectors of one id the smallest asks), repeated
+candidates each count; components are cut to 31
 bits; ties go to the smaller vec_id; an empty table gives an empty result.
 """
 
@@ -99,7 +100,7 @@ def _solve(dim_rows: DataFrame, dim: int, count: int, k: int, every: int) -> Dat
         take = pa.array(row)
         return {"vec_id": batch.column(0).take(take), "v": batch.column(1).take(take), "cell": cell, "bound": bound[row]}
 
-    queries = dim_rows.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
+    queries = dim_rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
     routed = (map_batches(queries, route, "vec_id long, v array<int>, cell int, bound double")
               .withColumn("block", F.explode(F.sequence(F.lit(0), block_of - 1)))

@@ -178,22 +178,22 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         *[F.col(f"`{c}`") for c in names if c != "text"], text.alias("text"), F.col("doc_id").cast("long").alias("__id"),
         F.xxhash64(text).alias("__th"))
     likely = F.xxhash64("__id", "__th")
-    marks = drops.select(F.col("id").alias("__i"), F.col("th").alias("__t"), "drop")
+    marks = drops.select(F.col("id").alias("__i"), F.col("th").alias("__t"), F.col("drop").alias("__drop"))
     cells = drops.select(F.xxhash64("id", "th").alias("k"))
     # documents that surely lose nothing bypass the shuffle
     known = flagged(rows, likely, cells)
     touched = (known.where("__likely").join(marks, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left"))
-    whole = known.where("NOT __likely").withColumn("drop", F.lit(None).cast("array<int>"))
+    whole = known.where("NOT __likely").withColumn("__drop", F.lit(None).cast("array<int>"))
     both = touched.drop("__i", "__t").unionByName(whole)
     part = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(part) - 1), F.col("drop"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(part) - 1), F.col("__drop"))
     cut = both.withColumn("__part", part).withColumn("__left", left)
     joined = F.expr("array_join(transform(__left, i -> __part[i]), '\\n')")
     return cut.select(
-        *[(F.when(F.col("drop").isNull(), F.col("text")).otherwise(joined) if c == "text" else F.col(f"`{c}`")).alias(c)
+        *[(F.when(F.col("__drop").isNull(), F.col("text")).otherwise(joined) if c == "text" else F.col(f"`{c}`")).alias(c)
           for c in names],
         F.coalesce(F.size("__part"), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).cast("long").alias("n_dropped"))
+        F.when(F.col("__drop").isNull(), F.lit(0)).otherwise(F.size("__drop")).cast("long").alias("n_dropped"))
 
 
 @register("op4_line_dedup")

@@ -49,7 +49,7 @@ def test_small_blocks_and_chunks(spark, monkeypatch):
 
 
 def test_common_vector_ties_and_repeats(spark):
-    rows = [(i, [0.5, 0.25, -0.125]) for i in range(300)] + vectors(150, 3, 3) + [(50, [0.5, 0.25, -0.125]), (7, [0.5, 0.25, -0.125])]
+    rows = [(i, [0.5, 0.25, -0.125]) for i in range(300)] + [(i + 1000, v) for i, v in vectors(150, 3, 3)] + [(50, [0.5, 0.25, -0.125]), (7, [0.5, 0.25, -0.125])]
     assert run(spark, rows) == brute(rows)
 
 
