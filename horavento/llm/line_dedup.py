@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import flagged, only_likely, packed_similarity, register, table, without
+from horavento.llm.common import flagged, let, only_likely, packed_similarity, register, table, without
 from horavento.llm.components import connected_components
 from horavento.session import materialize
 
@@ -114,9 +114,14 @@ def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: in
         .agg(F.first("line").alias("line")).join(ends, ["h1", "h2"]).select("node", "line"), "line-texts")
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v")
-            .select("u", "v", F.array_distinct(shingles("a")).alias("a"), F.array_distinct(shingles("b")).alias("b"))
-            .select("u", "v", F.size(F.array_intersect("a", "b")).alias("n"), (F.size("a") + F.size("b")).alias("t")))
-    return both.where(F.col("n") * 100 >= (F.col("t") - F.col("n")) * percent).select("u", "v")
+            .select("u", "v", "a", "b"))
+
+    def similar(sets: Column) -> Column:
+        return let(F.size(F.array_intersect(sets["a"], sets["b"])),
+                   lambda n: n * 100 >= (F.size(sets["a"]) + F.size(sets["b"]) - n) * percent)
+
+    sets = F.struct(F.array_distinct(shingles("a")).alias("a"), F.array_distinct(shingles("b")).alias("b"))
+    return both.where(let(sets, similar)).select("u", "v")
 
 
 def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:

@@ -18,12 +18,10 @@ exclusive; repeated rows are answered each; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import register, table
+from horavento.llm.common import let, register, table
 
 MIN_SCORE = 0.5
 NEAR = 40
@@ -48,11 +46,6 @@ _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,near:string>>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
 
