@@ -237,6 +237,21 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
 
 
-@register("op10_near_dedup")
+OP10_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i + 1, i + least(len(w), 4)), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 3, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT u AS a, v AS b FROM e UNION SELECT r.a, e.v FROM r JOIN e ON r.b = e.u),
+c AS (SELECT doc_id, least(doc_id, coalesce((SELECT min(b) FROM r WHERE a = doc_id), doc_id)) AS component_id FROM d)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
+
+
+@register("op10_near_dedup", OP10_SQL)
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
