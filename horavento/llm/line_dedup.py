@@ -1,8 +1,9 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
 1. Lines are trimmed and lower-cased; a line's set holds its ``SHINGLE``
-   characters from every position on.  For the signatures a line is cut into
-   overlapping pieces (one linear expression), the pieces into shingles.
+   characters (16-bit units) from every position on.  For the signatures a
+   line is cut into overlapping pieces (one linear expression), the pieces
+   into shingles.
 2. Per distinct line ``MINIMA`` minima of one 32-bit shingle hash, each XORed
    with its own constant, come from one partial aggregate.  The constants
    differ in their leading bits, so each minimum is drawn from another part of
@@ -72,9 +73,15 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def shingles(line: str) -> Column:
-    """The shingles of a line; a shorter line is one shingle."""
-    every = F.regexp_extract_all(F.col(line), F.lit(f"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))
-    return F.when(F.length(line) >= SHINGLE, every).otherwise(F.array(F.col(line)))
+    """The line's set as distinct 64-bit hashes of its shingles; a shorter
+    line is one shingle.  Shingles are cut from a fixed-width encoding, so no
+    position is searched for."""
+    def cut(b: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.octet_length(b) - (2 * SHINGLE - 1), F.lit(2))
+        every = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(b, i, F.lit(2 * SHINGLE)))))
+        return F.when(F.octet_length(b) >= 2 * SHINGLE, every).otherwise(F.array(F.xxhash64(b)))
+
+    return let(F.encode(F.col(line), "UTF-16BE"), cut)
 
 
 def _minhashed(lines: DataFrame) -> DataFrame:
@@ -83,8 +90,9 @@ def _minhashed(lines: DataFrame) -> DataFrame:
     # where a last piece is shorter, its first shingle stands in again
     pieces = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{PIECE + SHINGLE - 1}}})).{{1,{PIECE}}}"), F.lit(1))
     cut = lines.select("h1", "h2", F.posexplode(pieces).alias("k", "piece")).where((F.length("piece") >= SHINGLE) | (F.col("k") == 0))
-    at = lambda i: F.hash(F.substring("piece", i, SHINGLE))
-    cut = cut.select("h1", "h2", "piece", F.length("piece").alias("n"), at(1).alias("s1"))
+    at = lambda i: F.hash(F.substring("b", 2 * i - 1, 2 * SHINGLE))
+    cut = cut.select("h1", "h2", F.length("piece").alias("n"), F.encode("piece", "UTF-16BE").alias("b"))
+    cut = cut.select("h1", "h2", "n", "b", at(1).alias("s1"))
     hashed = cut.select("h1", "h2", "s1", *[F.when(F.col("n") >= i + SHINGLE - 1, at(i)).otherwise(F.col("s1")).alias(f"s{i}")
                                             for i in range(2, PIECE + 1)])
     mins = hashed.groupBy("h1", "h2").agg(
@@ -120,7 +128,7 @@ def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: in
         return let(F.size(F.array_intersect(sets["a"], sets["b"])),
                    lambda n: n * 100 >= (F.size(sets["a"]) + F.size(sets["b"]) - n) * percent)
 
-    sets = F.struct(F.array_distinct(shingles("a")).alias("a"), F.array_distinct(shingles("b")).alias("b"))
+    sets = F.struct(shingles("a").alias("a"), shingles("b").alias("b"))
     return both.where(let(sets, similar)).select("u", "v")
 
 
