@@ -119,34 +119,39 @@ def parse_station_files(files: DataFrame, keep_sentinel: bool = False, strict_la
 
 
 def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] | None = None,
-                           glob: str | None = None, max_columns: int = 200) -> DataFrame:
+                           glob: str | None = None, with_rejects: bool = False):
     """By-name reader (S2): 8 metadata lines skipped, line 9 is the header
     (names trimmed and normalised, T26), ``-9999`` / blank -> NULL.
 
     Output: ``arquivo, linha, ts`` plus one string column per requested name;
     rows whose timestamp does not parse are dropped (P5), as are files with
-    no ``DATA`` column (their rows have no timestamp)."""
+    no ``DATA`` column (their rows have no timestamp).  A name that the header
+    repeats is numbered from its second use on (``X``, ``X_2``).  With
+    ``with_rejects`` also the lines with more fields than the header has names,
+    and the surplus text; their leading fields are in the rows."""
     lf = file_lines(read_files(spark, path, glob))
     header = F.transform(F.split(F.try_element_at("lines", F.lit(RAW_HEADER_LINES + 1)), ";", -1),
                          lambda h: normalize_header(F.trim(h)))
     # the header is computed before the explode, so the generator is the only
     # consumer of ``lines`` and exploded rows do not carry the whole file
     lf = lf.select("arquivo", "lines", header.alias("header"))
+    earlier = F.transform("header", lambda h, i: F.size(F.filter(F.slice("header", F.lit(1), i), lambda g: g == h)))
+    numbered = F.zip_with("header", earlier, lambda h, n: F.when(n > 0, F.concat_ws("_", h, n + 1)).otherwise(h))
+    lf = lf.select("arquivo", "lines", numbered.alias("header"))
     rows = lf.select("arquivo", "header", F.posexplode("lines").alias("linha", "texto")) \
         .where((F.col("linha") > RAW_HEADER_LINES) & (F.trim("texto") != ""))
     fields = F.split("texto", ";", -1)
-    # pair names and values position by position (extra fields are dropped)
+    # pair names and values position by position
+    surplus = rows.where(F.size(fields) > F.size("header")).select(
+        "arquivo", "linha", "texto", F.array_join(F.slice(fields, F.size("header") + 1, F.size(fields)), ";").alias("excedente"),
+        F.lit("campos_excedentes").alias("motivo"))
     n = F.least(F.size("header"), F.size(fields))
     rec = F.map_from_arrays(F.slice("header", 1, n), F.slice(fields, 1, n))
     has_hora = F.array_contains("header", F.lit("HORA UTC"))
     rows = rows.select("arquivo", "linha", rec.alias("rec"), has_hora.alias("_has_hora"))
     if columns is None:
-        # the header is one line per file: its distinct names are a small,
-        # checked list, which becomes the output schema
-        names = (lf.select(F.explode("header").alias("c")).where(F.col("c") != "")
-                 .distinct().limit(max_columns + 1).collect())
-        if len(names) > max_columns:
-            raise ValueError("read_station_csv_named: too many header names")
+        # the distinct header names become the output schema
+        names = lf.select(F.explode("header").alias("c")).where(F.col("c") != "").distinct().collect()
         columns = sorted(r[0] for r in names)
     columns = [normalize_header_py(c) for c in columns]
     data = null_sentinel(F.try_element_at("rec", F.lit("DATA")))
@@ -156,7 +161,8 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
         .otherwise(F.try_to_timestamp(data, F.lit("yyyy/MM/dd")).cast("timestamp_ntz"))
     out = rows.select("arquivo", "linha", ts.alias("ts"),
                       *[null_sentinel(F.try_element_at("rec", F.lit(c))).alias(c) for c in columns])
-    return out.where(F.col("ts").isNotNull())
+    out = out.where(F.col("ts").isNotNull())
+    return (out, surplus) if with_rejects else out
 
 
 def normalize_header_py(name: str) -> str:

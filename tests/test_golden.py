@@ -91,3 +91,13 @@ def test_null_station_never_merges(spark):
     once = merge_readings(empty, rows).drop("acao")
     twice = merge_readings(once, rows)
     assert twice.count() == 2
+
+
+def test_named_reader_repeated_names_and_surplus_fields(spark, tmp_path):
+    from horavento.sources.station_files import read_station_csv_named
+    lines = [f"CHAVE{i}:;v" for i in range(8)] + ["Data;Hora UTC;X;X;", "2024/01/01;0000 UTC;1;2;;extra;mais", "2024/01/02;0100 UTC;3"]
+    (tmp_path / "a.CSV").write_text("\n".join(lines))
+    rows, surplus = read_station_csv_named(spark, str(tmp_path), with_rejects=True)
+    got = {r.linha: (r["X"], r["X_2"]) for r in rows.collect()}
+    assert got == {9: ("1", "2"), 10: ("3", None)}
+    assert [(r.linha, r.excedente) for r in surplus.collect()] == [(9, "extra;mais")]
