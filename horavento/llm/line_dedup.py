@@ -13,8 +13,10 @@
    bits of the minima, packed into longs, drop clear non-matches; the others
    are confirmed by the exact Jaccard similarity of the shingle sets.
 4. Pairs of a key that are in different components by then are filtered and
-   confirmed too, so no link between components is lost and no group is
-   paired out.
+   confirmed too, so no link between components is lost.  Where more than
+   ``BUCKET`` lines share a key they meet by prefix filtering instead, which
+   is exact: with shingles ordered from rare to frequent, sets of this
+   similarity share one of their first few, with enough left behind it.
 5. Union-find over the links; one occurrence per component is kept, that of
    the smallest (doc_id, line number).
 
@@ -43,6 +45,8 @@ MINIMA, EXTRA = 32, 4
 BITS = 4
 #: pairs are confirmed from this estimate on: four standard errors below 0.8
 SLACK = 0.3
+#: the open pairs of larger buckets are found by prefix filtering
+BUCKET = 64
 
 
 def _constants() -> list[int]:
@@ -113,13 +117,41 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return packed_similarity(F.col(a), F.col(b), MINIMA, BITS) >= percent / 100 - SLACK
 
 
-def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(u, v)`` of node ids whose shingle sets meet the threshold."""
-    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+def _texts(lines: DataFrame, nodes: DataFrame, ends: DataFrame) -> DataFrame:
+    """``node, line`` of the nodes in ``ends``, written once."""
     ends = materialize(nodes.select("node", "h1", "h2").join(ends, "node"), "line-ends")
-    texts = materialize(
+    return materialize(
         only_likely(lines.select("h1", "h2", "line"), F.col("h1"), ends.select("h1")).groupBy("h1", "h2")
         .agg(F.first("line").alias("line")).join(ends, ["h1", "h2"]).select("node", "line"), "line-texts")
+
+
+def _prefixes(lines: DataFrame, nodes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """``hot`` with a row per ``key`` and its place ``at``: the first
+    n - ceil(percent * n) + 1 shingles of the node's set, rarest first."""
+    sets = materialize(_texts(lines, nodes, hot.select("node")).select("node", F.explode(shingles("line")).alias("h")), "line-sets")
+    count = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    ordered = sets.join(count, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("o"))
+    n = F.size("o")
+    first = F.slice("o", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
+    return (ordered.select("node", n.alias("n"), F.posexplode(first).alias("at", "k"))
+            .select("node", "n", "at", F.col("k.h").alias("key")).join(hot, "node"))
+
+
+def _pairs_by_key(rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` of nodes that share a ``key``, lie in different
+    components and may meet the threshold.  Behind the first key that two
+    ordered sets share, the rest of each bounds what they have in common."""
+    side = lambda x: rows.select(*[F.col(c).alias(c + x) for c in ("key", "node", "c", "n", "at", "sig")])
+    enough = lambda x: (F.col("n" + x) - F.col("at" + x)) * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent
+    return (side("u").join(side("v"), (F.col("keyu") == F.col("keyv")) & (F.col("nodeu") < F.col("nodev"))
+                           & (F.col("cu") != F.col("cv")) & enough("u") & enough("v") & _possible("sigu", "sigv", percent))
+            .select(F.col("nodeu").alias("u"), F.col("nodev").alias("v")))
+
+
+def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` of node ids whose shingle sets meet the threshold."""
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    texts = _texts(lines, nodes, ends)
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v")
             .select("u", "v", "a", "b"))
@@ -151,13 +183,15 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Dat
     joined = connected_components(first, "line-round1")
 
     comp = shared.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    split = comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    split = (comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
+             .where("lo <> hi").select("key", "m"))
     open_ = materialize(comp.join(split, "key").join(sig, "node"), "line-open")
-    left = open_.select("key", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("sig").alias("su"))
-    right = open_.select(F.col("key").alias("k"), F.col("node").alias("v"), F.col("c").alias("cv"), F.col("sig").alias("sv"))
-    rest = (left.join(right, (F.col("key") == F.col("k")) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv"))
-                      & _possible("su", "sv", percent))
-            .select("u", "v").distinct().join(star, ["u", "v"], "left_anti"))
+    small = open_.where(F.col("m") <= BUCKET).withColumns({"n": F.lit(0), "at": F.lit(0)})
+    rest = _pairs_by_key(small, percent)
+    hot = materialize(open_.where(F.col("m") > BUCKET).select("node", "c", "sig").dropDuplicates(["node"]), "line-hot")
+    if not hot.isEmpty():
+        rest = rest.unionByName(_pairs_by_key(_prefixes(lines, nodes, hot, percent), percent))
+    rest = rest.distinct().join(star, ["u", "v"], "left_anti")
     rest = materialize(rest, "line-rest")
     more = _confirmed(rest, lines, nodes, percent)
     return nodes.select("node", "h1", "h2"), connected_components(first.unionByName(more), "line-round2")

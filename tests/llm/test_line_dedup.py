@@ -57,6 +57,13 @@ def test_near_copies_of_one_line(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_open_pairs_by_prefix(spark, monkeypatch):
+    monkeypatch.setattr(ld, "BUCKET", 2)
+    base = prose(50, 40)
+    rows = [(i, f"{edited(base, i, 0.05)}\n{prose(900 + i, 8)}") for i in range(80)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
     got, want = run(spark, rows), brute(rows)

@@ -50,6 +50,12 @@ def test_group_of_copies_and_near_copies(spark):
     check(spark, rows)
 
 
+def test_open_pairs_by_prefix(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BUCKET", 2)
+    base = prose(6, 150)
+    check(spark, [(i, edited(base, i, 0.025)) for i in range(120)])
+
+
 def test_whole_table(spark):
     d = table(spark, SF, "documents")
     rows = [(r.doc_id, r.text) for r in d.collect()]
