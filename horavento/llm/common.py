@@ -162,6 +162,13 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
         return np.unique(mix(h))
 
 
+def about(df: DataFrame, rows: int, *keys) -> DataFrame:
+    """About ``rows`` rows of ``df``, at most twice as many: the share chosen
+    by a hash of ``keys``.  No partition passes on more than its share."""
+    part = min(1.0, rows / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(part * (1 << 30))).limit(2 * rows)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

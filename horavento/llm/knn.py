@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from horavento.llm.common import map_batches, register, table
+from horavento.llm.common import about, map_batches, register, table
 from horavento.session import materialize
 
 K, EVERY = 5, 50
@@ -63,7 +63,8 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _solve(dim_rows: DataFrame, dim: int, count: int, k: int, every: int) -> DataFrame:
     """The top k among the vectors of one length."""
     want = max(4, min(MAX_PIVOTS, count // ROWS_PER_CELL))
-    picked = dim_rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * want).select("v").collect()
+    picked = about(dim_rows, 4 * want, "vec_id").select("v").collect()
+    picked = picked or dim_rows.select("v").limit(want).collect()
     pivots = np.array([list(v) for v in dict.fromkeys(tuple(r.v) for r in picked)][:want], dtype=np.float64)
     weight = (pivots ** 2).sum(axis=1)
 

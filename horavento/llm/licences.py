@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import map_batches, register, table, text_column
+from horavento.llm.common import about, map_batches, register, table, text_column
 
 SAMPLE_DOCS, SAMPLE_LINES = 400, 12
 PASSES, RATE, DECAY = 60, 0.5, 1e-5
@@ -243,8 +243,8 @@ class Scanner:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Scanner:
     """A scanner trained on the templates and a bounded sample of ``docs``."""
     lines = F.slice(F.split(F.col("text").cast("string"), "\n"), 1, SAMPLE_LINES)
-    rows = (docs.where("text IS NOT NULL").select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.transform(
-        lines, lambda x: F.substring(x, 1, 1000)).alias("lines")).orderBy("h").limit(sample_docs).collect())
+    drawn = about(docs.where("text IS NOT NULL").select("doc_id", "text"), sample_docs, F.col("doc_id").cast("string"), "text")
+    rows = drawn.select(F.transform(lines, lambda x: F.substring(x, 1, 1000)).alias("lines")).collect()
     scanner = Scanner()
     scanner.train([words(x) for r in rows for x in r.lines])
     return scanner

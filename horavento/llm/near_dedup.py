@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import map_batches, mix, only_likely, packed_similarity, register, shingle_set, table, text_column
+from horavento.llm.common import about, map_batches, mix, only_likely, packed_similarity, register, shingle_set, table, text_column
 from horavento.llm.components import connected_components
 from horavento.session import materialize
 
@@ -166,7 +166,7 @@ def _prefixes(docs: DataFrame, hot: DataFrame, shingle: int, percent: int) -> Da
         h, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
         return {"h": h.view(np.int64), "c": c}
 
-    sample = texts.orderBy(F.xxhash64("node")).limit(ORDER_SAMPLE).select("text")
+    sample = about(texts, ORDER_SAMPLE, "node").select("text")
     last = (map_batches(sample, count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 2")
             .orderBy(F.desc("c"), "h").limit(ORDER_LAST).collect())
     late = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r.h for r in last], dtype=np.int64).view(np.uint64)))
