@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import to_long
-from horavento.functions.temporal import one_hot, temporal_features
+from horavento.functions.temporal import one_hot, station_slug, temporal_features
 from horavento.operators.analysis import score
 from horavento.schemas import (
-    EVALUATION_RATIO, MIN_SAMPLES_LEAF, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
+    EVALUATION_RATIO, MIN_SAMPLES_LEAF, MIN_SAMPLES_SPLIT, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
 )
 from horavento.session import checkpoint_root, materialize
 
@@ -309,24 +309,47 @@ def impute_all(df: DataFrame, configs: list[dict] = MODEL_CONFIGS, targets: list
 
 
 def run_records(scores: DataFrame, experiment: str = "Imputacao_por_Estacao",
-                configs: list[dict] = MODEL_CONFIGS) -> DataFrame:
+                configs: list[dict] = MODEL_CONFIGS, counts: DataFrame | None = None,
+                durations: DataFrame | None = None, n_features: int = len(TEMPORAL_FEATURES),
+                ratio: float = EVALUATION_RATIO) -> DataFrame:
     """One run-log row per (station, model): tags, params and metrics maps
-    built from the long scores (M8).  Each map holds targets x 3 metrics."""
+    built from the long scores (M8).
+
+    ``counts`` (``estacao, n_records``) and ``durations`` (``modelo,
+    duracao_segundos``) add what the scores don't hold.  The metrics are those
+    of every target, their averages and the duration; the tags repeat them
+    under names that end in the station's file name."""
     cfg = F.create_map(*[x for c in configs for x in (F.lit(c["nome"]), F.to_json(F.struct(
         F.lit(c["n_estimators"]).alias("n_estimators"), F.lit(c["max_depth"]).alias("max_depth"),
         F.lit(c["max_iter"]).alias("max_iter"))))])
-    m = scores.select("estacao", "modelo", F.explode(F.array(*[
+    kinds = ("rmse", "mae", "r2")
+    m = scores.select("estacao", "modelo", *kinds, F.explode(F.array(*[
         F.struct(F.concat(F.col("alvo"), F.lit(f"_{k}")).alias("k"), F.col(k).cast("double").alias("v"))
-        for k in ("rmse", "mae", "r2")])).alias("e"))
-    g = m.groupBy("estacao", "modelo").agg(F.map_from_entries(F.collect_list("e")).alias("metrics"))
-    start = F.current_timestamp()
+        for k in kinds])).alias("e"))
+    g = m.groupBy("estacao", "modelo").agg(F.collect_list("e").alias("e"), *[F.avg(k).alias(f"avg_{k}") for k in kinds])
+    named = [F.struct(F.lit(f"avg_{k}").alias("k"), F.col(f"avg_{k}").alias("v")) for k in kinds]
+    if durations is not None:
+        g = g.join(durations.select("modelo", "duracao_segundos"), "modelo", "left")
+        named.append(F.struct(F.lit("duration_seconds").alias("k"), F.col("duracao_segundos").alias("v")))
+    g = g.withColumn("metrics", F.map_from_entries(F.concat("e", F.array(*named))))
+    params = [F.lit("min_samples_split"), F.lit(str(MIN_SAMPLES_SPLIT)), F.lit("min_samples_leaf"), F.lit(str(MIN_SAMPLES_LEAF)),
+              F.lit("evaluation_ratio"), F.lit(str(ratio)), F.lit("n_features"), F.lit(str(n_features)),
+              F.lit("station_name"), F.col("estacao")]
+    if counts is not None:
+        c = counts.select(F.col("estacao").alias("_e"), "n_records")
+        g = g.join(c, F.col("estacao").eqNullSafe(F.col("_e")), "left")
+        params += [F.lit("n_records"), F.col("n_records").cast("string")]
+    start, station = F.current_timestamp(), station_slug("estacao")
+    measured = F.transform_values(F.map_from_entries(F.transform(F.map_entries("metrics"), lambda e: F.struct(
+        F.concat_ws("_", e["key"], station), e["value"]))), lambda k, v: v.cast("string"))
+    tags = F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in (
+        "station_name", F.col("estacao"), "model_type", F.col("modelo"), "experiment_type", "imputation",
+        "method", "IterativeImputer", "estimator", "RandomForestRegressor")])
     return g.select(
         F.md5(F.concat_ws("|", "estacao", "modelo")).alias("run_id"),
-        F.concat_ws("_", F.lit("imputacao"), "estacao", "modelo").alias("run_name"),
-        F.lit(experiment).alias("experiment"), start.alias("start_time"),
-        F.create_map(F.lit("station"), F.col("estacao"), F.lit("model_type"), F.col("modelo")).alias("tags"),
-        F.map_concat(F.create_map(F.lit("station_name"), F.col("estacao")),
-                     F.from_json(F.try_element_at(cfg, F.col("modelo")), "map<string,string>")).alias("params"),
+        F.concat_ws("_", "estacao", "modelo", F.date_format(start, "yyyyMMdd_HHmmss")).alias("run_name"),
+        F.lit(experiment).alias("experiment"), start.alias("start_time"), F.map_concat(tags, measured).alias("tags"),
+        F.map_concat(F.create_map(*params), F.from_json(F.try_element_at(cfg, F.col("modelo")), "map<string,string>")).alias("params"),
         "metrics")
 
 

@@ -162,3 +162,21 @@ def q_load_dataset(spark, sf):
     r.agg(F.count(F.lit(1)).alias("linhas")).write.parquet(f"{path}/metadata")
     data, meta = load_dataset(spark, path)
     return data.select("id", meta.select("linhas").scalar().alias("linhas"))
+
+
+@register("run_records", f"""WITH {MASK_SQL}, n AS (SELECT estacao, count(*) AS n FROM readings GROUP BY estacao)
+SELECT s.estacao, 'Modelo_Leve' AS modelo, CAST(any_value(n.n) AS VARCHAR) AS n_records, '5' AS min_samples_leaf,
+  CAST(12 AS INTEGER) AS n_metricas, round(avg(rmse), 6) AS avg_rmse,
+  round(max(CASE WHEN alvo = 'umidade' THEN mae END), 6) AS umidade_mae
+FROM scores s JOIN n ON s.estacao = n.estacao GROUP BY s.estacao""")
+def q_run_records(spark, sf):
+    """M8: the run-log row of every station, from the scores of the mean fill."""
+    r = readings(spark, sf).select("id", "estacao", *TARGETS)
+    plan = M.MaskPlan(r)
+    pairs = M.mean_fill_pairs(M.mask_cells(r, plan=plan), M.apply_mask(r, plan=plan))
+    scores = A.score(pairs.withColumn("modelo", F.lit("Modelo_Leve")))
+    runs = M.run_records(scores, counts=r.groupBy("estacao").agg(F.count(F.lit(1)).alias("n_records")))
+    return rounded(runs.select(
+        F.col("tags.station_name").alias("estacao"), F.col("tags.model_type").alias("modelo"), F.col("params.n_records"),
+        F.col("params.min_samples_leaf"), F.size("metrics").alias("n_metricas"), F.col("metrics.avg_rmse"),
+        F.col("metrics.umidade_mae")))

@@ -234,7 +234,11 @@ def test_run_records_maps(spark):
     from horavento.operators.impute import run_records
     scores = spark.createDataFrame([("a", "Modelo_Leve", t, 1.0, 0.5, 0.1) for t in TARGETS],
                                    "estacao string, modelo string, alvo string, rmse double, mae double, r2 double")
-    r = run_records(scores).first()
-    assert r.tags == {"station": "a", "model_type": "Modelo_Leve"}
-    assert r.params["n_estimators"] == "5" and r.params["station_name"] == "a"
-    assert len(r.metrics) == 9 and r.metrics["umidade_rmse"] == 1.0
+    counts = spark.createDataFrame([("a", 7)], "estacao string, n_records long")
+    spent = spark.createDataFrame([("Modelo_Leve", 2.5)], "modelo string, duracao_segundos double")
+    r = run_records(scores, counts=counts, durations=spent).first()
+    assert r.tags["station_name"] == "a" and r.tags["model_type"] == "Modelo_Leve" and r.tags["method"] == "IterativeImputer"
+    assert r.tags["avg_rmse_a"] == "1.0" and r.tags["duration_seconds_a"] == "2.5" and len(r.tags) == 5 + 13
+    assert r.params["n_estimators"] == "5" and r.params["min_samples_split"] == "10" and r.params["n_records"] == "7"
+    assert len(r.metrics) == 13 and r.metrics["umidade_rmse"] == 1.0 and r.metrics["avg_r2"] == 0.1
+    assert r.run_name.startswith("a_Modelo_Leve_")
