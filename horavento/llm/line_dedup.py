@@ -15,8 +15,8 @@
 4. Pairs of a key that are in different components by then are filtered and
    confirmed too, so no link between components is lost.  Where more than
    ``BUCKET`` lines share a key they meet by prefix filtering instead, which
-   is exact: with shingles ordered from rare to frequent, sets of this
-   similarity share one of their first few, with enough left behind it.
+   is exact: under any common order of shingles, sets of this similarity
+   share one of their first few, with enough left behind it.
 5. Union-find over the links; one occurrence per component is kept, that of
    the smallest (doc_id, line number).
 
@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from horavento.llm.common import flagged, let, only_likely, packed_similarity, register, table, without
+from horavento.llm.common import about, flagged, let, only_likely, packed_similarity, register, table, without
 from horavento.llm.components import connected_components
 from horavento.session import materialize
 
@@ -47,6 +47,8 @@ BITS = 4
 SLACK = 0.3
 #: the open pairs of larger buckets are found by prefix filtering
 BUCKET = 64
+#: lines whose shingles are counted for its order, and shingles put last
+ORDER_SAMPLE, ORDER_LAST = 500, 8192
 
 
 def _constants() -> list[int]:
@@ -127,14 +129,16 @@ def _texts(lines: DataFrame, nodes: DataFrame, ends: DataFrame) -> DataFrame:
 
 def _prefixes(lines: DataFrame, nodes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """``hot`` with a row per ``key`` and its place ``at``: the first
-    n - ceil(percent * n) + 1 shingles of the node's set, rarest first."""
-    sets = materialize(_texts(lines, nodes, hot.select("node")).select("node", F.explode(shingles("line")).alias("h")), "line-sets")
-    count = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
-    ordered = sets.join(count, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("o"))
-    n = F.size("o")
-    first = F.slice("o", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
-    return (ordered.select("node", n.alias("n"), F.posexplode(first).alias("at", "k"))
-            .select("node", "n", "at", F.col("k.h").alias("key")).join(hot, "node"))
+    n - ceil(percent * n) + 1 shingles of the node's set in an order common to
+    all, with the most frequent shingles of a bounded sample put last."""
+    sets = materialize(_texts(lines, nodes, hot.select("node")).select("node", shingles("line").alias("s")), "line-sets")
+    last = (about(sets, ORDER_SAMPLE, "node").select(F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+            .where("f > 2").orderBy(F.desc("f"), "h").limit(ORDER_LAST).collect())
+    last = F.from_json(F.lit("[" + ",".join(str(r.h) for r in last) + "]"), "array<bigint>")
+    n = F.size("s")
+    ordered = F.concat(F.array_sort(F.array_except("s", last)), F.array_sort(F.array_intersect("s", last)))
+    first = F.slice(ordered, F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
+    return sets.select("node", n.alias("n"), F.posexplode(first).alias("at", "key")).join(hot, "node")
 
 
 def _pairs_by_key(rows: DataFrame, percent: int) -> DataFrame:
