@@ -1,11 +1,20 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks of text at block-level tags.  First pass: stop-word
-density, length and link density decide a block as text or boilerplate, and
-the elements it stands in count as evidence (inside navigation, footers,
-forms, adverts or comments a block is boilerplate; inside an article with few
-links it is text; beside an article it is boilerplate).  Second pass: a short
-block that stays ambiguous takes the label of the nearest decided neighbours.
+density, length and link density decide every block as text, boilerplate or
+ambiguous, and the elements it stands in add evidence: inside navigation,
+footers, forms, adverts or comments a block is boilerplate; inside an article
+what would be boilerplate for few stop words or linked prose is ambiguous or
+text.  Short blocks stay ambiguous in and beside an article.  Second pass: an
+ambiguous block takes the label of the nearest decided neighbours, those on
+its own side of the article's border first.  An article without a decided
+text block is text only where the page has no other text.
+
+An article stays boilerplate in a navigation or aside element or with a
+boilerplate class of its own.  In other boilerplate that is closed behind it
+(a list of related cards, or a form or class around a whole page) it is text
+only where the page has no other; an unclosed advert or menu before it does
+not count.
 
 The scan is linear in the page, and pages are independent, so the whole job is
 one narrow ``mapInArrow``: nothing is shuffled and a page of any size is one
@@ -56,22 +65,36 @@ replies disqus respond form search toolbar skip""".split())
 COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 MAIN_WORDS = frozenset("article main content post entry story".split())
+#: boilerplate that an article inside it never leaves
+HOLD_TAGS, HOLD_ROLES = frozenset("nav aside footer menu dialog".split()), frozenset("navigation complementary contentinfo menu dialog".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class Cover:
+    """A boilerplate element around articles: ``state`` is 0 unless it or one
+    around it is closed by its own tag, 2 if such a one holds its articles."""
+    __slots__ = ("around", "closed", "hold", "state")
+
+    def __init__(self, around: Cover | None, hold: bool):
+        self.around, self.hold, self.closed, self.state = around, hold, False, 0
+
+
 class Block:
-    __slots__ = ("article", "boiler", "chars", "heading", "label", "linked", "parts", "text")
+    __slots__ = ("article", "boiler", "chars", "cover", "heading", "label", "linked", "parts", "text")
 
-    def __init__(self, boiler: bool, article: bool, heading: bool):
+    def __init__(self, boiler: bool, article: int, cover: Cover | None, heading: bool):
         self.parts, self.linked, self.label = [], 0, ""
-        self.boiler, self.article, self.heading = boiler, article, heading
+        #: number of the outermost article, 0 outside; boilerplate around that article
+        self.article, self.cover = article, cover
+        self.boiler, self.heading = boiler, heading
 
 
-def _marks(name: str, attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element is boilerplate, reader comments, an article."""
+def _marks(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Whether an element is boilerplate, reader comments, an article, and
+    boilerplate that holds its articles."""
     words, role, hidden = set(), "", False
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
@@ -87,15 +110,20 @@ def _marks(name: str, attributes: str) -> tuple[bool, bool, bool]:
     comment = bool(words & COMMENT_WORDS)
     boiler = name in BOILER_TAGS or role in ROLES or hidden or comment or (
         bool(words & BOILER_WORDS) and not (words & MAIN_WORDS and name != "aside"))
-    return boiler, comment, article and not comment
+    if "teaser" in words and article and name != "main":
+        boiler = True
+    return boiler, comment, article and not comment, name in HOLD_TAGS or role in HOLD_ROLES or hidden
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order, in one pass over the tags."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, comments, article: inherited
-    boiler = comment = article = False
-    block, links, heading = None, 0, False
+    #: name, boilerplate, comments, article, cover of that article, own cover: inherited
+    stack: list[tuple[str, bool, bool, int, Cover | None, Cover | None]] = []
+    boiler = comment = False
+    article, cover, around = 0, None, None
+    covers: list[Cover] = []
+    block, links, heading, articles = None, 0, False, 0
 
     def add(raw: str):
         nonlocal block
@@ -105,7 +133,7 @@ def blocks_of(page: str) -> list[Block]:
         if block is None:
             if not text.strip():
                 return
-            block = Block(boiler, article, heading)
+            block = Block(boiler, article, cover, heading)
             out.append(block)
         block.parts.append(text)
         if links:
@@ -162,68 +190,103 @@ def blocks_of(page: str) -> list[Block]:
                 while stack:
                     top = stack.pop()
                     if top[0] == name:
+                        if top[5] and top[5] is not (stack[-1][5] if stack else None):
+                            top[5].closed = True
                         break
         else:
-            own, own_comment, own_article = _marks(name, attributes)
+            own, own_comment, own_article, hold = _marks(name, attributes)
+            inherited = boiler
             if own_article and not comment:
-                # an article is not part of an unclosed advert or menu before it
-                own, inherited = False, False
-            else:
-                inherited = boiler
+                # what the boilerplate around it means is known at its end
+                own, inherited = own and name != "main", False
+                if boiler:
+                    cover = around
             if name == "header" and article and not boiler and not own_comment:
                 own = False
-            stack.append((name, inherited or own, comment or own_comment, article or own_article))
+            if own:
+                around = Cover(around, hold or own_article)
+                covers.append(around)
+            if own_article and not article:
+                articles += 1
+                article = articles
+            stack.append((name, inherited or own, comment or own_comment, article, cover, around))
             links = 0
-        _, boiler, comment, article = stack[-1] if stack else ("", False, False, False)
+        _, boiler, comment, article, cover, around = stack[-1] if stack else ("", False, False, 0, None, None)
+    for c in covers:
+        c.state = max(c.around.state if c.around else 0, (2 if c.hold else 1) if c.closed else 0)
     return out
 
 
+def _first(b: Block, inside: bool) -> str:
+    """The label by stop words, length and links; "" is ambiguous."""
+    words = [w.lower() for w in _LETTERS.findall(b.text)]
+    density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    links = b.linked / b.chars if b.chars else 0.0
+    # linked words inside an article's prose are text, a block of links is not
+    if links > LINKS and (not inside or density < STOP_HIGH or links > 0.9 and len(words) < 12):
+        return "bad"
+    if len(b.text) < SHORT:
+        return "bad" if links and not inside else ""
+    if density >= STOP_HIGH or density >= STOP_LOW and len(b.text) >= LONG:
+        return "good"
+    return "bad" if density < STOP_LOW and len(b.text) >= LONG and not inside else ""
+
+
+def _near(blocks: list[Block], side: bool) -> tuple[list[tuple[int, str]], list[tuple[int, str]]]:
+    """Distance and label of the nearest decided block before and after each,
+    with ``side`` among those of the same article (or of none; boilerplate
+    elements inside an article are not of it)."""
+    n = len(blocks)
+    before, after = [(0, "")] * n, [(0, "")] * n
+    for order, near in ((range(n), before), (range(n - 1, -1, -1), after)):
+        last: dict[int, tuple[int, str]] = {}
+        for i in order:
+            key = blocks[i].article if side and not blocks[i].boiler else 0
+            if key in last:
+                near[i] = (abs(i - last[key][0]), last[key][1])
+            if blocks[i].label:
+                last[key] = (i, blocks[i].label)
+    return before, after
+
+
 def _decide(blocks: list[Block]) -> None:
     """Both passes: sets ``label`` to good or bad."""
+    covered = []
     for b in blocks:
         b.text = " ".join("".join(b.parts).split())
         b.chars = len(b.text) - b.text.count(" ")
-    inside = any(b.article and not b.boiler and b.chars for b in blocks)
-    for b in blocks:
-        words = [w.lower() for w in _LETTERS.findall(b.text)]
-        density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        links = b.linked / b.chars if b.chars else 0.0
-        if b.boiler:
+        state = b.cover.state if b.cover else 0
+        if b.boiler or state:
             b.label = "bad"
-        elif inside:
-            # linked words inside an article's prose are text, a block of links is not
-            b.label = ("bad" if not b.article or links > 0.9 and len(words) < 12 else
-                       "good" if links <= LINKS or density >= STOP_HIGH else "bad")
-        elif links > LINKS:
-            b.label = "bad"
-        elif len(b.text) < SHORT:
-            b.label = "bad" if links else ""
-        elif density >= STOP_HIGH or density >= STOP_LOW and len(b.text) >= LONG:
-            b.label = "good"
-        elif density >= STOP_LOW:
-            b.label = ""
+            if state == 1 and not b.boiler:
+                covered.append(b)
         else:
-            b.label = "bad" if len(b.text) >= LONG else ""
-    # nearest decided neighbour on each side, in two sweeps
-    n = len(blocks)
-    before, after = [(0, "")] * n, [(0, "")] * n
-    for order, near in ((range(n), before), (range(n - 1, -1, -1), after)):
-        far, label = 0, ""
-        for i in order:
-            far += 1
-            near[i] = (far, label)
-            if blocks[i].label:
-                far, label = 0, blocks[i].label
-    for b, (d1, left), (d2, right) in zip(blocks, before, after):
-        if not b.label:
-            if b.heading and right:
-                b.label = right
-            elif left == right or not right:
-                b.label = left or "bad"
-            elif not left:
-                b.label = right
-            else:
-                b.label = left if d1 < d2 else right if d2 < d1 else "good"
+            b.label = _first(b, b.article > 0)
+    if covered and not any(b.label == "good" or b.article and not b.label for b in blocks):
+        for b in covered:
+            b.label = _first(b, True)
+    text = {b.article for b in blocks if b.label == "good"}
+    if not text:
+        for b in blocks:
+            if b.article and not b.label:
+                b.label = "good"
+    own, page = _near(blocks, True), _near(blocks, False)
+    for i, b in enumerate(blocks):
+        if b.label:
+            continue
+        (d1, left), (d2, right) = own[0][i], own[1][i]
+        if b.heading and not b.article:
+            right = page[1][i][1]
+        elif not left and not right or b.article and b.article not in text:
+            (d1, left), (d2, right) = page[0][i], page[1][i]
+        if b.heading and right:
+            b.label = right
+        elif left == right or not right:
+            b.label = left or "bad"
+        elif not left:
+            b.label = right
+        else:
+            b.label = left if d1 < d2 else right if d2 < d1 else "good"
 
 
 def main_text(page: str | None) -> str:

@@ -33,6 +33,26 @@ def test_keeps_odd_articles():
     assert ht.main_text(f"<article><p>{body * 5}</p><p>x</p></article>") == body * 5 + "\nx"
 
 
+def test_article_cards_beside_a_div_body():
+    body = f"<div><h2>Heading</h2><p>{PROSE}</p><p>Yes.</p><p>{PROSE} {PROSE}</p></div>"
+    card = f"<h3><a href='/n'>News</a></h3><p>{PROSE}</p><p>More</p>"
+    want = ["Heading", PROSE, "Yes.", f"{PROSE} {PROSE}"]
+    for cards in (f"<article class='teaser'>{card}</article>" * 3, f"<aside><article>{card}</article></aside>",
+                  f"<nav><article>{card}</article></nav>", f"<div class='related'><article>{card}</article></div>",
+                  "<article><h3><a href='/n'>News of today</a></h3><p><a href='/n'>More</a></p></article>" * 2):
+        assert ht.main_text(f"<body>{body}{cards}</body>").split("\n") == want
+        assert ht.main_text(f"<body>{cards}{body}</body>").split("\n") == want
+    # a class around the whole page does not hide its article
+    assert ht.main_text(f"<div class='has-sidebar'><article><p>{PROSE}</p><p>x</p></article></div>") == f"{PROSE}\nx"
+    assert ht.main_text(f"<form><article><p>{PROSE}</p></article></form>") == PROSE
+
+
+def test_short_blocks_in_an_article_stay_ambiguous():
+    links = "".join(f"<p><a href='/{w}'>{w}</a></p>" for w in ("alpha", "beta", "gamma"))
+    got = ht.main_text(f"<article><p>{PROSE}</p><p>Yes.</p><p>{PROSE}</p>{links}<p>Tags</p>{links}</article>")
+    assert got.split("\n") == [PROSE, "Yes.", PROSE]
+
+
 def test_malformed_pages_do_not_crash():
     for page in (None, "", " ", "<", "<>", "</", "<p", "<p>a", "a < b > c", "<!-- x", "<script>x", "<a b='", "<div class=\"x>y",
                  "<p>" * 20_000 + "x", "<div>" * 5_000, "</div>" * 5_000, "<a \"" * 3_000, "&#xD800;&#99999999;&bogus;&amp",
