@@ -65,9 +65,11 @@ def _step(p: dict, s: np.ndarray, x: np.ndarray):
     return new, z, r, n, a
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
+def softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
 def _by_class(cls: np.ndarray):
@@ -157,19 +159,26 @@ def _owners(owner: list[np.ndarray], at: int, width: np.ndarray) -> np.ndarray:
 def train(p: dict, stream: np.ndarray, lanes: int = 64, back: int = 20, rate: float = 0.08,
           squares: dict | None = None) -> dict:
     """One pass of truncated backpropagation over a token stream, cut into
-    ``lanes`` parallel streams; states carry from window to window, gradients
-    stop at its start.  Adagrad.  Updates ``p`` in place."""
-    n = len(stream) // lanes
-    if n < 2:
-        return p
-    grid = stream[:n * lanes].reshape(lanes, n).T
-    squares = {k: np.full_like(v, 1e-3) for k, v in p.items()} if squares is None else squares
-    state = np.zeros((lanes, HIDDEN), dtype=np.float32)
-    for at in range(0, n, back):
-        state = _window(p, squares, state, grid[at:at + back], rate)
+    up to ``lanes`` parallel streams, what is left over into fewer; states
+    carry from window to window, gradients stop at its start.  Adagrad.
+    Updates ``p`` in place, and ``squares`` where given."""
+    squares = start(p) if squares is None else squares
+    while len(stream):
+        width = min(lanes, max(1, len(stream) // back))
+        n = len(stream) // width
+        grid = stream[:n * width].reshape(width, n).T
+        state = np.zeros((width, HIDDEN), dtype=np.float32)
+        for at in range(0, n, back):
+            state = _window(p, squares, state, grid[at:at + back], rate)
+        stream = stream[n * width:]
     return p
 
 
+def start(p: dict) -> dict[str, np.ndarray]:
+    """Adagrad's sums of squares before the first step."""
+    return {k: np.full_like(v, 1e-3) for k, v in p.items()}
+
+
 def _update(p: dict, squares: dict, name: str, grad: np.ndarray, rate: float, at=slice(None)) -> None:
     squares[name][at] += grad * grad
     p[name][at] -= rate * grad / np.sqrt(squares[name][at])
@@ -185,14 +194,14 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
     states, x = np.concatenate([v[0] for v in saved]), grid.ravel()
     share = np.float32(1.0 / state.shape[0])
     cls = output_class(x)
-    prob = np.exp(log_softmax(states @ p["Wc"] + p["bc"]))
+    prob = softmax(states @ p["Wc"] + p["bc"])
     prob[np.arange(len(x)), cls] -= 1
     prob *= share
     ds = prob @ p["Wc"].T
     grads = {"Wc": states.T @ prob, "bc": prob.sum(axis=0)}
     word, words = (x - 1) % PER_CLASS, []
     for c, rows in _by_class(cls):
-        q = np.exp(log_softmax(states[rows] @ p["Ww"][c].T + p["bw"][c]))
+        q = softmax(states[rows] @ p["Ww"][c].T + p["bw"][c])
         q[np.arange(len(rows)), word[rows]] -= 1
         q *= share
         ds[rows] += q @ p["Ww"][c]
@@ -211,9 +220,9 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
         dg[t] = np.concatenate([pz, pr, dn], axis=1)
         du += s0.T @ da
         carry = np.clip(d * z + da @ p["U"].T + ds[t], -1, 1)
-    used, inverse = np.unique(x, return_inverse=True)
-    de = np.zeros((len(used), 3 * h), dtype=np.float32)
-    np.add.at(de, inverse, dg.reshape(-1, 3 * h))
+    order = np.argsort(x, kind="stable")
+    used, begin = np.unique(x[order], return_index=True)
+    de = np.add.reduceat(dg.reshape(-1, 3 * h)[order], begin, axis=0)
     _update(p, squares, "E", de, rate, used)
     _update(p, squares, "U", du, rate)
     _update(p, squares, "Wc", grads["Wc"], rate)

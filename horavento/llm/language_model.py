@@ -4,9 +4,10 @@
    partial aggregate by word.  The count table grows with the corpus and stays
    distributed; of it only the ``LOCAL`` most frequent words and a sum per
    shape class travel to the tasks.
-2. The network (``gru``) is trained on about ``TRAIN_TOKENS`` tokens of
-   training documents, drawn by a hash of doc_id: ``ROUNDS`` rounds of
-   truncated backpropagation in ``PARTS`` tasks, weights averaged after each.
+2. The network (``gru``) is trained on all tokens of all training documents,
+   which a hash deals to ``ROUNDS`` rounds: in each, every task runs truncated
+   backpropagation over its documents of that round, ``BLOCK_TOKENS`` tokens
+   at a time, and the tasks' weights are averaged by their tokens.
 3. Every document is scored whole, its state carried across windows.  The
    network tells the head words apart and gives the shape class of any other
    word; inside a shape class a word has the share (c + 1) / T of its class.
@@ -35,7 +36,10 @@ from horavento.session import materialize
 LOCAL = 100_000
 #: documents are scored side by side in groups of about this many tokens
 GROUP_TOKENS = 1_000_000
-TRAIN_TOKENS, PARTS, ROUNDS = 1_500_000, 8, 3
+#: a task trains on blocks of this many tokens (a longer document in several), one after another
+BLOCK_TOKENS, ROUNDS = 500_000, 3
+#: weights are summed in groups of so many tasks before they reach the driver
+TASKS = 32
 
 
 def held_out(doc_id):
@@ -122,49 +126,75 @@ class Vocabulary:
         return place, x, rest
 
 
-def fit(docs: DataFrame, vocab: Vocabulary, shared, tokens: int = TRAIN_TOKENS, parts: int = PARTS, rounds: int = ROUNDS) -> dict:
-    """The trained weights: data-parallel rounds with averaged weights."""
+def _blocks(batches, v: Vocabulary, tokens: int, rng):
+    """The token streams of the batches' texts, shuffled inside blocks of at
+    most ``tokens`` tokens."""
+    held, have = [], 0
+
+    def joined():
+        return np.concatenate([held[k] for k in rng.permutation(len(held))])
+
+    for batch in batches:
+        for t in text_column(batch, "text"):
+            x = v.read(words(t))[1]
+            while len(x):
+                held.append(x[:tokens - have])
+                x, have = x[tokens - have:], have + len(held[-1])
+                if have >= tokens:
+                    yield joined()
+                    held, have = [], 0
+    if held:
+        yield joined()
+
+
+def _summed(batches):
+    """Sum of weights times tokens, and of tokens."""
+    n, total = 0, 0.0
+    for batch in batches:
+        for k, w in zip(batch.column(0).to_pylist(), batch.column(1)):
+            n, total = n + k, total + k * np.frombuffer(w.as_buffer(), dtype=np.float32).astype(np.float64)
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["n", "w"])
+
+
+def fit(docs: DataFrame, vocab: Vocabulary, shared, tokens: int = BLOCK_TOKENS, rounds: int = ROUNDS) -> dict:
+    """The trained weights: data-parallel rounds with averaged weights, every
+    training document in one of them."""
     params = gru.initial(vocab.log_share())
     if not vocab.n:
         return params
-    part = min(1.0, tokens / vocab.n)
-    drawn = (docs.where(~F.col("held_out")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(part * (1 << 30)) + 1)
-             .select("doc_id", "text"))
-    sample = materialize(drawn.repartition(parts, F.xxhash64("doc_id", F.length("text"))), "lm-sample")
-    sample = sample.coalesce(parts)
-    each = -(-tokens // parts)
+    turn_of = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(rounds))
     spark = docs.sparkSession
     for turn in range(rounds):
         now = spark.sparkContext.broadcast(params)
 
         def run(batches, turn=turn, now=now):
-            v, streams, have = Vocabulary.of(shared.value), [], 0
-            for batch in batches:
-                for t in text_column(batch, "text"):
-                    x = v.read(words(t))[1]
-                    if have < 2 * each:
-                        streams.append(x)
-                        have += len(x)
-            if have:
-                order = np.random.default_rng(turn).permutation(len(streams))
-                stream = np.concatenate([streams[k] for k in order])
-                lo, hi = len(stream) * turn // rounds, len(stream) * (turn + 1) // rounds
-                p = gru.train({k: w.copy() for k, w in now.value.items()}, stream[lo:hi], rate=0.1 / (1 + turn))
+            v, n = Vocabulary.of(shared.value), 0
+            p = {k: w.copy() for k, w in now.value.items()}
+            squares = gru.start(p)
+            for stream in _blocks(batches, v, tokens, np.random.default_rng(turn)):
+                gru.train(p, stream, lanes=min(512, max(64, len(stream) // 1000)), rate=0.1 / (1 + turn), squares=squares)
+                n += len(stream)
+            if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hi - lo], pa.int64()), pa.array([np.concatenate([p[k].ravel() for k in sorted(p)]).tobytes()], pa.binary())],
+                    [pa.array([n], pa.int64()), pa.array([np.concatenate([p[k].ravel() for k in sorted(p)]).tobytes()], pa.binary())],
                     ["n", "w"])
 
-        got = sample.select("text").mapInArrow(run, "n long, w binary").collect()
-        if got:
-            flat = np.average([np.frombuffer(g.w, dtype=np.float32) for g in got], axis=0, weights=[g.n for g in got]).astype(np.float32)
-            at = 0
+        trained = materialize(docs.where(~F.col("held_out")).where(turn_of == turn).select("text")
+                              .mapInArrow(run, "n long, w binary"), "lm-weights")
+        groups = trained.repartition(-(-max(1, trained.count()) // TASKS)).mapInArrow(_summed, "n long, w binary")
+        n, total = 0, 0.0
+        for g in groups.toLocalIterator():
+            n, total = n + g.n, total + np.frombuffer(g.w, dtype=np.float64)
+        if n:
+            flat, at = (total / n).astype(np.float32), 0
             for k in sorted(params):
                 params[k] = flat[at:at + params[k].size].reshape(params[k].shape)
                 at += params[k].size
     return params
 
 
-def score(docs: DataFrame, local: int = LOCAL, tokens: int = TRAIN_TOKENS) -> DataFrame:
+def score(docs: DataFrame, local: int = LOCAL, tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` per row of ``docs``."""
     spark = docs.sparkSession

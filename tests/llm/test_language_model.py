@@ -4,6 +4,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from horavento.llm import gru
 from horavento.llm import language_model as lm
@@ -58,6 +60,22 @@ def test_empty_table_and_no_training_rows(spark):
     assert (got[0].n_tokens, got[0].n_known, got[0].train_tokens) == (3, 0, 0) and math.isfinite(got[0].score)
 
 
+def test_network_learns_from_every_training_document(spark):
+    rows = [(i, f"w{i} " * 30) for i in range(60)] + [(60, "long words " * 3000)]
+    d = docs(spark, rows).select("doc_id", "text", lm.held_out(F.col("doc_id")).alias("held_out"))
+    vocab = lm.Vocabulary(lm.word_counts(d), lm.LOCAL)
+    got = lm.fit(d, vocab, spark.sparkContext.broadcast(vars(vocab)), 500)["E"]
+    moved = (got != gru.initial(vocab.log_share())["E"]).any(axis=1)
+    assert len(vocab.place) > 50 and moved[1:1 + len(vocab.place)].all()
+
+
+def test_blocks_hold_every_token_once():
+    v = lm.Vocabulary.of({"place": {b"a": 0}, "input": np.array([1, 0])})
+    batch = pa.RecordBatch.from_pydict({"text": ["a " * n for n in (3, 250, 0, 99, 100, 1)]})
+    got = list(lm._blocks([batch, batch], v, 100, np.random.default_rng(0)))
+    assert [len(b) for b in got] == [100] * 9 + [18] and sum((b == 1).sum() for b in got) == 2 * 453
+
+
 def params(seed=1):
     p = gru.initial(np.zeros(gru.OUTPUTS + gru.HEAD), seed)
     return {k: v.astype(np.float64) for k, v in p.items()}
