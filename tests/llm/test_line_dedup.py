@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from horavento.llm import line_dedup as ld
@@ -57,6 +59,14 @@ def test_near_copies_of_one_line(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_short_lines_at_the_threshold(spark):
+    # 5 and 4 shingles, similarity 0.8: no link may be lost before the exact comparison
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(400)]
+    rows = [(2 * k + j, x[:12 - j]) for k, x in enumerate(lines) for j in (0, 1)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_open_pairs_by_prefix(spark, monkeypatch):
     monkeypatch.setattr(ld, "BUCKET", 2)
     base = prose(50, 40)
