@@ -126,18 +126,23 @@ def word_hashes(data: bytes, is_word: np.ndarray) -> np.ndarray:
 
 
 def _hash_piece(b: np.ndarray, is_word: np.ndarray) -> np.ndarray:
+    return spans_hashed(b, is_word)[0]
+
+
+def spans_hashed(b: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the maximal runs of word bytes in ``b``."""
     n = len(b)
     inside = np.zeros(n + 2, dtype=np.int8)
     inside[1:-1] = is_word[b]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.empty(0, dtype=U)
+        return np.empty(0, dtype=U), starts, ends
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, dtype=U)
         np.cumsum(_BYTE_VALUE[b] * _power(_BASE, n)[:n], out=total[1:])
         h = (total[ends] - total[starts]) * _power(_INV, n)[starts]
-        return mix(h + (ends - starts).astype(U))
+        return mix(h + (ends - starts).astype(U)), starts, ends
 
 
 IS_SPACE_WORD = np.ones(256, dtype=bool)
