@@ -71,9 +71,9 @@ def n_repeat_words(text: Column) -> Column:
     The windows' hashes are sorted with their positions, those equal to a
     neighbour are kept, and each position covers three words less what the
     next one covers: linear but for the two sorts."""
-    def windows(w: Column) -> Column:
-        return F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.struct(
-            F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
+    def hashes(w: Column) -> Column:
+        return F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))),
+                           lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
 
     def repeated(s: Column) -> Column:
         same = lambda x, j: F.coalesce(F.get(s, j)["h"] == x["h"], F.lit(False))
@@ -83,25 +83,47 @@ def n_repeat_words(text: Column) -> Column:
         return F.aggregate(F.transform(at, lambda x, j: F.coalesce(F.least(F.get(at, j + 1) - x, F.lit(3)), F.lit(3))),
                            F.lit(0), lambda a, x: a + x)
 
+    def counted(h: Column) -> Column:
+        placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
+            let(let(F.sort_array(placed), repeated), covered))
+
     words = F.filter(F.split(text, SPACE), lambda x: x != "")
-    return let(let(F.sort_array(let(words, windows)), repeated), covered).cast("long")
+    return let(let(words, hashes), counted).cast("long")
+
+
+#: figures of a text by name
+FIGURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": n_words, "word_chars": n_word_chars, "n_symbols": n_symbols, "n_lines": n_lines, "n_dup_lines": n_dup_lines,
+    "n_repeat_words": n_repeat_words, "n_upper": lambda t: _removed(t, UPPERS), "n_lower": lambda t: _removed(t, LOWERS)}
+
+
+class Figures:
+    """The figures of ``text`` as Columns; those in ``given`` (columns that
+    hold the figure of the same name) are not computed again."""
+
+    def __init__(self, text: Column, given: Sequence[str] = ()):
+        self.text, self.given = text, frozenset(given)
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(name) if name in self.given else FIGURES[name](self.text)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails(text)`` is true for texts to reject and never null."""
+    """``fails`` of the figures is true for texts to reject and never null."""
     name: str
-    fails: Callable[[Column], Column]
+    fails: Callable[[Figures], Column]
 
 
 #: the first two are the contract's base rules
 RULES = (
-    Rule("few_words", lambda t: n_words(t) < 50),
-    Rule("repeated_words", lambda t: 100 * n_repeat_words(t) > 50 * n_words(t)),
-    Rule("symbols", lambda t: 10 * n_symbols(t) > n_words(t)),
-    Rule("word_length", lambda t: ~n_word_chars(t).between(2 * n_words(t), 12 * n_words(t))),
-    Rule("repeated_lines", lambda t: 100 * n_dup_lines(t) > 50 * n_lines(t)),
-    Rule("capitals", lambda t: _removed(t, UPPERS) > _removed(t, LOWERS)),
+    Rule("few_words", lambda f: f["n_words"] < 50),
+    Rule("repeated_words", lambda f: 100 * f["n_repeat_words"] > 50 * f["n_words"]),
+    Rule("symbols", lambda f: 10 * f["n_symbols"] > f["n_words"]),
+    Rule("word_length", lambda f: ~f["word_chars"].between(2 * f["n_words"], 12 * f["n_words"])),
+    Rule("repeated_lines", lambda f: 100 * f["n_dup_lines"] > 50 * f["n_lines"]),
+    Rule("capitals", lambda f: f["n_upper"] > f["n_lower"]),
 )
 
 
@@ -115,19 +137,19 @@ def _timed(sample: DataFrame, condition: Column) -> float:
     return min(spent)
 
 
-def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
-                  rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
+def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", rows: int = SAMPLE_ROWS,
+                  given: Sequence[str] = ()) -> list[tuple[Rule, float, float]]:
     """The rules by rejection per cost, each with its cost (seconds on the
     sample) and the share of the sample it rejects at its place."""
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    sample = materialize(about(docs.select(t.alias("t")), rows, "t"), "rule-sample")
-    col = F.col("t")
-    bits = [r.fails(col).alias(f"r{i}") for i, r in enumerate(rules)]
+    sample = materialize(about(docs.select(t.alias("t"), *given), rows, "t"), "rule-sample")
+    figures = Figures(F.col("t"), given)
+    bits = [r.fails(figures).alias(f"r{i}") for i, r in enumerate(rules)]
     patterns = [(tuple(r[:-1]), r[-1]) for r in
                 sample.select(*bits).groupBy(*[f"r{i}" for i in range(len(rules))]).count().collect()]
     total = max(1, sum(n for _, n in patterns))
-    idle = _timed(sample, F.length(col) < 0)
-    cost = [max(1e-3, _timed(sample, r.fails(col)) - idle) for r in rules]
+    idle = _timed(sample, F.length("t") < 0)
+    cost = [max(1e-3, _timed(sample, r.fails(figures)) - idle) for r in rules]
     left, out = list(range(len(rules))), []
     while left:
         caught = {i: sum(n for p, n in patterns if p[i]) for i in left}
@@ -138,22 +160,24 @@ def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "t
     return out
 
 
-def first_failed(text: Column, rules: Sequence[Rule]) -> Column:
+def first_failed(text: Column, rules: Sequence[Rule], given: Sequence[str] = ()) -> Column:
     """Name of the first of ``rules`` that rejects, else null; later rules are
     not evaluated for a row that an earlier one rejects."""
     if not rules:
         return F.lit(None).cast("string")
-    t = F.coalesce(text.cast("string"), F.lit(""))
-    out = F.when(rules[0].fails(t), rules[0].name)
+    figures = Figures(F.coalesce(text.cast("string"), F.lit("")), given)
+    out = F.when(rules[0].fails(figures), rules[0].name)
     for r in rules[1:]:
-        out = out.when(r.fails(t), r.name)
+        out = out.when(r.fails(figures), r.name)
     return out
 
 
-def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``failed_rule`` and boolean ``kept``."""
-    order = [r for r, _, _ in cascade_order(docs, rules, text, rows)]
-    out = without(docs.withColumn("__failed", first_failed(F.col(f"`{text}`"), order)), "failed_rule", "kept")
+def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", rows: int = SAMPLE_ROWS,
+          given: Sequence[str] = ()) -> DataFrame:
+    """``docs`` with ``failed_rule`` and boolean ``kept``; ``given`` names
+    columns that hold the figure of that name already."""
+    order = [r for r, _, _ in cascade_order(docs, rules, text, rows, given)]
+    out = without(docs.withColumn("__failed", first_failed(F.col(f"`{text}`"), order, given)), "failed_rule", "kept")
     return (out.withColumn("failed_rule", F.col("__failed")).withColumn("kept", F.col("__failed").isNull()).drop("__failed"))
 
 
@@ -190,9 +214,7 @@ FROM b"""
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base figures of every document and the cascade's verdict."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    base = [n_words(t).alias("n_words"), n_word_chars(t).alias("word_chars"), n_symbols(t).alias("n_symbols"),
-            n_dup_lines(t).alias("n_dup_lines"), n_repeat_words(t).alias("n_repeat_words")]
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", *[FIGURES[n](t).alias(n) for n in base])
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
-    return (judge(table(spark, sf_dir, "documents")).select("doc_id", *base, "kept")
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept")))
+    return judge(docs, given=base).select("doc_id", *base, failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"))

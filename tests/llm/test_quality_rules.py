@@ -43,7 +43,7 @@ def test_order_changes_no_verdict_and_every_rule_is_placed(spark):
 
 
 def test_rejections_per_cost_come_first(spark, monkeypatch):
-    rules = [Q.Rule("rare", lambda t: t == "x"), Q.Rule("dear", lambda t: t.isin("x", "y")), Q.Rule("cheap", lambda t: t.isin("y", "z"))]
+    rules = [Q.Rule("rare", lambda f: f.text == "x"), Q.Rule("dear", lambda f: f.text.isin("x", "y")), Q.Rule("cheap", lambda f: f.text.isin("y", "z"))]
     seconds = iter([0.0, 0.1, 9.0, 0.1])
     monkeypatch.setattr(Q, "_timed", lambda sample, condition: next(seconds))
     df = docs(spark, [(1, "x"), (2, "y"), (3, "z"), (4, "kept")])
@@ -51,11 +51,16 @@ def test_rejections_per_cost_come_first(spark, monkeypatch):
 
 
 def test_a_later_rule_is_not_evaluated_for_a_rejected_row(spark):
-    rules = [Q.Rule("first", lambda t: F.length(t) >= 0), Q.Rule("second", lambda t: F.raise_error(F.lit("reached")).cast("boolean"))]
+    rules = [Q.Rule("first", lambda f: F.length(f.text) >= 0), Q.Rule("second", lambda f: F.raise_error(F.lit("reached")).cast("boolean"))]
     got = docs(spark, [(1, "a"), (2, None)]).select(Q.first_failed(F.col("text"), rules).alias("f")).collect()
     assert [r.f for r in got] == ["first", "first"]
 
 
+def test_figures_at_hand_are_used(spark):
+    df = docs(spark, [(1, "a b c"), (2, "a b c")]).withColumn("n_words", F.col("doc_id") * 49)
+    assert [r.failed_rule for r in Q.judge(df, Q.RULES[:1], given=["n_words"]).orderBy("doc_id").collect()] == ["few_words", None]
+
+
 def test_main_path_has_no_python(spark):
     from horavento.llm.quality_rules import op12_quality_rules
     plan = op12_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
