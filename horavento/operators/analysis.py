@@ -60,13 +60,13 @@ def database_stats(df: DataFrame, date: str = "data") -> DataFrame:
 
 def missing_report(df: DataFrame, cols: list[str] = TARGETS, by=None) -> DataFrame:
     """Missing count and percent (half-even, 2 places) per target, overall or
-    per group, in long form (A4, P14, T25)."""
+    per group, in long form (A4, P14, T25); NULL percent of an empty table."""
     by = _by(by)
     g = df.groupBy(*by) if by else df.groupBy()
     wide = g.agg(F.count(F.lit(1)).alias("total"),
                  *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     long = wide.unpivot(by + ["total"], cols, "coluna", "faltantes")
-    pct = F.bround(F.col("faltantes").cast("double") / F.col("total").cast("double") * 100.0, 2)
+    pct = F.bround(F.try_divide(F.col("faltantes").cast("double"), F.col("total").cast("double")) * 100.0, 2)
     return long.select(*by, "coluna", "faltantes", pct.alias("percentual"), "total")
 
 
@@ -186,10 +186,11 @@ def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def score(pairs: DataFrame, by=("estacao", "modelo", "alvo"),
           real: str = "real", pred: str = "imputado", mape: bool = False) -> DataFrame:
     """RMSE, MAE and R2 per group (A14, M14): R2 = 1 - SSres / SStot with
-    SStot = n * population variance of the truth."""
+    SStot = n * population variance of the truth; a constant truth (one row
+    included) has no R2 and gives NULL."""
     e = F.col(real) - F.col(pred)
     aggs = [F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-            (F.lit(1.0) - F.sum(e * e) / (F.var_pop(real) * F.count(real))).alias("r2"),
+            (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(real) * F.count(real))).alias("r2"),
             F.count(F.lit(1)).alias("n")]
     if mape:
         aggs.append(F.avg(F.when(F.col(real) != 0, F.abs(e / F.col(real)))).alias("mape"))

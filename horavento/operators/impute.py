@@ -16,7 +16,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -30,7 +29,7 @@ from horavento.operators.analysis import score
 from horavento.schemas import (
     EVALUATION_RATIO, MIN_SAMPLES_LEAF, MIN_SAMPLES_SPLIT, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
 )
-from horavento.session import checkpoint_root, materialize
+from horavento.session import materialize
 
 
 def hash_order(seed: int, target, id_col: str = "id"):
@@ -204,9 +203,7 @@ def assemble_features(df: DataFrame, by: str = "estacao", stations: list[str] |
 
 def _persist_round(df: DataFrame, tag: str) -> DataFrame:
     """Write a round to the shared checkpoint folder and read it back."""
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return materialize(df, tag)
 
 
 def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
@@ -229,7 +226,7 @@ def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
             sub, feats = assemble_features(df.where(F.col(by).eqNullSafe(F.lit(name))), by, pooled=False)
             parts.append(iterative_impute(sub, config, targets, feats, by, seed, fallback=means))
         from functools import reduce
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, parts) if parts else temporal_features(df, "data", "hora")
     if features is None:
         df, features = assemble_features(df, by)
     miss = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(t).isNull()).alias(t) for t in targets]).first()
@@ -239,7 +236,7 @@ def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
     cur = _persist_round(cur, "impute-init")
     for rnd in range(int(config["max_iter"])):
         for t in order:
-            if miss[t] in (0, miss["_n"]):  # nothing missing, or nothing to learn from
+            if miss[t] == 0 or miss["_n"] - miss[t] < 2:  # nothing missing, or nothing to learn from: the mean stays
                 continue
             inputs = [c for c in targets if c != t] + list(features)
             va = VectorAssembler(inputCols=inputs, outputCol="_x", handleInvalid="keep")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from horavento.functions.temporal import temporal_features
 from horavento.operators import forecast as FC
 from horavento.operators import impute as M
-from horavento.plans.common import READINGS_SQL, register
+from horavento.plans.common import READINGS_SQL, register, rounded
 from horavento.plans.model_queries import MASK_SQL
 from horavento.schemas import MODEL_CONFIGS, TARGETS
 from horavento.sources.tables import readings
@@ -43,8 +43,7 @@ def q_iterative_impute(spark, sf):
 @register("impute_per_station", IMPUTED_SQL)
 def q_impute_per_station(spark, sf):
     r = readings(spark, sf)
-    small = {"nome": "Minimo", "n_estimators": 3, "max_depth": 4, "max_iter": 1}
-    return _invariants(r, M.iterative_impute(r, small, scope="per_station"))
+    return _invariants(r, M.iterative_impute(r, LIGHT, scope="per_station"))
 
 
 @register("evaluate_imputer", f"""WITH {MASK_SQL}
@@ -131,3 +130,42 @@ def q_scale_features(spark, sf):
     z = vector_to_array("features")
     return FC.scale_features(_forecast_frame(spark, sf), SCALED).select(
         "id", "estacao", *[F.round(z[i], 6).alias(f"z_{c}") for i, c in enumerate(SCALED)])
+
+
+CV_SQL = f"""{READINGS_SQL},
+f AS (SELECT id, CAST(data AS TIMESTAMP) + to_hours(hora) AS ts, temperatura AS y, umidade,
+  CAST(ntile(5) OVER (ORDER BY CAST(data AS TIMESTAMP) + to_hours(hora), id) - 1 AS INTEGER) AS fold FROM readings),
+x AS (SELECT id, fold, y, coalesce(umidade, (SELECT coalesce(avg(umidade), 0) FROM f WHERE fold = 0)) AS x FROM f WHERE y IS NOT NULL),
+fit AS (SELECT k.fold, coalesce(regr_slope(x.y, x.x), 0) AS b, avg(x.y) AS my, avg(x.x) AS mx
+  FROM (SELECT unnest(range(1, 5)) AS fold) k JOIN x ON x.fold < k.fold GROUP BY k.fold),
+p AS (SELECT x.id, x.fold, x.y AS real, fit.my + fit.b * (x.x - fit.mx) AS pred FROM x JOIN fit ON x.fold = fit.fold)"""
+
+
+@register("forecast_cv", f"""WITH {CV_SQL}
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, round(sqrt(avg((real - pred) * (real - pred))), 6) AS rmse,
+  round(avg(abs(real - pred)), 6) AS mae,
+  round(1 - sum((real - pred) * (real - pred)) / (var_pop(real) * count(*)), 6) AS r2,
+  round(avg(abs((real - pred) / real)) FILTER (real <> 0), 6) AS mape FROM p GROUP BY fold""")
+def q_forecast_cv(spark, sf):
+    """Linear fits of the expanding splits, scored fold by fold."""
+    return rounded(FC.cross_validate(_forecast_frame(spark, sf), ["umidade"]).select("fold", "n", "rmse", "mae", "r2", "mape"))
+
+
+@register("forecast_out_of_fold", f"""WITH {CV_SQL}
+SELECT id, CAST(fold AS INTEGER) AS fold, round(real, 6) AS temperatura_real, round(pred, 6) AS temperatura_prevista FROM p""")
+def q_forecast_out_of_fold(spark, sf):
+    return rounded(FC.out_of_fold(_forecast_frame(spark, sf), ["umidade"]).select(
+        "id", "fold", "temperatura_real", "temperatura_prevista"))
+
+
+@register("forecast_cv_trees", f"""WITH {READINGS_SQL},
+f AS (SELECT temperatura AS y, CAST(ntile(3) OVER (ORDER BY CAST(data AS TIMESTAMP) + to_hours(hora), id) - 1 AS INTEGER) AS fold FROM readings)
+SELECT a.algoritmo, f.fold, count(y) AS n, true AS finito FROM f CROSS JOIN (VALUES ('rf'), ('gbt')) AS a(algoritmo)
+WHERE f.fold > 0 GROUP BY a.algoritmo, f.fold""")
+def q_forecast_cv_trees(spark, sf):
+    frame, out = _forecast_frame(spark, sf), None
+    for algo in ("rf", "gbt"):
+        s = FC.cross_validate(frame, k=3, algo=algo, num_trees=20, max_depth=5)
+        s = s.select(F.lit(algo).alias("algoritmo"), "fold", "n", ((F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("rmse") < 1e300)).alias("finito"))
+        out = s if out is None else out.unionByName(s)
+    return out
