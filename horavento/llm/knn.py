@@ -7,8 +7,8 @@
    lower ends and counts give a bound that the k-th best product of q
    certainly reaches; q is sent only to the cells whose upper end reaches it.
 3. Cells are dealt in blocks of about ``BLOCK`` rows, queries in chunks of
-   about ``CHUNK`` rows; each (cell, block, chunk) is solved by one exact
-   matrix product and passes on its k best per query that reach the bound.
+   about ``CHUNK`` rows, and a cell's rows go to the chunks that have queries
+   for it; each (cell, block, chunk) is solved by one exact matrix product and passes on its k best per query that reach the bound.
 4. A window per query merges those lists.
 
 Only pivots and summaries (a bounded number of rows) reach the driver.
@@ -17,8 +17,9 @@ Defined cases: null vectors, vectors with null or non-finite components and
 rows without vec_id take no part; vectors of different lengths take no part
 with one another; a query's own vec_id is never its answer; a repeated query
 is answered once (of different vectors of one id the smallest asks), repeated
-candidates each count; components are cut to 31
-bits; ties go to the smaller vec_id; an empty table gives an empty result.
+candidates each count; components beyond 63 bits and products beyond them are
+held at the ends of a long, all smaller ones are exact; ties go to the smaller
+vec_id; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,29 +36,33 @@ from horavento.session import materialize
 K, EVERY = 5, 50
 MAX_PIVOTS, ROWS_PER_CELL = 256, 1000
 BLOCK, CHUNK = 4096, 8192
-LIMIT = 1 << 31
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 0))
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), dtype=np.int64)
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``vec_id, v`` with v = floor(scale * x), for the rows that take part."""
     fine = lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))
-    cut = lambda e: F.least(F.greatest(F.floor(scale * e), F.lit(1 - LIMIT)), F.lit(LIMIT - 1)).cast("int")
+    top = float(1 << 63)
+    cut = lambda e: (F.when(scale * e >= top, F.lit((1 << 63) - 1)).when(scale * e <= -top, F.lit(1 - (1 << 63)))
+                     .otherwise(F.floor(scale * F.when(F.abs(scale * e) < top, e))))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
     return (rows.where("vec_id IS NOT NULL AND size(x) > 0").where(F.forall("x", fine))
             .select("vec_id", F.transform("x", cut).alias("v")))
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """All inner products, exact: in doubles where these hold every sum."""
-    top = (np.abs(q).max(initial=0)) * (np.abs(x).max(initial=0)) * max(1, q.shape[1])
+    """All inner products of whole numbers, exact: in doubles or longs where
+    these hold every sum, else in Python's integers."""
+    top = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(x.astype(np.float64)).max(initial=0)) * max(1, q.shape[1])
     if top < 2 ** 53:
-        return (q @ x.T).astype(np.int64)
-    return q.astype(np.int64) @ x.astype(np.int64).T
+        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    if top < 2 ** 62:
+        return q.astype(np.int64) @ x.astype(np.int64).T
+    return np.clip(q.astype(object) @ x.astype(object).T, 1 - (1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 def _solve(dim_rows: DataFrame, dim: int, count: int, k: int, every: int) -> DataFrame:
@@ -69,14 +74,14 @@ def _solve(dim_rows: DataFrame, dim: int, count: int, k: int, every: int) -> Dat
     weight = (pivots ** 2).sum(axis=1)
 
     def assign(batch: pa.RecordBatch) -> dict | None:
-        x = _matrix(batch.column(1))
+        x = _matrix(batch.column(1)).astype(np.float64)
         if not len(x):
             return None
         cell = (weight - 2 * (x @ pivots.T)).argmin(axis=1)
         return {"vec_id": batch.column(0), "v": batch.column(1), "cell": cell,
                 "far": np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))}
 
-    cells = materialize(map_batches(dim_rows, assign, "vec_id long, v array<int>, cell int, far double"), "knn-cells")
+    cells = materialize(map_batches(dim_rows, assign, "vec_id long, v array<long>, cell int, far double"), "knn-cells")
     summary = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("r")).collect()
     n, radius = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
     for s in summary:
@@ -86,14 +91,15 @@ def _solve(dim_rows: DataFrame, dim: int, count: int, k: int, every: int) -> Dat
 
     def route(batch: pa.RecordBatch):
         """The cells that may hold one of a query's k best."""
-        q = _matrix(batch.column(1))
+        q = _matrix(batch.column(1)).astype(np.float64)
         if not len(q):
             return None
         middle = q @ pivots.T
-        reach = np.sqrt((q ** 2).sum(axis=1))[:, None] * radius * (1 + 1e-9) + 1e-6
+        reach = np.sqrt((q ** 2).sum(axis=1))[:, None] * (radius * (1 + 1e-9) + 1e-9 * np.sqrt(weight)) + 1e-6
         order = np.argsort(-(middle - reach), axis=1, kind="stable")
-        # one member more than k, as the query itself may be one of them
-        held = np.cumsum(n[order], axis=1) > k
+        # k members beside the rows of the query's own id, wherever these lie
+        own = batch.column(2).to_numpy()[:, None]
+        held = np.cumsum(n[order], axis=1) >= k + own
         at = np.where(held[:, -1], held.argmax(axis=1), -1)
         low = np.take_along_axis(middle - reach, order, axis=1)
         bound = np.where(at >= 0, low[np.arange(len(q)), at], -np.inf)
@@ -101,14 +107,15 @@ def _solve(dim_rows: DataFrame, dim: int, count: int, k: int, every: int) -> Dat
         take = pa.array(row)
         return {"vec_id": batch.column(0).take(take), "v": batch.column(1).take(take), "cell": cell, "bound": bound[row]}
 
-    queries = dim_rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = dim_rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("own"))
     block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    routed = (map_batches(queries, route, "vec_id long, v array<int>, cell int, bound double")
-              .withColumn("block", F.explode(F.sequence(F.lit(0), block_of - 1)))
-              .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int")))
+    sent = materialize(map_batches(queries, route, "vec_id long, v array<long>, cell int, bound double")
+                       .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int")), "knn-routed")
+    routed = sent.withColumn("block", F.explode(F.sequence(F.lit(0), block_of - 1)))
+    asked_by = sent.groupBy("cell").agg(F.collect_set("chunk").alias("chunks"))  # a row per pivot
     # blocks are dealt row by row, so equal vectors and equal ids spread too
     data = (cells.select("vec_id", "v", "cell", F.pmod(F.monotonically_increasing_id(), block_of).cast("int").alias("block"))
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
+            .join(F.broadcast(asked_by), "cell").withColumn("chunk", F.explode("chunks")).drop("chunks"))
 
     def local(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),

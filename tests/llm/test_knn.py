@@ -76,3 +76,31 @@ def test_products_are_exact(big):
     q, x = (np.floor(rng.normal(0, big, (5, 64)) * 256) for _ in range(2))
     want = [[int(sum(int(a) * int(b) for a, b in zip(r, s))) for s in x] for r in q]
     assert knn._products(q, x).tolist() == want
+
+
+def test_ids_repeated_more_than_k_times(spark, monkeypatch):
+    """A cell full of a query's own rows bounds nothing."""
+    monkeypatch.setattr(knn, "ROWS_PER_CELL", 1)
+    rows = vectors(400, 8, 5)
+    rows += [(i, v) for i, v in rows if i % 40 == 0 for _ in range(11)]
+    got = run(spark, rows, every=40)
+    assert got == brute(rows, every=40) and len(got) == 50
+
+
+def test_large_components_are_exact(spark):
+    rows = [(0, [1e7, 3.0]), (1, [1e7, -5.0]), (2, [2.0, 1e7]), (50, [-1e7, 1.0]), (3, [1.0, 1.0]), (4, [1e5, 1e5])]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_components_past_the_long_range_are_held(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 2.0]), (2, [-1e30, 0.0]), (3, [1.0, 1.0])]
+    got = run(spark, rows)
+    top = (1 << 63) - 1
+    assert [(r[2], r[3]) for r in got] == [(1, top), (3, 256 * top + 256 * 256 if 256 * top < top else top), (2, 1 - (1 << 63))]
+
+
+def test_data_goes_only_to_chunks_with_queries(spark, monkeypatch):
+    monkeypatch.setattr(knn, "CHUNK", 1)
+    monkeypatch.setattr(knn, "ROWS_PER_CELL", 20)
+    rows = vectors(500, 4, 9)
+    assert run(spark, rows, every=25) == brute(rows, every=25)
