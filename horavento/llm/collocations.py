@@ -5,10 +5,10 @@ language scores ``floor(1000 * a * n / (l * r))`` at its lowest cut into a
 first part (``l`` occurrences) and a rest (``r``), with ``a`` occurrences of
 its own among ``n`` words.  The best ``TOP`` of every language are wanted.
 
-1. One pass turns the texts into blocks of 64-bit word hashes (0 between
-   pieces) and counts the words.  A word below ``MIN_COUNT`` stands in no
-   candidate; it becomes a boundary, and only stretches of two words and more
-   are kept for the passes that follow.
+1. One pass counts the words.  A word below ``MIN_COUNT`` stands in no
+   candidate; a second pass turns the texts into blocks of 64-bit word hashes
+   with a boundary (0) in its place and between pieces, and writes stretches
+   of two words and more for the passes that follow.
 2. Bound: a phrase that begins with a prefix of ``l`` occurrences scores at
    most ``floor(1000 * n / l)``, because ``a <= r``.  Of all prefixes of a
    phrase the first word gives the least bound.  The frontier therefore opens
@@ -32,7 +32,8 @@ exact (decimals of 38 digits).
 
 Defined cases: null text is empty, a null language is ``und``; pieces of one
 word give nothing; repeated rows count each; very long texts are worked
-through in bounded pieces, cut between words; ties rank by count, then by the
+through in bounded pieces, cut between words (about 8 bytes a frequent word
+are held for a text); ties rank by count, then by the
 phrase's bytes; an empty table gives an empty result; other columns are not
 read.
 """
@@ -40,6 +41,7 @@ read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +49,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from horavento.llm.common import CELLS, LOWER, U, mix, register, spans_hashed, spread, table
+from horavento.llm.common import CELLS, LOWER, U, mix, register, spans_hashed, table
 from horavento.session import materialize
 
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 #: first words of a language in the first wave, and growth from wave to wave
 FIRST_WAVE, GROWTH = 3 * TOP, 4
-#: bytes of text turned into one block of words, and counted rows held at once
-BLOCK, HELD = 1 << 19, 1 << 20
+#: bytes of text turned into one block of words, and counted rows a task holds
+BLOCK, HELD = 1 << 19, 1 << 17
+#: words of a written row, and rows looked through at once
+ROW, ROWS = 256, 512
 #: first words share a step of the frontier within a quarter octave of counts
 STEPS = 4
 
@@ -99,79 +103,59 @@ def _with_boundaries(h: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return out
 
 
-class _WordTally:
-    """Counts of distinct words, with their bytes, in bounded memory."""
-
-    def __init__(self):
-        self.rows, self.parts = 0, []
-
-    def add(self, h, words, counts):
-        self.parts.append((h, counts, pa.array(words, pa.binary())))
-        self.rows += len(h)
-
-    def merged(self):
-        h = np.concatenate([p[0] for p in self.parts])
-        counts = np.concatenate([p[1] for p in self.parts])
-        words = pa.concat_arrays([p[2] for p in self.parts])
-        h, first, at = np.unique(h, return_index=True, return_inverse=True)
-        counts = np.bincount(at, weights=counts, minlength=len(h)).astype(np.int64)
-        words = words.take(pa.array(first))
-        self.parts, self.rows = [(h, counts, words)], len(h)
-        return h, counts, words
-
-
-_TOKENS = "lang string, toks binary, h long, cnt long, word binary"
-
-
-def _tokens(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: blocks of word hashes (``toks``) and partial counts
-    of the words (``h``, ``cnt``, ``word``), from one pass over the texts."""
-    arrow = pa.schema([("lang", pa.string()), ("toks", pa.binary()), ("h", pa.int64()), ("cnt", pa.int64()), ("word", pa.binary())])
-
-    def rows(lang, toks=None, h=None, counts=None, words=None):
-        n = 1 if toks is not None else len(h)
-        none = lambda t: pa.nulls(n, t)
-        return pa.RecordBatch.from_arrays([
-            pa.array([lang] * n, pa.string()), none(pa.binary()) if toks is None else pa.array([toks], pa.binary()),
-            none(pa.int64()) if h is None else pa.array(h.view(np.int64)),
-            none(pa.int64()) if h is None else pa.array(counts), none(pa.binary()) if h is None else words], schema=arrow)
+def _groups(batches) -> Iterator[tuple[str, bytes]]:
+    """Texts of one language, joined until they fill a block."""
+    held: dict[str, list[bytes]] = {}
+    size: dict[str, int] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            data = text.encode("utf-8", "surrogatepass")
+            held.setdefault(lang, []).append(data)
+            size[lang] = size.get(lang, 0) + len(data) + 1
+            if size[lang] >= BLOCK:
+                yield lang, b"\n".join(held.pop(lang)).translate(LOWER)
+                del size[lang]
+    for lang, texts in held.items():
+        yield lang, b"\n".join(texts).translate(LOWER)
+
+
+def _merged(parts):
+    """Counts of distinct words, with their bytes."""
+    h = np.concatenate([p[0] for p in parts])
+    counts = np.concatenate([p[1] for p in parts])
+    words = pa.concat_arrays([p[2] for p in parts])
+    h, first, at = np.unique(h, return_index=True, return_inverse=True)
+    return h, np.bincount(at, weights=counts, minlength=len(h)).astype(np.int64), words.take(pa.array(first))
+
+
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """``lang, h, a, word``: words by their hash, added up before the shuffle;
+    a task holds a bounded number of them."""
+    def rows(tally):
+        for lang, parts in tally.items():
+            h, counts, words = _merged(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)),
+                                              pa.array(counts), words], names=["lang", "h", "cnt", "word"])
 
     def run(batches):
-        held: dict[str, list[bytes]] = {}
-        size: dict[str, int] = {}
-        tally: dict[str, _WordTally] = {}
-
-        def flush(lang):
-            data = b"\n".join(held.pop(lang)).translate(LOWER)
-            size.pop(lang)
-            for b, h, starts, ends, fresh in _blocks(data):
-                yield rows(lang, toks=_with_boundaries(h, fresh).tobytes())
+        tally, size = {}, 0
+        for lang, data in _groups(batches):
+            for b, h, starts, ends, _ in _blocks(data):
                 u, first, counts = np.unique(h, return_index=True, return_counts=True)
                 raw = b.tobytes()
-                t = tally.setdefault(lang, _WordTally())
-                t.add(u, [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], counts)
-                if t.rows > HELD:
-                    u, counts, words = t.merged()
-                    if t.rows > HELD // 2:
-                        del tally[lang]
-                        yield rows(lang, h=u, counts=counts, words=words)
+                words = pa.array([raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], pa.binary())
+                tally.setdefault(lang, []).append((u, counts, words))
+                size += len(u)
+            if size > HELD:
+                tally = {lang: [_merged(parts)] for lang, parts in tally.items()}
+                size = sum(len(parts[0][0]) for parts in tally.values())
+                if size > HELD // 2:
+                    yield from rows(tally)
+                    tally, size = {}, 0
+        yield from rows(tally)
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
-                held.setdefault(lang, []).append(data)
-                size[lang] = size.get(lang, 0) + len(data) + 1
-                if size[lang] >= BLOCK:
-                    yield from flush(lang)
-        for lang in list(held):
-            yield from flush(lang)
-        for lang, t in tally.items():
-            u, counts, words = t.merged()
-            yield rows(lang, h=u, counts=counts, words=words)
-
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                        F.col("text").cast("string").alias("text")).where("text <> ''")
-    return texts.mapInArrow(run, _TOKENS)
+    # the word is a key and not an aggregate, so that the rows are hashed and not sorted
+    return texts.mapInArrow(run, "lang string, h long, cnt long, word binary").groupBy("lang", "h", "word").agg(F.sum("cnt").alias("a"))
 
 
 # --- bit tables of phrases -----------------------------------------------------
@@ -224,26 +208,31 @@ def _hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[keys % U(CELLS)] >> ((keys >> U(40)) % U(64))) & U(1) == 1
 
 
-def _kept_blocks(blocks: DataFrame, bits: np.ndarray) -> DataFrame:
-    """The blocks with a boundary in place of every word that is surely rare,
-    and without words that are left alone between boundaries."""
+def _kept_blocks(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``lang, toks``: rows of about ``ROW`` word hashes, cut at boundaries,
+    with a boundary in place of every word that is surely rare and without
+    words left alone between boundaries.  Readers hold some thousand rows at a
+    time, so rows are kept small."""
     def run(batches):
-        for batch in batches:
-            langs, out = [], []
-            for lang, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t = np.frombuffer(data, U)
-                word = (t != 0) & _hit(bits, _key([t], lang))
-                near = np.zeros(len(t), dtype=bool)
-                near[1:] |= word[:-1]
-                near[:-1] |= word[1:]
-                word &= near
-                at = np.flatnonzero(word)
-                if len(at):
-                    langs.append(lang)
-                    out.append(_with_boundaries(t[at], np.concatenate(([True], np.diff(at) > 1))).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], names=["lang", "toks"])
-
-    return blocks.mapInArrow(run, "lang string, toks binary")
+        for lang, data in _groups(batches):
+            parts = [_with_boundaries(h, fresh) for _, h, _, _, fresh in _blocks(data)]
+            if not parts:
+                continue
+            t = np.concatenate(parts)
+            word = (t != 0) & _hit(bits, _key([t], lang))
+            near = np.zeros(len(t), dtype=bool)
+            near[1:] |= word[:-1]
+            near[:-1] |= word[1:]
+            at = np.flatnonzero(word & near)
+            if len(at):
+                kept = _with_boundaries(t[at], np.concatenate(([True], np.diff(at) > 1)))
+                first = np.flatnonzero(kept == 0)
+                first = first[np.concatenate(([True], np.diff(first // ROW) > 0))]
+                ends = (np.append(first, len(kept)) * 8).astype(np.int32)
+                toks = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), toks], names=["lang", "toks"])
+
+    return texts.mapInArrow(run, "lang string, toks binary")
 
 
 # --- counting ------------------------------------------------------------------
@@ -252,6 +241,13 @@ _SIDES = ("pmin", "pmax", "nmin", "nmax")
 _COUNTED = "lang string, " + ", ".join(f"{c} long" for c in _WORDS) + ", a long, " + ", ".join(f"{c} long" for c in _SIDES)
 
 
+def _joined(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+    """The rows of a batch, ``ROWS`` of one language at a time."""
+    for lang, rows in groupby(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), key=lambda r: r[0]):
+        while part := [data for _, data in islice(rows, ROWS)]:
+            yield lang, b"".join(part)
+
+
 def _counted(blocks: DataFrame, sizes: list[int], bits: np.ndarray, whole: bool) -> DataFrame:
     """Occurrences of word sequences of the given sizes, added up: those whose
     prefix (without the last word), or if ``whole`` they themselves, may be in
@@ -276,15 +272,12 @@ def _counted(blocks: DataFrame, sizes: list[int], bits: np.ndarray, whole: bool)
         return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string())] + [pa.array(c) for c in arrays], schema=arrow)
 
     def run(batches):
-        held: dict[tuple, list] = {}
+        held, size = {}, 0
         for batch in batches:
-            for lang, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t = np.concatenate(([U(0)], np.frombuffer(data, U), [U(0)]))
+            for lang, data in _joined(batch):
+                t = np.concatenate((np.frombuffer(data, U), [U(0)]))
                 for k in sizes:
-                    n = len(t) - 1 - k
-                    if n < 1:
-                        continue
-                    at = 1 + np.arange(n)
+                    at = 1 + np.arange(max(0, len(t) - 1 - k))  # t begins and ends with a boundary
                     for j in range(k):
                         at = at[t[at + j] != 0]
                     asked = [t[at + j] for j in range(k if whole else k - 1)]
@@ -293,15 +286,14 @@ def _counted(blocks: DataFrame, sizes: list[int], bits: np.ndarray, whole: bool)
                         continue
                     before, behind = t[at - 1].view(np.int64), t[at + k].view(np.int64)
                     one = [t[at + j] for j in range(k)] + [np.ones(len(at), dtype=np.int64), before, before, behind, behind]
-                    parts = held.setdefault((lang, k), [])
-                    parts.append(one)
-                    if sum(len(p[0]) for p in parts) > HELD:
-                        cols = added(lang, k, parts)
-                        if len(cols[0]) > HELD // 2:
-                            del held[lang, k]
-                            yield rows(lang, k, cols)
-                        else:
-                            held[lang, k] = [cols]
+                    held.setdefault((lang, k), []).append(added(lang, k, [one]))
+                    size += len(held[lang, k][-1][0])
+                if size > HELD:
+                    held = {(lang, k): [added(lang, k, parts)] for (lang, k), parts in held.items()}
+                    size = sum(len(parts[0][0]) for parts in held.values())
+                    if size > HELD // 2:
+                        yield from (rows(lang, k, parts[0]) for (lang, k), parts in held.items())
+                        held, size = {}, 0
         for (lang, k), parts in held.items():
             yield rows(lang, k, added(lang, k, parts))
 
@@ -374,14 +366,13 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, fi
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` best phrases of
     every language."""
     spark = docs.sparkSession
-    tokens = materialize(_tokens(docs), "collocations-tokens")
-    counts = tokens.where("cnt IS NOT NULL").groupBy("lang", "h").agg(F.sum("cnt").alias("a"), F.min("word").alias("word"))
-    counts = materialize(counts, "collocations-words")
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
+                        F.col("text").cast("string").alias("text")).where("text <> ''")
+    counts = materialize(_word_counts(texts), "collocations-words")
     totals = counts.groupBy("lang").agg(F.sum("a").alias("n"))
     step = F.floor(STEPS * F.log2(F.col("a") / F.lit(float(min_count)))).cast("int")
     words = materialize(counts.where(F.col("a") >= min_count).withColumn("step", step).join(totals, "lang"), "collocations-frequent")
-    blocks = materialize(_kept_blocks(tokens.where("toks IS NOT NULL").select("lang", "toks"),
-                                      _bit_table(words.select("lang", F.col("h").alias("w1")))), "collocations-blocks")
+    blocks = materialize(_kept_blocks(texts, _bit_table(words.select("lang", F.col("h").alias("w1")))), "collocations-blocks")
     frontier, done, opened = _frontier(words), None, first_wave
     total = {r.lang: r.n for r in words.groupBy("lang").agg(F.max("n").alias("n")).collect()}
     while frontier:
@@ -464,4 +455,4 @@ FROM ranked WHERE rank <= {TOP}"""
 @register("op13_collocations", OP13_SQL)
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of every language."""
-    return collocations(spread(table(spark, sf_dir, "documents").select("lang", "text")))
+    return collocations(table(spark, sf_dir, "documents"))

@@ -79,6 +79,8 @@ def test_waves_stop_before_the_frequent_words(spark, monkeypatch):
 def test_small_blocks_and_tallies_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(C, "BLOCK", 200)
     monkeypatch.setattr(C, "HELD", 50)
+    monkeypatch.setattr(C, "ROW", 10)
+    monkeypatch.setattr(C, "ROWS", 3)
     rows = corpus(4, 120, ("en", "fr"))
     rows.append(("en", "long " * 3000 + "tail"))
     df = spark.createDataFrame([(a, b, 1, "s") for a, b in rows], DOCS).coalesce(2)
