@@ -48,6 +48,8 @@ MINIMA, EXTRA = 32, 4
 BITS = 4
 #: pairs are confirmed from this estimate on; with fewer than CERTAIN shingles among the minima a line is not estimated
 SLACK, CERTAIN = 0.3, 20
+#: tasks that the lines of one component are dealt over
+SALTS = 16
 #: the open pairs of larger buckets are found by prefix filtering
 BUCKET = 64
 
@@ -212,8 +214,11 @@ def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     grouped = nodes.join(groups, "node").select("h1", "h2", "component")
     classes = classes.join(grouped, ["h1", "h2"], "left").where("component IS NOT NULL OR first <> last")
     classes = materialize(classes.select("h1", "h2", "first", "component"), "line-classes")
-    keep = classes.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("kept"))
-    keeper = materialize(classes.join(keep, "component", "left").select(
+    # a hot component's lines are dealt over SALTS tasks, its one row stands in each
+    keep = (classes.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("kept"))
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = classes.withColumn("salt", F.pmod("h1", F.lit(SALTS)).cast("int"))
+    keeper = materialize(salted.join(keep, ["component", "salt"], "left").select(
         "h1", "h2", F.coalesce("kept", "first").alias("kept")), "line-keepers")
     found = only_likely(lines, F.col("h1"), keeper.select("h1")).join(keeper, ["h1", "h2"])
     return materialize(found.where(place != F.col("kept")).groupBy("id", "th")
