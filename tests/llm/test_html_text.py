@@ -81,3 +81,55 @@ def test_nulls_repeats_empty_clashes(spark):
     got = ht.extract(rows).collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("", 0), ("x", 1)]
     assert ht.extract(rows.limit(0)).collect() == []
+
+
+def test_a_state_class_hides_no_page():
+    body = f"<div><p>{PROSE}</p><p>{PROSE} {PROSE}</p></div>"
+    for page in (f"<body class='single no-sidebar'>{body}", f"<body><div class='has-banner'>{body}</div>",
+                 f"<body class='sidebar'>{body}", f"<html class='menu'><body>{body}"):
+        assert ht.main_text(page).split("\n") == [PROSE, f"{PROSE} {PROSE}"]
+
+
+def test_a_class_around_most_of_the_text_is_no_evidence():
+    body = f"<p>{PROSE}</p>" * 4
+    page = f"<body><div class='sticky-header'><div class='cookie'><p>{PROSE}</p></div>{body}</div><div class='ad'>{PROSE}</div>"
+    assert ht.main_text(page).split("\n") == [PROSE] * 4
+    # comments and elements that are boilerplate by name stay out
+    assert ht.main_text(f"<p>{PROSE}</p><div class='comments'>{body}</div><footer>{body}</footer>") == PROSE
+
+
+def test_unclosed_elements_do_not_swallow_the_page():
+    for name in "button option noscript svg object canvas select template math".split():
+        assert ht.main_text(f"<div><{name}>x<p>{PROSE}</p><p>{PROSE}</p></div>").split("\n") == [PROSE, PROSE], name
+        assert ht.main_text(f"<div><p>{PROSE}</p><{name}><b>no</b></{name}><p>{PROSE}</p></div>").split("\n") == [PROSE, PROSE], name
+    assert ht.main_text(f"<button>a<p>{PROSE}</p><button>b</button><p>{PROSE}</p>").split("\n") == [PROSE, PROSE]
+    assert ht.main_text(f"<svg>a<svg>b</svg><text>c</text></svg><p>{PROSE}</p>") == PROSE
+    assert ht.main_text(f"<p>{PROSE}<script>var a = '<script>'; <p>no</p></script></p>") == PROSE
+
+
+def test_other_languages_go_by_length_and_links():
+    ru = "Сегодня утром жители города увидели необычное явление над рекой, которое продолжалось почти целый час подряд."
+    ja = "今朝、市民は川の上空でほぼ一時間続いた珍しい現象を目撃した。" * 4
+    menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("один", "два", "три"))
+    for text in (ru, ja):
+        assert ht.main_text(f"<ul>{menu}</ul><div><h1>Заголовок</h1><p>{text}</p><p>{text}</p></div>").split("\n")[-2:] == [text, text]
+        assert "один" not in ht.main_text(f"<ul>{menu}</ul><div><p>{text}</p></div>")
+
+
+def test_a_page_of_short_paragraphs_is_text():
+    lines = ["We met at the old bridge.", "Nobody had come before us.", "Then it began to rain."]
+    menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in "alpha beta gamma".split())
+    got = ht.main_text(f"<ul>{menu}</ul><div>" + "".join(f"<p>{x}</p>" for x in lines) + "</div>").split("\n")
+    assert got == lines
+
+
+def test_marked_paragraphs_and_inline_elements_go():
+    page = f"<div><p>{PROSE}</p><p class='advert'>{PROSE}</p><p>{PROSE} <span class='cookie-notice'>We use <span>cookies</span>.</span>End.</p>"
+    assert ht.main_text(page).split("\n") == [PROSE, f"{PROSE} End."]
+    assert ht.main_text(f"<h2><span class='header'>Title</span></h2><p>{PROSE}</p>").split("\n") == ["Title", PROSE]
+
+
+def test_an_unclosed_link_ends_with_its_paragraph():
+    rare = "Quarterly revenue figures published yesterday showed considerable growth across several regional divisions"
+    page = f"<div><p>{PROSE} <a href='/x'>more<p>{rare}<p>{PROSE}</div>"
+    assert rare in ht.main_text(page)
