@@ -16,7 +16,9 @@ from horavento.sources.station_files import (
     header_wide, read_station_csv, read_station_csv_named, read_station_header,
 )
 from horavento.sources.tables import load_table, readings
-from horavento.streaming.ingest import ingest_stream, read_ledger, read_table, upsert_partitions
+from horavento.streaming.ingest import (
+    ingest_stream, ingest_versioned, ledger_of, read_ledger, read_table, table_of, upsert_partitions,
+)
 from horavento.streaming.stats import events_stream, telemetry_stats_stream
 from horavento.streaming.sync import process_runs, runs_from_events, sync_once
 
@@ -115,6 +117,25 @@ def q_ingest_stream(spark, sf):
     return read_table(spark, table).select("estacao", "data", "hora", *TARGETS)
 
 
+VERSIONED_SQL = f"""WITH {RAW_NAMES_CTE},
+k AS (SELECT *, row_number() OVER (PARTITION BY estacao, data, hora ORDER BY id DESC) AS rn FROM readings),
+l AS (SELECT count(*) AS arquivos, CAST(sum(n) AS BIGINT) AS inseridos FROM names
+  JOIN (SELECT estacao, count(DISTINCT (data, hora)) AS n FROM readings GROUP BY estacao) USING (estacao))
+SELECT estacao, data, lpad(CAST(hora AS VARCHAR), 2, '0') || '00 UTC' AS hora, temperatura, umidade, velocidade_vento,
+  l.arquivos AS arquivos_no_registro, l.inseridos AS inseridos_no_registro FROM k CROSS JOIN l WHERE rn = 1"""
+
+
+@register("versioned_ingest", VERSIONED_SQL)
+def q_versioned_ingest(spark, sf):
+    """Rows and ledger of the last version after a stream of versioned loads."""
+    src, root = raw_files(spark, sf), scratch_path(spark, "readings-versions")
+    ingest_stream(spark, src, root, root, max_files=2, load=lambda batch: ingest_versioned(spark, batch, root))
+    led = ledger_of(spark, root).where("status = 'sucesso'")
+    return table_of(spark, root).select("estacao", "data", "hora", *TARGETS).withColumns({
+        "arquivos_no_registro": led.select(F.count(F.lit(1))).scalar(),
+        "inseridos_no_registro": led.select(F.sum("registros_inseridos")).scalar()})
+
+
 @register("ingest_ledger", f"""WITH {RAW_NAMES_CTE}
 SELECT filename AS arquivo, n AS registros_inseridos, CAST(0 AS BIGINT) AS registros_atualizados, 'sucesso' AS status
 FROM names JOIN (SELECT estacao, count(DISTINCT (data, hora)) AS n FROM readings GROUP BY estacao) USING (estacao)""")

@@ -22,6 +22,7 @@ from horavento.operators.merge import merge_readings
 from horavento.operators.windows import latest_per_key
 from horavento.schemas import RAW_HEADER_MARKER, READING_KEY
 from horavento.session import materialize, path_exists, scratch_path
+from horavento.sources import versioned
 from horavento.sources.station_files import parse_station_files
 from horavento.sources.sinks import export_snapshot
 
@@ -56,8 +57,16 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 
 def upsert_partitions(spark: SparkSession, incoming: DataFrame, table: str, now=None) -> DataFrame:
     """Merge parsed rows into the partitioned table; returns per-file counts."""
+    rows, counts = _merged(spark, incoming, read_table(spark, table), now)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*TABLE_PARTITIONS).parquet(table))
+    return counts
+
+
+def _merged(spark: SparkSession, incoming: DataFrame, current: DataFrame | None, now=None) -> tuple[DataFrame, DataFrame]:
+    """The partitions that ``incoming`` touches as they are afterwards, and
+    the per-file counts; both read one written copy."""
     incoming = incoming.withColumn("ano", F.year("data"))
-    current = read_table(spark, table)
     if current is None:
         current = spark.createDataFrame([], TABLE_SCHEMA)
     else:
@@ -82,10 +91,8 @@ def upsert_partitions(spark: SparkSession, incoming: DataFrame, table: str, now=
     staged = spark.read.schema(merged.schema).parquet(stage)
     rows = staged.withColumns({c: F.when(keyless, F.col(c)) for c in ("arquivo", "linha")})
     # dealt by ranges of the whole key, so a station-year of any size is many tasks
-    (rows.drop("acao", "_novo").repartitionByRange(*TABLE_PARTITIONS, "data", "hora", "linha")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*TABLE_PARTITIONS).parquet(table))
-    return staged.where("_novo AND arquivo IS NOT NULL").groupBy("arquivo").agg(
+    rows = rows.drop("acao", "_novo").repartitionByRange(*TABLE_PARTITIONS, "data", "hora", "linha")
+    return rows, staged.where("_novo AND arquivo IS NOT NULL").groupBy("arquivo").agg(
         F.count_if(F.col("acao") == "inserido").alias("registros_inseridos"),
         F.count_if(F.col("acao") == "atualizado").alias("registros_atualizados"))
 
@@ -100,6 +107,36 @@ def ingest_files(spark: SparkSession, files: DataFrame, table: str, ledger: str,
     pending = files.join(done, "path", "left_anti")
     rows = materialize(parse_station_files(pending), "ingest-rows")
     counts = upsert_partitions(spark, rows, table, now)
+    _ledger_rows(pending, counts, now).write.mode("append").parquet(ledger)
+
+
+def ingest_versioned(spark: SparkSession, files: DataFrame, root: str, now=None) -> versioned.Version:
+    """One batch like ``ingest_files``, its rows and ledger rows committed as
+    one version of ``root``: a failure in between leaves the version before."""
+    base = versioned.version(spark, root)
+    led = ledger_of(spark, root, base)
+    done = led.where(F.col("status") == "sucesso").select(F.col("arquivo_s3").alias("path"))
+    pending = files.join(done, "path", "left_anti")
+    if pending.isEmpty():
+        return base
+    parsed = materialize(parse_station_files(pending), "ingest-rows")
+    rows, counts = _merged(spark, parsed, versioned.read_data(spark, root, TABLE_SCHEMA, base), now)
+    return versioned.commit(spark, root, base, rows, _ledger_rows(pending, counts, now), TABLE_PARTITIONS)
+
+
+def table_of(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """The readings of a version of ``root``, the latest by default."""
+    return versioned.read_data(spark, root, TABLE_SCHEMA, versioned.version(spark, root, number))
+
+
+def ledger_of(spark: SparkSession, root: str, v: versioned.Version | None = None) -> DataFrame:
+    """The latest ledger row of every file in a version."""
+    rows = versioned.read_loads(spark, root, LEDGER_SCHEMA, v or versioned.version(spark, root))
+    return latest_per_key(rows, ["arquivo_s3"], ["data_processamento", "status"]).select(*LEDGER_COLUMNS)
+
+
+def _ledger_rows(pending: DataFrame, counts: DataFrame, now=None) -> DataFrame:
+    """A ledger row for every file of a batch."""
     readable = F.coalesce(F.upper(decode_text("content")).contains(RAW_HEADER_MARKER), F.lit(False))
     ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     new = pending.select(F.col("path").alias("arquivo"), readable.alias("_ok")).join(counts, "arquivo", "left").select(
@@ -107,14 +144,16 @@ def ingest_files(spark: SparkSession, files: DataFrame, table: str, ledger: str,
         F.coalesce("registros_inseridos", F.lit(0)).cast("long").alias("registros_inseridos"),
         F.coalesce("registros_atualizados", F.lit(0)).cast("long").alias("registros_atualizados"),
         F.when(F.col("_ok"), "sucesso").otherwise("erro").alias("status"))
-    new.select(*LEDGER_COLUMNS).write.mode("append").parquet(ledger)
+    return new.select(*LEDGER_COLUMNS)
 
 
 def ingest_stream(spark: SparkSession, src: str, table: str, ledger: str,
                   checkpoint: str | None = None, max_files: int = 64,
-                  glob: str | None = None, once: bool = True, interval: str = "60 seconds"):
+                  glob: str | None = None, once: bool = True, interval: str = "60 seconds",
+                  load=None):
     """Streaming ingest of new raw files (R5): ``binaryFile`` stream +
-    ``foreachBatch``; with ``once`` it drains what is there (availableNow)."""
+    ``foreachBatch``; with ``once`` it drains what is there (availableNow).
+    ``load(batch)`` stands in for ``ingest_files``, such as a versioned load."""
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
          .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files))
     if glob:
@@ -122,7 +161,7 @@ def ingest_stream(spark: SparkSession, src: str, table: str, ledger: str,
     stream = r.load(src)
     checkpoint = checkpoint or scratch_path(spark, "ingest-ckpt")
     w = stream.writeStream.foreachBatch(
-        lambda batch, _id: ingest_files(spark, batch, table, ledger)) \
+        lambda batch, _id: load(batch) if load else ingest_files(spark, batch, table, ledger)) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=interval)
     q = w.start()
