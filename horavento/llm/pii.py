@@ -136,21 +136,25 @@ def _reported(kind: str, pattern: str, score: float, words: str, against: str, m
 
 
 def redact(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` (all columns) with every reported span's text replaced by its
-    kind in angle brackets; kinds are replaced in the order of ``KINDS``."""
-    text = out = F.col("text").cast("string")
-    for kind, pattern, _, _ in KINDS:
-        out = _replaced(out, kind, pattern)
-    return docs.withColumn("text", F.when(text.isNotNull(), out))
-
-
-def _replaced(text: Column, kind: str, pattern: str) -> Column:
-    def joined(s: Column) -> Column:
-        parts = F.zip_with(F.slice(s["g"], 1, F.size(s["m"])), s["m"], lambda g, m: F.concat(
-            g, F.when(confirmed(kind, m), F.lit(f"<{kind}>")).otherwise(m)))
-        return F.concat(F.array_join(parts, ""), F.element_at(s["g"], -1))
-
-    return let(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("g")), joined)
+    """``docs`` (all columns) with the text of every reported span replaced by
+    its kind in angle brackets: just the spans of ``find_pii``, so added kinds
+    need ``min_score``, context included.  Of spans that overlap the one that
+    starts first is replaced, and of those the longest (then by kind)."""
+    text = F.col("text").cast("string")
+    against = rf"\b(?:{'|'.join(AGAINST.split())})\b"
+    spans = F.concat(*[_reported(*k, against, min_score) for k in KINDS])
+    kind_no = lambda s: F.array_position(F.array(*[F.lit(k[0]) for k in KINDS]), s["kind"])
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"), kind_no(s).alias("no"), s["kind"].alias("kind"))))
+    first = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        return F.when(s["start"] >= acc["at"], F.struct(
+            F.concat(acc["out"], gap, F.lit("<"), s["kind"], F.lit(">")).alias("out"), (-s["back"]).cast("long").alias("at"))).otherwise(acc)
+
+    cut = F.aggregate(ordered, first, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
+    return docs.withColumn("text", F.when(text.isNotNull(), cut))
 
 
 def _kind_sql(k: int, kind: str, pattern: str, valid: str) -> str:

@@ -79,3 +79,20 @@ def test_repeated_empty_clashing(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.find_pii(docs(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_redact_replaces_just_the_reported_spans(spark):
+    code = "DE89 3704 0044 0532 0130 00"
+    texts = [f"account {code} end", f"version {code}", "é a@b.c, 192.168.0.1 and a@b.c", "no data", "", "x " * 30_000 + "a@b.c"]
+    for score in (0.5, 0.99):
+        d = docs(spark, list(enumerate(texts)))
+        spans = {r.doc_id: r.spans for r in pii.find_pii(d, score).collect()}
+        red = {r.doc_id: r.text for r in pii.redact(d, score).collect()}
+        for i, t in enumerate(texts):
+            want, at = "", 0
+            for s in sorted(spans[i], key=lambda s: (s.start, -s.end)):
+                if s.start >= at:
+                    want, at = want + t[at:s.start] + f"<{s.kind}>", s.end
+            assert red[i] == want + t[at:]
+        assert ("<iban>" in red[0]) == (score == 0.5) and "<iban>" not in red[1]
+    assert red[2] == "é <email>, <ip> and <email>"
