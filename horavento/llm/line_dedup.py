@@ -14,11 +14,15 @@
    lines have ``CERTAIN`` different minima (about 30 shingles; those of smaller
    sets depend on each other); all others are confirmed by the exact Jaccard
    similarity of the shingle sets.
-4. Pairs of a key that are in different components by then are filtered and
-   confirmed too, so no link between components is lost.  Where more than
-   ``BUCKET`` lines share a key they meet by prefix filtering instead, which
-   is exact: with shingles ordered from rare to frequent, sets of this
-   similarity share one of their first few, with enough left behind it.
+4. Lines of a key that are in different components by then first meet the
+   line in the middle of the key's near copies, the one whose buckets hold the
+   most lines.  The pairs still open are confirmed too, so no link between
+   components is lost.  Where more than ``BUCKET`` lines share a key they meet
+   by prefix filtering, which is exact: with shingles ordered from rare to
+   frequent, sets of this similarity share one of their first few, with enough
+   left behind it.  Open pairs are also filtered exactly, by set size and by
+   parity sketches: the bits in which two sketches differ are at most the
+   shingles that only one of the lines has.
 5. Union-find over the links; one occurrence per component is kept, that of
    the smallest (doc_id, line number).
 
@@ -50,6 +54,8 @@ BITS = 4
 SLACK, CERTAIN = 0.3, 20
 #: tasks that the lines of one component are dealt over
 SALTS = 16
+#: longs of a parity sketch
+SKETCH = 16
 #: the open pairs of larger buckets are found by prefix filtering
 BUCKET = 64
 
@@ -132,29 +138,61 @@ def _texts(lines: DataFrame, nodes: DataFrame, ends: DataFrame) -> DataFrame:
         .agg(F.first("line").alias("line")).join(ends, ["h1", "h2"]).select("node", "line"), "line-texts")
 
 
-def _prefixes(lines: DataFrame, nodes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+def _sketches(texts: DataFrame) -> DataFrame:
+    """``node, n, sketch``: the size of each node's set and its parity sketch;
+    every shingle flips one of 64 * ``SKETCH`` bits."""
+    sets = texts.select("node", F.explode(shingles("line")).alias("h"))
+    sets = sets.select("node", F.pmod("h", F.lit(SKETCH)).alias("w"), F.expr("shiftleft(1L, CAST(shiftright(h, 20) & 63L AS INT))").alias("b"))
+    words = [F.bit_xor(F.when(F.col("w") == i, F.col("b")).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(SKETCH)]
+    sums = sets.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *words)
+    return sums.select("node", "n", F.array(*[f"w{i}" for i in range(SKETCH)]).alias("sketch"))
+
+
+def _prefixes(texts: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """``hot`` with a row per ``key`` and its place ``at``: the first
     n - ceil(percent * n) + 1 shingles of the node's set, rarest first."""
-    sets = materialize(_texts(lines, nodes, hot.select("node")).select("node", F.explode(shingles("line")).alias("h")), "line-sets")
+    sets = materialize(texts.join(hot.select("node"), "node").select("node", F.explode(shingles("line")).alias("h")), "line-sets")
     count = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
     ordered = sets.join(count, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("o"))
     n = F.size("o")
     first = F.slice("o", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
-    return (ordered.select("node", n.alias("n"), F.posexplode(first).alias("at", "k"))
-            .select("node", "n", "at", F.col("k.h").alias("key")).join(hot, "node"))
+    return (ordered.select("node", F.posexplode(first).alias("at", "k"))
+            .select("node", "at", F.col("k.h").alias("key")).join(hot, "node"))
 
 
 def _pairs_by_key(rows: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` of nodes that share a ``key``, lie in different
     components and may meet the threshold.  Behind the first key that two
     ordered sets share, the rest of each bounds what they have in common."""
-    side = lambda x: rows.select(*[F.col(c).alias(c + x) for c in ("key", "node", "c", "n", "at", "sig")])
+    side = lambda x: rows.select(*[F.col(c).alias(c + x) for c in ("key", "node", "c", "n", "at", "sketch")])
     enough = lambda x: (F.col("n" + x) - F.col("at" + x)) * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent
+    differ = sum((F.bit_count(F.col("sketchu")[i].bitwiseXOR(F.col("sketchv")[i])) for i in range(SKETCH)), F.lit(0))
+    near = differ * (100 + percent) <= (F.col("nu") + F.col("nv")) * (100 - percent)
     return (side("u").join(side("v"), (F.col("keyu") == F.col("keyv")) & (F.col("nodeu") < F.col("nodev"))
-                           & (F.col("cu") != F.col("cv")) & enough("u") & enough("v") & _possible("sigu", "sigv", percent))
+                           & (F.col("cu") != F.col("cv")) & enough("u") & enough("v") & near)
             .select(F.col("nodeu").alias("u"), F.col("nodev").alias("v")))
 
 
+def _open_buckets(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """``key, node, c, m``: the buckets of more than one component ``c`` and
+    their size ``m``."""
+    comp = shared.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    split = (comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
+             .where("lo <> hi").select("key", "m"))
+    return materialize(comp.join(split, "key"), "line-open")
+
+
+def _middle_star(shared: DataFrame, open_: DataFrame) -> DataFrame:
+    """The pairs ``(u, v)`` of each node and the line in the middle of its
+    open bucket, where that lies in another component."""
+    size = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    weight = shared.join(size, "key").groupBy("node").agg(F.sum("m").alias("w"))
+    rows = open_.select("key", "node", "c").join(weight, "node")
+    head = rows.groupBy("key").agg(F.max(F.struct("w", "node", "c")).alias("h"))
+    met = rows.join(head.select("key", F.col("h.node").alias("hn"), F.col("h.c").alias("hc")), "key").where("c <> hc")
+    return met.select(F.least("node", "hn").alias("u"), F.greatest("node", "hn").alias("v")).distinct()
+
+
 def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` of node ids whose shingle sets meet the threshold."""
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
@@ -181,27 +219,30 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Dat
                         .where("head <> last").select("key", "head"), "line-heads")
     shared = materialize(only_likely(banded, F.col("key"), heads.select("key")).join(heads, "key"), "line-buckets")
     sig = nodes.select("node", "sig")
-    star = shared.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
-    star = materialize(
-        star.join(sig.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u")
-        .join(sig.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
-        .where(_possible("su", "sv", percent)).select("u", "v"), "line-star")
-    first = materialize(_confirmed(star, lines, nodes, percent), "line-links")
-    joined = connected_components(first, "line-round1")
 
-    comp = shared.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    split = (comp.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
-             .where("lo <> hi").select("key", "m"))
-    open_ = materialize(comp.join(split, "key").join(sig, "node"), "line-open")
-    small = open_.where(F.col("m") <= BUCKET).withColumns({"n": F.lit(0), "at": F.lit(0)})
-    rest = _pairs_by_key(small, percent)
-    hot = materialize(open_.where(F.col("m") > BUCKET).select("node", "c", "sig").dropDuplicates(["node"]), "line-hot")
+    def likely(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(sig.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u")
+                .join(sig.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
+                .where(_possible("su", "sv", percent)).select("u", "v"))
+
+    star = shared.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
+    star = materialize(likely(star), "line-star")
+    links = materialize(_confirmed(star, lines, nodes, percent), "line-links")
+    open_ = _open_buckets(shared, connected_components(links, "line-round1"))
+    middle = materialize(likely(_middle_star(shared, open_).join(star, ["u", "v"], "left_anti")), "line-middle")
+    links = links.unionByName(materialize(_confirmed(middle, lines, nodes, percent), "line-links"))
+    open_ = _open_buckets(shared, connected_components(links, "line-round2"))
+
+    texts = _texts(lines, nodes, open_.select("node").distinct())
+    open_ = materialize(open_.join(_sketches(texts), "node"), "line-sketched")
+    rest = _pairs_by_key(open_.where(F.col("m") <= BUCKET).withColumn("at", F.lit(0)), percent)
+    hot = materialize(open_.where(F.col("m") > BUCKET).select("node", "c", "n", "sketch").dropDuplicates(["node"]), "line-hot")
     if not hot.isEmpty():
-        rest = rest.unionByName(_pairs_by_key(_prefixes(lines, nodes, hot, percent), percent))
-    rest = rest.distinct().join(star, ["u", "v"], "left_anti")
+        rest = rest.unionByName(_pairs_by_key(_prefixes(texts, hot, percent), percent))
+    rest = rest.distinct().join(star.unionByName(middle), ["u", "v"], "left_anti")
     rest = materialize(rest, "line-rest")
     more = _confirmed(rest, lines, nodes, percent)
-    return nodes.select("node", "h1", "h2"), connected_components(first.unionByName(more), "line-round2")
+    return nodes.select("node", "h1", "h2"), connected_components(links.unionByName(more), "line-round3")
 
 
 def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
