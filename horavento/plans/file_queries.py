@@ -12,6 +12,7 @@ from horavento.schemas import RESULT_PREFIX, TARGETS
 from horavento.session import scratch_path
 from horavento.sources.catalog import list_files, resolve_result_file
 from horavento.sources.sinks import write_raw_station_files
+from horavento.sources.split_files import read_station_csv_named_split, read_station_csv_split
 from horavento.sources.station_files import (
     header_wide, read_station_csv, read_station_csv_named, read_station_header,
 )
@@ -59,6 +60,24 @@ def q_station_csv_named(spark, sf):
                      parse_decimal(F.col(f"`{u}`")).alias("umidade"))
 
 
+@register("station_csv_split", STATION_CSV_SQL)
+def q_station_csv_split(spark, sf):
+    """Positional reader (S1) by lines: a file may be many tasks."""
+    return read_station_csv_split(spark, raw_files(spark, sf)).drop("arquivo", "linha")
+
+
+@register("station_csv_named_split", f"""WITH {READINGS_TS_SQL}
+SELECT ts, temperatura, umidade FROM readings_ts""")
+def q_station_csv_named_split(spark, sf):
+    """By-name reader (S2) by lines."""
+    from horavento.functions.parse import parse_decimal
+    from horavento.sources.sinks import RAW_HEADER_NAMES
+    t, u = RAW_HEADER_NAMES[7], RAW_HEADER_NAMES[15]
+    df = read_station_csv_named_split(spark, raw_files(spark, sf), ["DATA", "HORA UTC", t, u])
+    return df.select("ts", parse_decimal(F.col(f"`{t}`")).alias("temperatura"),
+                     parse_decimal(F.col(f"`{u}`")).alias("umidade"))
+
+
 RAW_NAMES_CTE = f"""{READINGS_SQL},
 st AS (SELECT estacao, 'A' || CAST(300 + dense_rank() OVER (ORDER BY estacao) AS VARCHAR) AS codigo
        FROM (SELECT DISTINCT estacao FROM readings)),

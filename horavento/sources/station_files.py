@@ -105,7 +105,12 @@ def parse_station_files(files: DataFrame, keep_sentinel: bool = False, strict_la
                         with_rejects: bool = False):
     """``read_station_csv`` over an existing ``binaryFile`` frame (batch or
     micro-batch)."""
-    ok, bad = split_valid(_raw_rows(files, strict_label))
+    return measures(_raw_rows(files, strict_label), keep_sentinel, with_rejects)
+
+
+def measures(rows: DataFrame, keep_sentinel: bool, with_rejects: bool):
+    """Station and fields of each line -> the positional reader's columns."""
+    ok, bad = split_valid(rows)
 
     def field(i):
         return F.try_element_at("campos", F.lit(i + 1))
@@ -130,16 +135,25 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     ``with_rejects`` also the lines with more fields than the header has names,
     and the surplus text; their leading fields are in the rows."""
     lf = file_lines(read_files(spark, path, glob))
-    header = F.transform(F.split(F.try_element_at("lines", F.lit(RAW_HEADER_LINES + 1)), ";", -1),
-                         lambda h: normalize_header(F.trim(h)))
     # the header is computed before the explode, so the generator is the only
     # consumer of ``lines`` and exploded rows do not carry the whole file
-    lf = lf.select("arquivo", "lines", header.alias("header"))
-    earlier = F.transform("header", lambda h, i: F.size(F.filter(F.slice("header", F.lit(1), i), lambda g: g == h)))
-    numbered = F.zip_with("header", earlier, lambda h, n: F.when(n > 0, F.concat_ws("_", h, n + 1)).otherwise(h))
-    lf = lf.select("arquivo", "lines", numbered.alias("header"))
+    lf = header_names(lf.select("arquivo", "lines", F.try_element_at("lines", F.lit(RAW_HEADER_LINES + 1)).alias("nomes")), "nomes")
     rows = lf.select("arquivo", "header", F.posexplode("lines").alias("linha", "texto")) \
         .where((F.col("linha") > RAW_HEADER_LINES) & (F.trim("texto") != ""))
+    return named_rows(rows, lf, columns, with_rejects)
+
+
+def header_names(df: DataFrame, line: str) -> DataFrame:
+    """``df`` with the names on the header line as array ``header``."""
+    header = F.transform(F.split(F.col(line), ";", -1), lambda h: normalize_header(F.trim(h)))
+    lf = df.withColumn("header", header).drop(line)
+    earlier = F.transform("header", lambda h, i: F.size(F.filter(F.slice("header", F.lit(1), i), lambda g: g == h)))
+    numbered = F.zip_with("header", earlier, lambda h, n: F.when(n > 0, F.concat_ws("_", h, n + 1)).otherwise(h))
+    return lf.withColumn("header", numbered)
+
+
+def named_rows(rows: DataFrame, headers: DataFrame, columns: list[str] | None, with_rejects: bool):
+    """Lines with their file's ``header`` -> the by-name reader's columns."""
     fields = F.split("texto", ";", -1)
     # pair names and values position by position
     surplus = rows.where(F.size(fields) > F.size("header")).select(
@@ -151,7 +165,7 @@ def read_station_csv_named(spark: SparkSession, path: str, columns: list[str] |
     rows = rows.select("arquivo", "linha", rec.alias("rec"), has_hora.alias("_has_hora"))
     if columns is None:
         # the distinct header names become the output schema
-        names = lf.select(F.explode("header").alias("c")).where(F.col("c") != "").distinct().collect()
+        names = headers.select(F.explode("header").alias("c")).where(F.col("c") != "").distinct().collect()
         columns = sorted(r[0] for r in names)
     columns = [normalize_header_py(c) for c in columns]
     data = null_sentinel(F.try_element_at("rec", F.lit("DATA")))
@@ -178,6 +192,11 @@ def read_station_header(spark: SparkSession, path: str, glob: str | None = None)
     lf = file_lines(read_files(spark, path, glob))
     rows = lf.select("arquivo", F.posexplode(F.slice("lines", 1, RAW_HEADER_LINES)).alias("i", "texto")) \
         .where(F.trim("texto") != "")
+    return header_pairs(rows)
+
+
+def header_pairs(rows: DataFrame) -> DataFrame:
+    """Metadata lines ``(arquivo, i, texto)`` -> ``(arquivo, chave, valor)``."""
     parts = F.split("texto", ";", -1)
     rows = rows.select("arquivo", (F.col("i") + 1).alias("linha"),
                        F.trim(F.try_element_at(parts, F.lit(1))).alias("k"),
