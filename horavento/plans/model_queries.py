@@ -242,3 +242,21 @@ GROUP BY 1, 2, 3""")
 def q_dashboard_series(spark, sf):
     from horavento.streaming.stats import dashboard_series
     return rounded(dashboard_series(telemetry_readings(spark, sf), TARGETS))
+
+
+@register("rollup_series", f"""WITH {TELEMETRY_SQL},
+b AS (SELECT *, '1 day' AS intervalo, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS inicio FROM tlong
+  UNION ALL SELECT *, '7 days' AS intervalo, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS inicio FROM tlong)
+SELECT estacao, chave, intervalo, inicio, round(avg(valor), 6) AS media, min(valor) AS minimo,
+  max(valor) AS maximo, count(*) AS n FROM b GROUP BY 1, 2, 3, 4""")
+def q_rollup_series(spark, sf):
+    """A stream keeps hourly states, day and week series read them alone."""
+    from horavento.session import scratch_path
+    from horavento.sources.tables import readings_from_events
+    from horavento.streaming.rollup import read_rollup, rollup_stream, series
+    from horavento.streaming.stats import events_stream
+    root = scratch_path(spark, "rollup")
+    rollup_stream(readings_from_events(events_stream(spark, sf), keep_ts=True), root, scratch_path(spark, "rollup-ckpt"), TARGETS)
+    states = read_rollup(spark, root)
+    both = [series(states, i).withColumn("intervalo", F.lit(i)) for i in ("1 day", "7 days")]
+    return rounded(both[0].unionByName(both[1]))
