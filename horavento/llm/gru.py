@@ -21,7 +21,8 @@ SHAPES = 2 * (len(ENDINGS) + 1)
 OUTPUTS = 1 + CLASSES + SHAPES
 #: input number of the end token, of head word k (1 + k), of shape s (1 + HEAD + s)
 INPUTS = 1 + HEAD + SHAPES
-WINDOW = 64
+#: tokens whose states are kept before their probabilities are taken
+STACK = 32_768
 
 _GROUP = np.full(256, len(ENDINGS), dtype=np.int64)
 for _k, _chars in enumerate(ENDINGS):
@@ -34,6 +35,12 @@ def shape(word: bytes) -> int:
     return int(_GROUP[word[-1]]) * 2 + (not word.isascii())
 
 
+def shapes(last: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """The shape classes of words by their last bytes and whether they have
+    bytes beyond ASCII."""
+    return _GROUP[last] * 2 + wide
+
+
 def initial(log_share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     """Random weights; output biases start at the log shares of the classes
     and, after those, of the head words in their class."""
@@ -65,41 +72,64 @@ def _step(p: dict, s: np.ndarray, x: np.ndarray):
     return new, z, r, n, a
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+#: rows worked through at a time, so that their logits stay in the cache
+ROWS = 1024
+
+
+def _spans(a: int, b: int):
+    return [slice(k, min(k + ROWS, b)) for k in range(a, b, ROWS)]
 
 
 def _by_class(cls: np.ndarray):
-    """(class, rows) for every head class present."""
-    order = np.argsort(cls, kind="stable")
-    sorted_ = cls[order]
-    cuts = np.searchsorted(sorted_, np.arange(1, CLASSES + 2))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c]:cuts[c + 1]]
+    """(class, begin, end) for every head class in sorted classes."""
+    cuts = np.searchsorted(cls, np.arange(1, CLASSES + 2)).tolist()
+    return [(c, cuts[c], cuts[c + 1]) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+
+
+def _extended(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Output weights that take a state with a constant 1 behind it."""
+    return np.vstack([p["Wc"], p["bc"]]), np.concatenate([p["Ww"], p["bw"][:, :, None]], axis=2)
+
+
+def _with_one(s: np.ndarray) -> np.ndarray:
+    out = np.ones((len(s), s.shape[1] + 1), dtype=s.dtype)
+    out[:, :-1] = s
+    return out
+
+
+def _safe(logits: np.ndarray) -> np.ndarray:
+    """Logits whose exponentials and their row sums neither overflow nor
+    vanish: rows are shifted by their largest where any is far from 0."""
+    if logits.min() < -80 or logits.max() > 80:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], dtype=x.dtype)
 
 
 def token_logprobs(p: dict, s: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Natural log probabilities of tokens ``x`` given the states ``s`` before
     them (for shape classes, of the class)."""
-    cls = output_class(x)
-    logits = s @ p["Wc"]
-    logits += p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(x)), cls]
-    np.exp(logits, out=logits)
-    out = picked - np.log(logits.sum(axis=1))
-    word = (x - 1) % PER_CLASS
-    for c, rows in _by_class(cls):
-        inner = s[rows] @ p["Ww"][c].T
-        inner += p["bw"][c]
-        inner -= inner.max(axis=1, keepdims=True)
-        mine = inner[np.arange(len(rows)), word[rows]]
-        np.exp(inner, out=inner)
-        out[rows] += mine - np.log(inner.sum(axis=1))
+    order = np.argsort(x.astype(np.int16), kind="stable")
+    x, s = x[order], _with_one(s[order])
+    wc, ww = _extended(p)
+    cls, word = output_class(x), (x - 1) % PER_CLASS
+    lp = np.zeros(len(x), dtype=s.dtype)
+
+    def add(part, weights, which):
+        logits = _safe(s[part] @ weights)
+        picked = logits[np.arange(len(logits)), which[part]]
+        lp[part] += picked - np.log(_row_sums(np.exp(logits, out=logits)))
+
+    for part in _spans(0, len(x)):
+        add(part, wc, cls)
+    for c, a, b in _by_class(cls):
+        for part in _spans(a, b):
+            add(part, ww[c].T, word)
+    out = np.empty_like(lp)
+    out[order] = lp
     return out
 
 
@@ -116,46 +146,38 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
 
 def score_documents(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.ndarray:
     """Natural log probability of every token stream (each ending in 0).  The
-    lanes run side by side through windows; a lane's state is carried from
-    window to window, so a document of any length is scored as a whole."""
-    lengths = np.array([len(d) for d in docs], dtype=np.int64)
+    lanes run side by side, step by step; a lane's state is carried from token
+    to token, so a document of any length is scored as a whole.  The states
+    of many steps are stacked before the softmax."""
     total = np.zeros(len(docs))
     if not len(docs):
         return total
+    lengths = np.array([len(d) for d in docs], dtype=np.int64)
     deal = lanes_of(lengths, lanes)
-    streams = [np.concatenate([docs[d] for d in ds]) for ds in deal]
-    owner = [np.repeat(ds, lengths[ds]) for ds in deal]
-    size = np.array([len(s) for s in streams])
-    state = np.zeros((len(streams), HIDDEN), dtype=np.float32)
-    for at in range(0, int(size[0]), WINDOW):
-        live = int((size > at).sum())
-        part = [s[at:at + WINDOW] for s in streams[:live]]
-        steps = len(part[0])
-        grid = np.zeros((steps, live), dtype=np.int64)
-        for k, s in enumerate(part):
-            grid[:len(s), k] = s
-        width = np.array([(size[:live] > at + t).sum() for t in range(steps)])
-        states, tokens = [], []
-        for t in range(steps):
-            w = int(width[t])
-            s, x = state[:w], grid[t, :w]
-            states.append(s.copy())
-            tokens.append(x)
-            state[:w] = _step(p, s, x)[0]
-        lp = token_logprobs(p, np.concatenate(states), np.concatenate(tokens))
-        who = _owners(owner, at, width)
-        total += np.bincount(who, weights=lp, minlength=len(docs))
+    order = np.array([d for ds in deal for d in ds])
+    flat = np.concatenate([docs[d] for d in order]).astype(np.int64)
+    size = np.array([lengths[ds].sum() for ds in deal])
+    start = np.cumsum(size) - size
+    #: how many lanes are longer than t, for every step t
+    live = np.searchsorted(-size, -np.arange(int(size[0])), side="left").tolist()
+    state = np.zeros((len(deal), HIDDEN), dtype=np.float32)
+    lp = np.empty(len(flat))
+    states, places, have = [], [], 0
+    for t, w in enumerate(live):
+        at = start[:w] + t
+        s = state[:w].copy()
+        state[:w] = _step(p, s, flat[at])[0]
+        states.append(s)
+        places.append(at)
+        have += w
+        if have >= STACK or t + 1 == len(live):
+            at = np.concatenate(places)
+            lp[at] = token_logprobs(p, np.concatenate(states), flat[at])
+            states, places, have = [], [], 0
+    total[order] = np.add.reduceat(lp, np.cumsum(lengths[order]) - lengths[order])
     return total
 
 
-def _owners(owner: list[np.ndarray], at: int, width: np.ndarray) -> np.ndarray:
-    grid = np.zeros((len(width), int(width[0])), dtype=np.int64)
-    for k in range(grid.shape[1]):
-        o = owner[k][at:at + len(width)]
-        grid[:len(o), k] = o
-    return np.concatenate([grid[t, :w] for t, w in enumerate(width.tolist())])
-
-
 def train(p: dict, stream: np.ndarray, lanes: int = 64, back: int = 20, rate: float = 0.08,
           squares: dict | None = None) -> dict:
     """One pass of truncated backpropagation over a token stream, cut into
@@ -191,21 +213,26 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
         new, z, r, n, a = _step(p, s, x)
         saved.append((s, x, z, r, n, a))
         s = new
-    states, x = np.concatenate([v[0] for v in saved]), grid.ravel()
-    share = np.float32(1.0 / state.shape[0])
-    cls = output_class(x)
-    prob = softmax(states @ p["Wc"] + p["bc"])
-    prob[np.arange(len(x)), cls] -= 1
-    prob *= share
-    ds = prob @ p["Wc"].T
-    grads = {"Wc": states.T @ prob, "bc": prob.sum(axis=0)}
-    word, words = (x - 1) % PER_CLASS, []
-    for c, rows in _by_class(cls):
-        q = softmax(states[rows] @ p["Ww"][c].T + p["bw"][c])
-        q[np.arange(len(rows)), word[rows]] -= 1
-        q *= share
-        ds[rows] += q @ p["Ww"][c]
-        words.append((c, q.T @ states[rows], q.sum(axis=0)))
+    x, share = grid.ravel(), np.float32(1.0 / state.shape[0])
+    # tokens in order are classes in order: one sorting serves both layers and the inputs
+    order = np.argsort(x.astype(np.int16), kind="stable")
+    xs, one = x[order], _with_one(np.concatenate([v[0] for v in saved])[order])
+    cls, word, (wc, ww) = output_class(xs), (xs - 1) % PER_CLASS, _extended(p)
+    slope = np.zeros((len(xs), h), dtype=one.dtype)
+
+    def back(part, weights, which):
+        q = _safe(one[part] @ weights)
+        np.exp(q, out=q)
+        q *= (share / _row_sums(q))[:, None]
+        q[np.arange(len(q)), which[part]] -= share
+        slope[part] += q @ weights[:h].T
+        return one[part].T @ q
+
+    gc = sum(back(part, wc, cls) for part in _spans(0, len(xs)))
+    used = _by_class(cls)
+    gw = [sum(back(part, ww[c].T, word) for part in _spans(a, b)).T for c, a, b in used]
+    ds = np.empty_like(slope)
+    ds[order] = slope
     ds = ds.reshape(steps, -1, h)
     du, dg = np.zeros_like(p["U"]), np.empty((steps, state.shape[0], 3 * h), dtype=np.float32)
     carry = np.zeros_like(state)
@@ -220,14 +247,14 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
         dg[t] = np.concatenate([pz, pr, dn], axis=1)
         du += s0.T @ da
         carry = np.clip(d * z + da @ p["U"].T + ds[t], -1, 1)
-    order = np.argsort(x, kind="stable")
-    used, begin = np.unique(x[order], return_index=True)
+    begin = np.flatnonzero(np.append(True, xs[1:] != xs[:-1]))
     de = np.add.reduceat(dg.reshape(-1, 3 * h)[order], begin, axis=0)
-    _update(p, squares, "E", de, rate, used)
+    _update(p, squares, "E", de, rate, xs[begin])
     _update(p, squares, "U", du, rate)
-    _update(p, squares, "Wc", grads["Wc"], rate)
-    _update(p, squares, "bc", grads["bc"], rate)
-    for c, gw, gb in words:
-        _update(p, squares, "Ww", gw, rate, c)
-        _update(p, squares, "bw", gb, rate, c)
+    _update(p, squares, "Wc", gc[:h], rate)
+    _update(p, squares, "bc", gc[h], rate)
+    if used:
+        at, gw = np.array([c for c, _, _ in used]), np.stack(gw)
+        _update(p, squares, "Ww", gw[:, :, :h], rate, at)
+        _update(p, squares, "bw", gw[:, :, h], rate, at)
     return s

@@ -64,16 +64,48 @@ def test_network_learns_from_every_training_document(spark):
     rows = [(i, f"w{i} " * 30) for i in range(60)] + [(60, "long words " * 3000)]
     d = docs(spark, rows).select("doc_id", "text", lm.held_out(F.col("doc_id")).alias("held_out"))
     vocab = lm.Vocabulary(lm.word_counts(d), lm.LOCAL)
-    got = lm.fit(d, vocab, spark.sparkContext.broadcast(vars(vocab)), 500)["E"]
+    got = lm.fit(lm.numbered(d.select("doc_id", "text", "held_out"), spark.sparkContext.broadcast(vars(vocab))), vocab, 500)["E"]
     moved = (got != gru.initial(vocab.log_share())["E"]).any(axis=1)
     assert len(vocab.place) > 50 and moved[1:1 + len(vocab.place)].all()
 
 
 def test_blocks_hold_every_token_once():
-    v = lm.Vocabulary.of({"place": {b"a": 0}, "input": np.array([1, 0])})
-    batch = pa.RecordBatch.from_pydict({"text": ["a " * n for n in (3, 250, 0, 99, 100, 1)]})
-    got = list(lm._blocks([batch, batch], v, 100, np.random.default_rng(0)))
-    assert [len(b) for b in got] == [100] * 9 + [18] and sum((b == 1).sum() for b in got) == 2 * 453
+    rows = [(1, 3), (1, 250), (1, 0), (2, 99), (2, 100), (4, 1)]
+    batch = pa.RecordBatch.from_pydict({"shard": [k for k, _ in rows], "x": pa.array([[7] * n for _, n in rows], pa.list_(pa.int32()))})
+    got = list(lm._blocks([batch.slice(0, 2), batch.slice(2, 4)], 100))
+    assert [(k, len(b)) for k, b in got] == [(1, 100), (1, 100), (1, 53), (2, 100), (2, 99), (4, 1)]
+    assert all((b == 7).all() for _, b in got)
+
+
+def test_words_and_shapes_are_those_of_the_contract():
+    texts = [" A b\x0bc\xa0d \u00c9X. \x1c ", None, "", "9\n\t&"]
+    ws, size = lm.words(pa.array(texts, pa.string()))
+    assert ws.to_pylist() == [w.encode() for t in texts for w in tokens(t)[:-1]] and size.tolist() == [len(tokens(t)) - 1 for t in texts]
+    assert lm.shapes(ws).tolist() == [gru.shape(w) for w in ws.to_pylist()]
+    assert lm.shapes(ws[2:]).tolist() == [gru.shape(w) for w in ws.to_pylist()[2:]]
+
+
+def test_layout_hardly_moves_the_scores(spark):
+    """Shards don't depend on the input's partitions: the held-out mean moves
+    by less than 0.001 a token, and stays 0.2 better than the base."""
+    d = table(spark, SF.replace("sf0.001", "sf0.01"), "documents").select("doc_id", "text")
+
+    def mean(parts):
+        held = [r for r in lm.score(d.repartition(parts)).collect() if r.held_out]
+        n = sum(r.n_tokens for r in held)
+        return sum(r.score for r in held) / n, sum(r.base_score for r in held) / n
+
+    (one, base_one), (many, base_many) = mean(1), mean(32)
+    assert abs(base_one - base_many) < 1e-9 and abs(one - many) < 0.001 and base_one + 0.2 < min(one, many)
+
+
+def test_very_frequent_rows_are_dealt_over_the_shards(spark):
+    rows = [(1, prose(1, 50))] * 200 + [(i, prose(i, 50)) for i in range(3, 20)]
+    d = docs(spark, rows)
+    got = lm.score(d, tokens=400)
+    compare(got.collect(), base(rows))
+    same = {round(r.score, 3) for r in got.collect() if r.doc_id == 1}
+    assert len(same) == 1
 
 
 def params(seed=1):
