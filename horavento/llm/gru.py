@@ -234,19 +234,26 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
     ds = np.empty_like(slope)
     ds[order] = slope
     ds = ds.reshape(steps, -1, h)
-    du, dg = np.zeros_like(p["U"]), np.empty((steps, state.shape[0], 3 * h), dtype=np.float32)
+    dg = np.empty((steps, state.shape[0], 3 * h), dtype=state.dtype)
+    da = np.empty_like(dg)
     carry = np.zeros_like(state)
     for t in range(steps - 1, -1, -1):
         s0, xt, z, r, n, a = saved[t]
-        d = carry
+        d, g = carry, dg[t]
         d[xt == 0] = 0
-        dn = d * (1 - z) * (1 - n * n)
-        pz = d * (s0 - n) * z * (1 - z)
-        pr = dn * a[:, 2 * h:] * r * (1 - r)
-        da = np.concatenate([pz, pr, dn * r], axis=1)
-        dg[t] = np.concatenate([pz, pr, dn], axis=1)
-        du += s0.T @ da
-        carry = np.clip(d * z + da @ p["U"].T + ds[t], -1, 1)
+        rest = 1 - z
+        dn = d * rest
+        np.multiply((s0 - n) * z, dn, out=g[:, :h])
+        dn *= 1 - n * n
+        np.multiply(a[:, 2 * h:] * dn, r * (1 - r), out=g[:, h:2 * h])
+        g[:, 2 * h:] = dn
+        da[t] = g
+        da[t, :, 2 * h:] *= r
+        d *= z
+        d += da[t] @ p["U"].T
+        d += ds[t]
+        carry = np.minimum(np.maximum(d, -1, out=d), 1, out=d)
+    du = np.concatenate([v[0] for v in saved]).T @ da.reshape(-1, 3 * h)
     begin = np.flatnonzero(np.append(True, xs[1:] != xs[:-1]))
     de = np.add.reduceat(dg.reshape(-1, 3 * h)[order], begin, axis=0)
     _update(p, squares, "E", de, rate, xs[begin])

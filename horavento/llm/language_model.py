@@ -43,11 +43,13 @@ from horavento.session import materialize
 
 LOCAL = 100_000
 #: documents are scored side by side in groups of about this many tokens
-GROUP_TOKENS = 2_000_000
+GROUP_TOKENS = 1_000_000
 #: tokens of a shard, and of a block inside a shard that had to grow
 BLOCK_TOKENS, ROUNDS, SHARDS = 500_000, 3, 8192
 #: longer documents are dealt to shards in pieces of so many tokens
 PIECE = 16_384
+#: texts are split into words about so many bytes at a time
+TEXT_BYTES = 4_000_000
 #: rows of weights that one task sums, and that reach the driver at most
 FAN = 16
 
@@ -56,6 +58,16 @@ def held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(7)) == 2, F.lit(False))
 
 
+def _parts(batch: pa.RecordBatch, column: int):
+    """Slices of a batch with texts of about ``TEXT_BYTES``, or one longer text."""
+    size = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(size, size[begin] + TEXT_BYTES, side="right")) - 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words between ASCII white space of all texts, A-Z lower-cased, one
     after another, and the number of words of every text."""
@@ -79,13 +91,12 @@ def shapes(ws: pa.Array) -> np.ndarray:
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` (bytes; empty for the end token) and its count ``c`` in the
     training documents."""
-    def fn(batch: pa.RecordBatch) -> dict | None:
-        if not batch.num_rows:
-            return None
-        counted = words(batch.column(0))[0].value_counts()
-        word, c = counted.field(0), counted.field(1)
-        return {"word": pa.concat_arrays([word, pa.array([b""], pa.binary())]),
-                "c": np.append(c.to_numpy(), batch.num_rows), "shape": np.append(shapes(word), -1)}
+    def fn(batch: pa.RecordBatch):
+        for part in _parts(batch, 0):
+            counted = words(part.column(0))[0].value_counts()
+            word, c = counted.field(0), counted.field(1)
+            yield {"word": pa.concat_arrays([word, pa.array([b""], pa.binary())]),
+                   "c": np.append(c.to_numpy(), part.num_rows), "shape": np.append(shapes(word), -1)}
 
     return map_batches(docs.where(~F.col("held_out")).select("text"), fn, "word binary, c long, shape int") \
         .groupBy("word").agg(F.sum("c").alias("c"), F.first("shape").alias("shape"))
@@ -153,10 +164,8 @@ def numbered(rows: DataFrame, shared) -> DataFrame:
     """Per row a number ``uid``, a hash of the row, the input numbers ``x`` with the end token,
     what the local counts give, and the distinct other words with their times;
     written once."""
-    def fn(batch: pa.RecordBatch) -> dict | None:
-        n, v = batch.num_rows, Vocabulary.of(shared.value)
-        if not n:
-            return None
+    def number(batch: pa.RecordBatch, v: Vocabulary) -> dict:
+        n = batch.num_rows
         ws, size = words(batch.column(1))
         place, x, rest = v.read(ws)
         row, near, tail = np.repeat(np.arange(n), size), place >= 0, x > gru.HEAD
@@ -179,6 +188,11 @@ def numbered(rows: DataFrame, shared) -> DataFrame:
                 "far": pa.ListArray.from_arrays(cuts, whole(far["word"], pa.binary())),
                 "times": pa.ListArray.from_arrays(cuts, whole(far["word_count"], pa.int64()))}
 
+    def fn(batch: pa.RecordBatch):
+        v = Vocabulary.of(shared.value)
+        for part in _parts(batch, 1):
+            yield number(part, v)
+
     kinds = "doc_id long, held_out boolean, key long, x array<int>, known long, base double, model double, far array<binary>, times array<long>"
     keyed = rows.select("doc_id", "text", "held_out", F.xxhash64("doc_id", "text").alias("key"))
     return materialize(map_batches(keyed, fn, kinds).withColumn("uid", F.monotonically_increasing_id()), "lm-numbered")
@@ -229,8 +243,9 @@ def fit(numbers: DataFrame, vocab: Vocabulary, tokens: int = BLOCK_TOKENS, round
         return params
     spark = numbers.sparkSession
     shards = min(SHARDS, -(-vocab.n // (rounds * tokens)))
-    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size("x") - 1) / PIECE).cast("int")),
-                         lambda k: F.slice("x", k * PIECE + 1, F.lit(PIECE)))
+    pieces = F.when(F.size("x") <= PIECE, F.array("x")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.floor((F.size("x") - 1) / PIECE).cast("int")),
+                    lambda k: F.slice("x", k * PIECE + 1, F.lit(PIECE))))
     train_rows = numbers.where(~F.col("held_out")).select("uid", "key", "x")
     often = materialize(train_rows.groupBy("key").agg(F.sum(F.size("x")).alias("n"), F.count(F.lit(1)).alias("k"))
                         .where((F.col("k") > 1) & (F.col("n") > tokens / 4)).select("key", F.lit(True).alias("often")), "lm-often")
