@@ -1,8 +1,11 @@
 """Licence scan by a trained paragraph classifier.
 
-1. The templates below, cut to windows and thinned at random, and paragraphs
-   of about ``SAMPLE_DOCS`` documents (chosen by a hash of doc_id; the only
-   sampled step) are the training set.
+1. The templates below, cut to windows and thinned at random, and about
+   ``SAMPLE`` paragraphs, drawn by a hash over the paragraphs of all documents
+   wherever they stand, are the training set.  A drawn paragraph is used whole;
+   of one longer than ``LONGEST`` characters a window of that length at a
+   hashed place is, so that the driver holds a bounded sample.  This is the
+   only sampled step.
 2. Features are the word 1- to 3-grams of the templates; a multinomial
    logistic regression over these sparse rows, with one class for everything
    that is no licence, is trained by gradient descent.
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from horavento.llm.common import about, map_batches, register, table, text_column
 
-SAMPLE_DOCS, SAMPLE_LINES = 400, 12
+SAMPLE, LONGEST = 4800, 20_000
 PASSES, RATE, DECAY = 60, 0.5, 1e-5
 CONFIRM = 0.6
 UNKNOWN = "unknown"
@@ -240,13 +243,18 @@ class Scanner:
         self.threshold = float(np.clip(np.quantile(best, 0.999) if len(best) else 0.5, 0.5, 0.95))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Scanner:
+def paragraphs(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """About ``sample`` paragraphs (at most twice as many) of all of ``docs``."""
+    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("at", "line")).where(F.trim("line") != "")
+    drawn = about(lines, sample, F.col("doc_id").cast("string"), "at", "line")
+    place = F.pmod(F.xxhash64("line"), F.greatest(F.length("line") - LONGEST, F.lit(1))).cast("int") + 1
+    return drawn.select(F.when(F.length("line") > LONGEST, F.substr("line", place, F.lit(LONGEST))).otherwise(F.col("line")).alias("line"))
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Scanner:
     """A scanner trained on the templates and a bounded sample of ``docs``."""
-    lines = F.slice(F.split(F.col("text").cast("string"), "\n"), 1, SAMPLE_LINES)
-    drawn = about(docs.where("text IS NOT NULL").select("doc_id", "text"), sample_docs, F.col("doc_id").cast("string"), "text")
-    rows = drawn.select(F.transform(lines, lambda x: F.substring(x, 1, 1000)).alias("lines")).collect()
     scanner = Scanner()
-    scanner.train([words(x) for r in rows for x in r.lines])
+    scanner.train([words(r.line) for r in paragraphs(docs, sample).orderBy("line").collect()])
     return scanner
 
 

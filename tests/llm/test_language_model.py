@@ -100,7 +100,7 @@ def test_layout_hardly_moves_the_scores(spark):
 
 
 def test_very_frequent_rows_are_dealt_over_the_shards(spark):
-    rows = [(1, prose(1, 50))] * 200 + [(i, prose(i, 50)) for i in range(3, 20)]
+    rows = [(1, prose(1, 50))] * 200 + [(i, prose(i, 50)) for i in range(3, 20)] + [(30, "one two three " * 12_000)]
     d = docs(spark, rows)
     got = lm.score(d, tokens=400)
     compare(got.collect(), base(rows))

@@ -54,3 +54,13 @@ def test_awkward_rows(spark):
     assert [(f.paragraph, f.family) for f in by[5].found] == [(5000, "CC-BY-NC")]
     assert by[1].n_paragraphs == 0 and by[4].n_paragraphs == 1
     assert lic.find_licences(d.limit(0), lic.fit(d.limit(0))).collect() == []
+
+
+def test_training_paragraphs_come_from_all_places_and_are_whole(spark):
+    rows = [(i, "\n".join(f"line {i} {k} " + "w" * 1500 for k in range(40))) for i in range(30)] + [(90, None), (91, ""), (92, "\n \n")]
+    got = [r.line for r in lic.paragraphs(docs(spark, rows), 300).collect()]
+    assert 150 < len(got) < 600 and all(len(x) > 1500 for x in got)
+    assert len({x.split()[1] for x in got}) > 25 and max(int(x.split()[2]) for x in got) > 30
+    long = [r.line for r in lic.paragraphs(docs(spark, [(1, "a b " * 20_000)]), 5).collect()]
+    assert [len(x) for x in long] == [lic.LONGEST]
+    assert lic.paragraphs(docs(spark, []), 5).collect() == []
