@@ -27,6 +27,10 @@ from horavento.functions.temporal import epoch_ms
 from horavento.session import materialize
 
 
+#: rows of a task, about, once there are more than the shuffle partitions hold
+TASK_ROWS = 1_000_000
+
+
 def _list(x) -> list[str]:
     if x is None:
         return []
@@ -37,13 +41,23 @@ def _bucketize(df: DataFrame, by: list[str], order: list[str], rows_per_bucket:
                descending: bool) -> DataFrame:
     """Tag rows with ``_sb`` (their range in the order of ``by`` and ``order``),
     ``_off`` (rows of the group in earlier ranges) and ``_nsb`` (rows of the
-    group in their own range)."""
+    group in their own range).
+
+    Where ``rows_per_bucket`` would make more ranges than shuffle partitions, a
+    task holds many of them: its sorted rows are cut by position, so the tasks
+    don't grow with the ranges."""
     sort = [F.col(c).asc() for c in by] + [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     if rows_per_bucket:
-        dealt = df.repartitionByRange(max(1, -(-df.count() // rows_per_bucket)), *sort)
+        n = df.count()
+        most = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // TASK_ROWS)
+        dealt = df.repartitionByRange(max(1, min(-(-n // rows_per_bucket), most)), *sort).sortWithinPartitions(*sort)
+        # the task's number above 33 bits of the row's place in it
+        place = F.monotonically_increasing_id()
+        task, at = F.shiftright(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
+        dealt = dealt.withColumn("_sb", F.shiftleft(task, 33) + F.floor(at / rows_per_bucket))
     else:
-        dealt = df.repartitionByRange(*sort)
-    tagged = materialize(dealt.withColumn("_sb", F.spark_partition_id()), "ordered-rows")
+        dealt = df.repartitionByRange(*sort).withColumn("_sb", F.spark_partition_id())
+    tagged = materialize(dealt, "ordered-rows")
     counts = tagged.groupBy(*by, "_sb").agg(F.count(F.lit(1)).alias("_nsb"))
     before = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_nsb").over(before), F.lit(0)))
@@ -59,7 +73,7 @@ def sequence_number(df: DataFrame, by, order, rows_per_bucket: int | None = None
                     out: str = "rn", descending: bool = False) -> DataFrame:
     """1-based row number per ``by`` in ``order`` (later columns break ties).
 
-    ``rows_per_bucket`` sets the rows of a range; by default the session's
+    ``rows_per_bucket`` sets the most rows of a range; by default the session's
     shuffle partitions and adaptive coalescing decide.  A small group lies in
     one or two ranges; a group holding a third of the data is spread over a
     third of them."""

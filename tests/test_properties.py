@@ -205,3 +205,20 @@ def test_tail_of_any_size(spark):
         w = Window.partitionBy("estacao").orderBy(F.desc("ts"), F.desc("id"))
         want = r.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
         assert sorted(x.id for x in W.tail_per_key(r, n).collect()) == sorted(x.id for x in want.collect())
+
+
+def test_many_ranges_do_not_make_many_tasks(spark):
+    """The ranges of one task are cut by position: no task per range."""
+    from horavento.operators.windows import _bucketize
+    rows = spark.range(20_000).selectExpr("IF(id % 3 > 0, 'a', NULL) AS estacao", "id", "CAST(id % 11 AS DOUBLE) AS temperatura")
+    most, tasks = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranges", "")
+    sizes = [x["count"] for x in _bucketize(rows, ["estacao"], ["id"], 10, False).groupBy("_sb").count().collect()]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tasks.getJobIdsForGroup("ranges") for s in tasks.getJobInfo(j).stageIds]
+    assert max(tasks.getStageInfo(s).numTasks for s in stages if tasks.getStageInfo(s)) <= most + 8
+    assert sum(sizes) == 20_000 and max(sizes) <= 10
+    ours = {r.id: (r.rn, r._lag1, r._lag2) for r in W.row_lags(rows, "estacao", ["id"], "temperatura", 3, 10).collect()}
+    w = Window.partitionBy("estacao").orderBy("id")
+    want = rows.select("id", F.row_number().over(w), F.lag("temperatura").over(w), F.lag("temperatura", 2).over(w))
+    assert ours == {r[0]: tuple(r[1:]) for r in want.collect()}
