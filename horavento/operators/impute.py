@@ -202,6 +202,12 @@ def assemble_features(df: DataFrame, by: str = "estacao", stations: list[str] |
     return out, feats
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """The rows over all cores, whatever files or row groups they came in: the
+    rounds keep the layout of the first table."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _persist_round(df: DataFrame, tag: str) -> DataFrame:
     """Write a round to the shared checkpoint folder and read it back."""
     return materialize(df, tag)
@@ -266,7 +272,7 @@ def _impute_stations(df: DataFrame, config: dict, targets: list[str], by: str, s
                         lambda s: s["i"])
     order = materialize(counts.select(F.col(by).alias("_g"), order.alias("_order")), "impute-order")
     cur = mean_fill(rows.withColumns({flags[t]: F.col(t).isNull() for t in targets}), targets, by)
-    cur = _persist_round(cur.join(order, F.col(by).eqNullSafe(F.col("_g")), "left").drop("_g"), "impute-init")
+    cur = _persist_round(_dealt(cur.join(order, F.col(by).eqNullSafe(F.col("_g")), "left").drop("_g")), "impute-init")
     for rnd in range(int(config["max_iter"])):
         for s in range(len(targets)):
             step = F.get("_order", F.lit(s))
@@ -279,7 +285,8 @@ def _impute_stations(df: DataFrame, config: dict, targets: list[str], by: str, s
             cur = predict(cur, model, by, trees, depth, "_pred", "_x")
             cur = cur.withColumns({t: F.when(F.col("_blank") & (step == i), F.coalesce("_pred", t)).otherwise(F.col(t))
                                    for i, t in enumerate(targets)}).drop("_x", "_blank", "_pred")
-        cur = _persist_round(cur, f"impute-r{rnd}")
+            # the next step reads it several times
+            cur = _persist_round(cur, f"impute-r{rnd}s{s}")
     return cur.drop("_order", *flags.values())
 
 

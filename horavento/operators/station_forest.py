@@ -2,8 +2,9 @@
 
 Every group (station) has its own forest, and all grow together: a level of
 all trees of all groups is one aggregate over (group, tree, node, feature,
-bin).  The rows are never gathered by group, so a hot station is as cheap as
-any other, and the driver holds no name and no model.
+bin), summed within slices of about ``SLICE`` rows before it is shuffled.  The
+rows are never gathered by group, so a hot station is as cheap as any other,
+and the driver holds no name and no model.
 
 A feature is cut into ``BINS`` bins of equal width between the group's
 smallest and largest value, so a forest depends on its group's rows alone and
@@ -19,6 +20,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,10 @@ from horavento.schemas import MIN_SAMPLES_LEAF, MIN_SAMPLES_SPLIT
 from horavento.session import materialize
 
 BINS = 64
+#: rows summed together in a task, about
+SLICE = 100_000
+#: cells of one tree that a task sums without numbering them
+CELLS = 1 << 21
 #: cumulative Poisson(1) probabilities: a row is drawn as often as its number exceeds one
 _POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(8)]
 
@@ -59,6 +66,65 @@ def _descend(bins: Column, trees: int, size: int, levels: int) -> Column:
     return nodes
 
 
+def _summed(by: pa.Array, y: np.ndarray, draws: np.ndarray, nodes: np.ndarray, bins: np.ndarray, first: int) -> pa.RecordBatch:
+    """Drawn rows and label sums per (group, tree, node, feature, bin) of some
+    rows; nodes before ``first`` are done with.  One cell number holds the
+    whole key, and only the cells that occur are kept."""
+    named = by.dictionary_encode(null_encoding="encode")
+    group, width = named.indices.to_numpy(zero_copy_only=False).astype(np.int64), bins.shape[1]
+    feature = np.arange(width) * BINS
+    cells, counts, sums = [], [], []
+    for t in range(nodes.shape[1]):
+        at = np.flatnonzero((nodes[:, t] >= first) & (draws[:, t] > 0))
+        w = draws[at, t].astype(np.float64)
+        # the (group, node) pairs that occur, numbered
+        pair, place = np.unique(group[at] * (2 * first) + nodes[at, t], return_inverse=True)
+        cell, seen = ((place * (width * BINS))[:, None] + feature + bins[at]).ravel(), None
+        if len(pair) * width * BINS > CELLS:  # many small groups: number the cells that occur
+            seen, cell = np.unique(cell, return_inverse=True)
+        n = np.bincount(cell, np.repeat(w, width))
+        total = np.bincount(cell, np.repeat(w * y[at], width))
+        if seen is None:
+            seen = np.flatnonzero(n)
+            n, total = n[seen], total[seen]
+        p, rest = pair[seen // (width * BINS)], seen % (width * BINS)
+        cells.append(np.stack([p // (2 * first), np.full(len(seen), t), p % (2 * first), rest // BINS, rest % BINS]))
+        counts.append(n.astype(np.int64))
+        sums.append(total)
+    g, *keys = np.concatenate(cells, axis=1)
+    return pa.RecordBatch.from_arrays(
+        [named.dictionary.take(pa.array(g)), *[pa.array(k.astype(np.int32)) for k in keys], pa.array(np.concatenate(counts)),
+         pa.array(np.concatenate(sums))], ["g", "tree", "node", "feature", "bin", "n", "s"])
+
+
+def _level_sums(at: DataFrame, by: str, first: int) -> DataFrame:
+    """``n`` and ``s`` per (group, tree, node, feature, bin) of the rows with
+    their draws ``_w``, nodes ``_node`` and bins ``_b``, one value a tree or feature."""
+    def grid(column: pa.Array) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+    def run(batches):
+        held, have = [], 0
+        for batch in batches:
+            held, have = held + [batch], have + batch.num_rows
+            if have >= SLICE:
+                yield slice_sums(held)
+                held, have = [], 0
+        if have:
+            yield slice_sums(held)
+
+    def slice_sums(held):
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=None)[0]
+        y = rows.column(1).to_numpy(zero_copy_only=False)
+        return _summed(rows.column(0), y, grid(rows.column(2)), grid(rows.column(3)), grid(rows.column(4)), first)
+
+    kind = at.schema[by].dataType.simpleString()
+    part = at.select(F.col(by).alias("g"), "_y", "_w", "_node", "_b").mapInArrow(
+        run, f"g {kind}, tree int, node int, feature int, bin int, n long, s double")
+    return (part.groupBy("g", "tree", "node", "feature", "bin").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+            .withColumnRenamed("g", by))
+
+
 def _with_group(df: DataFrame, side: DataFrame, by: str) -> DataFrame:
     """``side`` has one row per group; NULL is a group of its own."""
     return df.join(side.withColumnRenamed(by, "_g"), F.col(by).eqNullSafe(F.col("_g")), "left").drop("_g")
@@ -70,23 +136,20 @@ def grow(rows: DataFrame, by: str, trees: int, depth: int, seed: int, x: str = "
     node, the split feature, the last bin of the left side and the node's
     mean.  ``rows`` holds the feature array ``x`` (no NULL) and the label."""
     size = 2 << depth
-    edges = materialize(
-        rows.select(by, F.posexplode(x).alias("_i", "_v")).groupBy(by, "_i").agg(F.min("_v").alias("_l"), F.max("_v").alias("_h"))
-        .groupBy(by).agg(F.sort_array(F.collect_list(F.struct("_i", "_l", "_h"))).alias("_r"))
-        .select(by, F.col("_r._l").alias("_lo"), F.col("_r._h").alias("_hi")), "forest-ranges")
-    data = materialize(_with_group(rows, edges, by).select(id_col, by, F.col(y).cast("double").alias("_y"), _binned(x).alias("_b")),
+    first = rows.select(F.size(x).alias("n")).first()
+    each = [F.get(x, F.lit(i)) for i in range(first.n if first else 0)]
+    ends = lambda f: F.array(*[f(v) for v in each]).cast("array<double>").alias("_hi" if f is F.max else "_lo")
+    edges = materialize(rows.groupBy(by).agg(ends(F.min), ends(F.max)), "forest-ranges")
+    draws = F.array(*[_draws(id_col, F.lit(t), seed) for t in range(trees)])
+    data = materialize(_with_group(rows, edges, by).select(by, F.col(y).cast("double").alias("_y"), draws.alias("_w"), _binned(x).alias("_b")),
                        "forest-bins")
     model = edges.withColumns({"_feature": F.array().cast("array<int>"), "_cut": F.array().cast("array<int>"),
                                "_value": F.array().cast("array<double>")})
     splits = values = None
     for level in range(depth):
         at = _with_group(data, model.drop("_lo", "_hi"), by).withColumn("_node", _descend(F.col("_b"), trees, size, level))
-        drawn = at.select(id_col, by, "_y", "_b", F.posexplode("_node").alias("tree", "node")).where(F.col("node") >= 1 << level)
-        drawn = drawn.withColumn("_w", _draws(id_col, F.col("tree"), seed)).where("_w > 0")
         keys = [by, "tree", "node"]
-        bins = (drawn.select(*keys, "_w", "_y", F.posexplode("_b").alias("feature", "bin"))
-                .groupBy(*keys, "feature", "bin").agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_y")).alias("s")))
-        bins = materialize(bins, "forest-level")
+        bins = materialize(_level_sums(at, by, 1 << level), "forest-level")
         one = Window.partitionBy(*keys, "feature")
         up_to = one.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
         c = bins.select("*", F.sum("n").over(up_to).alias("nl"), F.sum("s").over(up_to).alias("sl"),

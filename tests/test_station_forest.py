@@ -104,3 +104,21 @@ def test_groups_without_a_tree_predict_null(spark):
     df = spark.createDataFrame([(1, "a", [1.0], 2.0)], "id long, estacao string, x array<double>, y double")
     model = grow(df.where("false"), "estacao", 2, 2, 1)
     assert [r.p for r in predict(df, model, "estacao", 2, 2, "p").collect()] == [None]
+
+
+@pytest.mark.parametrize("cells", [None, 1])
+def test_level_sums_are_shuffled_as_sums(spark, monkeypatch, cells):
+    """A slice of rows goes into the shuffle as one row per cell, not one per
+    row, tree and feature, and the forest does not depend on the slices."""
+    from horavento.operators import station_forest as S
+    rows = [(i, [None, "a", "b"][i % 3], [float(i % 7), float(i % 5)], float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, estacao string, x array<double>, y double").repartition(2)
+    if cells:
+        monkeypatch.setattr(S, "CELLS", cells)
+    made = []
+    monkeypatch.setattr(S, "_level_sums", lambda *a, run=S._level_sums: made.append(run(*a)) or made[-1])
+    got = {r.estacao: r.asDict() for r in grow(df, "estacao", 2, 2, 3).collect()}
+    assert len(got) == 3 and [d.agg(F.count(F.lit(1))).first()[0] for d in made][0] <= 3 * 2 * (7 + 5)
+    assert any("MapInArrow" in d._jdf.queryExecution().executedPlan().toString() for d in made)
+    other = {r.estacao: r.asDict() for r in grow(df.repartition(5), "estacao", 2, 2, 3).collect()}
+    assert all(got[k][c] == other[k][c] for k in got for c in ("_feature", "_cut", "_lo", "_hi"))
