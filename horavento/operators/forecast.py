@@ -18,6 +18,9 @@ from horavento.session import materialize
 
 FORECAST_FEATURES = ["umidade", "velocidade_vento", "hora", "mes", "dia_ano", "hora_sin", "hora_cos"]
 
+#: tasks a core that a fit is dealt over
+FIT_TASKS = 2
+
 
 def prediction_frame(df: DataFrame, real: str = "temperatura_real",
                      pred: str = "temperatura_prevista") -> DataFrame:
@@ -64,6 +67,8 @@ def train_temperature(df: DataFrame, features: list[str] = FORECAST_FEATURES,
     if data.isEmpty():
         empty = data.withColumnRenamed(label, "temperatura_real").withColumn("temperatura_prevista", F.lit(None).cast("double"))
         return None, prediction_frame(empty)
+    # the fit reads the rows many times: written once, over all cores whatever files they came in
+    data = materialize(data.repartition(FIT_TASKS * df.sparkSession.sparkContext.defaultParallelism), "forecast-data")
     model = pipeline.fit(data)
     return model, _predicted(model, data, label)
 

@@ -102,3 +102,12 @@ def test_scores_of_one_row_or_a_constant_have_no_r2(spark):
 def test_missing_report_of_an_empty_table(spark):
     df = spark.createDataFrame([], "estacao string, temperatura double, umidade double, velocidade_vento double")
     assert {(r.faltantes, r.percentual, r.total) for r in missing_report(df).collect()} == {(0, None, 0)}
+
+
+def test_training_uses_all_cores_whatever_the_layout(spark):
+    from pyspark.sql import functions as F
+    from horavento.operators import forecast as FC
+    rows = spark.range(0, 300, 1, 1).select("id", F.lit("a").alias("estacao"), (F.col("id") % 24).cast("double").alias("temperatura"),
+                                            (F.col("id") % 7).cast("double").alias("umidade"))
+    model, pred = FC.train_temperature(rows, ["umidade"], num_trees=2, max_depth=2)
+    assert len(pred.inputFiles()) > 1 and pred.count() == 300
