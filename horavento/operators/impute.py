@@ -16,7 +16,9 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -72,6 +74,12 @@ def _edge(tagged: DataFrame, by: str) -> DataFrame:
     return at.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_rest"))
 
 
+#: imputations of ``impute_all`` at a time
+FITS = 3
+#: rows of a task, at least, where that needs fewer tasks than cores
+DEALT_ROWS = 25_000
+
+
 class MaskPlan:
     """The hashed long cells and the per-group cut table of one mask.
 
@@ -202,10 +210,12 @@ def assemble_features(df: DataFrame, by: str = "estacao", stations: list[str] |
     return out, feats
 
 
-def _dealt(df: DataFrame) -> DataFrame:
+def _dealt(df: DataFrame, rows: int | None = None) -> DataFrame:
     """The rows over all cores, whatever files or row groups they came in: the
-    rounds keep the layout of the first table."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    rounds keep the layout of the first table.  A few ``rows`` are dealt over
+    fewer tasks of ``DEALT_ROWS``."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores if rows is None else max(1, min(cores, -(-rows // DEALT_ROWS))))
 
 
 def _persist_round(df: DataFrame, tag: str) -> DataFrame:
@@ -235,7 +245,7 @@ def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
     order = sorted(targets, key=lambda t: (miss[t], targets.index(t)))
     flags = {t: f"_miss_{t}" for t in targets}
     cur = mean_fill(df.withColumns({flags[t]: F.col(t).isNull() for t in targets}), targets, by, fallback)
-    cur = _persist_round(cur, "impute-init")
+    cur = _persist_round(_dealt(cur, miss["_n"]), "impute-init")
     for rnd in range(int(config["max_iter"])):
         for t in order:
             if miss[t] == 0 or miss["_n"] - miss[t] < 2:  # nothing missing, or nothing to learn from: the mean stays
@@ -296,13 +306,22 @@ def masked_pairs_long(truth: DataFrame, imputed: DataFrame, targets: list[str] =
     return truth.join(imp, ["id", "alvo"], "inner")
 
 
+def masked_frame(df: DataFrame, targets: list[str] = TARGETS, by: str = "estacao",
+                 ratio: float = EVALUATION_RATIO, seed: int = RANDOM_STATE) -> tuple[DataFrame, DataFrame]:
+    """The mask and the readings without its cells, each written once: an
+    imputation reads them many times, and every configuration the same ones."""
+    plan = MaskPlan(df, targets, ratio, seed, by)
+    mask = _persist_round(mask_cells(df, plan=plan), "mask")
+    return mask, _persist_round(_dealt(apply_mask(df, plan=plan)), "masked")
+
+
 def evaluate_imputer(df: DataFrame, config: dict, targets: list[str] = TARGETS,
                      by: str = "estacao", ratio: float = EVALUATION_RATIO,
-                     seed: int = RANDOM_STATE, scope: str = "pooled") -> DataFrame:
-    """Mask, impute, score on the masked cells (M5): long scores."""
-    plan = MaskPlan(df, targets, ratio, seed, by)
-    mask = mask_cells(df, plan=plan)
-    masked = apply_mask(df, plan=plan)
+                     seed: int = RANDOM_STATE, scope: str = "pooled",
+                     frame: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Mask, impute, score on the masked cells (M5): long scores.  ``frame``
+    is the ``masked_frame`` of ``df`` where it is at hand."""
+    mask, masked = frame or masked_frame(df, targets, by, ratio, seed)
     imputed = iterative_impute(masked, config, targets, by=by, seed=seed, scope=scope)
     pairs = masked_pairs_long(mask, imputed, targets)
     return score(pairs.withColumn("modelo", F.lit(config["nome"])), by=(by, "modelo", "alvo"))
@@ -322,17 +341,39 @@ def impute_all(df: DataFrame, configs: list[dict] = MODEL_CONFIGS, targets: list
 
     Returns ``(scores, imputed, status)`` DataFrames."""
     spark = df.sparkSession
-    scores, imputed, status = [], [], []
-    for cfg in configs:
+    try:  # one mask for all; where it fails, so does every configuration
+        frame, broken = masked_frame(df, targets, by, seed=seed), None
+    except Exception as e:
+        frame, broken = None, e
+
+    def timed(work):
         t0 = time.time()
+        if broken is not None:
+            return None, str(broken), time.time() - t0
         try:
-            s = _persist_round(evaluate_imputer(df, cfg, targets, by, seed=seed, scope=scope), "scores")
-            f = impute_final(df, cfg, targets, by, seed, scope)
+            return work(), None, time.time() - t0
+        except Exception as e:  # isolate the failing configuration
+            return None, str(e), time.time() - t0
+
+    def scored(cfg):
+        return timed(lambda: _persist_round(evaluate_imputer(df, cfg, targets, by, seed=seed, scope=scope, frame=frame), "scores"))
+
+    def filled(cfg):
+        return timed(lambda: impute_final(df, cfg, targets, by, seed, scope))
+
+    # the jobs of one fit are short and follow each other: several fits fill the cores
+    with ThreadPoolExecutor(FITS) as pool:
+        run = lambda f, cfg: pool.submit(inheritable_thread_target(spark)(f), cfg)
+        started = {k: (run(scored, configs[k]), run(filled, configs[k]))
+                   for k in sorted(range(len(configs)), key=lambda k: -configs[k]["max_iter"])}
+        done = [[f.result() for f in started[k]] for k in range(len(configs))]
+    scores, imputed, status = [], [], []
+    for cfg, ((s, e1, t1), (f, e2, t2)) in zip(configs, done):
+        error = e1 if e1 is not None else e2
+        if error is None:
             scores.append(s)
             imputed.append(f)
-            status.append((cfg["nome"], "sucesso", None, time.time() - t0))
-        except Exception as e:  # isolate the failing configuration
-            status.append((cfg["nome"], "erro", str(e), time.time() - t0))
+        status.append((cfg["nome"], "sucesso" if error is None else "erro", error, t1 + t2))
     st = spark.createDataFrame(status, "modelo string, status string, erro string, duracao_segundos double")
     from functools import reduce
     sc = reduce(DataFrame.unionByName, scores) if scores else None

@@ -122,3 +122,23 @@ def test_level_sums_are_shuffled_as_sums(spark, monkeypatch, cells):
     assert any("MapInArrow" in d._jdf.queryExecution().executedPlan().toString() for d in made)
     other = {r.estacao: r.asDict() for r in grow(df.repartition(5), "estacao", 2, 2, 3).collect()}
     assert all(got[k][c] == other[k][c] for k in got for c in ("_feature", "_cut", "_lo", "_hi"))
+
+
+@pytest.mark.parametrize("scope", ["pooled", "per_station"])
+def test_rounds_use_all_cores_whatever_the_layout(spark, monkeypatch, scope):
+    monkeypatch.setattr(M, "DEALT_ROWS", 20)
+    out = M.iterative_impute(frame(spark, readings(8, {"a": 120, "b": 80}), 1), LIGHT, scope=scope)
+    assert len(out.inputFiles()) > 1 and out.count() == 200
+
+
+def test_all_configurations_share_one_mask(spark, monkeypatch):
+    made, plan = [], M.MaskPlan
+    monkeypatch.setattr(M, "MaskPlan", lambda *a: made.append(a) or plan(*a))
+    df = frame(spark, readings(9, {"a": 120, "b": 80}))
+    configs = [LIGHT, {**LIGHT, "nome": "bad", "n_estimators": 0}, {**LIGHT, "nome": "M", "max_iter": 2}]
+    scores, imputed, status = M.impute_all(df, configs)
+    assert len(made) == 1
+    assert [(r.modelo, r.status) for r in status.collect()] == [("L", "sucesso"), ("bad", "erro"), ("M", "sucesso")]
+    assert {r.modelo: r["count"] for r in imputed.groupBy("modelo").count().collect()} == {"L": 200, "M": 200}
+    alone = M.evaluate_imputer(df, LIGHT).select("estacao", "alvo", "n")
+    assert sorted(alone.collect()) == sorted(scores.where("modelo = 'L'").select("estacao", "alvo", "n").collect())
