@@ -37,6 +37,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ from horavento.llm.components import connected_components
 from horavento.session import materialize
 
 SHINGLE, PERCENT = 8, 80
-PIECE = 16
+PIECE = 32
 #: a pair of similarity 0.8 is missed by bands and filter together in 0.00 (9 and 9 shingles), 0.09 (27 and 27),
 #: 0.32 (90 and 90) to 0.45 % (450 and 450) of simulated pairs: the extra bands use the same minima again
 MINIMA, EXTRA = 32, 4
@@ -58,6 +60,8 @@ SALTS = 16
 SKETCH = 16
 #: the open pairs of larger buckets are found by prefix filtering
 BUCKET = 64
+#: cells of the counts that tell rare shingles from frequent ones
+CELLS = 1 << 14
 
 
 def _constants() -> list[int]:
@@ -80,10 +84,10 @@ def _bands() -> list[list[int]]:
 def lines_of(docs: DataFrame) -> DataFrame:
     """``id, th, no, line, h1, h2``: every non-blank line, normalised."""
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("th"),
-                       F.posexplode(F.split(text, "\n")).alias("no", "raw"))
-    line = F.lower(F.btrim("raw", F.lit(" \t\r\f\v")))
-    return rows.select("id", "th", "no", line.alias("line")).where("line <> ''").select(
+    # normalised before the explode: behind it, the filter would normalise every line a second time
+    parts = F.transform(F.split(text, "\n"), lambda x: F.lower(F.btrim(x, F.lit(" \t\r\f\v"))))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("th"), F.posexplode(parts).alias("no", "line"))
+    return rows.where("line <> ''").select(
         "*", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"))
 
 
@@ -104,11 +108,13 @@ def _minhashed(lines: DataFrame) -> DataFrame:
     is too small for an estimate) per distinct line."""
     # pieces of PIECE starts each, overlapping by a shingle less one character;
     # where a last piece is shorter, its first shingle stands in again
-    pieces = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{PIECE + SHINGLE - 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    cut = lines.select("h1", "h2", F.posexplode(pieces).alias("k", "piece")).where((F.length("piece") >= SHINGLE) | (F.col("k") == 0))
+    def pieces(b: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (2 * SHINGLE - 1), F.lit(1)), F.lit(2 * PIECE))
+        return F.transform(starts, lambda i: F.substring(b, i, F.lit(2 * (PIECE + SHINGLE - 1))))
+
     at = lambda i: F.hash(F.substring("b", 2 * i - 1, 2 * SHINGLE))
-    cut = cut.select("h1", "h2", F.length("piece").alias("n"), F.encode("piece", "UTF-16BE").alias("b"))
-    cut = cut.select("h1", "h2", "n", "b", at(1).alias("s1"))
+    cut = lines.select("h1", "h2", F.explode(let(F.encode("line", "UTF-16BE"), pieces)).alias("b"))
+    cut = cut.select("h1", "h2", (F.octet_length("b") / 2).cast("int").alias("n"), "b", at(1).alias("s1"))
     hashed = cut.select("h1", "h2", "s1", *[F.when(F.col("n") >= i + SHINGLE - 1, at(i)).otherwise(F.col("s1")).alias(f"s{i}")
                                             for i in range(2, PIECE + 1)])
     mins = hashed.groupBy("h1", "h2").agg(
@@ -150,13 +156,20 @@ def _sketches(texts: DataFrame) -> DataFrame:
 
 def _prefixes(texts: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """``hot`` with a row per ``key`` and its place ``at``: the first
-    n - ceil(percent * n) + 1 shingles of the node's set, rarest first."""
-    sets = materialize(texts.join(hot.select("node"), "node").select("node", F.explode(shingles("line")).alias("h")), "line-sets")
-    count = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
-    ordered = sets.join(count, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("o"))
-    n = F.size("o")
+    n - ceil(percent * n) + 1 shingles of the node's set, rarest first.  How
+    frequent a shingle is, is told by the byte (8 * log2) of its hash's cell,
+    one of ``CELLS``: any order is exact that is the same for all sets."""
+    sets = materialize(texts.join(hot.select("node"), "node").select("node", shingles("line").alias("s")), "line-sets")
+    cell = lambda h: F.pmod(h, F.lit(CELLS)).cast("int")
+    found = sets.select(F.explode("s").alias("h")).groupBy(cell(F.col("h")).alias("cell")).agg(F.count(F.lit(1)).alias("f"))
+    often = bytearray(CELLS)
+    for r in found.collect():
+        often[r.cell] = min(255, int(8 * math.log2(1 + r.f)))
+    rank = lambda h: F.substring(F.lit(often), cell(h) + 1, F.lit(1))
+    ranked = F.sort_array(F.transform("s", lambda h: F.struct(rank(h).alias("f"), h.alias("h"))))
+    n = F.size("s")
     first = F.slice("o", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
-    return (ordered.select("node", F.posexplode(first).alias("at", "k"))
+    return (sets.select("node", "s", ranked.alias("o")).select("node", F.posexplode(first).alias("at", "k"))
             .select("node", "at", F.col("k.h").alias("key")).join(hot, "node"))
 
 
@@ -193,10 +206,8 @@ def _middle_star(shared: DataFrame, open_: DataFrame) -> DataFrame:
     return met.select(F.least("node", "hn").alias("u"), F.greatest("node", "hn").alias("v")).distinct()
 
 
-def _confirmed(pairs: DataFrame, lines: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` of node ids whose shingle sets meet the threshold."""
-    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    texts = _texts(lines, nodes, ends)
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v")
             .select("u", "v", "a", "b"))
@@ -219,6 +230,8 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Dat
                         .where("head <> last").select("key", "head"), "line-heads")
     shared = materialize(only_likely(banded, F.col("key"), heads.select("key")).join(heads, "key"), "line-buckets")
     sig = nodes.select("node", "sig")
+    # every pair below is one of lines with a shared key: the documents are read for their texts once
+    texts = _texts(lines, nodes, shared.select("node").distinct())
 
     def likely(pairs: DataFrame) -> DataFrame:
         return (pairs.join(sig.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u")
@@ -227,13 +240,13 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Dat
 
     star = shared.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
     star = materialize(likely(star), "line-star")
-    links = materialize(_confirmed(star, lines, nodes, percent), "line-links")
+    links = materialize(_confirmed(star, texts, percent), "line-links")
     open_ = _open_buckets(shared, connected_components(links, "line-round1"))
     middle = materialize(likely(_middle_star(shared, open_).join(star, ["u", "v"], "left_anti")), "line-middle")
-    links = links.unionByName(materialize(_confirmed(middle, lines, nodes, percent), "line-links"))
+    links = links.unionByName(materialize(_confirmed(middle, texts, percent), "line-links"))
     open_ = _open_buckets(shared, connected_components(links, "line-round2"))
 
-    texts = _texts(lines, nodes, open_.select("node").distinct())
+    texts = texts.join(open_.select("node").distinct(), "node")
     open_ = materialize(open_.join(_sketches(texts), "node"), "line-sketched")
     rest = _pairs_by_key(open_.where(F.col("m") <= BUCKET).withColumn("at", F.lit(0)), percent)
     hot = materialize(open_.where(F.col("m") > BUCKET).select("node", "c", "n", "sketch").dropDuplicates(["node"]), "line-hot")
@@ -241,7 +254,7 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Dat
         rest = rest.unionByName(_pairs_by_key(_prefixes(texts, hot, percent), percent))
     rest = rest.distinct().join(star.unionByName(middle), ["u", "v"], "left_anti")
     rest = materialize(rest, "line-rest")
-    more = _confirmed(rest, lines, nodes, percent)
+    more = _confirmed(rest, texts, percent)
     return nodes.select("node", "h1", "h2"), connected_components(links.unionByName(more), "line-round3")
 
 
@@ -249,7 +262,7 @@ def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``id, th, drop``: per document (doc_id and text hash) the numbers of
     the lines that another occurrence stands for."""
     nodes, groups = line_groups(docs, percent)
-    lines = lines_of(docs).select("id", "th", "no", "h1", "h2")
+    lines = materialize(lines_of(docs).select("id", "th", "no", "h1", "h2"), "line-places")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"), F.col("no"))
     classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     grouped = nodes.join(groups, "node").select("h1", "h2", "component")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from horavento.llm import line_dedup as ld
 from horavento.llm.common import table
@@ -104,3 +105,38 @@ def test_bit_table_has_no_false_negatives(spark, n):
     left = ld.only_likely(df, df.h, keys)
     assert left.where(f"id < {n}").count() == n
     assert left.count() <= n + 100
+
+
+def test_frequent_shingles_are_ranked_without_a_join(spark):
+    # a row per shingle made one join by shingle; now rows are joined by node alone
+    rows = [(k, f"{prose(50, 12)} {prose(60 + k, 3)}") for k in range(40)]
+    texts = spark.createDataFrame(rows, "node long, line string")
+    hot = texts.select("node", F.lit(0).alias("c"), F.lit(9).alias("n"), F.array(F.lit(0)).alias("sketch"))
+    got = ld._prefixes(texts, hot, 80)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.split("\n") if "Join" in x]
+    assert joins and not any("(h#" in x for x in joins)
+    for node, line in rows:
+        size = len({line[j:j + ld.SHINGLE] for j in range(len(line) - ld.SHINGLE + 1)})
+        assert got.where(got.node == node).count() == size - -(-size * 80 // 100) + 1
+
+
+def test_texts_are_gathered_once(spark, monkeypatch):
+    calls, texts = [], ld._texts
+    monkeypatch.setattr(ld, "_texts", lambda *a: calls.append(1) or texts(*a))
+    base = prose(50, 40)
+    rows = [(i, f"{edited(base, i, 0.05)}\n{prose(900 + i, 8)}") for i in range(20)]
+    assert run(spark, rows) == brute(rows) and len(calls) == 1
+
+
+def test_minima_see_every_16_bit_shingle(spark):
+    lines = ["x" * 3, "ab" * 40, prose(3, 30), "\U0001F600\U0001F601" * 30 + prose(4, 5), "".join(chr(0x1F600 + k) for k in range(50))]
+    units = lambda x: x.encode("utf-16-be")
+    cut = lambda b: {b[j:j + 2 * ld.SHINGLE] for j in range(0, max(2, len(b) - 2 * ld.SHINGLE + 2), 2)}
+    rows = [(k, 0, x, sorted(cut(units(x)))) for k, x in enumerate(lines)]
+    df = spark.createDataFrame(rows, "h1 long, h2 long, line string, cut array<binary>")
+    want = df.select("h1", F.explode("cut").alias("b")).groupBy("h1").agg(
+        *[F.min(F.hash("b").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(ld._constants())])
+    want = want.select("h1", F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{i}") for i in band]) for b, band in enumerate(ld._bands())]).alias("w"))
+    got = ld._minhashed(df).join(want, "h1").collect()
+    assert len(got) == len(lines) and all(r.bands == r.w for r in got)
