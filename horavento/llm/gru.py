@@ -57,19 +57,31 @@ def output_class(x: np.ndarray) -> np.ndarray:
     return np.where(x == 0, 0, np.where(x <= HEAD, (x - 1) // PER_CLASS + 1, x - HEAD + CLASSES))
 
 
-def _step(p: dict, s: np.ndarray, x: np.ndarray):
+def _gates(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Input and state weights gate by gate, so that a step's arrays are
+    contiguous."""
+    return tuple(np.ascontiguousarray(p[k].reshape(-1, 3, HIDDEN).transpose(1, 0, 2)) for k in "EU")
+
+
+def _step(p: dict, s: np.ndarray, x: np.ndarray, gates: tuple | None = None):
     """One GRU step: new state and what the backward pass needs."""
-    g, a, h = p["E"][x], s @ p["U"], HIDDEN
-    zr = g[:, :2 * h] + a[:, :2 * h]
+    e, u = _gates(p) if gates is None else gates
+    a, g = np.matmul(s, u), np.take(e, x, axis=1)
+    zr = g[:2]
+    zr += a[:2]
     np.negative(zr, out=zr)
     np.exp(zr, out=zr)
     zr += 1
     np.reciprocal(zr, out=zr)
-    z, r = zr[:, :h], zr[:, h:]
-    n = np.tanh(g[:, 2 * h:] + r * a[:, 2 * h:])
-    new = n + z * (s - n)
+    z, r = zr
+    n = r * a[2]
+    n += g[2]
+    np.tanh(n, out=n)
+    new = s - n
+    new *= z
+    new += n
     new[x == 0] = 0
-    return new, z, r, n, a
+    return new, z, r, n, a[2]
 
 
 #: rows worked through at a time, so that their logits stay in the cache
@@ -86,6 +98,15 @@ def _by_class(cls: np.ndarray):
     return [(c, cuts[c], cuts[c + 1]) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
 
 
+def _room(room: dict, name: str, shape: tuple, kind) -> np.ndarray:
+    """An array with any content out of ``room``: fresh pages for the large
+    arrays of every window cost as much as the arithmetic on them."""
+    n, have = int(np.prod(shape)), room.get(name)
+    if have is None or len(have) < n or have.dtype != kind:
+        have = room[name] = np.empty(n, dtype=kind)
+    return have[:n].reshape(shape)
+
+
 def _extended(p: dict) -> tuple[np.ndarray, np.ndarray]:
     """Output weights that take a state with a constant 1 behind it."""
     return np.vstack([p["Wc"], p["bc"]]), np.concatenate([p["Ww"], p["bw"][:, :, None]], axis=2)
@@ -160,13 +181,13 @@ def score_documents(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.nda
     start = np.cumsum(size) - size
     #: how many lanes are longer than t, for every step t
     live = np.searchsorted(-size, -np.arange(int(size[0])), side="left").tolist()
-    state = np.zeros((len(deal), HIDDEN), dtype=np.float32)
+    state, gates = np.zeros((len(deal), HIDDEN), dtype=np.float32), _gates(p)
     lp = np.empty(len(flat))
     states, places, have = [], [], 0
     for t, w in enumerate(live):
         at = start[:w] + t
         s = state[:w].copy()
-        state[:w] = _step(p, s, flat[at])[0]
+        state[:w] = _step(p, s, flat[at], gates)[0]
         states.append(s)
         places.append(at)
         have += w
@@ -184,14 +205,14 @@ def train(p: dict, stream: np.ndarray, lanes: int = 64, back: int = 20, rate: fl
     up to ``lanes`` parallel streams, what is left over into fewer; states
     carry from window to window, gradients stop at its start.  Adagrad.
     Updates ``p`` in place, and ``squares`` where given."""
-    squares = start(p) if squares is None else squares
+    squares, room = start(p) if squares is None else squares, {}
     while len(stream):
         width = min(lanes, max(1, len(stream) // back))
         n = len(stream) // width
         grid = stream[:n * width].reshape(width, n).T
         state = np.zeros((width, HIDDEN), dtype=np.float32)
         for at in range(0, n, back):
-            state = _window(p, squares, state, grid[at:at + back], rate)
+            state = _window(p, squares, state, grid[at:at + back], rate, room)
         stream = stream[n * width:]
     return p
 
@@ -206,22 +227,27 @@ def _update(p: dict, squares: dict, name: str, grad: np.ndarray, rate: float, at
     p[name][at] -= rate * grad / np.sqrt(squares[name][at])
 
 
-def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: float) -> np.ndarray:
-    h, steps = HIDDEN, len(grid)
+def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: float, room: dict | None = None) -> np.ndarray:
+    h, steps, gates, room = HIDDEN, len(grid), _gates(p), {} if room is None else room
+    array = lambda name, *shape: _room(room, name, shape, state.dtype)
+    past = array("past", steps, *state.shape)
     saved, s = [], state
-    for x in grid:
-        new, z, r, n, a = _step(p, s, x)
-        saved.append((s, x, z, r, n, a))
-        s = new
+    for t, x in enumerate(grid):
+        past[t] = s
+        s, *step = _step(p, s, x, gates)
+        saved.append(step)
     x, share = grid.ravel(), np.float32(1.0 / state.shape[0])
+    flat = past.reshape(-1, h)
     # tokens in order are classes in order: one sorting serves both layers and the inputs
     order = np.argsort(x.astype(np.int16), kind="stable")
-    xs, one = x[order], _with_one(np.concatenate([v[0] for v in saved])[order])
+    xs, one, ds = x[order], array("one", len(x), h + 1), array("ds", len(x), h)
+    one[:, :h], one[:, h] = np.take(flat, order, axis=0, out=ds, mode="clip"), 1
     cls, word, (wc, ww) = output_class(xs), (xs - 1) % PER_CLASS, _extended(p)
-    slope = np.zeros((len(xs), h), dtype=one.dtype)
+    slope = array("slope", len(x), h)
+    slope[...] = 0
 
     def back(part, weights, which):
-        q = _safe(one[part] @ weights)
+        q = _safe(np.matmul(one[part], weights, out=array("q", part.stop - part.start, weights.shape[1])))
         np.exp(q, out=q)
         q *= (share / _row_sums(q))[:, None]
         q[np.arange(len(q)), which[part]] -= share
@@ -231,31 +257,38 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
     gc = sum(back(part, wc, cls) for part in _spans(0, len(xs)))
     used = _by_class(cls)
     gw = [sum(back(part, ww[c].T, word) for part in _spans(a, b)).T for c, a, b in used]
-    ds = np.empty_like(slope)
     ds[order] = slope
     ds = ds.reshape(steps, -1, h)
-    dg = np.empty((steps, state.shape[0], 3 * h), dtype=state.dtype)
-    da = np.empty_like(dg)
+    dg, da = (array(k, steps, state.shape[0], 3 * h) for k in ("dg", "da"))
     carry = np.zeros_like(state)
     for t in range(steps - 1, -1, -1):
-        s0, xt, z, r, n, a = saved[t]
-        d, g = carry, dg[t]
+        s0, xt, (z, r, n, a) = past[t], grid[t], saved[t]
+        d = carry
         d[xt == 0] = 0
-        rest = 1 - z
-        dn = d * rest
-        np.multiply((s0 - n) * z, dn, out=g[:, :h])
-        dn *= 1 - n * n
-        np.multiply(a[:, 2 * h:] * dn, r * (1 - r), out=g[:, h:2 * h])
-        g[:, 2 * h:] = dn
+        dn = 1 - z
+        dn *= d
+        dz = s0 - n
+        dz *= z
+        dz *= dn
+        np.multiply(n, n, out=n)
+        np.subtract(1, n, out=n)
+        dn *= n
+        a *= dn
+        dr = 1 - r
+        dr *= r
+        dr *= a
+        g = dg[t]
+        g[:, :h], g[:, h:2 * h], g[:, 2 * h:] = dz, dr, dn
         da[t] = g
-        da[t, :, 2 * h:] *= r
+        dn *= r
+        da[t, :, 2 * h:] = dn
         d *= z
         d += da[t] @ p["U"].T
         d += ds[t]
         carry = np.minimum(np.maximum(d, -1, out=d), 1, out=d)
-    du = np.concatenate([v[0] for v in saved]).T @ da.reshape(-1, 3 * h)
+    du = flat.T @ da.reshape(-1, 3 * h)
     begin = np.flatnonzero(np.append(True, xs[1:] != xs[:-1]))
-    de = np.add.reduceat(dg.reshape(-1, 3 * h)[order], begin, axis=0)
+    de = np.add.reduceat(np.take(dg.reshape(-1, 3 * h), order, axis=0, out=array("sorted", len(x), 3 * h), mode="clip"), begin, axis=0)
     _update(p, squares, "E", de, rate, xs[begin])
     _update(p, squares, "U", du, rate)
     _update(p, squares, "Wc", gc[:h], rate)

@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -166,3 +167,22 @@ def test_training_lowers_the_loss():
     before = loss(p, stream[:40][:, None])
     gru.train(p, stream)
     assert loss(p, stream[:40][:, None]) < 0.5 * before
+
+
+def test_a_window_reuses_the_arrays_of_the_last():
+    rng = np.random.default_rng(6)
+    p, grid, room = {k: v.astype(np.float32) for k, v in params().items()}, rng.integers(0, gru.INPUTS, (20, 500)), {}
+    state = np.zeros((500, gru.HIDDEN), dtype=np.float32)
+    same = {k: v.copy() for k, v in p.items()}
+    squares, apart = gru.start(p), gru.start(p)
+    first = gru._window(p, squares, state, grid, 0.1, room)
+    tracemalloc.start()
+    try:
+        last = gru._window(p, squares, first, grid[::-1], 0.1, room)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 22.2 MB when every array was new
+    assert peak < 18_000_000
+    again = gru._window(same, apart, gru._window(same, apart, state, grid, 0.1), grid[::-1], 0.1)
+    assert (again == last).all() and all((p[k] == same[k]).all() for k in p)
