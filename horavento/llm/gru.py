@@ -57,31 +57,30 @@ def output_class(x: np.ndarray) -> np.ndarray:
     return np.where(x == 0, 0, np.where(x <= HEAD, (x - 1) // PER_CLASS + 1, x - HEAD + CLASSES))
 
 
-def _gates(p: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Input and state weights gate by gate, so that a step's arrays are
-    contiguous."""
-    return tuple(np.ascontiguousarray(p[k].reshape(-1, 3, HIDDEN).transpose(1, 0, 2)) for k in "EU")
+def _gates(p: dict) -> np.ndarray:
+    """Input weights gate by gate, so that a step's arrays are contiguous."""
+    return np.ascontiguousarray(p["E"].reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
 
 
-def _step(p: dict, s: np.ndarray, x: np.ndarray, gates: tuple | None = None):
+def _step(p: dict, s: np.ndarray, x: np.ndarray, gates: np.ndarray | None = None):
     """One GRU step: new state and what the backward pass needs."""
-    e, u = _gates(p) if gates is None else gates
-    a, g = np.matmul(s, u), np.take(e, x, axis=1)
-    zr = g[:2]
+    g, a, h = np.take(_gates(p) if gates is None else gates, x, axis=1), s @ p["U"], HIDDEN
+    zr, a = g[:2], a.reshape(-1, 3, h).transpose(1, 0, 2)
     zr += a[:2]
+    a = np.ascontiguousarray(a[2])
     np.negative(zr, out=zr)
     np.exp(zr, out=zr)
     zr += 1
     np.reciprocal(zr, out=zr)
     z, r = zr
-    n = r * a[2]
+    n = r * a
     n += g[2]
     np.tanh(n, out=n)
     new = s - n
     new *= z
     new += n
     new[x == 0] = 0
-    return new, z, r, n, a[2]
+    return new, z, r, n, a
 
 
 #: rows worked through at a time, so that their logits stay in the cache
