@@ -9,7 +9,9 @@ classes of all other words, whose members are not told apart here.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import math
 
 import numpy as np
 
@@ -57,18 +59,23 @@ def output_class(x: np.ndarray) -> np.ndarray:
     return np.where(x == 0, 0, np.where(x <= HEAD, (x - 1) // PER_CLASS + 1, x - HEAD + CLASSES))
 
 
-def _gates(p: dict) -> np.ndarray:
-    """Input weights gate by gate, so that a step's arrays are contiguous."""
-    return np.ascontiguousarray(p["E"].reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+def _gates(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Input and state weights gate by gate, so that a step's arrays are
+    contiguous; those of the two logistic gates are negated."""
+    e = np.ascontiguousarray(p["E"].reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+    u = np.ascontiguousarray(p["U"].reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+    for w in (e, u):
+        np.negative(w[:2], out=w[:2])
+    return e, u
 
 
-def _step(p: dict, s: np.ndarray, x: np.ndarray, gates: np.ndarray | None = None):
+def _step(p: dict, s: np.ndarray, x: np.ndarray, gates: tuple[np.ndarray, np.ndarray] | None = None):
     """One GRU step: new state and what the backward pass needs."""
-    g, a, h = np.take(_gates(p) if gates is None else gates, x, axis=1), s @ p["U"], HIDDEN
-    zr, a = g[:2], a.reshape(-1, 3, h).transpose(1, 0, 2)
+    e, u = _gates(p) if gates is None else gates
+    g, a = np.take(e, x, axis=1), np.matmul(s, u)
+    zr = g[:2]
     zr += a[:2]
-    a = np.ascontiguousarray(a[2])
-    np.negative(zr, out=zr)
+    a = a[2]
     np.exp(zr, out=zr)
     zr += 1
     np.reciprocal(zr, out=zr)
@@ -100,7 +107,7 @@ def _by_class(cls: np.ndarray):
 def _room(room: dict, name: str, shape: tuple, kind) -> np.ndarray:
     """An array with any content out of ``room``: fresh pages for the large
     arrays of every window cost as much as the arithmetic on them."""
-    n, have = int(np.prod(shape)), room.get(name)
+    n, have = math.prod(shape), room.get(name)
     if have is None or len(have) < n or have.dtype != kind:
         have = room[name] = np.empty(n, dtype=kind)
     return have[:n].reshape(shape)
@@ -117,6 +124,12 @@ def _with_one(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bounded(weights: np.ndarray, axis: int) -> bool:
+    """Whether no state, whose numbers lie between -1 and 1, gives a logit
+    beyond 79 with these weights; ``axis`` runs along the state and the 1."""
+    return bool(np.abs(weights).sum(axis=axis).max() < 79)
+
+
 def _safe(logits: np.ndarray) -> np.ndarray:
     """Logits whose exponentials and their row sums neither overflow nor
     vanish: rows are shifted by their largest where any is far from 0."""
@@ -125,8 +138,18 @@ def _safe(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
+@functools.cache
+def _ones(n: int, kind: np.dtype) -> np.ndarray:
+    return np.ones(n, dtype=kind)
+
+
+@functools.cache
+def _numbers() -> np.ndarray:
+    return np.arange(ROWS)
+
+
 def _row_sums(x: np.ndarray) -> np.ndarray:
-    return x @ np.ones(x.shape[1], dtype=x.dtype)
+    return x @ _ones(x.shape[1], x.dtype)
 
 
 def token_logprobs(p: dict, s: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -136,18 +159,25 @@ def token_logprobs(p: dict, s: np.ndarray, x: np.ndarray) -> np.ndarray:
     x, s = x[order], _with_one(s[order])
     wc, ww = _extended(p)
     cls, word = output_class(x), (x - 1) % PER_CLASS
-    lp = np.zeros(len(x), dtype=s.dtype)
+    lp, total, room = np.zeros(len(x), dtype=s.dtype), np.empty(len(x), dtype=s.dtype), {}
 
-    def add(part, weights, which):
-        logits = _safe(s[part] @ weights)
-        picked = logits[np.arange(len(logits)), which[part]]
-        lp[part] += picked - np.log(_row_sums(np.exp(logits, out=logits)))
+    def add(part, weights, which, bounded):
+        logits = np.matmul(s[part], weights, out=_room(room, "q", (part.stop - part.start, weights.shape[1]), s.dtype))
+        if not bounded:
+            logits = _safe(logits)
+        lp[part] += logits[_numbers()[:len(logits)], which[part]]
+        total[part] = _row_sums(np.exp(logits, out=logits))
 
+    bounded = _bounded(wc, 0)
     for part in _spans(0, len(x)):
-        add(part, wc, cls)
+        add(part, wc, cls, bounded)
+    lp -= np.log(total, out=total)
+    bounded, begin = _bounded(ww, 2), int(np.searchsorted(cls, 1))
     for c, a, b in _by_class(cls):
         for part in _spans(a, b):
-            add(part, ww[c].T, word)
+            add(part, ww[c].T, word, bounded)
+    end = int(np.searchsorted(cls, CLASSES + 1))
+    lp[begin:end] -= np.log(total[begin:end])
     out = np.empty_like(lp)
     out[order] = lp
     return out
@@ -164,7 +194,7 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     return sorted(out, key=lambda ds: -sum(int(lengths[d]) for d in ds))
 
 
-def score_documents(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.ndarray:
+def score_documents(p: dict, docs: list[np.ndarray], lanes: int = 1024) -> np.ndarray:
     """Natural log probability of every token stream (each ending in 0).  The
     lanes run side by side, step by step; a lane's state is carried from token
     to token, so a document of any length is scored as a whole.  The states
@@ -222,8 +252,12 @@ def start(p: dict) -> dict[str, np.ndarray]:
 
 
 def _update(p: dict, squares: dict, name: str, grad: np.ndarray, rate: float, at=slice(None)) -> None:
-    squares[name][at] += grad * grad
-    p[name][at] -= rate * grad / np.sqrt(squares[name][at])
+    total = squares[name][at]
+    total += grad * grad
+    squares[name][at] = total
+    step = rate * grad
+    step /= np.sqrt(total)
+    p[name][at] -= step
 
 
 def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: float, room: dict | None = None) -> np.ndarray:
@@ -245,17 +279,23 @@ def _window(p: dict, squares: dict, state: np.ndarray, grid: np.ndarray, rate: f
     slope = array("slope", len(x), h)
     slope[...] = 0
 
-    def back(part, weights, which):
-        q = _safe(np.matmul(one[part], weights, out=array("q", part.stop - part.start, weights.shape[1])))
+    def back(part, weights, which, bounded):
+        left = one[part]
+        q = np.matmul(left, weights, out=array("q", len(left), weights.shape[1]))
+        if not bounded:
+            q = _safe(q)
         np.exp(q, out=q)
         q *= (share / _row_sums(q))[:, None]
-        q[np.arange(len(q)), which[part]] -= share
+        q[_numbers()[:len(q)], which[part]] -= share
         slope[part] += q @ weights[:h].T
-        return one[part].T @ q
+        return left.T @ q
+
+    def added(parts, weights, which, bounded):
+        return functools.reduce(np.add, [back(part, weights, which, bounded) for part in parts])
 
-    gc = sum(back(part, wc, cls) for part in _spans(0, len(xs)))
-    used = _by_class(cls)
-    gw = [sum(back(part, ww[c].T, word) for part in _spans(a, b)).T for c, a, b in used]
+    gc = added(_spans(0, len(xs)), wc, cls, _bounded(wc, 0))
+    used, bounded = _by_class(cls), _bounded(ww, 2)
+    gw = [added(_spans(a, b), ww[c].T, word, bounded).T for c, a, b in used]
     ds[order] = slope
     ds = ds.reshape(steps, -1, h)
     dg, da = (array(k, steps, state.shape[0], 3 * h) for k in ("dg", "da"))

@@ -311,7 +311,8 @@ def score(docs: DataFrame, local: int = LOCAL, tokens: int = BLOCK_TOKENS) -> Da
     scored = materialize(map_batches(numbers.select("uid", "doc_id", "held_out", "known", "base", "model", "x"), fn,
                                      "uid long, doc_id long, held_out boolean, known long, base double, model double, n_tokens long"), "lm-scored")
     tail = numbers.select("uid", F.explode(F.arrays_zip("far", "times")).alias("z")).select("uid", F.col("z.far").alias("word"), F.col("z.times").alias("k"))
-    rest = (tail.join(counts.select("word", "c"), "word").groupBy("uid")
+    # the counts have a row per word: hashed, neither side is sorted by its words
+    rest = (tail.join(counts.select("word", "c").hint("shuffle_hash"), "word").groupBy("uid")
             .agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("c") + F.lit(1.0))).alias("lift")))
     return scored.join(rest, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),

@@ -186,3 +186,26 @@ def test_a_window_reuses_the_arrays_of_the_last():
     assert peak < 18_000_000
     again = gru._window(same, apart, gru._window(same, apart, state, grid, 0.1), grid[::-1], 0.1)
     assert (again == last).all() and all((p[k] == same[k]).all() for k in p)
+
+
+def test_small_weights_need_no_look_at_every_logit(monkeypatch):
+    looked, safe = [], gru._safe
+    monkeypatch.setattr(gru, "_safe", lambda x: looked.append(1) or safe(x))
+    p, rng = {k: v.astype(np.float32) for k, v in params().items()}, np.random.default_rng(9)
+    x, s = rng.integers(0, gru.INPUTS, 3000), np.tanh(rng.normal(0, 1, (3000, gru.HIDDEN))).astype(np.float32)
+    near = gru.token_logprobs(p, s, x)
+    gru._window(p, gru.start(p), s[:100], x[:2000].reshape(20, 100), 0.0)
+    assert not looked
+    with monkeypatch.context() as m:
+        m.setattr(gru, "_bounded", lambda weights, axis: False)
+        assert (gru.token_logprobs(p, s, x) == near).all() and looked
+    # weights whose logits would overflow are still shifted
+    p["Wc"] *= 3000
+    p["Ww"] *= 3000
+    assert np.isfinite(gru.token_logprobs(p, s, x)).all()
+
+
+def test_the_rest_is_joined_without_sorting_words(spark):
+    rows = [(k, prose(k, 40)) for k in range(30)]
+    plan = lm.score(docs(spark, rows), local=5)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [word" in plan and "Sort [word" not in plan
