@@ -6,28 +6,33 @@
   a histogram of the hash prefix, with more buckets the more cells there are,
   and only one bucket per group is ranked.
 * ``iterative_impute`` is round-robin regression imputation: start from the
-  per-station mean, then for each round and target fit a Spark ML random
-  forest on the rows where the target was observed and overwrite only the
-  missing cells.  Each round is written to the shared checkpoint folder, which
-  cuts the lineage and survives executor loss; within a round the forest's own
-  training cache keeps each upstream transform from being recomputed.
+  per-station mean, then for each round and target grow a random forest
+  (``forest``) on the rows where the target was observed and overwrite only
+  the missing cells.  Each round is written to the shared checkpoint folder,
+  which cuts the lineage and survives executor loss; within a round the
+  forests grown so far fill the missing cells as the rows are read.
 """
 
 from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import to_long
 from horavento.functions.temporal import one_hot, station_slug, temporal_features
 from horavento.operators.analysis import score
+from horavento.operators.forest import Layout, Source, coded, grow as grow_pooled, packed, value_cuts, value_source
 from horavento.operators.station_forest import grow, predict
 from horavento.schemas import (
     EVALUATION_RATIO, MIN_SAMPLES_LEAF, MIN_SAMPLES_SPLIT, MODEL_CONFIGS, RANDOM_STATE, TARGETS, TEMPORAL_FEATURES,
@@ -75,9 +80,11 @@ def _edge(tagged: DataFrame, by: str) -> DataFrame:
 
 
 #: imputations of ``impute_all`` at a time
-FITS = 3
+FITS = 6
 #: rows of a task, at least, where that needs fewer tasks than cores
 DEALT_ROWS = 25_000
+#: rows of a task, at most
+TASK_ROWS = 1 << 20
 
 
 class MaskPlan:
@@ -213,9 +220,9 @@ def assemble_features(df: DataFrame, by: str = "estacao", stations: list[str] |
 def _dealt(df: DataFrame, rows: int | None = None) -> DataFrame:
     """The rows over all cores, whatever files or row groups they came in: the
     rounds keep the layout of the first table.  A few ``rows`` are dealt over
-    fewer tasks of ``DEALT_ROWS``."""
+    fewer tasks of ``DEALT_ROWS``, very many over more of ``TASK_ROWS``."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores if rows is None else max(1, min(cores, -(-rows // DEALT_ROWS))))
+    return df.repartition(cores if rows is None else max(1, min(cores, -(-rows // DEALT_ROWS)), rows // TASK_ROWS))
 
 
 def _persist_round(df: DataFrame, tag: str) -> DataFrame:
@@ -239,32 +246,98 @@ def iterative_impute(df: DataFrame, config: dict, targets: list[str] = TARGETS,
     and so needs MIN_SAMPLES_SPLIT, twice as many, without being told."""
     if scope == "per_station":
         return _impute_stations(df, config, targets, by, seed)
-    if features is None:
-        df, features = assemble_features(df, by)
-    miss = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(t).isNull()).alias(t) for t in targets]).first()
+    own = features is None
+    rows, features = assemble_features(df, by, pooled=False) if own else (df, list(features))
+    rows, features, vectors = _scalars(rows, features)
+    plain = df.columns if own else rows.columns
+    miss = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(t).isNull()).alias(t) for t in targets],
+                  *[F.avg(F.col(t).cast("double")).alias(f"_mu_{t}") for t in targets]).first()
     order = sorted(targets, key=lambda t: (miss[t], targets.index(t)))
+    # nothing missing, or nothing to learn from: the mean stays
+    order = [t for t in order if miss[t] > 0 and miss["_n"] - miss[t] >= 2]
     flags = {t: f"_miss_{t}" for t in targets}
-    cur = mean_fill(df.withColumns({flags[t]: F.col(t).isNull() for t in targets}), targets, by, fallback)
-    cur = _persist_round(_dealt(cur, miss["_n"]), "impute-init")
-    for rnd in range(int(config["max_iter"])):
+    rows, sources, values = coded(rows, features, int(config["max_depth"]), by if own else None) if order else (rows, [], [])
+    cur = mean_fill(rows.withColumns({flags[t]: F.col(t).isNull() for t in targets}), targets, by, fallback)
+    cur = _dealt(cur.select(*plain, *flags.values(), *[c for c in values if c not in plain], *[s.column for s in sources]), miss["_n"])
+    kind = cur.select(*plain).schema
+    layout = Layout(list(targets) + values, [s.column for s in sources], list(flags.values()))
+    if order:
+        cur = _persist_round(packed(cur, layout, [c for c in plain if c not in targets]), "impute-init")
+    for rnd in range(int(config["max_iter"]) if order else 0):
+        cuts, fills = value_cuts(cur, layout, layout.doubles), []
         for t in order:
-            if miss[t] == 0 or miss["_n"] - miss[t] < 2:  # nothing missing, or nothing to learn from: the mean stays
-                continue
-            inputs = [c for c in targets if c != t] + list(features)
-            va = VectorAssembler(inputCols=inputs, outputCol="_x", handleInvalid="keep")
-            rf = RandomForestRegressor(
-                featuresCol="_x", labelCol=t, predictionCol="_pred",
-                numTrees=int(config["n_estimators"]), maxDepth=int(config["max_depth"]),
-                minInstancesPerNode=MIN_SAMPLES_LEAF, featureSubsetStrategy="all",
-                seed=seed + rnd)
-            train = va.transform(cur.where(~F.col(flags[t])))
-            model = rf.fit(train)
-            pred = model.transform(va.transform(cur))
-            cur = pred.withColumn(t, F.when(F.col(flags[t]), F.col("_pred")).otherwise(F.col(t))) \
-                .drop("_x", "_pred")
+            others = [c for c in targets if c != t]
+            # the numbers of the features: the other targets, the features, the stations
+            at = [value_source(c, i, cuts[c]) for i, c in enumerate(others)]
+            at += [replace(s, features=[f + len(others) for f in s.features]) for s in sources]
+            at += [value_source(c, len(others) + features.index(c), cuts[c]) for c in values]
+            forest = grow_pooled(cur, layout, at, _reading(t, at, list(fills)), miss[f"_mu_{t}"],
+                                 int(config["n_estimators"]), int(config["max_depth"]), seed + rnd, MIN_SAMPLES_LEAF)
+            fills.append((t, forest))
         # one write per round: bounded lineage, restartable after executor loss
-        cur = _persist_round(cur, f"impute-r{rnd}")
-    return cur.drop(*flags.values())
+        if rnd + 1 < int(config["max_iter"]):
+            cur = _persist_round(cur.mapInArrow(_filling(layout, fills), cur.schema), f"impute-r{rnd}")
+        else:
+            cur = cur.mapInArrow(_filling(layout, fills, kind.names), kind)
+    if order and int(config["max_iter"]) < 1:
+        cur = cur.mapInArrow(_filling(layout, [], kind.names), kind)
+    out = _persist_round(cur.select(*plain), "impute-rows")
+    for c, n in vectors.items():
+        out = out.withColumn(c, array_to_vector(F.array(*[F.col(f"_{c}_{i}") for i in range(n)]))).drop(*[f"_{c}_{i}" for i in range(n)])
+    return assemble_features(out, by)[0] if own else out.select(*df.columns)
+
+
+def _scalars(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str], dict[str, int]]:
+    """Vector columns as one column per slot, and how many each has."""
+    vectors, plain = {}, []
+    for c in [f.name for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]:
+        slots = vector_to_array(c)
+        first = df.where(F.col(c).isNotNull()).select(F.size(slots).alias("n")).first()
+        vectors[c] = first["n"] if first else 0
+        df = df.withColumns({f"_{c}_{i}": F.get(slots, F.lit(i)) for i in range(vectors[c])}).drop(c)
+    for c in features:
+        plain += [f"_{c}_{i}" for i in range(vectors[c])] if c in vectors else [c]
+    return df, plain, vectors
+
+
+def _filled(held: dict[str, np.ndarray], fills) -> dict[str, np.ndarray]:
+    """The columns of a block after the forests of ``fills``, in this order,
+    gave the missing cells their values."""
+    held = dict(held)
+    for t, forest in fills:
+        at = np.flatnonzero(held[f"_miss_{t}"])
+        if len(at):
+            column = held[t].copy()
+            column[at] = forest.predictor()(np.stack([s.code(held[s.column][at]) for s in forest.sources]))
+            held[t] = column
+    return held
+
+
+def _reading(label: str, sources: list[Source], fills):
+    """``read`` of a forest that learns ``label`` from the rows that have it,
+    after the ``fills`` of its round."""
+    def read(keys, held):
+        at = np.flatnonzero(~held[f"_miss_{label}"])
+        held = _filled(held, fills)
+        return keys[at], held[label][at], np.stack([s.code(held[s.column][at]) for s in sources])
+    return read
+
+
+def _filling(layout: Layout, fills, columns: list[str] | None = None):
+    """Blocks with the missing cells of a round's targets filled, or, with
+    ``columns``, their rows."""
+    def run(batches):
+        for batch in batches:
+            for i, (_, held) in enumerate(layout.blocks(batch)):
+                held = _filled(held, fills)
+                if columns is None:
+                    flat = np.concatenate([held[c] for c in layout.doubles]).tobytes()
+                    one = batch.slice(i, 1)
+                    yield one.set_column(one.schema.get_field_index("doubles"), "doubles", pa.array([flat], pa.binary()))
+                else:
+                    rest = pa.ipc.open_stream(batch["rest"][i].as_buffer()).read_all().combine_chunks()
+                    yield pa.RecordBatch.from_arrays([rest[c].combine_chunks() if c in rest.column_names else pa.array(held[c]) for c in columns], columns)
+    return run
 
 
 def _impute_stations(df: DataFrame, config: dict, targets: list[str], by: str, seed: int) -> DataFrame:
@@ -341,7 +414,8 @@ def impute_all(df: DataFrame, configs: list[dict] = MODEL_CONFIGS, targets: list
 
     Returns ``(scores, imputed, status)`` DataFrames."""
     spark = df.sparkSession
-    try:  # one mask for all; where it fails, so does every configuration
+    try:  # one copy of the rows and one mask for all; where they fail, so does every configuration
+        df = _persist_round(_dealt(df), "readings")
         frame, broken = masked_frame(df, targets, by, seed=seed), None
     except Exception as e:
         frame, broken = None, e
