@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.linalg import VectorUDT
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from horavento.functions.telemetry import residuals
 from horavento.operators.analysis import abs_error_stats, score
+from horavento.operators.forest import Layout, coded, grow, packed, reader, spark_model, value_cuts, value_source
 from horavento.operators.windows import sequence_number
 from horavento.schemas import RANDOM_STATE
 from horavento.session import materialize
@@ -20,6 +23,8 @@ FORECAST_FEATURES = ["umidade", "velocidade_vento", "hora", "mes", "dia_ano", "h
 
 #: tasks a core that a fit is dealt over
 FIT_TASKS = 2
+#: rows of a task of a forest's fit, at most
+TASK_ROWS = 1 << 20
 
 
 def prediction_frame(df: DataFrame, real: str = "temperatura_real",
@@ -67,10 +72,37 @@ def train_temperature(df: DataFrame, features: list[str] = FORECAST_FEATURES,
     if data.isEmpty():
         empty = data.withColumnRenamed(label, "temperatura_real").withColumn("temperatura_prevista", F.lit(None).cast("double"))
         return None, prediction_frame(empty)
+    columns, tasks = data.columns, FIT_TASKS * df.sparkSession.sparkContext.defaultParallelism
+    sources, values = [], []
+    if algo == "rf":
+        data, sources, values = coded(data, features, max_depth)
+        data = data.select(*columns, *[s.column for s in sources])
     # the fit reads the rows many times: written once, over all cores whatever files they came in
-    data = materialize(data.repartition(FIT_TASKS * df.sparkSession.sparkContext.defaultParallelism), "forecast-data")
-    model = pipeline.fit(data)
-    return model, _predicted(model, data, label)
+    data = materialize(data.repartition(tasks), "forecast-data")
+    model = _forest_fit(pipeline, data, features, label, sources, values) if algo == "rf" else pipeline.fit(data.select(columns))
+    return model, _predicted(model, data.select(columns), label)
+
+
+def _forest_fit(pipeline: Pipeline, data: DataFrame, features: list[str], label: str, sources: list, values: list[str]) -> PipelineModel:
+    """What ``pipeline.fit`` gives for a random forest, grown by ``forest``: a
+    node may split by one of a third of the features, as Spark ML has it."""
+    va, est = pipeline.getStages()
+    trees, depth = est.getNumTrees(), est.getMaxDepth()
+    rows = data.select(F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in values], *[s.column for s in sources])
+    layout = Layout(["_y", *values], [s.column for s in sources], [])
+    n, middle = rows.agg(F.count(F.lit(1)), F.avg("_y")).first()
+    if n > rows.rdd.getNumPartitions() * TASK_ROWS:
+        rows = rows.repartition(-(-n // TASK_ROWS))
+    blocks = materialize(packed(rows, layout, []), "forecast-blocks")
+    cuts = value_cuts(blocks, layout, values)
+    sources = sources + [value_source(c, features.index(c), cuts[c]) for c in values]
+    grown = grow(blocks, layout, sources, reader("_y", sources), middle, trees, depth, est.getSeed(),
+                 subset=len(features) if trees == 1 else math.ceil(len(features) / 3))
+    thresholds = [None] * len(features)
+    for s in sources:
+        for f, c in zip(s.features, [s.cuts] if s.cuts is not None else s.thresholds):
+            thresholds[f] = c
+    return PipelineModel([va, spark_model(est, grown, thresholds, data.sparkSession)])
 
 
 def _regressor(features: list[str], label: str, algo: str, seed: int, num_trees: int, max_depth: int) -> Pipeline:
